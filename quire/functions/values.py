@@ -41,9 +41,12 @@ def try_int(c: Column | str) -> Column:
 
 def try_float(c: Column | str) -> Column:
     """Text to 32-bit FLOAT or NULL. Suffixes such as ``5f`` that a bare cast would take are NULL."""
+    c = _col(c)
     text = _stripped(c)
-    return F.when(text.rlike(_NUMBER), F.regexp_replace(text, "_", "").try_cast("float")).when(
-        text.rlike(_SPECIAL), text.try_cast("float")
+    return (
+        F.when(c.rlike(_INTEGER), c.try_cast("float"))
+        .when(text.rlike(_NUMBER), F.regexp_replace(text, "_", "").try_cast("float"))
+        .when(text.rlike(_SPECIAL), text.try_cast("float"))
     )
 
 

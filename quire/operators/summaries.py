@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 from quire.functions.values import round2
 
 
+def compute_once(df: DataFrame, *columns: Column) -> DataFrame:
+    """Select computed columns so that filters on them do not compute them again.
+
+    A filter on a plain column slides below its projection, and Spark then evaluates the expression (a JSON
+    parse, say) once for the filter and once more for the value. It cannot slide below a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def count_by(df: DataFrame, *keys: str, min_count: int | None = None, count: str = "count") -> DataFrame:
     """Rows per key, keeping only groups with more than ``min_count`` rows when it is given."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import values as V
 from quire.functions.columns import UNIFIED, search, unified
-from quire.operators.summaries import count_by, number_summary, ranked, with_share
+from quire.operators.summaries import compute_once, count_by, number_summary, ranked, with_share
 
 # A top-k list this short may be broadcast when it is joined back to its detail rows.
 BROADCAST_ROWS = 10_000
@@ -84,7 +84,8 @@ def classifications(df: DataFrame, min_count: int = 100) -> DataFrame:
             {"mode": "PERMISSIVE"},
         ).alias("c")
     )
-    triples = parsed.select(
+    triples = compute_once(
+        parsed,
         F.get("c.ia_collection", F.lit(0)).alias("collection"),
         F.get("c.oclc_holdings", F.lit(0)).alias("holdings"),
         F.get("c.content_type", F.lit(0)).alias("content_type"),
@@ -125,7 +126,7 @@ def title_lengths(df: DataFrame, min_count: int = 100) -> DataFrame:
 
 def publication_years(df: DataFrame, lo: int = 1900, hi: int = 2025) -> DataFrame:
     """Q09. Records per year between ``lo`` and ``hi``; the range is applied before grouping."""
-    years = df.select(V.try_int(search("search_year")).alias("publish_year"))
+    years = compute_once(df, V.try_int(search("search_year")).alias("publish_year"))
     counts = count_by(years.filter(F.col("publish_year").between(lo, hi)), "publish_year")
     return counts.orderBy("publish_year")
 
@@ -159,7 +160,7 @@ def rare_books(df: DataFrame, marker: str = "many") -> DataFrame:
 
 def books_by_decade(df: DataFrame, exact_reference: bool = False) -> DataFrame:
     """Q12. Records per decade. ``exact_reference`` keeps the known float division, one group per year."""
-    years = df.select(V.try_int(search("search_year")).alias("year")).filter(F.col("year").isNotNull())
+    years = compute_once(df, V.try_int(search("search_year")).alias("year")).filter(F.col("year").isNotNull())
     year = F.col("year")
     decade = (year / 10) * 10 if exact_reference else (F.floor(year / 10) * 10).cast("int")
     return count_by(years.select(decade.alias("decade")), "decade").orderBy("decade")
@@ -196,12 +197,15 @@ def edition_variations(
 
 
 def aacid_sources(df: DataFrame) -> DataFrame:
-    """Q14. Container ids per source with the earliest and latest timestamp text."""
+    """Q14. Container ids per source with the earliest and latest timestamp text.
+
+    An id without separators has the empty source and is kept.
+    """
     ids = df.select(F.explode(V.json_strings(unified("identifiers_unified_aacid"))).alias("aacid"))
-    parts = ids.select(
+    parts = ids.filter(F.col("aacid").isNotNull()).select(
         F.split_part("aacid", F.lit("__"), F.lit(2)).alias("source_type"),
         F.split_part("aacid", F.lit("__"), F.lit(3)).alias("stamp"),
-    ).filter(F.col("source_type").isNotNull())
+    )
     stats = parts.groupBy("source_type").agg(
         F.count(F.lit(1)).alias("count"),
         F.min("stamp").alias("earliest_record"),
