@@ -47,12 +47,12 @@ def select_fields(profile: DataFrame, threshold: float = PRESENCE_THRESHOLD,
                   aac_threshold: float = AAC_PRESENCE_THRESHOLD) -> DataFrame:
     """Paths held by at least the threshold share of a dataset's records, with their column names.
 
-    The comparison includes equality. When two pointers share one path text (a key holding a dot), the more
+    The comparison includes equality and uses the counts as sampled, free of scaling and rounding. When two pointers share one path text (a key holding a dot), the more
     deeply nested one stands for it.
     """
     common = profile.filter(
-        (F.col("total_records") > 0)
-        & (F.col("n_records") >= F.col("total_records") * threshold_for("dataset", threshold, aac_threshold))
+        (F.col("sampled_total") > 0)
+        & (F.col("sampled_n") >= F.col("sampled_total") * threshold_for("dataset", threshold, aac_threshold))
     )
     depth = F.length("pointer") - F.length(F.replace("pointer", F.lit("/"), F.lit("")))
     first = Window.partitionBy("dataset", "path").orderBy(depth.desc(), F.col("pointer"))
@@ -60,7 +60,7 @@ def select_fields(profile: DataFrame, threshold: float = PRESENCE_THRESHOLD,
     named = with_column_names(unique, within=("dataset",))
     return named.select(
         "dataset", "path", "column", "pointer", "n_records", "total_records",
-        (F.col("n_records") / F.col("total_records")).alias("presence"),
+        (F.col("sampled_n") / F.col("sampled_total")).alias("presence"),
     )
 
 
@@ -83,6 +83,22 @@ def combined_fields(selected: DataFrame, group: str) -> DataFrame:
     return with_column_names(union)
 
 
+def fields_per_dataset(selected: DataFrame, group: str) -> DataFrame:
+    """X03. The columns each dataset is shredded into: ``dataset, path, column, pointer``.
+
+    The auxiliary datasets all get the union of their fields, so that they share one schema (a path a dataset
+    lacks is NULL there); every other dataset gets its own.
+    """
+    own = selected.select("dataset", "path", "column", "pointer")
+    if group != "elasticsearchaux":
+        return own
+    members = F.array(*[F.lit(d) for d in AUXILIARY_DATASETS])
+    union = combined_fields(selected, group).select(
+        F.explode(members).alias("dataset"), "path", "column", "pointer"
+    )
+    return own.filter(~in_group(group)).unionByName(union)
+
+
 def shared_fields(selected: DataFrame, profile: DataFrame, group: str) -> DataFrame:
     """Paths selected in every dataset of a group that has records; none when fewer than two have."""
     active = profile.filter(in_group(group) & (F.col("total_records") > 0)).select("dataset").distinct()
@@ -94,7 +110,7 @@ def shared_fields(selected: DataFrame, profile: DataFrame, group: str) -> DataFr
 def selected_report(selected: DataFrame) -> DataFrame:
     """Selected fields with their presence in percent."""
     return selected.select(
-        "dataset", "path", "column", round2(F.col("n_records") / F.col("total_records") * 100).alias("presence_pct")
+        "dataset", "path", "column", round2(F.col("presence") * 100).alias("presence_pct")
     ).orderBy("dataset", "path")
 
 
@@ -103,7 +119,7 @@ def presence_report(profile: DataFrame) -> DataFrame:
     return profile.select(
         "dataset",
         "path",
-        round2(F.col("n_records") / F.col("total_records") * 100).alias("presence_pct"),
+        round2(F.col("sampled_n") / F.col("sampled_total") * 100).alias("presence_pct"),
         "n_records",
         "total_records",
     ).orderBy("dataset", F.col("n_records").desc(), "path")

@@ -32,13 +32,14 @@ def sample_rows(df: DataFrame, rate: float, seed: int = 0, on: Column | None = N
     return df.filter(F.pmod(on, F.lit(1_000_000)) < F.lit(round(rate * 1_000_000)))
 
 
-def sample_files(files: DataFrame, rate: float, seed: int = 0) -> DataFrame:
+def sample_files(files: DataFrame, rate: float, seed: int = 0, on: Column | None = None) -> DataFrame:
     """Keep ``floor(n * rate)`` files of each dataset, but at least one.
 
     ``files`` holds one row per file (``path``, ``dataset``), not the records. The order within a dataset is
-    a hash of the path, so a rerun picks the same files.
+    a hash of the path (or ``on``), so a rerun picks the same files.
     """
-    by_hash = Window.partitionBy("dataset").orderBy(F.xxhash64("path", F.lit(seed)), "path")
+    order = F.xxhash64("path", F.lit(seed)) if on is None else on
+    by_hash = Window.partitionBy("dataset").orderBy(order, "path")
     size = F.count(F.lit(1)).over(Window.partitionBy("dataset"))
     kept = files.withColumn("__n", F.row_number().over(by_hash)).withColumn("__size", size)
     return kept.filter(

@@ -169,17 +169,26 @@ def shred_aac(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] =
     return extract(rows, METADATA, _nested_under(fields, METADATA), [*keep, *AAC_KEYS])
 
 
+# One row per input file; a listing this long may be broadcast.
+BROADCAST_FILES = 100_000
+
+
+def _bad_files(records: DataFrame, file: str) -> DataFrame:
+    """Files holding a bad line. There are at most as many as input files, so a checked number of those bounds
+    the broadcast; beyond it the join shuffles."""
+    bad = records.filter(F.col(CORRUPT).isNotNull()).select(file).distinct()
+    return F.broadcast(bad) if 0 < len(records.inputFiles()) <= BROADCAST_FILES else bad
+
+
 def quarantined(records: DataFrame, mode: str = "row", file: str = "file_path") -> DataFrame:
     """S16. What to set aside: bad lines (``row``), or every row of a file that has one (``file``)."""
-    bad = records.filter(F.col(CORRUPT).isNotNull())
     if mode == "row":
-        return bad
-    return records.join(bad.select(file).distinct(), file, "left_semi")
+        return records.filter(F.col(CORRUPT).isNotNull())
+    return records.join(_bad_files(records, file), file, "left_semi")
 
 
 def accepted(records: DataFrame, mode: str = "row", file: str = "file_path") -> DataFrame:
     """The complement of :func:`quarantined`; in file mode a left anti join against the bad files."""
     if mode == "row":
         return records.filter(F.col(CORRUPT).isNull())
-    bad = records.filter(F.col(CORRUPT).isNotNull()).select(file).distinct()
-    return records.join(bad, file, "left_anti")
+    return records.join(_bad_files(records, file), file, "left_anti")
