@@ -49,12 +49,27 @@ def _selected(spark, sf_dir, **thresholds):
     return fl.select_fields(_profile(spark, sf_dir), **thresholds)
 
 
+def _stored(spark, sf_dir):
+    """The profile as a stored table, for reports that use it more than once."""
+    path = scratch_path(spark, "profile")
+    sinks.write_report(_profile(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def _shared(spark, sf_dir, group):
+    profile = _stored(spark, sf_dir)
+    return fl.shared_fields(fl.select_fields(profile), profile, group)
+
+
+def _report_text(spark, sf_dir):
+    profile = _stored(spark, sf_dir)
+    return fl.report_text(profile, fl.select_fields(profile))
+
+
 def _document_round_trip(spark, sf_dir):
     """Write the selection document, read both parts back."""
     base = scratch_path(spark, "selection")
-    stored = f"{base}/profile"
-    sinks.write_report(_profile(spark, sf_dir), stored)
-    profile = spark.read.parquet(stored)
+    profile = _stored(spark, sf_dir)
     document = fl.selection_document(profile, fl.select_fields(profile), "elasticsearchaux", "whole input")
     sinks.write_document(document, f"{base}/document")
     own = [
@@ -82,13 +97,13 @@ QUERIES = {
     ),
     "P07_combined_aux": lambda s, d: fl.combined_fields(_selected(s, d), "elasticsearchaux").drop("pointer"),
     "P07_combined_aac": lambda s, d: fl.combined_fields(_selected(s, d), "aac").drop("pointer"),
-    "P08_shared_aux": lambda s, d: fl.shared_fields(_selected(s, d), _profile(s, d), "elasticsearchaux"),
-    "P08_shared_aac": lambda s, d: fl.shared_fields(_selected(s, d), _profile(s, d), "aac"),
+    "P08_shared_aux": lambda s, d: _shared(s, d, "elasticsearchaux"),
+    "P08_shared_aac": lambda s, d: _shared(s, d, "aac"),
     "P09_selected_report": lambda s, d: fl.selected_report(_selected(s, d)),
     "P10_presence_report": lambda s, d: fl.presence_report(_profile(s, d)),
     "P11_combined_report": lambda s, d: fl.combined_report(fl.combined_fields(_selected(s, d), "elasticsearchaux")),
     "P12_thresholds_by_kind": lambda s, d: _selected(s, d, threshold=0.5, aac_threshold=0.05).select("dataset", "path"),
-    "S14_report_text": lambda s, d: fl.report_text(_profile(s, d), _selected(s, d)),
+    "S14_report_text": _report_text,
     "S15_selection_document": _document_round_trip,
     "X03_fields_per_dataset": lambda s, d: fl.fields_per_dataset(_selected(s, d), "elasticsearchaux").drop("pointer"),
     "K1_dropped_keys": lambda s, d: fl.dropped_keys(

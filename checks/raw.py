@@ -58,18 +58,19 @@ def _select(quoted: str) -> list[tuple[str, str]]:
     ]
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, record_key, dataset, file_name, file_path, value`` in Spark."""
+def raw_lines(spark: SparkSession, sf_dir: str, damage: bool = True) -> DataFrame:
+    """``doc_id, record_key, dataset, file_name, file_path, value`` in Spark; ``damage`` breaks some lines."""
     # to_json of a one-element array, without the brackets, is the quoted and escaped text
     quoted = "substr(to_json(array(text)), 2, length(to_json(array(text))) - 2)"
     rows = documents(spark, sf_dir).select(*[F.expr(e).alias(n) for n, e in _select(quoted)])
     damaged = F.expr("case when doc_id % 10 = 0 then substr(whole, 1, length(whole) - 1) else whole end")
     return rows.select("doc_id", "record_key", "dataset", "file_name", F.col("file_name").alias("file_path"),
-                       damaged.alias("value"))
+                       (damaged if damage else F.col("whole")).alias("value"))
 
 
 def raw_sql() -> str:
-    """The same rows as common table expressions ``raw`` (all lines) and ``valid`` (parsed, as ``j``)."""
+    """The same rows as common table expressions ``built`` (whole lines), ``raw`` (some
+    damaged) and ``valid`` (those that parse, as ``j``)."""
     columns = ",\n  ".join(f"{e} AS {n}" for n, e in _select("to_json(text)::VARCHAR"))
     return f"""WITH built AS (SELECT
   {columns}

@@ -8,8 +8,9 @@ collected, because it becomes the projection. Everything else is one plan from s
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import fields as fl
@@ -60,12 +61,21 @@ def fields_for(spark: SparkSession, selection_path: str, group: str, dataset: st
     return sh.collect_fields(read_document(spark, selection_path, dataset))
 
 
-def _sampled(spark: SparkSession, files: DataFrame, o: IngestOptions) -> DataFrame:
+def _sampled(spark: SparkSession, files: DataFrame, datasets: dict[str, list[str]], o: IngestOptions) -> DataFrame:
+    """Sampled lines of all datasets. Sampling comes before spreading, so only sampled lines move."""
     if o.sample_unit == "file":
-        chosen = [r["path"] for r in sample_files(files, o.sample_rate, o.seed).select("path").collect()]
-        return read_lines(spark, chosen)
-    lines = read_lines(spark, [r["path"] for r in files.select("path").collect()])
-    return sample_rows(lines, o.sample_rate, o.seed)
+        chosen: dict[str, list[str]] = {}
+        for r in sample_files(files, o.sample_rate, o.seed).select("dataset", "path").collect():
+            chosen.setdefault(r["dataset"], []).append(r["path"])
+        datasets = chosen
+    parts = []
+    for dataset, paths in sorted(datasets.items()):
+        lines = read_lines(spark, paths).withColumn("dataset", F.lit(dataset))
+        if o.sample_unit == "row":
+            lines = sample_rows(lines, o.sample_rate, o.seed)
+        n = spread_for(files.filter(F.col("dataset") == dataset), o.partition_target_bytes)
+        parts.append(lines if n is None else spread(lines, n))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
@@ -77,14 +87,13 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     """
     o = options or IngestOptions()
     result = IngestResult(profile_path=f"{target}/_reports/profile", selection_path=f"{target}/_reports/selection")
-    listed = files.select("path", "dataset").collect()
-    if not listed:
+    datasets: dict[str, list[str]] = {}
+    for r in files.select("path", "dataset").collect():  # one row per input file
+        datasets.setdefault(r["dataset"], []).append(r["path"])
+    if not datasets:
         return result
 
-    sampled = _sampled(spark, files, o)
-    n = spread_for(files, o.partition_target_bytes)
-    if n is not None:
-        sampled = spread(sampled, n)
+    sampled = _sampled(spark, files, datasets, o)
     # with whole files as the unit the share read differs from the rate when a dataset has few files
     rate = o.sample_rate if o.sample_unit == "row" else _file_rate(spark, files, o)
     write_report(profile(sampled, rate), result.profile_path)
@@ -97,8 +106,7 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     write_document(fl.selection_document(stored, selected, group, method, o.threshold, o.aac_threshold),
                    result.selection_path)
 
-    for dataset in sorted({r["dataset"] for r in listed}):
-        paths = [r["path"] for r in listed if r["dataset"] == dataset]
+    for dataset, paths in sorted(datasets.items()):
         own = files.filter(F.col("dataset") == dataset)
         lines = read_lines(spark, paths, spread_for(own, o.partition_target_bytes)).drop("dataset")
         chosen = fields_for(spark, result.selection_path, group, dataset)
@@ -126,8 +134,6 @@ def _file_rate(spark: SparkSession, files: DataFrame, o: IngestOptions) -> float
 
 
 def _write_split(parsed: DataFrame, shred, chosen, path: str, quarantine_path: str, bad, o: IngestOptions):
-    from pyspark.sql import Observation
-
     # Bad lines are counted while the good ones are written; the dump is read again only if there are any.
     seen = Observation()
     watched = parsed.observe(seen, bad.alias("bad"))
