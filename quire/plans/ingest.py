@@ -7,6 +7,7 @@ collected, because it becomes the projection. Everything else is one plan from s
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,7 +19,7 @@ from quire.operators import shred as sh
 from quire.operators.paths import count_paths, profile, record_totals, sample_files, sample_rows
 from quire.sources.landing import landing_files
 from quire.sources.readers import read_lines, spread, spread_for
-from quire.sources.sinks import read_combined, read_document, write_document, write_report, write_shredded
+from quire.sources.sinks import write_document, write_report, write_shredded
 
 # Fixed value: share of the input that is profiled.
 SAMPLE_RATE = 0.20
@@ -38,6 +39,7 @@ class IngestOptions:
     keep_corrupt: bool = False
     partition_target_bytes: int = 128 * 1024 * 1024
     max_records_per_file: int | None = None
+    concurrent_jobs: int = 4
 
 
 @dataclass
@@ -54,28 +56,41 @@ def is_aac(dataset: str) -> bool:
     return dataset.startswith(fl.AAC_PREFIX)
 
 
-def fields_for(spark: SparkSession, selection_path: str, group: str, dataset: str) -> list[sh.Field]:
-    """X03. The auxiliary datasets share the union of their fields; every other dataset uses its own."""
-    if group == "elasticsearchaux" and dataset in fl.AUXILIARY_DATASETS:
-        return sh.collect_fields(read_combined(spark, selection_path, group))
-    return sh.collect_fields(read_document(spark, selection_path, dataset))
+def fields_for(selected: DataFrame, group: str) -> dict[str, list[sh.Field]]:
+    """X03. Field list of every dataset. It has to reach the driver, since it becomes the projection; a path
+    is in it only if at least the threshold share of records holds it, so the list is as wide as the table."""
+    chosen: dict[str, list[sh.Field]] = {}
+    for r in fl.fields_per_dataset(selected, group).orderBy("dataset", "path").collect():
+        chosen.setdefault(r["dataset"], []).append(sh.Field(r["path"], r["column"], r["pointer"]))
+    return chosen
 
 
-def _sampled(spark: SparkSession, files: DataFrame, datasets: dict[str, list[str]], o: IngestOptions) -> DataFrame:
-    """Sampled lines of all datasets. Sampling comes before spreading, so only sampled lines move."""
+def _files_by_dataset(files: DataFrame) -> dict[str, dict[str, int]]:
+    """dataset -> path -> bytes; one entry per input file."""
+    found: dict[str, dict[str, int]] = {}
+    for r in files.select("path", "length", "dataset").collect():
+        found.setdefault(r["dataset"], {})[r["path"]] = r["length"]
+    return dict(sorted(found.items()))
+
+
+def _lines(spark: SparkSession, files: dict[str, int], o: IngestOptions, rate: float = 1.0) -> DataFrame:
+    """Lines of one dataset, sampled, then spread if a few large files hold most of it."""
+    lines = sample_rows(read_lines(spark, list(files)), rate, o.seed)
+    n = spread_for(list(files.values()), spark.sparkContext.defaultParallelism, o.partition_target_bytes)
+    return lines if n is None else spread(lines, n)
+
+
+def _sampled(spark: SparkSession, files: DataFrame, datasets: dict[str, dict[str, int]], o: IngestOptions):
+    """Sampled lines of all datasets, and the share of the input they stand for."""
+    rate = o.sample_rate
     if o.sample_unit == "file":
-        chosen: dict[str, list[str]] = {}
-        for r in sample_files(files, o.sample_rate, o.seed).select("dataset", "path").collect():
-            chosen.setdefault(r["dataset"], []).append(r["path"])
-        datasets = chosen
-    parts = []
-    for dataset, paths in sorted(datasets.items()):
-        lines = read_lines(spark, paths).withColumn("dataset", F.lit(dataset))
-        if o.sample_unit == "row":
-            lines = sample_rows(lines, o.sample_rate, o.seed)
-        n = spread_for(files.filter(F.col("dataset") == dataset), o.partition_target_bytes)
-        parts.append(lines if n is None else spread(lines, n))
-    return reduce(DataFrame.unionByName, parts)
+        chosen = _files_by_dataset(sample_files(files, o.sample_rate, o.seed))
+        rate = sum(sum(f.values()) for f in chosen.values()) / max(1, sum(sum(f.values()) for f in datasets.values()))
+        parts = {d: _lines(spark, f, o) for d, f in chosen.items()}
+    else:
+        parts = {d: _lines(spark, f, o, o.sample_rate) for d, f in datasets.items()}
+    named = [lines.withColumn("dataset", F.lit(d)) for d, lines in parts.items()]
+    return reduce(DataFrame.unionByName, named), rate
 
 
 def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
@@ -83,64 +98,64 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     """X04. Profile, select, report, shred and write every dataset of one directory group.
 
     ``files`` is a listing with ``path, length, dataset``. Output under ``target``: ``_reports/`` (profile,
-    selected and combined fields, the selection document), ``<dataset>/`` and ``_quarantine/<dataset>/``.
+    presence, selected and combined fields, the selection document), ``<dataset>/`` and
+    ``_quarantine/<dataset>/``.
     """
     o = options or IngestOptions()
-    result = IngestResult(profile_path=f"{target}/_reports/profile", selection_path=f"{target}/_reports/selection")
-    datasets: dict[str, list[str]] = {}
-    for r in files.select("path", "dataset").collect():  # one row per input file
-        datasets.setdefault(r["dataset"], []).append(r["path"])
+    reports = f"{target}/_reports"
+    result = IngestResult(profile_path=f"{reports}/profile", selection_path=f"{reports}/selection")
+    datasets = _files_by_dataset(files)
     if not datasets:
         return result
 
-    sampled = _sampled(spark, files, datasets, o)
-    # with whole files as the unit the share read differs from the rate when a dataset has few files
-    rate = o.sample_rate if o.sample_unit == "row" else _file_rate(spark, files, o)
+    sampled, rate = _sampled(spark, files, datasets, o)
     write_report(profile(sampled, rate), result.profile_path)
     stored = spark.read.parquet(result.profile_path)
     selected = fl.select_fields(stored, o.threshold, o.aac_threshold)
-    write_report(fl.presence_report(stored), f"{target}/_reports/presence")
-    write_report(fl.selected_report(selected), f"{target}/_reports/selected")
-    write_report(fl.combined_report(fl.combined_fields(selected, group)), f"{target}/_reports/combined")
+    chosen = fields_for(selected, group)
     method = f"{o.sample_unit} sample of {o.sample_rate:.0%} per dataset, counts scaled up"
-    write_document(fl.selection_document(stored, selected, group, method, o.threshold, o.aac_threshold),
-                   result.selection_path)
-
-    for dataset, paths in sorted(datasets.items()):
-        own = files.filter(F.col("dataset") == dataset)
-        lines = read_lines(spark, paths, spread_for(own, o.partition_target_bytes)).drop("dataset")
-        chosen = fields_for(spark, result.selection_path, group, dataset)
-        parse, shred = (
-            (sh.parse_aac_lines, sh.shred_aac) if is_aac(dataset) else (sh.parse_search_lines, sh.shred_search)
-        )
-        parsed = parse(lines)
+
+    def report() -> None:
+        write_report(fl.presence_report(stored), f"{reports}/presence")
+        write_report(fl.selected_report(selected), f"{reports}/selected")
+        write_report(fl.combined_report(fl.combined_fields(selected, group)), f"{reports}/combined")
+        document = fl.selection_document(stored, selected, group, method, o.threshold, o.aac_threshold)
+        write_document(document, result.selection_path)
+
+    def write(dataset: str) -> None:
+        lines = _lines(spark, datasets[dataset], o).drop("dataset")
         path = f"{target}/{dataset}"
-        bad = F.count_if(F.col(sh.CORRUPT).isNotNull())
-        if o.keep_corrupt:
-            counts = write_shredded(shred(parsed, chosen, keep_corrupt=True), path,
-                                    max_records_per_file=o.max_records_per_file)
-            counts["quarantined"] = 0
-        else:
-            counts = _write_split(parsed, shred, chosen, path, f"{target}/_quarantine/{dataset}", bad, o)
+        result.counts[dataset] = _write_dataset(
+            lines, is_aac(dataset), chosen.get(dataset, []), path, f"{target}/_quarantine/{dataset}", o
+        )
         result.tables[dataset] = path
-        result.counts[dataset] = counts
-    return result
 
-
-def _file_rate(spark: SparkSession, files: DataFrame, o: IngestOptions) -> float:
-    taken = sample_files(files, o.sample_rate, o.seed).agg(F.sum("length")).first()[0] or 0
-    total = files.agg(F.sum("length")).first()[0] or 0
-    return taken / total if total else 1.0
+    # Independent jobs, submitted side by side so that the tail of one does not leave the cluster idle.
+    with ThreadPoolExecutor(max_workers=o.concurrent_jobs) as pool:
+        for done in [pool.submit(report), *[pool.submit(write, d) for d in datasets]]:
+            done.result()
+    return result
 
 
-def _write_split(parsed: DataFrame, shred, chosen, path: str, quarantine_path: str, bad, o: IngestOptions):
-    # Bad lines are counted while the good ones are written; the dump is read again only if there are any.
+def _write_dataset(lines: DataFrame, aac: bool, chosen: list[sh.Field], path: str, quarantine_path: str,
+                   o: IngestOptions) -> dict[str, int]:
+    """Shred and write; bad lines are counted on the way, and the dump is read again only if there are any."""
+    parse, shred = (sh.parse_aac_lines, sh.shred_aac) if aac else (sh.parse_search_lines, sh.shred_search)
+    parsed = parse(lines)
+    lookup = ("aacid",) if aac else ("_id",)
+    if o.keep_corrupt:
+        table = shred(parsed, chosen, keep_corrupt=True)
+        counts = write_shredded(table, path, lookup, max_records_per_file=o.max_records_per_file)
+        return {**counts, "quarantined": 0}
     seen = Observation()
-    watched = parsed.observe(seen, bad.alias("bad"))
-    keep = sh.accepted(watched, o.quarantine) if o.quarantine == "row" else sh.accepted(parsed, o.quarantine)
-    counts = write_shredded(shred(keep, chosen), path, max_records_per_file=o.max_records_per_file)
+    if o.quarantine == "row":
+        bad = F.count_if(F.col(sh.CORRUPT).isNotNull())
+        good = sh.accepted(parsed.observe(seen, bad.alias("bad")), "row")
+    else:
+        good = sh.accepted(parsed, o.quarantine)
+    counts = write_shredded(shred(good, chosen), path, lookup, max_records_per_file=o.max_records_per_file)
     counts["quarantined"] = 0
-    if o.quarantine == "file" or seen.get["bad"]:
+    if o.quarantine != "row" or seen.get["bad"]:
         set_aside = write_shredded(sh.quarantined(parsed, o.quarantine), quarantine_path, lookup=())
         counts["quarantined"] = set_aside["rows"]
     return counts

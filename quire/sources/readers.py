@@ -22,7 +22,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], partitions: int
 
     Compressed files cannot be split, so each is one task. ``partitions`` spreads the lines over that many
     tasks right after the scan; ask for it when a few large files would otherwise hold up everything after
-    them (:func:`spread_for` decides from the file sizes).
+    them; :func:`spread_for` decides that from the file sizes.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = spark.read.option("lineSep", "\n").text(paths).select(
@@ -38,16 +38,15 @@ def spread(df: DataFrame, partitions: int) -> DataFrame:
     return df.withColumn("__row", row).repartition(partitions, "__row").drop("__row")
 
 
-def spread_for(files: DataFrame, target_bytes: int = 128 * 1024 * 1024, expansion: float = 6.0,
-               parallelism: int | None = None) -> int | None:
-    """Partitions to spread a set of compressed files over, or None when one task per file is balanced.
+def spread_for(sizes: Sequence[int], slots: int, target_bytes: int = 128 * 1024 * 1024,
+               expansion: float = 6.0) -> int | None:
+    """Partitions to spread compressed files of these sizes over, or None when one task per file is balanced.
 
-    ``files`` is a listing with ``length``. Balanced means the largest file holds no more than twice its fair
-    share of the bytes for the tasks the cluster runs at a time.
+    Balanced means that the largest file holds at most twice its fair share of the bytes for ``slots`` tasks at
+    a time. ``expansion`` is the usual ratio of plain to compressed size.
     """
-    slots = parallelism or files.sparkSession.sparkContext.defaultParallelism
-    total, largest = files.agg(F.sum("length"), F.max("length")).first()
-    if not total or largest <= 2 * total / slots:
+    total = sum(sizes)
+    if total < target_bytes or max(sizes) <= 2 * total / slots:
         return None
     return max(slots, int(total * expansion // target_bytes))
 
