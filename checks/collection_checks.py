@@ -30,7 +30,7 @@ QUERIES = {
     "A09_top_authors": _over_records(c.top_authors, limit=10),
     "A10_languages_by_year": _over_records(c.languages_by_year),
     "A11_torrent_availability": _over_records(c.torrent_availability),
-    "A12_title_words": _over_records(c.title_words),
+    "A12_title_words": lambda spark, sf_dir: c.title_words(records(spark, sf_dir, heavy=True)),
     "A13_year_size_correlation": lambda spark, sf_dir: c.year_size_correlation(records(spark, sf_dir)).withColumn(
         "correlation", F.round("correlation", 6)
     ),

@@ -7,9 +7,9 @@ whole texts are used; the moduli only decide which variant of a field a record c
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quire.functions.columns import SEARCH, UNIFIED
+from quire.sources.readers import spread
 
 U, S = UNIFIED, SEARCH
 
@@ -93,18 +93,25 @@ _SHARED = {
 _OBJECT = f"concat('{{\"classifications_unified\":', coalesce({_SHARED[U + '_classifications_unified']}, 'null'), '}}')"
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """The documents table. ``heavy`` is for work that parses every text: when the table has fewer files than
+    the cluster has slots, its rows are spread over all of them first."""
+    df = spark.read.schema(_SCHEMA).parquet(f"{sf_dir}/documents.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    return spread(df, slots) if heavy and len(df.inputFiles()) < slots else df
+
+
+def records(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Shredded table in Spark."""
-    columns = [F.expr(e).alias(c) for c, e in _SHARED.items()]
-    return documents(spark, sf_dir).select(
+    columns = [f"{e} AS `{c}`" for c, e in _SHARED.items()]
+    return documents(spark, sf_dir, heavy).selectExpr(
         *columns,
-        F.expr("cast(doc_id % 100 as double) / 8").alias("_score"),
-        F.expr(_OBJECT).alias(U),
-        F.expr("concat('set', cast(doc_id % 3 as string))").alias("dataset"),
+        "cast(doc_id % 100 as double) / 8 AS `_score`",
+        f"{_OBJECT} AS `{U}`",
+        "concat('set', cast(doc_id % 3 as string)) AS dataset",
     )
 
 
