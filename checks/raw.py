@@ -61,8 +61,9 @@ def _select(quoted: str) -> list[tuple[str, str]]:
 def raw_lines(spark: SparkSession, sf_dir: str, damage: bool = True) -> DataFrame:
     """``doc_id, record_key, dataset, file_name, file_path, value`` in Spark; ``damage`` breaks some lines."""
     # to_json of a one-element array, without the brackets, is the quoted and escaped text
-    quoted = "substr(to_json(array(text)), 2, length(to_json(array(text))) - 2)"
-    rows = documents(spark, sf_dir, heavy=True).selectExpr(*[f"{e} AS {n}" for n, e in _select(quoted)])
+    boxed = documents(spark, sf_dir, heavy=True).withColumn("quoted", F.expr("to_json(array(text))"))
+    texts = boxed.withColumn("quoted", F.expr("substr(quoted, 2, length(quoted) - 2)"))
+    rows = texts.selectExpr(*[f"{e} AS {n}" for n, e in _select("quoted")])
     damaged = F.expr("case when doc_id % 10 = 0 then substr(whole, 1, length(whole) - 1) else whole end")
     return rows.select("doc_id", "record_key", "dataset", "file_name", F.col("file_name").alias("file_path"),
                        (damaged if damage else F.col("whole")).alias("value"))
