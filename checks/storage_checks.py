@@ -292,6 +292,9 @@ QUERIES = {
     "S18_compaction_no_shuffle": _compacted(False),
     "S19_merge_candidates": _merge_candidates,
     "X01_shred_search": lambda s, d: sh.shred_search(_search_records(s, d), SEARCH_FIELDS),
+    "X01_shred_search_one_pass": lambda s, d: sh.shred_search(
+        sh.parse_search_lines(_lines(s, d, aac=False), fields=SEARCH_FIELDS), SEARCH_FIELDS
+    ),
     "X01_shred_search_keep_corrupt": lambda s, d: sh.shred_search(
         _search_records(s, d), SEARCH_FIELDS[:5], keep=["doc_id"], keep_corrupt=True
     ),
@@ -358,6 +361,7 @@ FROM raw r LEFT JOIN valid v ON r.doc_id = v.doc_id WHERE NOT (r.{_IS_AAC})""",
 SELECT j ->> '$.aacid' AS aacid, j ->> '$.metadata' AS metadata,
   {_json_columns(AAC_FIELDS, 'metadata')} FROM valid WHERE {_IS_AAC}""",
 }
+SQL["X01_shred_search_one_pass"] = SQL["X01_shred_search"]
 SQL["X04_ingest"] = f"""{raw_sql()},
 fields AS (SELECT dataset, replace(regexp_replace(t.fullkey, '^\\$\\.', ''), '"', '') AS path, count(*) AS n
   FROM valid, json_tree(valid.j) t WHERE t.key IS NOT NULL AND NOT regexp_matches(t.fullkey, '\\[[1-9][0-9]*\\]')

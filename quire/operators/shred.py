@@ -63,21 +63,30 @@ def _tree(fields: Iterable[Field]) -> _Node:
     return root
 
 
+def _by_position(keys: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(keys))])
+
+
 def _parse(text: Column, keys: Sequence[str]) -> Column:
     """JSON object text to a struct of strings named by position (keys may differ in case only)."""
     wanted = T.StructType([T.StructField(k, T.StringType()) for k in keys])
-    placed = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(keys))])
-    return F.from_json(text, wanted, _STRICT).cast(placed)
+    return F.from_json(text, wanted, _STRICT).cast(_by_position(keys))
+
+
+def _keys(node: _Node) -> list[str]:
+    return [k for k in node.children if k != INDEX_STEP]
 
 
 def extract(df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns plus one string column per field, read from the JSON object in column ``text``.
 
     Absent paths, JSON null and paths through a value of another kind give NULL; objects and arrays give
-    their JSON text.
+    their JSON text. ``text`` may also be the struct that :func:`_parse` would give for the top of the tree.
     """
     out: dict[str, str] = {}
-    level = [(_tree(fields), text)]
+    root = _tree(fields)
+    opened = isinstance(df.schema[text].dataType, T.StructType)
+    level = [(root, text)]
     df = df.select(*keep, *([] if text in keep else [text]))
     serial = 0
     while level:
@@ -85,22 +94,22 @@ def extract(df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[st
         pulled: list[Column] = []
         below: list[tuple[_Node, str]] = []
         for node, name in level:
-            keys = [k for k in node.children if k != INDEX_STEP]
-            struct = f"__p{serial}"
-            if keys:
+            keys = _keys(node)
+            struct = text if opened and node is root else f"__p{serial}"
+            if keys and struct != text:
                 parsed.append(_parse(F.col(name), keys).alias(struct))
             if INDEX_STEP in node.children:
                 array = F.from_json(F.col(name), "array<string>", _STRICT)
-                parsed.append(F.get(array, F.lit(0)).alias(f"{struct}_0"))
+                parsed.append(F.get(array, F.lit(0)).alias(f"__p{serial}_0"))
             for i, (step, child) in enumerate(node.children.items()):
-                source = F.col(f"{struct}_0") if step == INDEX_STEP else F.col(struct)[f"f{keys.index(step)}"]
+                source = F.col(f"__p{serial}_0") if step == INDEX_STEP else F.col(struct)[f"f{keys.index(step)}"]
                 child_name = f"__v{serial}_{i}"
                 pulled.append(source.alias(child_name))
                 out.update((c, child_name) for c in child.columns)
                 if child.children:
                     below.append((child, child_name))
             serial += 1
-        if parsed:
+        if pulled:
             # Two projections on purpose: the second reads fields of structs that the first has parsed.
             df = df.select("*", *parsed).select("*", *pulled).drop(*[f"__p{i}" for i in range(serial)],
                                                                    *[f"__p{i}_0" for i in range(serial)])
@@ -108,39 +117,49 @@ def extract(df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[st
     return df.select(*keep, *[F.col(out[f.column]).alias(f.column) for f in fields])
 
 
-def parse_search_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_search_lines(lines: DataFrame, value: str = "value", fields: Sequence[Field] | None = None) -> DataFrame:
     """Raw search-index lines to ``_index, _id, _score, _source`` plus the bad lines in ``_corrupt_record``.
 
-    ``_source`` stays JSON text; of a repeated key the last value counts. Blank lines vanish.
+    ``_source`` stays JSON text; of a repeated key the last value counts. Blank lines vanish. With ``fields``,
+    which must then be the ones handed to :func:`shred_search`, the same parse also opens ``_source``, and its
+    text is never built.
     """
-    return _parse_envelope(lines, value, "_index string, _id string, _score double, _source string")
+    types = {"_index": "string", "_id": "string", "_score": "double"}
+    return _parse_envelope(lines, value, types, SOURCE, fields)
 
 
 def parse_aac_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Raw container lines to ``aacid, metadata`` (JSON text) plus ``_corrupt_record``."""
-    return _parse_envelope(lines, value, "aacid string, metadata string")
+    return _parse_envelope(lines, value, {"aacid": "string"}, METADATA, None)
 
 
-def _parse_envelope(lines: DataFrame, value: str, schema: str) -> DataFrame:
+def _parse_envelope(lines: DataFrame, value: str, types: dict[str, str], root: str,
+                    fields: Sequence[Field] | None) -> DataFrame:
+    tree = _tree(_nested_under(fields or [], root))
+    keys = [] if INDEX_STEP in tree.children else _keys(tree)
+    kind = T.StructType([T.StructField(k, T.StringType()) for k in keys]) if keys else T.StringType()
+    record_type = T.StructType(
+        [T.StructField(n, T._parse_datatype_string(t)) for n, t in types.items()] + [T.StructField(root, kind)]
+    )
     # Inside brackets, text after the object or a second object is an error instead of being ignored.
     wrapped = F.concat(F.lit("["), F.col(value), F.lit("]"))
     rest = [c for c in lines.columns if c != value]
     parsed = lines.filter(F.trim(value) != "").select(
-        *rest, value, F.from_json(wrapped, f"array<struct<{_ddl(schema)}>>", _STRICT).alias("__r")
+        *rest, value, F.from_json(wrapped, T.ArrayType(record_type), _STRICT).alias("__r")
     )
-    names = [part.strip().split(" ")[0] for part in schema.split(",")]
     record = F.get("__r", F.lit(0))
     good = F.coalesce((F.size("__r") == 1) & record.isNotNull(), F.lit(False))
-    row = F.struct(*[F.when(good, record[n]).alias(n) for n in names], F.when(~good, F.col(value)).alias(CORRUPT))
+    body = record[root].cast(_by_position(keys)) if keys else record[root]
+    row = F.struct(
+        *[F.when(good, record[n]).alias(n) for n in types],
+        F.when(good, body).alias(root),
+        F.when(~good, F.col(value)).alias(CORRUPT),
+    )
     # A generator instead of plain columns: filters on its output cannot slide below it, where Spark would
     # have to parse every line once more to evaluate them.
     return parsed.select(*rest, F.inline(F.array(row)))
 
 
-def _ddl(schema: str) -> str:
-    return ", ".join(": ".join(part.strip().split(" ")) for part in schema.split(","))
-
-
 def _nested_under(fields: Iterable[Field], root: str) -> list[Field]:
     """Fields strictly below ``root``; other top-level keys and other roots are not shredded."""
     return [f for f in fields if len(f.steps) > 1 and f.steps[0] == root]
@@ -167,7 +186,7 @@ def shred_aac(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] =
 BROADCAST_FILES = 100_000
 
 
-def _bad_files(records: DataFrame, file: str) -> DataFrame:
+def bad_files(records: DataFrame, file: str = "file_path") -> DataFrame:
     """Files holding a bad line. There are at most as many as input files, so a checked number of those bounds
     the broadcast; beyond it the join shuffles."""
     bad = records.filter(F.col(CORRUPT).isNotNull()).select(file).distinct()
@@ -178,11 +197,11 @@ def quarantined(records: DataFrame, mode: str = "row", file: str = "file_path")
     """S16. What to set aside: bad lines (``row``), or every row of a file that has one (``file``)."""
     if mode == "row":
         return records.filter(F.col(CORRUPT).isNotNull())
-    return records.join(_bad_files(records, file), file, "left_semi")
+    return records.join(bad_files(records, file), file, "left_semi")
 
 
 def accepted(records: DataFrame, mode: str = "row", file: str = "file_path") -> DataFrame:
     """The complement of :func:`quarantined`; in file mode a left anti join against the bad files."""
     if mode == "row":
         return records.filter(F.col(CORRUPT).isNull())
-    return records.join(_bad_files(records, file), file, "left_anti")
+    return records.join(bad_files(records, file), file, "left_anti")

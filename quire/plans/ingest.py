@@ -99,7 +99,7 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
 
     ``files`` is a listing with ``path, length, dataset``. Output under ``target``: ``_reports/`` (profile,
     presence, selected and combined fields, the selection document), ``<dataset>/`` and
-    ``_quarantine/<dataset>/``.
+    ``_quarantine/<dataset>/`` (``file_path, line``: the text as it was read).
     """
     o = options or IngestOptions()
     reports = f"{target}/_reports"
@@ -140,8 +140,8 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
 def _write_dataset(lines: DataFrame, aac: bool, chosen: list[sh.Field], path: str, quarantine_path: str,
                    o: IngestOptions) -> dict[str, int]:
     """Shred and write; bad lines are counted on the way, and the dump is read again only if there are any."""
-    parse, shred = (sh.parse_aac_lines, sh.shred_aac) if aac else (sh.parse_search_lines, sh.shred_search)
-    parsed = parse(lines)
+    shred = sh.shred_aac if aac else sh.shred_search
+    parsed = sh.parse_aac_lines(lines) if aac else sh.parse_search_lines(lines, fields=chosen)
     lookup = ("aacid",) if aac else ("_id",)
     if o.keep_corrupt:
         table = shred(parsed, chosen, keep_corrupt=True)
@@ -156,7 +156,12 @@ def _write_dataset(lines: DataFrame, aac: bool, chosen: list[sh.Field], path: st
     counts = write_shredded(shred(good, chosen), path, lookup, max_records_per_file=o.max_records_per_file)
     counts["quarantined"] = 0
     if o.quarantine != "row" or seen.get["bad"]:
-        set_aside = write_shredded(sh.quarantined(parsed, o.quarantine), quarantine_path, lookup=())
+        if o.quarantine == "row":
+            bad_lines = sh.quarantined(parsed).select("file_path", F.col(sh.CORRUPT).alias("line"))
+        else:
+            texts = lines.filter(F.trim("value") != "").select("file_path", F.col("value").alias("line"))
+            bad_lines = texts.join(sh.bad_files(parsed), "file_path", "left_semi")
+        set_aside = write_shredded(bad_lines, quarantine_path, lookup=())
         counts["quarantined"] = set_aside["rows"]
     return counts
 

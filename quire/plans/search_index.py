@@ -258,9 +258,15 @@ def download_availability(df: DataFrame, min_count: int = 100) -> DataFrame:
     return ranked(stats.filter(F.col("total_records") > min_count), "total_records", ["content_type"])
 
 
-def one_record(df: DataFrame) -> DataFrame:
-    """Q18. One complete record: the one with the smallest id, so that reruns agree."""
-    return df.orderBy(F.col("_id").asc_nulls_last()).limit(1) if "_id" in df.columns else df.limit(1)
+def one_record(df: DataFrame, stable: bool = True) -> DataFrame:
+    """Q18. One complete record.
+
+    Stable means the one with the smallest id, so that reruns agree: the id column alone is read to find it,
+    and the equality then lets Parquet skip all other row groups. Otherwise the first row found will do.
+    """
+    if not stable or "_id" not in df.columns:
+        return df.limit(1)
+    return df.filter(F.col("_id") == df.agg(F.min("_id")).scalar()).limit(1)
 
 
 def column_listing(df: DataFrame) -> DataFrame:

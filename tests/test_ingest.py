@@ -6,7 +6,6 @@ import json
 import pytest
 import zstandard
 
-from quire.operators.shred import CORRUPT
 from quire.plans.ingest import IngestOptions, ingest
 from quire.plans.search_index import column_listing, file_sizes, rare_books
 from quire.sources.readers import read_shredded
@@ -48,7 +47,7 @@ def test_rows_columns_and_reports(spark, area):
     assert {r["rarity"]: r["count"] for r in rare_books(table).collect()} == {"Not Rare": 15, "Rare": 15}
     assert file_sizes(table, min_count=0).first()["max_size_mb"] == 29.0
     bad = spark.read.parquet(str(area / "out/elasticsearch/_quarantine/records"))
-    assert [r[CORRUPT] for r in bad.collect()] == ["broken"]
+    assert [r["line"] for r in bad.collect()] == ["broken"] and bad.columns == ["file_path", "line"]
     # auxiliary datasets share one schema, also for a field only one of them has
     aux = {d: read_shredded(spark, p) for d, p in got["elasticsearchaux"].tables.items()}
     assert aux["metadata"].columns == aux["journals"].columns
@@ -65,6 +64,8 @@ def test_file_quarantine_and_file_sample(spark, area):
     o = IngestOptions(min_file_bytes=1, sample_unit="file", quarantine="file")
     got = ingest(spark, str(area / "torrent"), str(area / "out"), o)
     assert got["elasticsearch"].counts == {"records": {"rows": 10, "quarantined": 21}}
+    bad = spark.read.parquet(str(area / "out/elasticsearch/_quarantine/records"))
+    assert sorted(r["line"] for r in bad.collect()) == sorted([*[_record(i, "records") for i in range(20)], "broken"])
 
 
 def test_bad_lines_as_null_rows(spark, area):

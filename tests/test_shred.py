@@ -57,6 +57,24 @@ def test_wrong_kinds_on_the_way_are_null(spark):
     assert [r["_source_a"] for r in got.collect()] == ['{"b":1}', '[{"b":1}]', "5", None]
 
 
+def test_one_pass_gives_the_same(spark):
+    lines = ['{"_id":"1","_score":2,"_source":{"a":{"b":[1]},"A":"x","q\'s":{"y":null}}}', '{"_id":"2","_source":"s"}',
+             '{"_id":"3","_source":[{"a":1}]}', '{"_id":"4","_source":null}', '{"_id":"5"}', "bad", "", "[{}]",
+             '{"_id":"6","_source":{"a":"{}"}} x', '{"_id":"7","_source":{"a":1},"_source":{"A":2}}']
+    df = spark.createDataFrame([(s,) for s in lines], "value string")
+    for paths in (["a", "a.b", "a.b[0]", "q's.y"], ["a.b"], []):
+        fields = [Field.of(f"_source.{p}") for p in paths]
+        if paths:
+            fields.append(Field("_source.A", "upper", "/_source/A"))
+        for keep in (False, True):
+            two = sh.shred_search(sh.parse_search_lines(df), fields, keep_corrupt=keep)
+            one = sh.shred_search(sh.parse_search_lines(df, fields=fields), fields, keep_corrupt=keep)
+            assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    root_array = [Field.of("_source[0].a")]
+    got = sh.shred_search(sh.parse_search_lines(df, fields=root_array), root_array)
+    assert [r[3] for r in got.collect() if r["_id"] == "3"] == ["1"]
+
+
 def test_only_paths_below_the_root_are_shredded(spark):
     fields = [Field.of("_source"), Field.of("_id"), Field.of("extra"), Field.of("other.a"), Field.of("_source.a")]
     assert sh.shred_search(_parsed(spark, ['{"_id":"1"}']), fields).columns == ["_index", "_id", "_score", "_source_a"]
