@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quire.operators.summaries import block_bounds, block_of
 from quire.sources.landing import base_name
 
 TARGET_PART_BYTES = 10 * 1024 * 1024
@@ -34,16 +35,6 @@ def resize(df: DataFrame, target_bytes: int = TARGET_PART_BYTES, value: str = "v
     return spread(df, max(1, math.ceil(total / target_bytes)))
 
 
-def _search(value: Column, bounds: list, lo: int = 0) -> Column:
-    """How many of the sorted bounds are <= value, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    return F.when(value < F.lit(bounds[mid]), _search(value, bounds[:mid], lo)).otherwise(
-        _search(value, bounds[mid + 1 :], lo + mid + 1)
-    )
-
-
 def assign_parts(df: DataFrame, group: str, order: str, size: Column, target_bytes: int = TARGET_PART_BYTES,
                  blocks: int = 64) -> DataFrame:
     """S06. Number the parts a group would be split into when cut in order at every ``target_bytes``.
@@ -53,9 +44,8 @@ def assign_parts(df: DataFrame, group: str, order: str, size: Column, target_byt
     (numeric, unique) order column, each block runs its own total, and the totals of earlier blocks are added.
     Block bounds are literals found once, so a retried task makes the same blocks.
     """
-    shares = [i / blocks for i in range(1, blocks)]
-    found = df.agg(F.percentile_approx(order, shares, 10 * blocks).alias("b")).first()["b"] or []
-    sized = df.withColumn("__block", _search(F.col(order), sorted(set(found)))).withColumn("__size", size)
+    bounds = block_bounds(df, order, blocks)
+    sized = df.withColumn("__block", block_of(F.col(order), bounds)).withColumn("__size", size)
     sums = sized.groupBy(group, "__block").agg(F.sum("__size").alias("__sum"))
     earlier = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     # at most (groups x blocks) rows: the shuffle side of this join is small, and AQE broadcasts it when it is

@@ -6,9 +6,10 @@ network, not its records.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.values import round2
@@ -53,3 +54,51 @@ def number_summary(value: Column | str, mean: str, low: str, high: str, rounded:
     if rounded:
         lo, hi = round2(lo), round2(hi)
     return [round2(F.avg(value)).alias(mean), lo.alias(low), hi.alias(high)]
+
+
+def block_bounds(df: DataFrame, value: str, blocks: int) -> list:
+    """Sorted literals that cut a numeric column into about ``blocks`` parts of similar row count."""
+    shares = [i / blocks for i in range(1, blocks)]
+    if not shares:
+        return []
+    found = df.agg(F.percentile_approx(value, shares, 10 * blocks).alias("b")).first()["b"]
+    return sorted(set(found or []))
+
+
+def block_of(value: Column, bounds: Sequence, first: int = 0) -> Column:
+    """How many of the sorted bounds are <= value, as a balanced tree of comparisons."""
+    if not bounds:
+        return F.lit(first)
+    mid = len(bounds) // 2
+    return F.when(value < F.lit(bounds[mid]), block_of(value, bounds[:mid], first)).otherwise(
+        block_of(value, bounds[mid + 1 :], first + mid + 1)
+    )
+
+
+def quantiles(df: DataFrame, value: str, shares: Sequence[float], blocks: int = 64) -> DataFrame:
+    """Exact quantiles (``share``, ``value``): the smallest value that at least that share of rows does not exceed.
+
+    Rows are first counted per distinct value, so a value that fills the column is one row. Only the blocks that
+    hold a wanted rank are then ordered, each on its own; the other blocks contribute their row count.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    blocked = counts.withColumn("__block", block_of(F.col(value), block_bounds(df, value, blocks)))
+    sizes = sorted(tuple(r) for r in blocked.groupBy("__block").agg(F.sum("__n")).collect())  # <= blocks rows
+    total = sum(n for _, n in sizes)
+    wanted, before = [], 0
+    for block, n in sizes:
+        for share in shares:
+            rank = max(1, math.ceil(share * total))
+            if before < rank <= before + n:
+                wanted.append((float(share), block, rank - before))
+        before += n
+    if not wanted:
+        return counts.select(F.lit(0.0).alias("share"), value).limit(0)
+    inside = Window.partitionBy("__block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    run = blocked.filter(F.col("__block").isin([b for _, b, _ in wanted])).withColumn("__run", F.sum("__n").over(inside))
+    hits = [
+        F.struct(F.lit(s).alias("share"), F.min(F.when((F.col("__block") == b) & (F.col("__run") >= r), F.col(value)))
+                 .alias(value))
+        for s, b, r in wanted
+    ]
+    return run.agg(F.array(*hits).alias("q")).select(F.inline("q"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import values as V
 from quire.functions.columns import search, unified
-from quire.operators.summaries import compute_once, count_by, ranked, with_share
+from quire.operators.summaries import compute_once, count_by, quantiles, ranked, with_share
 from quire.plans.search_index import access_types, language_counts
 
 SIZE_EDGES_MB = (1, 5, 10, 50, 100, 500)
@@ -59,11 +59,13 @@ def size_distribution(df: DataFrame, edges_mb: Sequence[float] = SIZE_EDGES_MB)
     ).orderBy("size_class")
 
 
-def size_quantiles(df: DataFrame, shares: Sequence[float] = (0.25, 0.5, 0.75, 0.95, 0.99),
+def size_quantiles(df: DataFrame, shares: Sequence[float] = (0.25, 0.5, 0.75, 0.95, 0.99), exact: bool = True,
                    accuracy: int = 10_000) -> DataFrame:
-    """A04. Approximate file-size quantiles in MiB, one row each."""
-    sizes = compute_once(df, V.size_mb(unified("filesize_best")).alias("mb")).filter(F.col("mb").isNotNull())
-    found = sizes.agg(F.percentile_approx("mb", list(shares), accuracy).alias("q"))
+    """A04. File-size quantiles in MiB, one row each; ``exact=False`` takes one pass with a bounded error."""
+    sizes = compute_once(df, V.size_mb(unified("filesize_best")).alias("size_mb")).filter(F.col("size_mb").isNotNull())
+    if exact:
+        return quantiles(sizes, "size_mb", shares)
+    found = sizes.agg(F.percentile_approx("size_mb", list(shares), accuracy).alias("q"))
     named = F.arrays_zip(F.array(*[F.lit(float(s)) for s in shares]).alias("share"), F.col("q").alias("size_mb"))
     return found.select(F.inline(named)).toDF("share", "size_mb")
 
