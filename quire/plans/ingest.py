@@ -19,7 +19,7 @@ from quire.operators import shred as sh
 from quire.operators.paths import count_paths, profile, record_totals, sample_files, sample_rows
 from quire.sources.landing import landing_files
 from quire.sources.readers import read_lines, spread, spread_for
-from quire.sources.sinks import write_document, write_report, write_shredded
+from quire.sources.sinks import write_document, write_report, write_shredded, write_text_report
 
 # Fixed value: share of the input that is profiled.
 SAMPLE_RATE = 0.20
@@ -98,7 +98,7 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     """X04. Profile, select, report, shred and write every dataset of one directory group.
 
     ``files`` is a listing with ``path, length, dataset``. Output under ``target``: ``_reports/`` (profile,
-    presence, selected and combined fields, the selection document), ``<dataset>/`` and
+    selected and combined fields, the text report, the selection document), ``<dataset>/`` and
     ``_quarantine/<dataset>/`` (``file_path, line``: the text as it was read).
     """
     o = options or IngestOptions()
@@ -111,13 +111,13 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     sampled, rate = _sampled(spark, files, datasets, o)
     write_report(profile(sampled, rate), result.profile_path)
     stored = spark.read.parquet(result.profile_path)
-    selected = fl.select_fields(stored, o.threshold, o.aac_threshold)
+    write_report(fl.select_fields(stored, o.threshold, o.aac_threshold), f"{reports}/selected")
+    selected = spark.read.parquet(f"{reports}/selected")
     chosen = fields_for(selected, group)
     method = f"{o.sample_unit} sample of {o.sample_rate:.0%} per dataset, counts scaled up"
 
     def report() -> None:
-        write_report(fl.presence_report(stored), f"{reports}/presence")
-        write_report(fl.selected_report(selected), f"{reports}/selected")
+        write_text_report(fl.report_text(stored, selected), f"{reports}/text")
         write_report(fl.combined_report(fl.combined_fields(selected, group)), f"{reports}/combined")
         document = fl.selection_document(stored, selected, group, method, o.threshold, o.aac_threshold)
         write_document(document, result.selection_path)

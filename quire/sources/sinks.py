@@ -35,6 +35,15 @@ def write_report(report: DataFrame, path: str, mode: str = "errorifexists") -> N
     report.write.mode(mode).parquet(path)
 
 
+def write_text_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """S14. Report lines (``dataset, section, position, line``) as one text file per dataset.
+
+    A report has a line or two per path, so a dataset's report is small whatever the size of its data.
+    """
+    ordered = report.repartition("dataset").sortWithinPartitions("dataset", "section", "position")
+    ordered.select("dataset", "line").write.mode(mode).partitionBy("dataset").text(path)
+
+
 def write_document(document: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """S15. A one-row DataFrame with the text column ``value``."""
     document.write.mode(mode).text(path)
