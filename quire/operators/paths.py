@@ -12,6 +12,8 @@ Paths travel as pointers: ``/`` before each step, ``~1`` and ``~0`` for ``/`` an
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,12 +129,21 @@ def count_paths(lines: DataFrame, value: str = "value", levels: int = UNROLLED_L
     )
 
 
-def scale_up(counts: DataFrame, rate: float) -> DataFrame:
-    """Sample counts to estimates for the whole population: divide by the sampling rate."""
-    return counts.withColumn("estimated_n", F.round(F.col("n") / F.lit(float(rate)), 0).cast("bigint"))
+def _rate(rate: float | Mapping[str, float]) -> Column:
+    """Sampling rate as a column; a mapping gives one rate per dataset."""
+    if not isinstance(rate, Mapping):
+        return F.lit(float(rate))
+    return F.create_map(*[F.lit(x) for d, r in rate.items() for x in (d, float(r))])[F.col("dataset")]
+
+
+def scale_up(count: Column | str, rate: float | Mapping[str, float]) -> Column:
+    """Sample count to an estimate for the whole population: divide by the sampling rate."""
+    count = F.col(count) if isinstance(count, str) else count
+    return F.round(count / _rate(rate), 0).cast("bigint")
 
 
-def profile(lines: DataFrame, rate: float = 1.0, value: str = "value", levels: int = UNROLLED_LEVELS) -> DataFrame:
+def profile(lines: DataFrame, rate: float | Mapping[str, float] = 1.0, value: str = "value",
+            levels: int = UNROLLED_LEVELS) -> DataFrame:
     """Field profile of (already sampled) lines.
 
     ``dataset, path, pointer, n_records, total_records`` as estimates for the whole, ``sampled_n`` and
@@ -146,13 +157,12 @@ def profile(lines: DataFrame, rate: float = 1.0, value: str = "value", levels: i
         F.coalesce(F.max(F.when(F.col("pointer") == "", F.col("n"))).over(whole), F.lit(0)).alias("sampled_total"),
         F.coalesce(F.max(F.when(F.col("pointer").isNull(), F.col("n"))).over(whole), F.lit(0)).alias("n_unparsed"),
     )
-    scaled = scale_up(totals.filter(F.col("pointer") != ""), rate)
-    return scaled.select(
+    return totals.filter(F.col("pointer") != "").select(
         "dataset",
         pointer_text().alias("path"),
         "pointer",
-        F.col("estimated_n").alias("n_records"),
-        F.round(F.col("sampled_total") / F.lit(float(rate)), 0).cast("bigint").alias("total_records"),
+        scale_up("n", rate).alias("n_records"),
+        scale_up("sampled_total", rate).alias("total_records"),
         F.col("n").alias("sampled_n"),
         "sampled_total",
         "n_unparsed",

@@ -133,6 +133,11 @@ def parse_aac_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     return _parse_envelope(lines, value, {"aacid": "string"}, METADATA, None)
 
 
+def not_blank(value: str = "value") -> Column:
+    """Does a line hold anything but white space? (``\\r`` is white space.)"""
+    return F.col(value).rlike(r"\S")
+
+
 def _parse_envelope(lines: DataFrame, value: str, types: dict[str, str], root: str,
                     fields: Sequence[Field] | None) -> DataFrame:
     tree = _tree(_nested_under(fields or [], root))
@@ -144,7 +149,7 @@ def _parse_envelope(lines: DataFrame, value: str, types: dict[str, str], root: s
     # Inside brackets, text after the object or a second object is an error instead of being ignored.
     wrapped = F.concat(F.lit("["), F.col(value), F.lit("]"))
     rest = [c for c in lines.columns if c != value]
-    parsed = lines.filter(F.trim(value) != "").select(
+    parsed = lines.filter(not_blank(value)).select(
         *rest, value, F.from_json(wrapped, T.ArrayType(record_type), _STRICT).alias("__r")
     )
     record = F.get("__r", F.lit(0))

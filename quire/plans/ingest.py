@@ -27,11 +27,13 @@ SAMPLE_RATE = 0.20
 
 @dataclass
 class IngestOptions:
-    """Everything a run can vary. ``sample_unit`` is ``"row"`` or ``"file"``; ``quarantine`` too."""
+    """Everything a run can vary. ``sample_unit`` is ``"auto"``, ``"row"`` or ``"file"``; ``quarantine`` is
+    ``"row"`` or ``"file"``."""
 
     min_file_bytes: int = 2 * 1024 * 1024
     sample_rate: float = SAMPLE_RATE
-    sample_unit: str = "row"
+    sample_unit: str = "auto"
+    min_sampled_files: int = 10
     seed: int = 0
     threshold: float = fl.PRESENCE_THRESHOLD
     aac_threshold: float = fl.AAC_PRESENCE_THRESHOLD
@@ -81,16 +83,25 @@ def _lines(spark: SparkSession, files: dict[str, int], o: IngestOptions, rate: f
 
 
 def _sampled(spark: SparkSession, files: DataFrame, datasets: dict[str, dict[str, int]], o: IngestOptions):
-    """Sampled lines of all datasets, and the share of the input they stand for."""
-    rate = o.sample_rate
-    if o.sample_unit == "file":
-        chosen = _files_by_dataset(sample_files(files, o.sample_rate, o.seed))
-        rate = sum(sum(f.values()) for f in chosen.values()) / max(1, sum(sum(f.values()) for f in datasets.values()))
-        parts = {d: _lines(spark, f, o) for d, f in chosen.items()}
-    else:
-        parts = {d: _lines(spark, f, o, o.sample_rate) for d, f in datasets.items()}
-    named = [lines.withColumn("dataset", F.lit(d)) for d, lines in parts.items()]
-    return reduce(DataFrame.unionByName, named), rate
+    """Sampled lines of all datasets, and for each dataset the share of its input they stand for.
+
+    Sampling files leaves the others unread, sampling rows has to decompress everything. ``auto`` samples files
+    where a dataset has enough of them for the sample to mix many, and rows elsewhere.
+    """
+    enough = o.min_sampled_files / o.sample_rate
+    by_file = {d for d, own in datasets.items()
+               if o.sample_unit == "file" or (o.sample_unit == "auto" and len(own) >= enough)}
+    chosen = _files_by_dataset(sample_files(files, o.sample_rate, o.seed)) if by_file else {}
+    parts, rates = [], {}
+    for dataset, own in datasets.items():
+        if dataset in by_file:
+            rates[dataset] = sum(chosen[dataset].values()) / max(1, sum(own.values()))
+            lines = _lines(spark, chosen[dataset], o)
+        else:
+            rates[dataset] = o.sample_rate
+            lines = _lines(spark, own, o, o.sample_rate)
+        parts.append(lines.withColumn("dataset", F.lit(dataset)))
+    return reduce(DataFrame.unionByName, parts), rates
 
 
 def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
@@ -108,8 +119,8 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     if not datasets:
         return result
 
-    sampled, rate = _sampled(spark, files, datasets, o)
-    write_report(profile(sampled, rate), result.profile_path)
+    sampled, rates = _sampled(spark, files, datasets, o)
+    write_report(profile(sampled, rates), result.profile_path)
     stored = spark.read.parquet(result.profile_path)
     write_report(fl.select_fields(stored, o.threshold, o.aac_threshold), f"{reports}/selected")
     selected = spark.read.parquet(f"{reports}/selected")
@@ -159,7 +170,7 @@ def _write_dataset(lines: DataFrame, aac: bool, chosen: list[sh.Field], path: st
         if o.quarantine == "row":
             bad_lines = sh.quarantined(parsed).select("file_path", F.col(sh.CORRUPT).alias("line"))
         else:
-            texts = lines.filter(F.trim("value") != "").select("file_path", F.col("value").alias("line"))
+            texts = lines.filter(sh.not_blank()).select("file_path", F.col("value").alias("line"))
             bad_lines = texts.join(sh.bad_files(parsed), "file_path", "left_semi")
         set_aside = write_shredded(bad_lines, quarantine_path, lookup=())
         counts["quarantined"] = set_aside["rows"]

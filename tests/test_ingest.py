@@ -82,3 +82,19 @@ def test_a_written_table_is_never_overwritten(spark, area):
     ingest(spark, str(area / "torrent"), str(area / "out"), o)
     with pytest.raises(Exception, match="already exists"):
         ingest(spark, str(area / "torrent"), str(area / "out"), o)
+
+
+def test_many_files_are_sampled_as_files(spark, tmp_path):
+    folder = tmp_path / "torrent/aa1/elasticsearch"
+    folder.mkdir(parents=True)
+    for n in range(20):
+        (folder / f"aarecords__{n}.json.gz").write_bytes(gzip.compress((_record(n, "records") + "\n").encode()))
+    (folder.parent / "elasticsearchaux").mkdir()
+    lines = "\n".join(_record(n, "metadata") for n in range(5)).encode()
+    (folder.parent / "elasticsearchaux/aarecords_metadata__0.json.gz").write_bytes(gzip.compress(lines))
+    o = IngestOptions(min_file_bytes=1, sample_rate=0.5, min_sampled_files=10)
+    got = ingest(spark, str(tmp_path / "torrent"), str(tmp_path / "out"), o)
+    row = spark.read.parquet(got["elasticsearch"].profile_path).filter("path = '_id'").first()
+    assert row["sampled_n"] == 10 and abs(row["n_records"] - 20) <= 1
+    assert got["elasticsearch"].counts["records"]["rows"] == 20
+    assert got["elasticsearchaux"].counts["metadata"]["rows"] == 5

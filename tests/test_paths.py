@@ -156,3 +156,9 @@ def test_samples_are_repeatable(spark):
 def test_scaling_keeps_presence(spark):
     rows = _profile(spark, ['{"a":1}'] + ['{"b":1}'] * 2, rate=0.3).collect()
     assert {(r["path"], r["n_records"], r["total_records"], r["sampled_n"]) for r in rows} == {("a", 3, 10, 1), ("b", 7, 10, 2)}
+
+
+def test_rates_per_dataset(spark):
+    df = spark.createDataFrame([("a", '{"k":1}'), ("b", '{"k":1}')], "dataset string, value string")
+    rows = pt.profile(df, {"a": 0.5, "b": 0.25}).collect()
+    assert {(r["dataset"], r["n_records"], r["total_records"]) for r in rows} == {("a", 2, 2), ("b", 4, 4)}

@@ -48,3 +48,16 @@ def test_share_reuses_the_counted_rows(spark):
 def test_edition_pairs_are_shuffled_on_both_columns(spark):
     text = plan_of(registry.QUERIES["Q13_edition_variations"](spark, SF))
     assert "hashpartitioning(main_edition" in text and "variation" in text.split("hashpartitioning(main_edition")[1][:60]
+
+
+def test_scratch_tables_go_to_the_shared_folder():
+    from types import SimpleNamespace
+
+    from quire.session import scratch_path
+
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: settings.get(k.split(".")[-1], d)))
+
+    assert scratch_path(session(dir="hdfs://c/shared/", master="yarn"), "t").startswith("hdfs://c/shared/quire/t-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session(master="yarn"), "t")

@@ -14,7 +14,7 @@ def _parsed(spark, lines):
 
 
 def test_envelope_and_bad_lines(spark):
-    lines = ['{"_id":"1","_score":1.5,"_source":{"a" : 1},"x":9}', '{"_id":"2"} junk', "", "  ", "bad", "[1]", "5",
+    lines = ['{"_id":"1","_score":1.5,"_source":{"a" : 1},"x":9}\r', '{"_id":"2"} junk', "", "  ", "\r", "\t ", "bad", "[1]", "5",
              "null", '{"_id":"3"},{"_id":"4"}', '{"_id":"5","_id":"6"}', "{'_id':1}", '{"_id":{"k":1},"_score":"x"}']
     rows = _parsed(spark, lines).collect()
     good = [(r["_id"], r["_score"], r["_source"]) for r in rows if r[sh.CORRUPT] is None]
