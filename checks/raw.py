@@ -30,7 +30,7 @@ _SEARCH_LINE = (
     " '\",\"_score\":', cast(doc_id % 100 as string), ',\"_source\":{\"file_unified_data\":{\"title_best\":', quoted,"
     " ',\"author_best\":\"author ', cast(doc_id % 37 as string), '\"',"
     " case when doc_id % 3 = 0 then ',\"year_best\":\"1999\"' when doc_id % 3 = 1 then ',\"year_best\":null' else '' end,"
-    " ',\"filesize_best\":', cast(n_chars as string),"
+    " ',\"content_type_best\":\"', source, '\",\"filesize_best\":', cast(n_chars * 1024 as string),"
     f" case when {_KIND} = 2 then concat(',\"journal\":{{\"issn\":[\"1234-', cast(doc_id % 10 as string),"
     " '\"],\"volume\":{\"no\":', cast(doc_id % 7 as string), '}}') else '' end,"
     f" case when {_KIND} = 3 and doc_id % 2 = 0 then ',\"lending\":[[{{\"until\":\"2024\"}},{{\"late\":1}}]]' else '' end,"

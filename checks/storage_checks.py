@@ -12,8 +12,11 @@ from checks.raw import raw_lines, raw_sql
 from checks.records import S, U, documents, records, records_sql
 from quire.operators import layout
 from quire.operators import shred as sh
+from quire.operators.fields import select_fields
+from quire.operators.paths import profile
 from quire.operators.shred import Field
-from quire.plans.ingest import IngestOptions, ingest_group
+from quire.plans.ingest import IngestOptions, fields_for, ingest_group
+from quire.plans.search_index import file_sizes
 from quire.session import scratch_path
 from quire.sources import landing, readers, sinks
 
@@ -247,6 +250,17 @@ def _ingested(spark, sf_dir):
     return out
 
 
+def profile_shred_query(spark, sf_dir):
+    """From raw lines to a report: profile, select, shred, and file sizes by content type."""
+    lines = _lines(spark, sf_dir, aac=False)
+    stored = scratch_path(spark, "profile")
+    sinks.write_report(profile(lines.select(F.lit("records").alias("dataset"), "value")), stored)
+    selected = select_fields(spark.read.parquet(stored))
+    chosen = fields_for(selected, "elasticsearch")["records"]
+    table = sh.shred_search(sh.parse_search_lines(lines, fields=chosen), chosen)
+    return file_sizes(table, min_count=0)
+
+
 def _parts(spark, sf_dir):
     docs = documents(spark, sf_dir).select("source", "doc_id", "text")
     parts = layout.assign_parts(docs, "source", "doc_id", layout.line_bytes("text"), target_bytes=16_384, blocks=16)
@@ -300,6 +314,7 @@ QUERIES = {
     ),
     "X02_shred_aac": lambda s, d: sh.shred_aac(_aac_records(s, d), AAC_FIELDS),
     "X04_ingest": _ingested,
+    "X04_profile_shred_query": profile_shred_query,
 }
 
 
@@ -361,6 +376,12 @@ FROM raw r LEFT JOIN valid v ON r.doc_id = v.doc_id WHERE NOT (r.{_IS_AAC})""",
 SELECT j ->> '$.aacid' AS aacid, j ->> '$.metadata' AS metadata,
   {_json_columns(AAC_FIELDS, 'metadata')} FROM valid WHERE {_IS_AAC}""",
 }
+SQL["X04_profile_shred_query"] = f"""{raw_sql()}
+SELECT content_type, count(*) AS count, round(avg(mb), 2) AS avg_size_mb, round(min(mb)::DOUBLE, 2) AS min_size_mb,
+  round(max(mb)::DOUBLE, 2) AS max_size_mb
+FROM (SELECT j ->> '$._source.file_unified_data.content_type_best' AS content_type,
+    try_cast(j ->> '$._source.file_unified_data.filesize_best' AS FLOAT) / 1048576 AS mb FROM valid WHERE NOT ({_IS_AAC}))
+GROUP BY 1"""
 SQL["X01_shred_search_one_pass"] = SQL["X01_shred_search"]
 SQL["X04_ingest"] = f"""{raw_sql()},
 fields AS (SELECT dataset, replace(regexp_replace(t.fullkey, '^\\$\\.', ''), '"', '') AS path, count(*) AS n

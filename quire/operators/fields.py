@@ -6,6 +6,7 @@ Inputs are profile rows (one per dataset and path), so everything here is small
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,9 +23,10 @@ AUXILIARY_DATASETS = ("metadata", "journals", "digital_lending")
 
 def threshold_for(dataset: Column | str = "dataset", threshold: float = PRESENCE_THRESHOLD,
                   aac_threshold: float = AAC_PRESENCE_THRESHOLD) -> Column:
-    """Presence threshold by dataset kind."""
+    """Presence threshold by dataset kind, as a decimal so that 7 of 35 records are exactly 20 %."""
     dataset = F.col(dataset) if isinstance(dataset, str) else dataset
-    return F.when(dataset.startswith(AAC_PREFIX), F.lit(aac_threshold)).otherwise(F.lit(threshold))
+    plain, aac = (F.lit(Decimal(str(t))).cast("decimal(12,10)") for t in (threshold, aac_threshold))
+    return F.when(dataset.startswith(AAC_PREFIX), aac).otherwise(plain)
 
 
 def column_name(path: Column | str = "path") -> Column:

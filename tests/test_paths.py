@@ -162,3 +162,10 @@ def test_rates_per_dataset(spark):
     df = spark.createDataFrame([("a", '{"k":1}'), ("b", '{"k":1}')], "dataset string, value string")
     rows = pt.profile(df, {"a": 0.5, "b": 0.25}).collect()
     assert {(r["dataset"], r["n_records"], r["total_records"]) for r in rows} == {("a", 2, 2), ("b", 4, 4)}
+
+
+def test_thresholds_are_exact(spark):
+    for n, total in ((7, 35), (3, 15), (1, 5), (11, 55)):
+        lines = ['{"k":1}'] * n + ["{}"] * (total - n)
+        assert fl.select_fields(_profile(spark, lines)).count() == 1
+        assert fl.select_fields(_profile(spark, [*lines, "{}"])).count() == 0
