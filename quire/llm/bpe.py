@@ -156,6 +156,7 @@ class Codec:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
+@lru_cache(maxsize=2)
 def _codec(ranks_path: str | None, pattern: str | None) -> Codec:
     import public_tokenizers
 

@@ -18,8 +18,11 @@ row; an empty table gives an empty result; other columns of the input are not lo
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +35,24 @@ CAPACITY = 4096
 CLOSING_ID = 1
 SLOT_ROWS = 100_000  # pieces in a slot: what one task packs
 ROUNDS = 4
-CACHED_WORDS = 400_000  # words whose ids a worker remembers at once; a limit on memory only
+CACHED_WORDS = 350_000  # parts whose ids a worker remembers at once; a limit on memory only
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", round int, slot int, bin int, offset long, bound int, bins int, pooled boolean"
 
 
+# The tokenizer lower-cases, drops white space and parts the rest into these matches, which it encodes one by one.
+# Written out for texts of Latin letters (to U+024F), where the classes are these ranges; fixed values.
+_LATIN = re.compile(r"[^\x00-\u024f]")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+                    r"|[^ \t-\r\x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f0-9\xb2\xb3\xb9\xbc-\xbe]+")
+
+
 class WordIds:
-    """Ids of white-space separated words, remembered.
+    """Ids of the parts of texts, remembered.
 
-    The tokenizer never joins characters across white space, so a text's ids are its words' ids in a row.
+    The tokenizer never joins characters across its parts, so a text's ids are its parts' ids in a row. A text with
+    letters beyond the Latin ones is parted at white space only, which is as right but repeats less.
     """
 
     def __init__(self, path: str):
@@ -51,18 +62,33 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def parts(text: str) -> list[str]:
+        lower = text.lower()
+        if _LATIN.search(lower):
+            return text.replace("\n", " ").split(" ")
+        return _PARTS.findall(lower)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without a closing id."""
-        # Other white space stays inside a word; the tokenizer drops it there as well.
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        missing = list(set().union(*split) - self.known.keys()) if split else []
-        for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        split = [self.parts(t) for t in texts]
+        if len(self.known) > CACHED_WORDS:  # short parts are those that come again
+            self.known = {word: ids for word, ids in self.known.items() if len(word) <= 6}
+        missing = list(set().union(*split).difference(self.known))
+        for lo in range(0, len(missing), 1024):
+            some = missing[lo:lo + 1024]
+            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                ids = found.ids
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    """One for each worker process: later tasks find what earlier ones remembered."""
+    return WordIds(path)
+
+
 def _path(tokenizer: str | None) -> str:
     if tokenizer:
         return tokenizer
@@ -76,7 +102,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = No
     """``doc_id, piece, start, length, ids_crc32`` of every document, and ``ids`` (array) if asked for."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, closing = WordIds(_path(tokenizer)), np.uint32(CLOSING_ID).tobytes()
+        encode, closing = _word_ids(_path(tokenizer)), np.uint32(CLOSING_ID).tobytes()
         step = 4 * capacity
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):

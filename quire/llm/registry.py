@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, packing
+from quire.llm import bpe, packing, quality, secrets
 
-_MODULES = (packing, bpe)
+_MODULES = (packing, bpe, quality, secrets)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}
