@@ -64,7 +64,8 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
         return F.aggregate(_let(ordered, starts), start, step, lambda acc: acc["sum"])
 
     def windows(codes: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(codes) - (width - 1)), lambda i: F.xxhash64(F.slice(codes, i, width)))
+        places = F.sequence(F.lit(0), F.size(codes) - width)
+        return F.transform(places, lambda i: F.xxhash64(*[F.get(codes, i + k) for k in range(width)]))
 
     def count(hashes: Column) -> Column:
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(covered(hashes))
