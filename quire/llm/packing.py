@@ -46,6 +46,9 @@ PACKED = PIECES + ", round int, slot int, bin int, offset long, bound int, bins
 _LATIN = re.compile(r"[^\x00-\u024f]")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
                     r"|[^ \t-\r\x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f0-9\xb2\xb3\xb9\xbc-\xbe]+")
+# The characters that stand for bytes in the vocabulary: printable ones for themselves, the others from U+0100 on.
+_SELF = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_NAMES = {b: 0x100 + n for n, b in enumerate(sorted(set(range(0x100)) - set(_SELF)))}
 
 
 class WordIds:
@@ -63,23 +66,33 @@ class WordIds:
         self.known: dict[str, bytes] = {}
 
     @staticmethod
-    def parts(text: str) -> list[str]:
+    def parts(text: str) -> list[str] | None:
+        """Matches of a text of Latin letters; None for other texts."""
         lower = text.lower()
-        if _LATIN.search(lower):
-            return text.replace("\n", " ").split(" ")
-        return _PARTS.findall(lower)
+        return None if _LATIN.search(lower) else _PARTS.findall(lower)
+
+    def _ids(self, part: str) -> bytes:
+        """Ids of one match: the merges alone, on the characters that stand for its bytes."""
+        if not (part.isascii() and part.isprintable()):
+            part = part.encode().decode("latin-1").translate(_BYTE_NAMES)
+        ids = [token.id for token in self.tokenizer.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without a closing id."""
         split = [self.parts(t) for t in texts]
+        others = [i for i, parts in enumerate(split) if parts is None]
+        for i in others:
+            split[i] = texts[i].replace("\n", " ").split(" ")
         if len(self.known) > CACHED_WORDS:  # short parts are those that come again
             self.known = {word: ids for word, ids in self.known.items() if len(word) <= 6}
-        missing = list(set().union(*split).difference(self.known))
-        for lo in range(0, len(missing), 1024):
-            some = missing[lo:lo + 1024]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids = found.ids
-                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        known = self.known
+        if others:
+            words = list(set().union(*[split[i] for i in others]).difference(known))
+            for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+                known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+        for part in set().union(*split).difference(known):
+            known[part] = self._ids(part)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from quire.llm import bpe, packing, quality, secrets
+from quire.llm import (
+    bpe, language_model, licences, neighbours, ngram_join, packing, personal, quality, secrets, suffixes,
+)
 
-_MODULES = (packing, bpe, quality, secrets)
+_MODULES = (packing, licences, bpe, quality, personal, ngram_join, suffixes, language_model, secrets, neighbours)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}
