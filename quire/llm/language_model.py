@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import bytes_of, table, written
 
-HIDDEN = 24
+HIDDEN = 16
 CLASS = 32
 ENTRIES = 1024  # vocabulary of the network: frequent words, the end sign and the groups
 GROUPS = 96
@@ -44,7 +44,8 @@ LANES = 128
 STEPS = 20
 ROUNDS = 3
 RATE = 0.12
-SHARD_TOKENS = 4_000_000  # tokens of a shard in one round
+INIT = 1e-4  # start of the sums of squared gradients
+SHARD_TOKENS = 1_000_000  # tokens of a shard in one round
 END = b""  # no word is empty
 ALPHA = 0.1
 
@@ -155,8 +156,8 @@ class Network:
         by_class = mass.reshape(classes, CLASS)
         start = np.log(by_class / by_class.sum(axis=1, keepdims=True))
         self.p = {
-            "x": draw(ENTRIES + 1, 3 * HIDDEN),  # input of each entry to the gates; the last is a document's start
-            "h": draw(HIDDEN, 3 * HIDDEN) * 2, "hb": np.zeros(HIDDEN, np.float32),
+            "x": draw(ENTRIES + 1, 2 * HIDDEN),  # input of each entry to gate and content; the last is a document's start
+            "f": draw(HIDDEN, HIDDEN) * 2, "n": draw(HIDDEN, HIDDEN) * 2,
             "c": draw(HIDDEN, classes), "cb": np.log(by_class.sum(axis=1) / mass.sum()).astype(np.float32),
             "w": draw(classes, HIDDEN, CLASS), "wb": start.astype(np.float32),
         }
@@ -172,51 +173,65 @@ class Network:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    x = np.exp(-x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def forward(p: dict, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray, live: np.ndarray | None = None):
     """Hidden states before each target. ``inputs``: steps by lanes; ``starts``: lanes whose document begins there.
-    ``live``: lanes still running at each step (lanes are sorted so that the first run longest)."""
+    ``live``: lanes still running at each step (lanes are sorted so that the first run longest).
+
+    The unit: gate ``f = sigmoid(x_f + h F)``, content ``n = tanh(x_n + (f h) N)``, state ``h + f (n - h)``.
+    """
     steps, lanes = inputs.shape
-    xs = p["x"]
+    xs, gate, content = p["x"], p["f"], p["n"]
     out = np.zeros((steps, lanes, HIDDEN), np.float32)
     kept = []
+    fresh = starts.any(axis=1)
     for t in range(steps):
         n = lanes if live is None else int(live[t])
-        h = state[:n] * ~starts[t, :n, None]
-        gates = xs[inputs[t, :n]]
-        ways = h @ p["h"]
-        rz = _sigmoid(gates[:, :2 * HIDDEN] + ways[:, :2 * HIDDEN])
-        inner = ways[:, 2 * HIDDEN:] + p["hb"]
-        new = np.tanh(gates[:, 2 * HIDDEN:] + rz[:, :HIDDEN] * inner)
-        z = rz[:, HIDDEN:]
-        state[:n] = new + z * (h - new)
-        out[t, :n] = state[:n]
+        h = state[:n]
+        if fresh[t]:
+            h = h * ~starts[t, :n, None]
+        x = xs[inputs[t, :n]]
+        f = _sigmoid(x[:, :HIDDEN] + h @ gate)
+        q = f * h
+        new = 2 * _sigmoid(2 * (x[:, HIDDEN:] + q @ content)) - 1  # tanh
+        state = out[t, :n]
+        np.add(h, f * (new - h), out=state)
         if live is None:
-            kept.append((h, rz, inner, new))
+            kept.append((h, f, q, new))
     return out, kept
 
 
-def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Class, and the places of its targets."""
-    order = np.argsort(targets // CLASS, kind="stable")
-    sorted_classes = targets[order] // CLASS
-    edges = np.flatnonzero(np.diff(sorted_classes)) + 1
-    for part in np.split(order, edges):
-        if len(part):
-            yield int(targets[part[0]] // CLASS), part
+def _sorted_by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of the targets by class, and each class with its first and last place in that order."""
+    classes = targets // CLASS
+    order = np.argsort(classes, kind="stable")
+    edges = np.searchsorted(classes[order], np.arange(ENTRIES // CLASS + 1)).tolist()
+    return order, [(c, lo, hi) for c, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
+
+
+def _normalised(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of scores and their sums. Scores are small: biases are log-probabilities and states below one."""
+    np.minimum(scores, 60, out=scores)
+    scores = np.exp(scores, out=scores)
+    return scores, scores.sum(axis=1)
 
 
 def log_probabilities(p: dict, hidden: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target entry."""
-    scores = hidden @ p["c"] + p["cb"]
-    top = scores.max(axis=1)
-    out = scores[np.arange(len(targets)), targets // CLASS] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
-    for c, at in _by_class(targets):
-        inner = hidden[at] @ p["w"][c] + p["wb"][c]
-        top = inner.max(axis=1)
-        out[at] += inner[np.arange(len(at)), targets[at] % CLASS] - top - np.log(np.exp(inner - top[:, None]).sum(axis=1))
+    order, classes = _sorted_by_class(targets)
+    hidden, wanted = hidden[order], targets[order]
+    scores, sums = _normalised(hidden @ p["c"] + p["cb"])
+    found = np.empty(len(targets), np.float32)
+    inner_sums = np.empty(len(targets), np.float32)
+    for c, lo, hi in classes:
+        inner, inner_sums[lo:hi] = _normalised(hidden[lo:hi] @ p["w"][c] + p["wb"][c])
+        found[lo:hi] = scores[lo:hi, c] * inner[np.arange(hi - lo), wanted[lo:hi] - c * CLASS]
+    out = np.empty(len(targets), np.float32)
+    out[order] = np.log(found) - np.log(sums) - np.log(inner_sums)
     return out
 
 
@@ -224,45 +239,50 @@ def _gradients(p: dict, inputs, targets, starts, mask, state):
     """Gradients of the mean log-loss over one window, and the state at its end."""
     out, kept = forward(p, inputs, starts, state)
     steps, lanes = inputs.shape
-    flat_mask = mask.ravel()
-    hidden, wanted = out.reshape(-1, HIDDEN)[flat_mask], targets.ravel()[flat_mask]
+    flat_mask = np.flatnonzero(mask.ravel())
+    wanted = targets.ravel()[flat_mask]
+    order, classes = _sorted_by_class(wanted)
+    place = flat_mask[order]
+    hidden, wanted = out.reshape(-1, HIDDEN)[place], wanted[order]
     n = max(1, len(wanted))
-    grads = {k: np.zeros_like(v) for k, v in p.items() if k not in ("x",)}
-    scores = hidden @ p["c"] + p["cb"]
-    scores = np.exp(scores - scores.max(axis=1, keepdims=True))
-    scores /= scores.sum(axis=1, keepdims=True)
+    grads = {"w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
+    scores, sums = _normalised(hidden @ p["c"] + p["cb"])
+    scores /= sums[:, None]
     scores[np.arange(len(wanted)), wanted // CLASS] -= 1
     grads["c"], grads["cb"] = hidden.T @ scores, scores.sum(axis=0)
     back = scores @ p["c"].T
-    for c, at in _by_class(wanted):
-        inner = hidden[at] @ p["w"][c] + p["wb"][c]
-        inner = np.exp(inner - inner.max(axis=1, keepdims=True))
-        inner /= inner.sum(axis=1, keepdims=True)
-        inner[np.arange(len(at)), wanted[at] % CLASS] -= 1
-        grads["w"][c], grads["wb"][c] = hidden[at].T @ inner, inner.sum(axis=0)
-        back[at] += inner @ p["w"][c].T
+    for c, lo, hi in classes:
+        inner, sums = _normalised(hidden[lo:hi] @ p["w"][c] + p["wb"][c])
+        inner /= sums[:, None]
+        inner[np.arange(hi - lo), wanted[lo:hi] - c * CLASS] -= 1
+        grads["w"][c], grads["wb"][c] = hidden[lo:hi].T @ inner, inner.sum(axis=0)
+        back[lo:hi] += inner @ p["w"][c].T
     d_out = np.zeros((steps * lanes, HIDDEN), np.float32)
-    d_out[flat_mask] = back
+    d_out[place] = back
     d_out = d_out.reshape(steps, lanes, HIDDEN)
-    d_x = np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
+    d_x = np.zeros((steps, lanes, 2 * HIDDEN), np.float32)
     d_h = np.zeros((lanes, HIDDEN), np.float32)
+    gate, content = p["f"].T.copy(), p["n"].T.copy()
     for t in range(steps - 1, -1, -1):
-        h, rz, inner, new = kept[t]
-        r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
+        h, f, q, new = kept[t]
         d = d_out[t] + d_h
-        d_new = d * (1 - z) * (1 - new * new)
-        d_z = d * (h - new) * z * (1 - z)
-        d_r = d_new * inner * r * (1 - r)
-        d_inner = d_new * r
-        d_x[t] = np.concatenate([d_r, d_z, d_new], axis=1)
-        d_ways = np.concatenate([d_r, d_z, d_inner], axis=1)
-        grads["h"] += h.T @ d_ways
-        grads["hb"] += d_inner.sum(axis=0)
-        d_h = (d * z + d_ways @ p["h"].T) * ~starts[t][:, None]
-    order = np.argsort(inputs.ravel(), kind="stable")
-    ids = inputs.ravel()[order]
+        d_n = d_x[t, :, HIDDEN:]
+        np.multiply(d * f, 1 - new * new, out=d_n)
+        d_q = d_n @ content
+        d_f = d_x[t, :, :HIDDEN]
+        np.multiply(d * (new - h) + d_q * h, f * (1 - f), out=d_f)
+        d_h = d * (1 - f) + d_q * f + d_f @ gate
+        if starts[t].any():
+            d_h *= ~starts[t][:, None]
+    held = np.concatenate([k[0] for k in kept])
+    gated = np.concatenate([k[2] for k in kept])
+    flat = d_x.reshape(-1, 2 * HIDDEN)
+    grads["f"], grads["n"] = held.T @ flat[:, :HIDDEN], gated.T @ flat[:, HIDDEN:]
+    ids = inputs.ravel()
+    by_id = np.argsort(ids, kind="stable")
+    ids = ids[by_id]
     first = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])
-    rows = np.add.reduceat(d_x.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+    rows = np.add.reduceat(flat[by_id], first, axis=0)
     return {k: g / n for k, g in grads.items()}, (ids[first], rows / n), out[-1].copy()
 
 
@@ -310,7 +330,7 @@ def train(net: Network, docs: list[np.ndarray]) -> int:
     targets, starts, sizes, _ = lanes_of(docs, LANES)
     inputs = _inputs(targets, starts) if len(docs) else targets
     state = np.zeros((targets.shape[1], HIDDEN), np.float32)
-    squares = {k: np.full_like(v, 1e-4) for k, v in net.p.items()}
+    squares = {k: np.full_like(v, INIT) for k, v in net.p.items()}
     for at in range(0, len(targets), STEPS):
         end = min(at + STEPS, len(targets))
         live = int((sizes > at).sum())
@@ -319,16 +339,18 @@ def train(net: Network, docs: list[np.ndarray]) -> int:
                                               starts[at:end, :live], mask, state[:live].copy())
         state[:live] = last
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()) + float((rows * rows).sum()))
-        scale = RATE * min(1.0, 1.0 / max(norm, 1e-9))
+        cut = min(1.0, 1.0 / max(norm, 1e-9))
         for k, g in grads.items():
+            g *= cut
             squares[k] += g * g
-            net.p[k] -= scale * g / np.sqrt(squares[k])
+            net.p[k] -= RATE * g / np.sqrt(squares[k])
+        rows *= cut
         squares["x"][ids] += rows * rows
-        net.p["x"][ids] -= scale * rows / np.sqrt(squares["x"][ids])
+        net.p["x"][ids] -= RATE * rows / np.sqrt(squares["x"][ids])
     return int(sizes.sum())
 
 
-def score(p: dict, docs: list[np.ndarray], lanes: int = 256) -> np.ndarray:
+def score(p: dict, docs: list[np.ndarray], lanes: int = 512) -> np.ndarray:
     """Natural log-probability of each document's entries."""
     targets, starts, sizes, begin = lanes_of(docs, lanes)
     if not len(docs):
@@ -340,7 +362,8 @@ def score(p: dict, docs: list[np.ndarray], lanes: int = 256) -> np.ndarray:
         end = min(at + 64, len(targets))
         live = np.searchsorted(-sizes, -np.arange(at, end), side="left")
         n = int(live[0])
-        out, _ = forward(p, inputs[at:end, :n], starts[at:end, :n], state, live)
+        out, _ = forward(p, inputs[at:end, :n], starts[at:end, :n], state[:n], live)
+        state = out[-1]
         mask = np.arange(at, end)[:, None] < sizes[:n]
         own = np.zeros(mask.shape)
         own[mask] = log_probabilities(p, out[mask], targets[at:end, :n][mask].astype(np.int64))
@@ -454,8 +477,8 @@ def scores(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1500):
-                part = batch.slice(lo, 1500)
+            for lo in range(0, batch.num_rows, 2500):
+                part = batch.slice(lo, 2500)
                 own = score(params.value, [np.frombuffer(x, np.int16) for x in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own / np.log(10))], ["uid", "net"])
 
