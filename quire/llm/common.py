@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: its lineage ends there.
 
-    A lost executor then costs a task, not the steps before it, and nothing is computed twice.
+    A lost executor then costs a task, not the steps before it, and nothing is computed twice. Spark removes the
+    shuffle files of finished steps once the driver has collected their handles; asking for that here keeps the
+    disk to about what one step needs.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

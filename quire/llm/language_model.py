@@ -300,6 +300,8 @@ def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray
         length, lane = heapq.heappop(heap)
         rows[lane].append(d)
         heapq.heappush(heap, (length + len(docs[d]), lane))
+    mix = np.random.default_rng(3)  # else training would end on short documents only
+    rows = [mix.permutation(row).tolist() for row in rows]
     sizes = np.array([sum(len(docs[d]) for d in row) for row in rows])
     order = np.argsort(-sizes, kind="stable")
     sizes = sizes[order]
@@ -340,13 +342,14 @@ def train(net: Network, docs: list[np.ndarray]) -> int:
         state[:live] = last
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()) + float((rows * rows).sum()))
         cut = min(1.0, 1.0 / max(norm, 1e-9))
+        rate = RATE * mask.sum() / (LANES * STEPS)  # windows with few lanes left count for what they hold
         for k, g in grads.items():
             g *= cut
             squares[k] += g * g
-            net.p[k] -= RATE * g / np.sqrt(squares[k])
+            net.p[k] -= rate * g / np.sqrt(squares[k])
         rows *= cut
         squares["x"][ids] += rows * rows
-        net.p["x"][ids] -= RATE * rows / np.sqrt(squares["x"][ids])
+        net.p["x"][ids] -= rate * rows / np.sqrt(squares["x"][ids])
     return int(sizes.sum())
 
 

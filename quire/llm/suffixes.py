@@ -8,12 +8,14 @@ ever compared, and a group of suffixes that a pass leaves alone is done. Passes
    into groups by anchor. Neighbouring windows of a text mostly share theirs; such a *run* of windows is one row,
    about one for 185 bytes of text. A group with one run holds no repeat.
 2. *Run.* Inside a group, runs with equal bytes repeat whole: all their windows are done.
-3. *Window.* What is left are groups with several different runs, as at the edges of a repeat. One run of each kind
-   gives a row for each of its windows, which are told apart through the full depth.
+3. *Part.* What is left are groups with several kinds of runs, as at the edges of a repeat. One run of each kind is cut
+   into parts of ``PART`` windows at fixed distances from the anchor. A part whose *core* - the bytes that all its
+   windows share - is alone holds no repeat; parts with equal bytes repeat whole.
+4. *Window.* The windows of parts that are neither are told apart through the full depth.
 
-Equality is that of 128-bit hashes of whole runs and windows. Every step is keyed by hashes, counts are combined
-before shuffles, and lists are gathered for one document only, so a passage that a third of all documents hold is
-not gathered anywhere.
+Equality is that of hashes of the compared bytes, 64 bits within an anchor's group, whose name has 64 bits more. Every
+step is keyed by hashes, counts are combined before shuffles, and lists are gathered for one document only, so a
+passage that a third of all documents hold is not gathered anywhere.
 
 Defined cases: a null text is empty; texts under ``WIDTH`` bytes have nothing to remove; rows repeated in full are
 places of their own, so they lose all their windows; an empty table gives an empty result; other columns pass
@@ -36,7 +38,10 @@ WIDTH = 400
 SEGMENT = 1 << 23  # window starts of a long text that are looked at together; a limit on memory only
 MASK = (1 << 24) - 1  # places within a segment
 
-_RUNS = "u1 long, u2 long, k long, h1 long, h2 long, lo long, hi long, n int"
+PART = 23  # windows in a part
+
+_RUNS = "u1 long, u2 int, k long, h long, lo int, hi int, at int, n int"
+_CONTEXT = "u1 long, u2 int, k long, lo int, hi int, at int, bytes binary"
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -58,8 +63,8 @@ def _mixed(words: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def anchors(text: bytes, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of windows with the same anchor, segment by segment: first start, last start, anchor hash."""
+def anchors(text: bytes, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of windows with the same anchor, segment by segment: first start, last start, anchor, anchor hash."""
     k = gram(width)
     span = width - k + 1
     for base in range(0, len(text) - width + 1, SEGMENT):
@@ -81,7 +86,7 @@ def anchors(text: bytes, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, n
         place = (np.minimum(behind[:windows], ahead[span - 1:span - 1 + windows]) & np.uint64(MASK)).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
         last = np.concatenate([first[1:] - 1, [windows - 1]])
-        yield first + base, last + base, hashes[place[first]]
+        yield first + base, last + base, place[first] + base, hashes[place[first]]
 
 
 def _merged(spans: np.ndarray) -> list[tuple[int, int]]:
@@ -95,103 +100,158 @@ def _merged(spans: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(spans[at, 0].tolist(), reach[np.concatenate([at[1:] - 1, [len(spans) - 1]])].tolist()))
 
 
-def _runs(width: int):
-    from xxhash import xxh3_128_digest
+def _batch(columns: list[list], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
+
+
+def _hash(data) -> int:
+    """Signed 64-bit hash of bytes."""
+    from xxhash import xxh3_64_intdigest
+
+    code = xxh3_64_intdigest(data)
+    return code - (code >> 63 << 64)
+
 
+def _runs(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row for each kind of run in a document. A kind that a document itself holds twice is done: its rows
         have ``n`` over one, and the bytes it covers come as rows without ``k``."""
-        names = [f.split()[0] for f in _RUNS.split(", ")]
         for batch in batches:
-            out: list[list] = [[] for _ in names]
+            out: list[list] = [[] for _ in range(8)]
             for u1, u2, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytes_of(batch.column(2))):
                 if len(text) < width:
                     continue
                 view = memoryview(text)
-                kinds: dict[bytes, list] = {}
-                for first, last, hashes in anchors(text, width):
-                    for lo, hi, k in zip(first.tolist(), last.tolist(), hashes.view(np.int64).tolist()):
-                        key = xxh3_128_digest(view[lo:hi + width])
-                        if key in kinds:
-                            kinds[key].append((lo, hi))
-                        else:
-                            kinds[key] = [k, (lo, hi)]
+                kinds: dict[tuple, list] = {}
+                for firsts, lasts, places, hashes in anchors(text, width):
+                    hashes = hashes.view(np.int64).tolist()
+                    for lo, hi, at, k in zip(firsts.tolist(), lasts.tolist(), places.tolist(), hashes):
+                        kinds.setdefault((k, _hash(view[lo:hi + width]), hi - lo), []).append((lo, hi, at))
                 own = []
-                for key, (k, *places) in kinds.items():
-                    row = (u1, u2, k, int.from_bytes(key[:8], "little", signed=True),
-                           int.from_bytes(key[8:], "little", signed=True), *places[0], len(places))
-                    for column, value in zip(out, row):
+                for (k, h, _), runs in kinds.items():
+                    for column, value in zip(out, (u1, u2, k, h, *runs[0], len(runs))):
                         column.append(value)
-                    if len(places) > 1:
-                        own += [(lo, hi + width) for lo, hi in places]
+                    if len(runs) > 1:
+                        own += [(lo, hi + width) for lo, hi, _ in runs]
                 for lo, end in _merged(np.array(own, np.int64).reshape(-1, 2)):
-                    for column, value in zip(out, (u1, u2, None, None, None, lo, end, None)):
+                    for column, value in zip(out, (u1, u2, None, None, lo, end, None, None)):
                         column.append(value)
                 if len(out[0]) > 50_000:
-                    yield _batch(out, names)
-                    out = [[] for _ in names]
-            yield _batch(out, names)
+                    yield _batch(out, _RUNS)
+                    out = [[] for _ in range(8)]
+            yield _batch(out, _RUNS)
+
+    return run
+
+
+def _contexts(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes of the named runs."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                u1, u2, runs = (batch.column(c)[i].as_py() for c in (0, 1, 3))
+                text = bytes_of(batch.column(2).slice(i, 1))[0]
+                rows = [(u1, u2, x["k"], x["lo"], x["hi"], x["at"], text[x["lo"]:x["hi"] + width]) for x in runs]
+                yield _batch(list(zip(*rows)), _CONTEXT)
 
     return run
 
 
-def _batch(columns: list[list], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 7 + [pa.int32()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
+def _parts(width: int, part: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Parts of runs. Part ``j`` has the windows that begin ``j * part`` to ``j * part + part - 1`` before the anchor;
+        ``core`` is what they share, ``whole`` all they cover with the part's own bounds."""
+        for batch in batches:
+            out: list[list] = [[] for _ in range(6)]
+            for rid, k, lo, hi, at, data in zip(*[batch.column(c).to_pylist() for c in ("rid", "k", "lo", "hi", "at", "bytes")]):
+                view = memoryview(data)
+                for j in range((at - hi) // part, (at - lo) // part + 1):
+                    near, far = j * part, j * part + part - 1  # before the anchor
+                    core = view[max(0, at - near - lo):at - far - lo + width]
+                    first, last = max(lo, at - far), min(hi, at - near)
+                    whole = _hash(view[first - lo:last - lo + width]) ^ (at - first) ^ (at - last) << 32
+                    for column, value in zip(out, (rid, k, j, _hash(core), whole, last - first + 1)):
+                        column.append(value)
+            yield _batch(out, "rid long, k long, j int, core long, whole long, n int")
 
+    return run
 
-def _windows(width: int):
-    from xxhash import xxh3_128_digest
 
+def _windows(width: int, part: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each window of the named runs."""
+        """A row for each window of the named parts; ``o`` is how far before the anchor it begins."""
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = bytes_of(batch.column(2).slice(i, 1))[0]
-                view = memoryview(text)
-                places = np.concatenate([np.arange(x["lo"], x["hi"] + 1) for x in batch.column(3)[i].as_py()])
-                for at in range(0, len(places), 200_000):
-                    some = places[at:at + 200_000]
-                    codes = np.frombuffer(b"".join([xxh3_128_digest(view[p:p + width]) for p in some.tolist()]), "<i8")
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(codes[0::2]), pa.array(codes[1::2]),
-                         *[pa.array(np.full(len(some), batch.column(c)[i].as_py(), np.int64)) for c in (0, 1)],
-                         pa.array(some)], ["w1", "w2", "u1", "u2", "p"])
+            out: list[list] = [[] for _ in range(4)]
+            columns = [batch.column(c).to_pylist() for c in ("rid", "k", "lo", "hi", "at", "bytes", "js")]
+            for rid, k, lo, hi, at, data, js in zip(*columns):
+                view = memoryview(data)
+                for j in js:
+                    for p in range(max(lo, at - j * part - part + 1), min(hi, at - j * part) + 1):
+                        for column, value in zip(out, (k, _hash(view[p - lo:p - lo + width]), rid, at - p)):
+                            column.append(value)
+                if len(out[0]) > 100_000:
+                    yield _batch(out, "k long, w long, rid long, o int")
+                    out = [[] for _ in range(4)]
+            yield _batch(out, "k long, w long, rid long, o int")
 
     return run
 
 
 def named(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Documents with the 128-bit name of their id and text, by which spans find them again."""
+    """Documents with the 96-bit name of their id and text, by which spans find them again."""
     return docs.withColumns({
         "_s_1": F.xxhash64(F.col(id_column), F.col(text_column)),
-        "_s_2": F.xxhash64(F.lit(7), F.col(text_column), F.col(id_column)),
+        "_s_2": F.hash(F.lit(7), F.col(text_column), F.col(id_column)),
     })
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text",
+                   part: int = PART) -> DataFrame:
     """``u1, u2, spans``: for each named document with repeats, the byte spans covered by them (not yet merged)."""
     texts = named(docs.select(id_column, F.col(text_column).cast("string").alias(text_column)), id_column, text_column)
     texts = texts.select(F.col("_s_1").alias("u1"), F.col("_s_2").alias("u2"), F.col(text_column).alias("text"))
     rows = written(texts.mapInArrow(_runs(width), _RUNS), "runs")
-    runs, within = rows.filter("k IS NOT NULL"), rows.filter("k IS NULL")
-    # pass 1 and 2: kinds of runs, and groups that hold more than one kind
-    place = F.struct("u1", "u2", "lo", "hi")
-    kinds = written(runs.groupBy("k", "h1", "h2").agg(F.sum("n").alias("n"), F.min(place).alias("at")), "kinds")
-    whole = runs.join(kinds.filter("n > 1").select("k", "h1", "h2"), ["k", "h1", "h2"])
+    within = rows.filter("k IS NULL").select("u1", "u2", "lo", F.col("hi").alias("end"))
+    # pass 1: groups of one run are done
+    runs = rows.filter("k IS NOT NULL")
+    again = runs.groupBy("k").agg(F.sum("n").alias("c")).filter("c > 1").select("k")
+    runs = written(runs.join(again, "k"), "runs")
+    # pass 2: runs of a kind that occurs again are done
+    place = F.struct("u1", "u2", "lo", "hi", "at")
+    kinds = runs.groupBy("k", "h").agg(F.sum("n").alias("n"), F.min(place).alias("run"))
+    kinds = written(kinds, "kinds")
+    whole = runs.join(kinds.filter("n > 1").select("k", "h"), ["k", "h"])
     whole = whole.select("u1", "u2", "lo", (F.col("hi") + width).alias("end"))
     mixed = kinds.groupBy("k").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k")
-    open_runs = kinds.join(mixed, "k").select("at.*")
-    asked = open_runs.groupBy("u1", "u2").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    # equal rows have the same windows: one of them speaks for all
-    looked = texts.join(asked, ["u1", "u2"]).select("u1", "u2", "text", "runs")
-    windows = looked.mapInArrow(_windows(width), "w1 long, w2 long, u1 long, u2 long, p long")
-    # pass 3; a row repeated in full has no run of a single place, so repeating its windows here changes nothing
-    windows = written(windows, "windows")
-    twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("w1", "w2")
-    edges = windows.join(twice, ["w1", "w2"]).select("u1", "u2", F.col("p").alias("lo"), (F.col("p") + width).alias("end"))
-    spans = whole.unionByName(within.select("u1", "u2", "lo", F.col("hi").alias("end"))).unionByName(edges)
+    asked = kinds.join(mixed, "k").select("k", "run.*")
+    asked = asked.groupBy("u1", "u2").agg(F.collect_list(F.struct("k", "lo", "hi", "at")).alias("runs"))
+    looked = texts.join(asked, ["u1", "u2"])
+    contexts = written(looked.select("u1", "u2", "text", "runs").mapInArrow(_contexts(width), _CONTEXT), "contexts")
+    # rows repeated in full bring equal contexts
+    contexts = contexts.dropDuplicates(["u1", "u2", "lo", "hi"]).withColumn("rid", F.monotonically_increasing_id())
+    contexts = written(contexts, "contexts")
+    # pass 3
+    parts = contexts.mapInArrow(_parts(width, part), "rid long, k long, j int, core long, whole long, n int")
+    parts = written(parts, "parts")
+    shared = parts.groupBy("k", "j", "core").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k", "j", "core")
+    twice = parts.groupBy("k", "j", "whole").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k", "j", "whole")
+    done = parts.join(twice, ["k", "j", "whole"])
+    open_parts = parts.join(shared, ["k", "j", "core"])
+    # pass 4: parts that repeat whole are looked at as well, for others to be compared with
+    open_parts = open_parts.groupBy("rid").agg(F.collect_list("j").alias("js"))
+    windows = contexts.drop("u1", "u2").join(open_parts, "rid")
+    windows = written(windows.mapInArrow(_windows(width, part), "k long, w long, rid long, o int"), "windows")
+    again = windows.groupBy("k", "w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k", "w")
+    single = windows.join(again, ["k", "w"]).select("rid", F.col("o").alias("near"), F.col("o").alias("far"))
+    near = F.col("j") * part
+    found = single.unionByName(done.select("rid", near.alias("near"), (near + part - 1).alias("far")))
+    first = F.greatest("lo", F.col("at") - F.col("far"))
+    last = F.least("hi", F.col("at") - F.col("near"))
+    edges = contexts.select("rid", "u1", "u2", "lo", "hi", "at").join(found, "rid")
+    edges = edges.select("u1", "u2", first.alias("lo"), (last + width).alias("end"))
+    spans = whole.unionByName(within).unionByName(edges)
     return spans.groupBy("u1", "u2").agg(F.collect_set(F.struct("lo", "end")).alias("spans"))
 
 
