@@ -13,6 +13,9 @@ A document is the set of its distinct 4-word shingles. Two documents link when
   trees are walked together: a pair of nodes is cut off when the largest possible overlap of any two of their sets
   is below what a link needs, when their sizes are too far apart, or when all below is connected already. What is left
   is compared exactly.
+* Before any set is moved, nodes walk the trees with their signatures of ``SIGNATURE`` bits alone. A node without a
+  partner that the signatures allow has no link and leaves; so do nodes of a block whose sizes are too far from all
+  others'. What stays is near copies, mostly.
 * Round one takes each node to its largest block only, which connects most near copies at the cost of one copy of
   their sets. Round two takes every block that still spans components, so every possible link is either compared or
   between connected nodes. Large blocks are cut into parts, and every pair of parts meets in round two.
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import bytes_of, table, written
@@ -38,9 +41,10 @@ PERCENT = 85
 BUCKETS = 1 << 18  # bounds what the driver and each worker hold of the loads: 2 MB
 PART = 2000  # nodes of a block in one task and tree
 BITS = 4096
+SIGNATURE = 1024
 LEAF, FAN = 8, 4
 
-_DOC = "doc_id long, n long, s long, s2 long, keys array<long>"
+_DOC = "doc_id long, n long, s long, s2 long, keys array<long>, signature binary"
 
 
 def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
@@ -98,37 +102,38 @@ def _documents(load, width: int, percent: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                sizes, names, keys = [], [], []
+                sizes, names, keys, signatures = [], [], [], []
                 for text in bytes_of(part.column(1)):
                     own = shingles(text, width)
                     sizes.append(len(own))
                     names.append(xxh3_128_intdigest(own.tobytes()))
                     first = np.lexsort((own, weight[_bucket(own)]))[:prefix_length(len(own), percent) if len(own) else 0]
                     keys.append(own[first].view(np.int64))
+                    signatures.append(signature(own, SIGNATURE).tobytes())
                 low = np.array([x & (1 << 64) - 1 for x in names], np.uint64).view(np.int64)
                 high = np.array([x >> 64 for x in names], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(low), pa.array(high),
-                     pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "s", "s2", "keys"])
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
+                    ["doc_id", "n", "s", "s2", "keys", "signature"])
 
     return run
 
 
+def signature(members: np.ndarray, bits: int) -> np.ndarray:
+    """Bitmap of a set's tokens."""
+    flags = np.zeros(bits, np.uint8)
+    flags[(members & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags)
+
+
 class Tree:
-    """A signature tree over sets; ``order`` lists the sets from left to right."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(x) for x in sets])
-        self.order = np.lexsort((np.array([x[0] for x in sets]), sizes))
-        n = len(sets)
-        bits = np.zeros((n, BITS // 8), np.uint8)
-        for row, i in enumerate(self.order):
-            at = (sets[i] & np.uint64(BITS - 1)).astype(np.int64)
-            flags = np.zeros(BITS, np.uint8)
-            flags[at] = 1
-            bits[row] = np.packbits(flags)
+    """A signature tree over sets given by bitmap, size and one token; ``order`` lists them from left to right."""
+
+    def __init__(self, bitmaps: np.ndarray, sizes: np.ndarray, tokens: np.ndarray):
+        self.order = np.lexsort((tokens, sizes))
         sizes = sizes[self.order]
-        bits = bits.view(np.uint64)
+        bits = bitmaps[self.order].view(np.uint64)
         shared = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         # levels from single sets up to one root: bitmap, smallest and largest size, most tokens lost to shared bits
         self.levels = [(bits, sizes, sizes, shared)]
@@ -169,6 +174,61 @@ class Forest:
         return a != b
 
 
+def walk(tree: Tree, settled, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places that the dual traversal leaves, ``a <= b``.
+
+    ``settled()`` gives a number for each set in the tree's order; a pair of nodes below which all have the same number,
+    not negative, is cut off.
+    """
+    a = b = np.zeros(1, np.int64)
+    none = np.empty(0, np.int64)
+    for level in range(len(tree.levels) - 1, -1, -1):
+        bits, small, large, lost = tree.levels[level]
+        lowest = highest = settled()
+        for l in range(1, level + 1):
+            at = np.arange(0, len(lowest), tree.fan(l))
+            lowest, highest = np.minimum.reduceat(lowest, at), np.maximum.reduceat(highest, at)
+        keep_a, keep_b = [none], [none]
+        for lo in range(0, len(a), 1 << 15):
+            i, j = a[lo:lo + (1 << 15)], b[lo:lo + (1 << 15)]
+            go = ~((lowest[i] == highest[i]) & (lowest[j] == highest[j]) & (lowest[i] == lowest[j]) & (lowest[i] >= 0))
+            go &= (100 * large[i] >= percent * small[j]) & (100 * large[j] >= percent * small[i])
+            i, j = i[go], j[go]
+            overlap = np.bitwise_count(bits[i] & bits[j]).sum(axis=1, dtype=np.int64) + np.minimum(lost[i], lost[j])
+            overlap = np.minimum(overlap, np.minimum(large[i], large[j]))
+            go = (100 + percent) * overlap >= percent * (small[i] + small[j])
+            keep_a.append(i[go])
+            keep_b.append(j[go])
+        a, b = np.concatenate(keep_a), np.concatenate(keep_b)
+        if level == 0 or not len(a):
+            break
+        fan, below = tree.fan(level), len(tree.levels[level - 1][0])
+        ca = (a[:, None] * fan + np.arange(fan)).repeat(fan, axis=1).ravel()
+        cb = np.tile(b[:, None] * fan + np.arange(fan), (1, fan)).ravel()
+        inside = (ca < below) & (cb < below) & (ca <= cb)
+        a, b = ca[inside], cb[inside]
+    return a[a != b], b[a != b]
+
+
+def partners(signatures: list[bytes], sizes: np.ndarray, names: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether the signatures allow each set a link to another one of the block."""
+    bitmaps = np.frombuffer(b"".join(signatures), np.uint8).reshape(len(signatures), -1)
+    tree = Tree(bitmaps, sizes, names)
+    found = np.zeros(len(sizes), bool)
+    # neighbours in the order first; pairs of nodes that all have a partner need no look
+    n, bits = sizes[tree.order], tree.levels[0][0]
+    lost = tree.levels[0][3]
+    overlap = np.bitwise_count(bits[1:] & bits[:-1]).sum(axis=1, dtype=np.int64) + np.minimum(lost[1:], lost[:-1])
+    near = (100 * n[:-1] >= percent * n[1:]) & ((100 + percent) * np.minimum(overlap, n[:-1]) >= percent * (n[1:] + n[:-1]))
+    found[1:] |= near
+    found[:-1] |= near
+    a, b = walk(tree, lambda: np.where(found, 0, -1), percent)
+    found[a] = found[b] = True
+    out = np.empty(len(sizes), bool)
+    out[tree.order] = found
+    return out
+
+
 def links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None = None,
           percent: int = PERCENT) -> list[tuple[int, int]]:
     """Links that connect what ``labels`` (components so far) leave apart; with ``sides``, only between sides.
@@ -177,7 +237,9 @@ def links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None = None,
     """
     if len(sets) < 2:
         return []
-    tree, forest, found = Tree(sets), Forest(labels), []
+    tree = Tree(np.stack([signature(x, BITS) for x in sets]), np.array([len(x) for x in sets]),
+                np.array([x[0] for x in sets]))
+    forest, found = Forest(labels), []
     order = tree.order
 
     def compare(i: int, j: int) -> None:
@@ -195,42 +257,28 @@ def links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None = None,
     for i, j in zip(order[:-1].tolist(), order[1:].tolist()):
         if (sides is None or sides[i] != sides[j]) and forest.root(i) != forest.root(j):
             compare(i, j)
-    top = len(tree.levels) - 1
-    a = b = np.zeros(1, np.int64)
-    for level in range(top, -1, -1):
-        bits, small, large, lost = tree.levels[level]
-        root = forest.roots()[order]
-        lowest, highest = root, root
-        for l in range(1, level + 1):
-            at = np.arange(0, len(lowest), tree.fan(l))
-            lowest, highest = np.minimum.reduceat(lowest, at), np.maximum.reduceat(highest, at)
-        keep_a, keep_b = [], []
-        for lo in range(0, len(a), 1 << 15):
-            i, j = a[lo:lo + (1 << 15)], b[lo:lo + (1 << 15)]
-            go = ~((lowest[i] == highest[i]) & (lowest[j] == highest[j]) & (lowest[i] == lowest[j]))
-            go &= (100 * large[i] >= percent * small[j]) & (100 * large[j] >= percent * small[i])
-            i, j = i[go], j[go]
-            overlap = np.bitwise_count(bits[i] & bits[j]).sum(axis=1, dtype=np.int64) + np.minimum(lost[i], lost[j])
-            overlap = np.minimum(overlap, np.minimum(large[i], large[j]))
-            go = (100 + percent) * overlap >= percent * (small[i] + small[j])
-            keep_a.append(i[go])
-            keep_b.append(j[go])
-        if not any(map(len, keep_a)):
-            return found
-        a, b = np.concatenate(keep_a), np.concatenate(keep_b)
-        if level == 0:
-            break
-        fan, below = tree.fan(level), len(tree.levels[level - 1][0])
-        ca = (a[:, None] * fan + np.arange(fan)).repeat(fan, axis=1).ravel()
-        cb = np.tile(b[:, None] * fan + np.arange(fan), (1, fan)).ravel()
-        inside = (ca < below) & (cb < below) & (ca <= cb)
-        a, b = ca[inside], cb[inside]
-    for i, j in zip(order[a].tolist(), order[b].tolist()):
-        if i != j and (sides is None or sides[i] != sides[j]) and forest.root(i) != forest.root(j):
-            compare(i, j)
+    a, b = walk(tree, lambda: forest.roots()[order], percent)
+    for lo in range(0, len(a), 1 << 14):
+        i, j = order[a[lo:lo + (1 << 14)]], order[b[lo:lo + (1 << 14)]]
+        roots = forest.roots()
+        apart = roots[i] != roots[j]
+        if sides is not None:
+            apart &= sides[i] != sides[j]
+        for x, y in zip(i[apart].tolist(), j[apart].tolist()):
+            if forest.root(x) != forest.root(y):
+                compare(x, y)
     return found
 
 
+def _allow_block(percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        names = rows.column("s").to_numpy()
+        go = partners(rows.column("signature").to_pylist(), rows.column("n").to_numpy(), names, percent)
+        return pa.table({"s": pa.array(names[go]), "key": pa.array(rows.column("key").to_numpy()[go])})
+
+    return run
+
+
 def _join_block(percent: int):
     def run(rows: pa.Table) -> pa.Table:
         names = rows.column("s").to_pylist()
@@ -278,15 +326,26 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, part: in
     collide = F.raise_error(F.lit("two sets have the same 64-bit name"))
     nodes = found.filter("n > 0").groupBy("s").agg(
         F.when(F.min("s2") == F.max("s2"), F.min("doc_id")).otherwise(collide).alias("rep"),
-        F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"))
-    keys = written(nodes.select("s", "rep", "keys"), "nodes")
-    rows = keys.select("s", F.explode("keys").alias("key"))
+        F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
+    keys = written(nodes, "nodes")
+    rows = keys.select("s", "n", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     rows = written(rows.join(shared, "key"), "shared")
     same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("s")).alias("x1"),
                                    F.bit_xor(F.xxhash64(F.lit(3), "s")).alias("x2"))
     blocks = same.groupBy("c", "x1", "x2").agg(F.min("key").alias("key")).select("key", "c")
     members = written(rows.join(blocks, "key"), "members")
+    # nodes that signatures allow a link; blocks too large for one tree keep all of theirs
+    small = members.filter(F.col("c") <= part)
+    by_size = Window.partitionBy("key").orderBy("n")
+    near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
+    small = small.withColumn("near", near).filter("near").select("key", "s")
+    allowed = small.join(keys.select("s", "n", "signature"), "s").groupBy("key").applyInArrow(
+        _allow_block(percent), "s long, key long")
+    members = allowed.unionByName(members.filter(F.col("c") > part).select("s", "key"))
+    members = written(members, "members")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    members = members.join(sizes, "key")
     # the sets of nodes that share a block, from the text of one document of each
     asked = keys.join(members.select("s").distinct(), "s").select(F.col("rep").alias("doc_id"), "s")
 
