@@ -44,7 +44,7 @@ BITS = 4096
 SIGNATURE = 1024
 LEAF, FAN = 8, 4
 
-_DOC = "doc_id long, n long, s long, s2 long, keys array<long>, signature binary"
+_DOC = "doc_id long, t long, n long, s long, s2 long, keys array<long>, signature binary"
 
 
 def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
@@ -103,7 +103,7 @@ def _documents(load, width: int, percent: int):
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 sizes, names, keys, signatures = [], [], [], []
-                for text in bytes_of(part.column(1)):
+                for text in bytes_of(part.column(2)):
                     own = shingles(text, width)
                     sizes.append(len(own))
                     names.append(xxh3_128_intdigest(own.tobytes()))
@@ -113,9 +113,9 @@ def _documents(load, width: int, percent: int):
                 low = np.array([x & (1 << 64) - 1 for x in names], np.uint64).view(np.int64)
                 high = np.array([x >> 64 for x in names], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(low), pa.array(high),
+                    [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(low), pa.array(high),
                      pa.array(keys, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
-                    ["doc_id", "n", "s", "s2", "keys", "signature"])
+                    ["doc_id", "t", "n", "s", "s2", "keys", "signature"])
 
     return run
 
@@ -320,14 +320,17 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, part: in
          text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    text = F.col(text_column).cast("string")
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("t"), text.alias("text"))
     load = spark.sparkContext.broadcast(loads(texts.select("text"), width))
     found = written(texts.mapInArrow(_documents(load, width, percent), _DOC), "documents")
     collide = F.raise_error(F.lit("two sets have the same 64-bit name"))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "t"))  # a null id stands for a set only alone
     nodes = found.filter("n > 0").groupBy("s").agg(
-        F.when(F.min("s2") == F.max("s2"), F.min("doc_id")).otherwise(collide).alias("rep"),
+        F.when(F.min("s2") == F.max("s2"), least).otherwise(collide).alias("least"),
         F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
-    keys = written(nodes, "nodes")
+    keys = written(nodes.select("s", "least.doc_id", "least.t", "n", "keys", "signature").withColumnRenamed("doc_id", "rep"),
+                   "nodes")
     rows = keys.select("s", "n", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     rows = written(rows.join(shared, "key"), "shared")
@@ -347,7 +350,7 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, part: in
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     members = members.join(sizes, "key")
     # the sets of nodes that share a block, from the text of one document of each
-    asked = keys.join(members.select("s").distinct(), "s").select(F.col("rep").alias("doc_id"), "s")
+    asked = keys.join(members.select("s").distinct(), "s").select("rep", F.col("t").alias("named"), "s")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_intdigest
@@ -359,13 +362,14 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, part: in
                 for name, text in zip(some.column(0).to_pylist(), bytes_of(some.column(1))):
                     own_set = shingles(text, width).tobytes()
                     low = xxh3_128_intdigest(own_set) & (1 << 64) - 1
-                    if low - (low >> 63 << 64) == name:  # another row may have the same id
+                    if low - (low >> 63 << 64) == name:  # another text may have the same hash
                         names.append(name)
                         own.append(own_set)
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(own, pa.binary())],
                                                  ["s", "members"])
 
-    wanted = texts.join(asked, texts["doc_id"].eqNullSafe(asked["doc_id"])).select("s", "text")
+    same = (F.col("t") == F.col("named")) & F.col("doc_id").eqNullSafe(F.col("rep"))
+    wanted = texts.join(asked, same).select("s", "text")
     sets_of = written(wanted.mapInArrow(sets, "s long, members binary").dropDuplicates(["s"]), "sets")
     # round one: every node in its largest block, large blocks in parts
     best = members.groupBy("s").agg(F.max(F.struct("c", "key")).alias("b")).select("s", "b.c", "b.key")
@@ -394,12 +398,17 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, part: in
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, id_column: str = "doc_id",
                 text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component: the smallest id, once. Rows without shingles all stay."""
-    found = join(docs, percent, width, id_column=id_column, text_column=text_column)
-    firsts = found.filter("n_shingles > 0 AND doc_id = component_id").select("doc_id").distinct()
-    empty = found.filter("n_shingles = 0").select("doc_id").distinct()
-    kept = docs.join(firsts.unionByName(empty).distinct().withColumnRenamed("doc_id", "_j_id"),
-                     F.col(id_column) == F.col("_j_id"), "left_semi")
+    """The rows of ``docs`` that stand for their component: the smallest id. Rows without shingles stay.
+
+    Of rows that repeat both id and text one stays. Different texts under one id, null included, are kept when one of
+    them stands for its component.
+    """
+    found = written(join(docs, percent, width, id_column=id_column, text_column=text_column), "components")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0)
+    firsts = found.filter(first).select(F.col("doc_id").alias("_j_id")).distinct()
+    kept = docs.join(firsts, F.col(id_column).cast("long").eqNullSafe(F.col("_j_id")), "left_semi")
+    if found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_column, text_column])  # rows that repeat an id and its text
     return kept
 
 
