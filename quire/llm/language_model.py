@@ -29,6 +29,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -467,6 +468,11 @@ def fit(entries: DataFrame, mass: np.ndarray, tokens: int, shard_tokens: int = S
     return net
 
 
+@F.pandas_udf("int")
+def _groups(words: pd.Series) -> pd.Series:
+    return pd.Series([group_of(bytes(w)) for w in words], dtype="int32")
+
+
 def scores(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Base and model score of every document."""
     spark = docs.sparkSession
@@ -490,17 +496,10 @@ def scores(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     group_floor = F.array(*[F.lit(float(x)) for x in vocab.group_floor])
     rare = rows.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n", "r.grouped")
 
-    def groups(words: Iterator) -> Iterator:
-        import pandas as pd
-
-        for some in words:
-            yield pd.Series([group_of(bytes(w)) for w in some], dtype="int32")
-
-    group_udf = F.pandas_udf(groups, "int", F.PandasUDFType.SCALAR_ITER)
     logs = F.log10(F.coalesce("c", F.lit(0)) + F.lit(ALPHA))
     joined = rare.join(counts, "word", "left").select(
         "uid", "n", "c", (F.col("n") * (logs - F.lit(float(np.log10(vocab.floor or 1))))).alias("b"),
-        F.when(F.col("grouped"), F.col("n") * (logs - F.get(group_floor, group_udf("word")))).otherwise(0.0).alias("s"))
+        F.when(F.col("grouped"), F.col("n") * (logs - F.get(group_floor, _groups("word")))).otherwise(0.0).alias("s"))
     sums = joined.groupBy("uid").agg(F.sum("b").alias("b"), F.sum("s").alias("s"),
                                      F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("k"))
     zero = F.lit(0.0)

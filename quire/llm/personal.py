@@ -2,12 +2,12 @@
 
 One pattern finds all kinds; each find is validated and replaced, and the text between stays:
 
-* ``card``: 13 to 19 digits, single blanks or hyphens between. If the digits pass the Luhn test, all but the last are
-  permuted and the last is set so that they pass again; other numbers of this length are permuted whole.
+* ``card``: 13 to 19 digits that pass the Luhn test, single blanks or hyphens between. All but the last are permuted and
+  the last is set so that they pass again. Other numbers of this length are no cards and stay.
 * ``phone``: a country code and ten digits, or ten digits in the usual groups. The ten digits are permuted.
-* ``ssn``: three, two and four digits with hyphens; permuted.
-* ``iban``: two letters, two check digits and 11 to 30 letters or digits. If the check is right, digits of the account
-  are permuted and the check digits set again; otherwise its digits are permuted.
+* ``ssn``: three, two and four digits with hyphens, none of the groups that are never issued; permuted. Others stay.
+* ``iban``: two letters, two right check digits and 11 to 30 letters or digits. Digits of the account are permuted and
+  the check digits set again. Others stay.
 * ``ip``: four numbers up to 255; permuted among all addresses. Others are no address and stay.
 * ``date``: year-month-day, or day and month in either order with a four-digit year, that exist and lie in
   ``FIRST_DAY`` and the ``DAYS`` days from it; permuted among those days. Others stay.
@@ -112,17 +112,12 @@ def _card(key: Column, found: Column) -> Column:
         body = permuted_digits(key, "card", F.substring(d, F.lit(1), F.length(d) - 1))
         return _let(body, lambda x: F.concat(x, ((10 - luhn_sum(F.concat(x, F.lit("0"))) % 10) % 10).cast("string")))
 
-    new = _let(digits, lambda d: F.when(luhn_sum(d) % 10 == 0, valid(d)).otherwise(_other_number(key, d)))
-    return filled(found, new)
+    return _let(digits, lambda d: F.when(luhn_sum(d) % 10 == 0, filled(found, valid(d))).otherwise(found))
 
 
-def _other_number(key: Column, d: Column) -> Column:
-    """Numbers that fail the Luhn test, permuted so that they fail again: the last digit keeps its distance from the
-    right check digit."""
-    body = F.substring(d, F.lit(1), F.length(d) - 1)
-    check = lambda x: (10 - luhn_sum(F.concat(x, F.lit("0"))) % 10) % 10
-    off = F.substring(d, -1, 1).cast("int") - check(body) + 10
-    return _let(permuted_digits(key, "number", body), lambda x: F.concat(x, ((check(x) + off) % 10).cast("string")))
+def _ssn(key: Column, found: Column) -> Column:
+    given = ~found.rlike("^(?:000|666|9)") & ~found.rlike("-00-") & ~found.rlike("-0000$")  # never issued
+    return F.when(given, filled(found, permuted_digits(key, "ssn", only_digits(found)))).otherwise(found)
 
 
 def _phone(key: Column, found: Column) -> Column:
@@ -178,10 +173,10 @@ def _iban(key: Column, found: Column) -> Column:
     moved = F.when(F.length(digits) < 2, account).otherwise(filled(account, permuted_digits(key, "iban", digits)))
 
     def whole(new: Column) -> Column:
-        new_check = F.when(valid, F.lpad((98 - rest(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")).otherwise(check)
+        new_check = F.lpad((98 - rest(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
         return F.concat(new_check, only_digits(new))
 
-    return filled(found, _let(moved, whole))
+    return F.when(valid, filled(found, _let(moved, whole))).otherwise(found)
 
 
 def _email(key: Column, found: Column) -> Column:
@@ -199,9 +194,10 @@ def kind_of(found: Column) -> Column:
 
 
 def pseudonym(found: Column, key: Column) -> Column:
-    by_kind = {"iban": _iban, "phone": _phone, "ip": _ip, "date": _date, "card": _card}
+    """What replaces a find; a find that is not valid stays."""
+    by_kind = {"iban": _iban, "phone": _phone, "ssn": _ssn, "ip": _ip, "date": _date, "card": _card}
     kind = kind_of(found)
-    out = F.when(kind == "email", _email(key, found)).when(kind == "ssn", filled(found, permuted_digits(key, "ssn", only_digits(found))))
+    out = F.when(kind == "email", _email(key, found))
     for name, new in by_kind.items():
         out = out.when(kind == name, new(key, found))
     return out
@@ -222,7 +218,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_column: str = "text", kin
     joined = F.array_join(pairs, "")
     out = new.withColumn(text_column, F.when(F.col("_p_found").isNull(), text).otherwise(joined))
     if kinds_column:
-        out = out.withColumn(kinds_column, F.coalesce(F.array_join(F.transform("_p_found", kind_of), ","), F.lit("")))
+        kinds = F.zip_with("_p_found", "_p_new", lambda m, p: F.when(m != p, kind_of(m)))  # nulls are not joined
+        out = out.withColumn(kinds_column, F.coalesce(F.array_join(kinds, ","), F.lit("")))
     return out.drop("_p_found", "_p_new")
 
 

@@ -28,6 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ WIDTH = 400
 SEGMENT = 1 << 23  # window starts of a long text that are looked at together; a limit on memory only
 MASK = (1 << 24) - 1  # places within a segment
 
-PART = 23  # windows in a part
+PART = 10  # windows in a part; about two parts of an open run stay open, so few windows are left
 
 _RUNS = "u1 long, u2 int, k long, h long, lo int, hi int, at int, n int"
 _CONTEXT = "u1 long, u2 int, k long, lo int, hi int, at int, bytes binary"
@@ -228,10 +229,9 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id
     asked = kinds.join(mixed, "k").select("k", "run.*")
     asked = asked.groupBy("u1", "u2").agg(F.collect_list(F.struct("k", "lo", "hi", "at")).alias("runs"))
     looked = texts.join(asked, ["u1", "u2"])
-    contexts = written(looked.select("u1", "u2", "text", "runs").mapInArrow(_contexts(width), _CONTEXT), "contexts")
-    # rows repeated in full bring equal contexts
-    contexts = contexts.dropDuplicates(["u1", "u2", "lo", "hi"]).withColumn("rid", F.monotonically_increasing_id())
-    contexts = written(contexts, "contexts")
+    contexts = looked.select("u1", "u2", "text", "runs").mapInArrow(_contexts(width), _CONTEXT)
+    # rows repeated in full bring equal contexts; all their windows do repeat
+    contexts = written(contexts.withColumn("rid", F.monotonically_increasing_id()), "contexts")
     # pass 3
     parts = contexts.mapInArrow(_parts(width, part), "rid long, k long, j int, core long, whole long, n int")
     parts = written(parts, "parts")
@@ -252,7 +252,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id
     edges = contexts.select("rid", "u1", "u2", "lo", "hi", "at").join(found, "rid")
     edges = edges.select("u1", "u2", first.alias("lo"), (last + width).alias("end"))
     spans = whole.unionByName(within).unionByName(edges)
-    return spans.groupBy("u1", "u2").agg(F.collect_set(F.struct("lo", "end")).alias("spans"))
+    return written(spans.groupBy("u1", "u2").agg(F.collect_set(F.struct("lo", "end")).alias("spans")), "spans")
 
 
 def with_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -287,22 +287,21 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return found.select("doc_id", "text", "_s_spans").mapInArrow(run, REMOVED)
 
 
+@F.pandas_udf("string")
+def _cut(texts: pd.Series, edges: pd.Series) -> pd.Series:
+    """Texts without the bytes between each two edges."""
+    return pd.Series([t if t is None or e is None else
+                      _kept(t.encode(), np.asarray(e).reshape(-1, 2))[0].decode(errors="ignore")
+                      for t, e in zip(texts, edges)], dtype=object)
+
+
 def remove_repeats(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with repeated bytes taken out of the text. Bytes of a character that was cut apart go with it; a null
     text stays null. Other columns are as they were."""
 
-    def cut(texts: Iterator[tuple]) -> Iterator:
-        import pandas as pd
-
-        for text, edges in texts:
-            yield pd.Series([t if t is None or e is None else
-                             _kept(t.encode(), np.asarray(e).reshape(-1, 2))[0].decode(errors="ignore")
-                             for t, e in zip(text, edges)], dtype=object)
-
-    cut_udf = F.pandas_udf(cut, "string", F.PandasUDFType.SCALAR_ITER)
     found = with_spans(docs, width, id_column, text_column)
     edges = F.flatten(F.transform("_s_spans", lambda x: F.array(x["lo"], x["end"])))
-    left = F.when(F.col("_s_spans").isNull(), F.col(text_column)).otherwise(cut_udf(F.col(text_column), edges))
+    left = F.when(F.col("_s_spans").isNull(), F.col(text_column)).otherwise(_cut(F.col(text_column), edges))
     return found.withColumn(text_column, left).select(*docs.columns)
 
 
