@@ -33,6 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.common import bytes_of, table, written
 
@@ -468,7 +469,7 @@ def fit(entries: DataFrame, mass: np.ndarray, tokens: int, shard_tokens: int = S
     return net
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _groups(words: pd.Series) -> pd.Series:
     return pd.Series([group_of(bytes(w)) for w in words], dtype="int32")
 

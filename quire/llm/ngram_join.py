@@ -13,9 +13,9 @@ A document is the set of its distinct 4-word shingles. Two documents link when
   trees are walked together: a pair of nodes is cut off when the largest possible overlap of any two of their sets
   is below what a link needs, when their sizes are too far apart, or when all below is connected already. What is left
   is compared exactly.
-* Before any set is moved, nodes walk the trees with their signatures of ``SIGNATURE`` bits alone. A node without a
-  partner that the signatures allow has no link and leaves; so do nodes of a block whose sizes are too far from all
-  others'. What stays is near copies, mostly.
+* Before any set is moved, nodes walk the trees with their signatures alone, four to eight bits a shingle. A node without
+  a partner that the signatures allow has no link and leaves; so do nodes of a block whose sizes are too far from all
+  others'. What stays is near copies, mostly. Round two does the same between components.
 * Round one takes each node to its largest block only, which connects most near copies at the cost of one copy of
   their sets. Round two takes every block that still spans components, so every possible link is either compared or
   between connected nodes. Large blocks are cut into parts, and every pair of parts meets in round two.
@@ -40,8 +40,6 @@ SHINGLE = 4
 PERCENT = 85
 BUCKETS = 1 << 18  # bounds what the driver and each worker hold of the loads: 2 MB
 PART = 2000  # nodes of a block in one task and tree
-BITS = 4096
-SIGNATURE = 1024
 LEAF, FAN = 8, 4
 
 _DOC = "doc_id long, t long, n long, s long, s2 long, keys array<long>, signature binary"
@@ -109,7 +107,7 @@ def _documents(load, width: int, percent: int):
                     names.append(xxh3_128_intdigest(own.tobytes()))
                     first = np.lexsort((own, weight[_bucket(own)]))[:prefix_length(len(own), percent) if len(own) else 0]
                     keys.append(own[first].view(np.int64))
-                    signatures.append(signature(own, SIGNATURE).tobytes())
+                    signatures.append(signature(own, bits_for(len(own))).tobytes())
                 low = np.array([x & (1 << 64) - 1 for x in names], np.uint64).view(np.int64)
                 high = np.array([x >> 64 for x in names], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -120,13 +118,23 @@ def _documents(load, width: int, percent: int):
     return run
 
 
+def bits_for(n: int) -> int:
+    """Bits of the bitmap of ``n`` tokens: a power of two, four to eight times as many."""
+    return max(64, 8 << max(0, n.bit_length() - 1))
+
+
 def signature(members: np.ndarray, bits: int) -> np.ndarray:
-    """Bitmap of a set's tokens."""
+    """Bitmap of a set's tokens. Halves of a bitmap OR-ed together are the bitmap of half as many bits."""
     flags = np.zeros(bits, np.uint8)
     flags[(members & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(flags)
 
 
+def folded(bitmap: bytes, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bytes from a larger one."""
+    return np.bitwise_or.reduce(np.frombuffer(bitmap, np.uint8).reshape(-1, size), axis=0)
+
+
 class Tree:
     """A signature tree over sets given by bitmap, size and one token; ``order`` lists them from left to right."""
 
@@ -177,21 +185,26 @@ class Forest:
 def walk(tree: Tree, settled, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of places that the dual traversal leaves, ``a <= b``.
 
-    ``settled()`` gives a number for each set in the tree's order; a pair of nodes below which all have the same number,
-    not negative, is cut off.
+    ``settled()`` gives arrays with a number for each set in the tree's order; a pair of nodes below which all have the
+    same number in one of them, not negative, is cut off.
     """
     a = b = np.zeros(1, np.int64)
     none = np.empty(0, np.int64)
     for level in range(len(tree.levels) - 1, -1, -1):
         bits, small, large, lost = tree.levels[level]
-        lowest = highest = settled()
-        for l in range(1, level + 1):
-            at = np.arange(0, len(lowest), tree.fan(l))
-            lowest, highest = np.minimum.reduceat(lowest, at), np.maximum.reduceat(highest, at)
+        ranges = []
+        for lowest in settled():
+            highest = lowest
+            for l in range(1, level + 1):
+                at = np.arange(0, len(lowest), tree.fan(l))
+                lowest, highest = np.minimum.reduceat(lowest, at), np.maximum.reduceat(highest, at)
+            ranges.append(np.where(lowest == highest, lowest, -1))
         keep_a, keep_b = [none], [none]
         for lo in range(0, len(a), 1 << 15):
             i, j = a[lo:lo + (1 << 15)], b[lo:lo + (1 << 15)]
-            go = ~((lowest[i] == highest[i]) & (lowest[j] == highest[j]) & (lowest[i] == lowest[j]) & (lowest[i] >= 0))
+            go = np.ones(len(i), bool)
+            for same in ranges:
+                go &= (same[i] != same[j]) | (same[i] < 0)
             go &= (100 * large[i] >= percent * small[j]) & (100 * large[j] >= percent * small[i])
             i, j = i[go], j[go]
             overlap = np.bitwise_count(bits[i] & bits[j]).sum(axis=1, dtype=np.int64) + np.minimum(lost[i], lost[j])
@@ -210,23 +223,33 @@ def walk(tree: Tree, settled, percent: int = PERCENT) -> tuple[np.ndarray, np.nd
     return a[a != b], b[a != b]
 
 
-def partners(signatures: list[bytes], sizes: np.ndarray, names: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether the signatures allow each set a link to another one of the block."""
-    bitmaps = np.frombuffer(b"".join(signatures), np.uint8).reshape(len(signatures), -1)
-    tree = Tree(bitmaps, sizes, names)
+def partners(signatures: list[bytes], sizes: np.ndarray, names: np.ndarray, labels: np.ndarray,
+             percent: int = PERCENT) -> np.ndarray:
+    """Whether the signatures allow each set a link to another one of the block with another label.
+
+    Sets are taken by powers of two of their size, each together with those of the next power that are near enough, so
+    bitmaps in one tree have one length that suits them.
+    """
     found = np.zeros(len(sizes), bool)
-    # neighbours in the order first; pairs of nodes that all have a partner need no look
-    n, bits = sizes[tree.order], tree.levels[0][0]
-    lost = tree.levels[0][3]
-    overlap = np.bitwise_count(bits[1:] & bits[:-1]).sum(axis=1, dtype=np.int64) + np.minimum(lost[1:], lost[:-1])
-    near = (100 * n[:-1] >= percent * n[1:]) & ((100 + percent) * np.minimum(overlap, n[:-1]) >= percent * (n[1:] + n[:-1]))
-    found[1:] |= near
-    found[:-1] |= near
-    a, b = walk(tree, lambda: np.where(found, 0, -1), percent)
-    found[a] = found[b] = True
-    out = np.empty(len(sizes), bool)
-    out[tree.order] = found
-    return out
+    power = np.array([int(n).bit_length() for n in sizes])
+    for p in np.unique(power).tolist():
+        rows = np.flatnonzero((power == p) | ((power == p + 1) & (percent * sizes < 100 * (1 << p))))
+        if len(rows) < 2:
+            continue
+        size = min(len(signatures[i]) for i in rows)
+        tree = Tree(np.stack([folded(signatures[i], size) for i in rows]), sizes[rows], names[rows])
+        rows = rows[tree.order]
+        _, own = np.unique(labels[rows], return_inverse=True)
+        # neighbours in the order first; pairs of nodes that all have a partner need no look
+        n, (bits, _, _, lost) = sizes[rows], tree.levels[0]
+        overlap = np.bitwise_count(bits[1:] & bits[:-1]).sum(axis=1, dtype=np.int64) + np.minimum(lost[1:], lost[:-1])
+        near = (100 * n[:-1] >= percent * n[1:]) & (own[1:] != own[:-1])
+        near &= (100 + percent) * np.minimum(overlap, n[:-1]) >= percent * (n[1:] + n[:-1])
+        found[rows[1:][near]] = found[rows[:-1][near]] = True
+        a, b = walk(tree, lambda: [np.where(found[rows], 0, -1), own], percent)
+        apart = own[a] != own[b]
+        found[rows[a[apart]]] = found[rows[b[apart]]] = True
+    return found
 
 
 def links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None = None,
@@ -237,8 +260,9 @@ def links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None = None,
     """
     if len(sets) < 2:
         return []
-    tree = Tree(np.stack([signature(x, BITS) for x in sets]), np.array([len(x) for x in sets]),
-                np.array([x[0] for x in sets]))
+    sizes = np.array([len(x) for x in sets])
+    bits = bits_for(int(sizes.max()))
+    tree = Tree(np.stack([signature(x, bits) for x in sets]), sizes, np.array([x[0] for x in sets]))
     forest, found = Forest(labels), []
     order = tree.order
 
@@ -257,7 +281,7 @@ def links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None = None,
     for i, j in zip(order[:-1].tolist(), order[1:].tolist()):
         if (sides is None or sides[i] != sides[j]) and forest.root(i) != forest.root(j):
             compare(i, j)
-    a, b = walk(tree, lambda: forest.roots()[order], percent)
+    a, b = walk(tree, lambda: [forest.roots()[order]], percent)
     for lo in range(0, len(a), 1 << 14):
         i, j = order[a[lo:lo + (1 << 14)]], order[b[lo:lo + (1 << 14)]]
         roots = forest.roots()
@@ -270,11 +294,13 @@ def links(sets: list[np.ndarray], labels: list, sides: np.ndarray | None = None,
     return found
 
 
-def _allow_block(percent: int):
+def _allow_block(percent: int, names: tuple[str, ...]):
+    """Rows of a block, by ``names``, whose signature allows a link to another component."""
+
     def run(rows: pa.Table) -> pa.Table:
-        names = rows.column("s").to_numpy()
-        go = partners(rows.column("signature").to_pylist(), rows.column("n").to_numpy(), names, percent)
-        return pa.table({"s": pa.array(names[go]), "key": pa.array(rows.column("key").to_numpy()[go])})
+        go = partners(rows.column("signature").to_pylist(), rows.column("n").to_numpy(), rows.column("s").to_numpy(),
+                      rows.column("comp").to_numpy(), percent)
+        return rows.select(list(names)).filter(pa.array(go))
 
     return run
 
@@ -343,8 +369,9 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, part: in
     by_size = Window.partitionBy("key").orderBy("n")
     near = (100 * F.lag("n").over(by_size) >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.lead("n").over(by_size))
     small = small.withColumn("near", near).filter("near").select("key", "s")
-    allowed = small.join(keys.select("s", "n", "signature"), "s").groupBy("key").applyInArrow(
-        _allow_block(percent), "s long, key long")
+    signed = keys.select("s", "n", "signature")
+    allowed = small.withColumn("comp", F.col("s")).join(signed, "s").groupBy("key").applyInArrow(
+        _allow_block(percent, ("s", "key")), "s long, key long")
     members = allowed.unionByName(members.filter(F.col("c") > part).select("s", "key"))
     members = written(members, "members")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
@@ -386,8 +413,11 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, part: in
     rest = known.join(open_keys, "key").withColumn("side", own_part).withColumn("parts", parts(F.col("c")))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rest = rest.select("s", "key", "comp", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    rest = rest.join(signed, "s").groupBy("key", "i", "j").applyInArrow(
+        _allow_block(percent, ("s", "key", "comp", "side", "i", "j")), "s long, key long, comp long, side int, i int, j int")
+    rest = written(rest, "rest")
     second = rest.join(sets_of, "s").groupBy("key", "i", "j").applyInArrow(_join_block(percent), "a long, b long")
-    final = components(first.unionByName(second))
+    final = components(written(first.unionByName(second), "links"))
     named = keys.select("s", "rep").join(final, "s", "left").withColumn("comp", F.coalesce("comp", "s"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "comp").select("s", "component_id")

@@ -32,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.common import bytes_of, table, written
 
@@ -287,7 +288,7 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return found.select("doc_id", "text", "_s_spans").mapInArrow(run, REMOVED)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _cut(texts: pd.Series, edges: pd.Series) -> pd.Series:
     """Texts without the bytes between each two edges."""
     return pd.Series([t if t is None or e is None else
