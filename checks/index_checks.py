@@ -37,8 +37,8 @@ QUERIES = {
     "Q11_rare_books_whole_object": lambda spark, sf_dir: q.rare_books(records(spark, sf_dir).select(U)),
     "Q12_books_by_decade": _over_records(q.books_by_decade),
     "Q12_books_by_decade_float": _over_records(q.books_by_decade, exact_reference=True),
-    "Q13_edition_variations": _over_records(q.edition_variations),
-    "Q13_edition_variation_rows": _over_records(q.edition_variations, as_rows=True),
+    "Q13_edition_variations": _over_records(q.edition_variations, as_rows=False),
+    "Q13_edition_variation_rows": _over_records(q.edition_variations),
     "Q14_aacid_sources": _over_records(q.aacid_sources),
     "Q15_top_languages": _over_records(q.top_languages),
     "Q16_search_text_lengths": _over_records(q.search_text_lengths, min_count=5),

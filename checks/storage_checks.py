@@ -203,22 +203,32 @@ def _row_counts_on_write(spark, sf_dir):
     return one.select(F.lit(counts["rows"]).cast("bigint").alias("n_rows"))
 
 
-def _compacted(by_base):
+def _compacted(by):
+    """What each dataset holds after its files were merged."""
+
     def run(spark, sf_dir):
         path, _ = _written_records(spark, sf_dir)
         out = scratch_path(spark, "compact")
         files = landing.list_files(spark, path, "*.parquet")
-        layout.compact(spark, files, out, target_bytes=1024 * 1024, by_base=by_base)
-        df = readers.read_shredded(spark, out)
-        return df.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_distinct("_id").alias("n_ids"),
-            F.sum(F.octet_length(f"{U}_title_best").cast("bigint")).alias("title_bytes"),
-        )
+        report = layout.compact(spark, files, out, target_bytes=1024 * 1024, by=by)
+        fewer = F.lit(report["files_out"] < report["files_in"])
+        return _summary(readers.read_shredded(spark, out)).withColumn("fewer_files", fewer)
 
     return run
 
 
+def _compacted_hot(spark, sf_dir):
+    """Line items by ship mode and with one mode that holds most of them, in several files each, merged."""
+    path, out = scratch_path(spark, "lineitem"), scratch_path(spark, "compact")
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    mode = F.when(F.col("l_orderkey") % 10 < 8, "MOST").otherwise(F.col("l_returnflag"))
+    readers.spread(items.withColumn("mode", mode), 8).write.partitionBy("mode").parquet(path)
+    files = landing.list_files(spark, path, "*.parquet")
+    layout.compact(spark, files, out, target_bytes=256 * 1024)
+    return readers.read_shredded(spark, out).groupBy("mode").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("l_orderkey")).alias("keys"))
+
+
 def _merge_candidates(spark, sf_dir):
     """Nothing carries the group's name pattern here, so every Parquet file is a candidate."""
     path, _ = _written_records(spark, sf_dir)
@@ -302,15 +312,16 @@ QUERIES = {
         landing.base_name(F.concat("dataset", F.lit("_"), F.regexp_replace("file_name", r"\..*$", ""), F.lit("_"),
                                    F.col("doc_id").cast("string"), F.lit(".parquet"))).alias("base")
     ).groupBy("base").agg(F.count(F.lit(1)).alias("n_files")),
-    "S18_compaction_by_base": _compacted(True),
-    "S18_compaction_no_shuffle": _compacted(False),
+    "S18_compaction_by_base": _compacted("directory"),
+    "S18_compaction_no_shuffle": _compacted("none"),
+    "S18_compaction_hot_base": _compacted_hot,
     "S19_merge_candidates": _merge_candidates,
     "X01_shred_search": lambda s, d: sh.shred_search(_search_records(s, d), SEARCH_FIELDS),
     "X01_shred_search_one_pass": lambda s, d: sh.shred_search(
         sh.parse_search_lines(_lines(s, d, aac=False), fields=SEARCH_FIELDS), SEARCH_FIELDS
     ),
     "X01_shred_search_keep_corrupt": lambda s, d: sh.shred_search(
-        _search_records(s, d), SEARCH_FIELDS[:5], keep=["doc_id"], keep_corrupt=True
+        _search_records(s, d), SEARCH_FIELDS, keep=["doc_id"], keep_corrupt=True
     ),
     "X02_shred_aac": lambda s, d: sh.shred_aac(_aac_records(s, d), AAC_FIELDS),
     "X04_ingest": _ingested,
@@ -363,14 +374,16 @@ SELECT doc_id, file_path FROM raw WHERE {_IS_AAC} AND file_path IN {_BAD_FILES}"
 SELECT doc_id, file_path FROM raw WHERE {_IS_AAC} AND file_path NOT IN {_BAD_FILES}""",
     "S17_base_names": f"""{raw_sql()}
 SELECT dataset || '_' || regexp_replace(file_name, '\\..*$', '') AS base, count(*) AS n_files FROM raw GROUP BY 1""",
-    "S18_compaction_by_base": f"{records_sql()}SELECT {_SUMMARY} FROM records",
+    "S18_compaction_by_base": f'{records_sql()}SELECT dataset AS "set", {_SUMMARY}, true AS fewer_files FROM records GROUP BY 1',
+    "S18_compaction_hot_base": """SELECT CASE WHEN l_orderkey % 10 < 8 THEN 'MOST' ELSE l_returnflag END AS mode,
+  count(*) AS n_rows, sum(l_orderkey)::BIGINT AS keys FROM lineitem GROUP BY 1""",
     "S19_merge_candidates": "SELECT count(*) AS n_rows FROM documents",
     "X01_shred_search": f"""{raw_sql()}
 SELECT {_ENVELOPE},
   {_json_columns(SEARCH_FIELDS, '_source')} FROM valid WHERE NOT ({_IS_AAC})""",
     "X01_shred_search_keep_corrupt": f"""{raw_sql()}
 SELECT r.doc_id, {_ENVELOPE},
-  {_json_columns(SEARCH_FIELDS[:5], '_source')}
+  {_json_columns(SEARCH_FIELDS, '_source')}
 FROM raw r LEFT JOIN valid v ON r.doc_id = v.doc_id WHERE NOT (r.{_IS_AAC})""",
     "X02_shred_aac": f"""{raw_sql()}
 SELECT j ->> '$.aacid' AS aacid, j ->> '$.metadata' AS metadata,

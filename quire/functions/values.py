@@ -65,9 +65,23 @@ def size_mb(c: Column | str) -> Column:
     return (try_float(c) / F.lit(1024 * 1024)).cast("float")
 
 
-def json_strings(c: Column | str) -> Column:
-    """JSON array text to ``array<string>``; NULL when the text is not a JSON array."""
-    return F.from_json(_col(c), "array<string>", {"mode": "PERMISSIVE"})
+def json_strings(c: Column | str, strict: bool = True) -> Column:
+    """JSON array text to ``array<string>``. A text that is not exactly one JSON array is an error; with
+    ``strict=False`` it is NULL, and :func:`unreadable_list` tells."""
+    c = _col(c)
+    # Inside brackets, text after the array is an error instead of being ignored.
+    whole = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<array<string>>", {"mode": "PERMISSIVE"})
+    entries = F.when(F.size(whole) == 1, F.get(whole, F.lit(0)))
+    if not strict:
+        return entries
+    wrong = F.raise_error(F.concat(F.lit("not a JSON array: "), F.substring(c, 1, 200)))
+    return F.when(c.isNull() | entries.isNotNull(), entries).otherwise(wrong.cast("array<string>"))
+
+
+def unreadable_list(c: Column | str) -> Column:
+    """Is a text there, but no JSON array?"""
+    c = _col(c)
+    return c.isNotNull() & json_strings(c, strict=False).isNull()
 
 
 def first_language(c: Column | str) -> Column:

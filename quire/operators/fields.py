@@ -35,29 +35,37 @@ def column_name(path: Column | str = "path") -> Column:
 
 
 def with_column_names(fields: DataFrame, within: Sequence[str] = ()) -> DataFrame:
-    """Add ``column``; names that differ at most in case get ``__2``, ``__3`` in path order."""
+    """Add ``column``; names that differ at most in case get ``__2``, ``__3`` in path order.
+
+    A name that already ends like that is numbered always (``x__2`` becomes ``x__2__1``), so that no numbered name
+    meets a natural one: without its last number every name tells the name it came from.
+    """
     named = fields.withColumn("__name", column_name())
     same = Window.partitionBy(*within, F.lower("__name")).orderBy("path")
     rank = F.row_number().over(same)
+    plain = (rank == 1) & ~F.col("__name").rlike("__[0-9]+$")
     return named.withColumn(
-        "column",
-        F.when(rank == 1, F.col("__name")).otherwise(F.concat("__name", F.lit("__"), rank.cast("string"))),
+        "column", F.when(plain, F.col("__name")).otherwise(F.concat("__name", F.lit("__"), rank.cast("string")))
     ).drop("__name")
 
 
+def _depth() -> Column:
+    """Steps of a pointer."""
+    return F.length("pointer") - F.length(F.replace("pointer", F.lit("/"), F.lit("")))
+
+
 def select_fields(profile: DataFrame, threshold: float = PRESENCE_THRESHOLD,
                   aac_threshold: float = AAC_PRESENCE_THRESHOLD) -> DataFrame:
     """Paths held by at least the threshold share of a dataset's records, with their column names.
 
-    The comparison includes equality and uses the counts as sampled, free of scaling and rounding. When two pointers share one path text (a key holding a dot), the more
-    deeply nested one stands for it.
+    The comparison includes equality and uses the counts as sampled, free of scaling and rounding. When two
+    pointers share one path text (a key holding a dot), the more deeply nested one stands for it.
     """
     common = profile.filter(
         (F.col("sampled_total") > 0)
         & (F.col("sampled_n") >= F.col("sampled_total") * threshold_for("dataset", threshold, aac_threshold))
     )
-    depth = F.length("pointer") - F.length(F.replace("pointer", F.lit("/"), F.lit("")))
-    first = Window.partitionBy("dataset", "path").orderBy(depth.desc(), F.col("pointer"))
+    first = Window.partitionBy("dataset", "path").orderBy(_depth().desc(), F.col("pointer"))
     unique = common.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") == 1).drop("__k")
     named = with_column_names(unique, within=("dataset",))
     return named.select(
@@ -77,10 +85,15 @@ def in_group(group: str, dataset: Column | str = "dataset") -> Column:
 
 
 def combined_fields(selected: DataFrame, group: str) -> DataFrame:
-    """Union of the selected fields over a group: ``path, pointer, datasets, column``."""
+    """Union of the selected fields over a group: ``path, pointer, datasets, column``.
+
+    Where datasets reach one path text by different pointers, the deepest stands for the group, as in
+    :func:`select_fields`; each dataset is still read by its own (:func:`fields_per_dataset`).
+    """
     members = selected.filter(in_group(group))
     union = members.groupBy("path").agg(
-        F.min("pointer").alias("pointer"), F.array_sort(F.collect_set("dataset")).alias("datasets")
+        F.min_by("pointer", F.struct(-_depth(), "pointer")).alias("pointer"),
+        F.array_sort(F.collect_set("dataset")).alias("datasets"),
     )
     return with_column_names(union)
 
@@ -96,7 +109,11 @@ def fields_per_dataset(selected: DataFrame, group: str) -> DataFrame:
         return own
     members = F.array(*[F.lit(d) for d in AUXILIARY_DATASETS])
     union = combined_fields(selected, group).select(
-        F.explode(members).alias("dataset"), "path", "column", "pointer"
+        F.explode(members).alias("dataset"), "path", "column", F.col("pointer").alias("shared")
+    )
+    theirs = own.filter(in_group(group)).select("dataset", "path", "pointer")
+    union = union.join(theirs, ["dataset", "path"], "left").select(
+        "dataset", "path", "column", F.coalesce("pointer", "shared").alias("pointer")
     )
     return own.filter(~in_group(group)).unionByName(union)
 

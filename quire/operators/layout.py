@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -58,28 +60,80 @@ def assign_parts(df: DataFrame, group: str, order: str, size: Column, target_byt
     return keyed.withColumn("part", part).select(*df.columns, "part")
 
 
-def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: int = TARGET_FILE_BYTES,
-            by_base: bool = True, mode: str = "errorifexists") -> dict[str, int]:
-    """S18. Merge small Parquet files into zstd files of about ``target_bytes`` and check the row count.
+def plain_path(path: str) -> str:
+    """A path with one slash after its scheme, as listings and file metadata write it differently."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", path)
+
+
+def table_root(paths: Sequence[str]) -> str:
+    """The deepest directory above all files and above any ``key=value`` directory."""
+    parts = [p.split("/")[:-1] for p in paths]
+    common = []
+    for step in zip(*parts):
+        if len(set(step)) > 1 or "=" in step[0]:
+            break
+        common.append(step[0])
+    return "/".join(common)
+
 
-    ``files`` is a listing (``path``, ``length``). With ``by_base`` the output is partitioned by the source
-    file's base name (column ``base``): one rebalancing shuffle for all bases at once, in which Spark splits a
-    base that holds most of the data and joins small ones. Without it tasks read several files each and no
-    data is shuffled. Inputs are never deleted.
+def partition_keys(paths: Sequence[str], root: str) -> list[str]:
+    """Names of the ``key=value`` directories below ``root``, in order."""
+    below = {tuple(s.split("=", 1)[0] for s in p[len(root):].split("/")[:-1] if "=" in s) for p in paths}
+    if len(below) > 1:
+        raise ValueError(f"files are partitioned in different ways: {sorted(below)}")
+    return list(below.pop())
+
+
+def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: int = TARGET_FILE_BYTES,
+            by: str = "directory", mode: str = "errorifexists") -> dict[str, int]:
+    """S18. Merge small Parquet files into zstd files of about ``target_bytes`` and check rows and columns.
+
+    ``files`` is a listing (``path``, ``length``). What may be merged: with ``by="directory"`` the files of one
+    directory, which is how this library writes datasets; with ``by="base"`` files of one base name, as other tools
+    number theirs (column ``base``); with ``by="none"`` any files, by tasks that read several of them, without a
+    shuffle. Partition columns (``key=value`` directories) stay. Each group gets its bytes over ``target_bytes`` output
+    files and its rows are dealt over them by row number, so a group that holds most rows is many tasks. Inputs are
+    never deleted.
     """
-    listed = files.select("path", "length").collect()
-    paths = [r["path"] for r in listed]
-    n_files = max(1, math.ceil(sum(r["length"] for r in listed) / target_bytes))
-    rows = spark.read.option("mergeSchema", True).parquet(*paths)
-    if by_base:
-        rows = rows.withColumn("base", base_name(F.col("_metadata.file_name"))).hint("rebalance", n_files, "base")
+    listed = files.select("path", "length", base_name(F.element_at(F.split("path", "/"), -1)).alias("base")).collect()
+    paths = [r["path"] for r in listed]  # one row a file
+    root = table_root(paths)
+    keys = partition_keys(paths, root)
+    rows = spark.read.option("mergeSchema", True).option("basePath", root).parquet(*paths)
+    columns = set(rows.columns)
+    if by == "none":
+        merged = rows.coalesce(max(1, math.ceil(sum(r["length"] for r in listed) / target_bytes)))
+        folders = keys
     else:
-        rows = rows.coalesce(n_files)
+        group_of = {r["path"]: r["base"] if by == "base" else plain_path(r["path"]).rpartition("/")[0] for r in listed}
+        sizes: dict[str, int] = {}
+        for r in listed:
+            sizes[group_of[r["path"]]] = sizes.get(group_of[r["path"]], 0) + r["length"]
+        first, slots = {}, 0
+        for group, size in sorted(sizes.items()):
+            first[group] = slots
+            slots += max(1, math.ceil(size / target_bytes))
+        ends = [*list(first.values())[1:], slots]
+        places = spark.createDataFrame(
+            [(g, a, z - a) for (g, a), z in zip(first.items(), ends)], "__group string, __first int, __count int")
+        name = base_name(F.col("_metadata.file_name")) if by == "base" else F.regexp_replace(
+            F.regexp_replace("_metadata.file_path", "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/"), "/[^/]*$", "")
+        numbered = rows.withColumn("__group", name).withColumn("__row", F.monotonically_increasing_id())
+        slot = F.col("__first") + F.pmod("__row", F.col("__count")).cast("int")
+        dealt = numbered.join(places, "__group").withColumn("__slot", slot)
+        merged = dealt.repartition(slots, "__slot")
+        folders = [*keys, "base"] if by == "base" else keys
+        if by == "base":
+            merged = merged.withColumn("base", F.col("__group"))
+        merged = merged.drop("__group", "__row", "__first", "__count", "__slot")
     seen = Observation()
-    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "zstd")
-    (writer.partitionBy("base") if by_base else writer).parquet(target)
-    rows_in = spark.read.parquet(*paths).count()
-    rows_out = spark.read.parquet(target).count()
+    writer = merged.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "zstd")
+    (writer.partitionBy(*folders) if folders else writer).parquet(target)
+    found = spark.read.option("mergeSchema", True).parquet(target)
+    if set(found.columns) - {"base"} != columns - {"base"}:
+        raise RuntimeError(f"compaction read columns {sorted(columns)}, found {sorted(found.columns)}")
+    rows_in, rows_out = rows.count(), found.count()
     if not rows_in == rows_out == seen.get["n"]:
         raise RuntimeError(f"compaction read {rows_in} rows, wrote {seen.get['n']}, found {rows_out}")
-    return {"files_in": len(paths), "rows_in": rows_in, "rows_out": rows_out}
+    files_out = found.select("_metadata.file_path").distinct().count()
+    return {"files_in": len(paths), "files_out": files_out, "rows_in": rows_in, "rows_out": rows_out}

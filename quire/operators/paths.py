@@ -21,16 +21,17 @@ INDEX_STEP = "~i"
 UNROLLED_LEVELS = 8
 
 
-def sample_rows(df: DataFrame, rate: float, seed: int = 0, on: Column | None = None) -> DataFrame:
-    """Keep about ``rate`` of the rows.
+def sample_rows(df: DataFrame, rate: float, seed: int = 0, on: Column | None = None,
+                keys: tuple[str, ...] = ("value", "file_path")) -> DataFrame:
+    """Keep about ``rate`` of the rows, chosen by a hash of ``keys`` and the seed, or by the integer ``on``.
 
-    Without ``on`` this is Spark's Bernoulli sample, so copies of one line are drawn independently. With
-    ``on`` (an integer hash of a key) the choice depends on the key alone and can be repeated elsewhere.
+    The choice depends on the row alone: another cluster, partitioning or rerun keeps the same rows. Copies of one
+    line in one file are kept or left together.
     """
     if rate >= 1.0:
         return df
     if on is None:
-        return df.sample(withReplacement=False, fraction=rate, seed=seed)
+        on = F.xxhash64(*[F.col(k) for k in keys if k in df.columns], F.lit(seed))
     return df.filter(F.pmod(on, F.lit(1_000_000)) < F.lit(round(rate * 1_000_000)))
 
 
@@ -52,10 +53,16 @@ def sample_files(files: DataFrame, rate: float, seed: int = 0, on: Column | None
 _STEP = "concat(pointer, '/', replace(replace({key}, '~', '~0'), '/', '~1'))"
 _FIRST = f"concat(pointer, '/{INDEX_STEP}')"
 
-# Paths below a node that is still open after the unrolled levels; '{' and '[' bound its depth.
+# Paths below a node that is still open after the unrolled levels, one step for each level that it really has.
 _DEEPER = """
 aggregate(
-  sequence(1, greatest(1, length(regexp_replace(cast(node as string), '[^{\\\\[]', '')))),
+  sequence(1, greatest(1, aggregate(
+    split(regexp_replace(regexp_replace(regexp_replace(
+      cast(node as string), '\\\\\\\\.', ''), '"[^"]*"', ''), '[^{}\\\\[\\\\]]', ''), ''),
+    named_struct('now', 0, 'most', 0),
+    (d, c) -> if(c in ('{', '['), named_struct('now', d.now + 1, 'most', greatest(d.most, d.now + 1)),
+                 if(c in ('}', ']'), named_struct('now', d.now - 1, 'most', d.most), d)),
+    d -> d.most))),
   named_struct('open', array(named_struct('pointer', pointer, 'key', false, 'node', node)),
                'found', cast(array() as array<string>)),
   (acc, i) -> named_struct(
@@ -150,13 +157,13 @@ def profile(lines: DataFrame, rate: float | Mapping[str, float] = 1.0, value: st
     ``sampled_total`` as counted, and ``n_unparsed``: sampled lines that are no JSON value.
     """
     counts = count_paths(lines, value, levels)
-    # Rows here are distinct paths, not records; the window only spreads two totals over them.
-    whole = Window.partitionBy("dataset")
-    totals = counts.select(
-        "*",
-        F.coalesce(F.max(F.when(F.col("pointer") == "", F.col("n"))).over(whole), F.lit(0)).alias("sampled_total"),
-        F.coalesce(F.max(F.when(F.col("pointer").isNull(), F.col("n"))).over(whole), F.lit(0)).alias("n_unparsed"),
+    # Two numbers a dataset, joined to the paths: records with ids for keys have as many paths as records, so paths of a
+    # dataset never meet in one task. Both sides read the one shuffle of the counts, hence no filter before the sums.
+    whole = counts.groupBy(F.col("dataset").alias("__dataset")).agg(
+        F.coalesce(F.sum(F.when(F.col("pointer") == "", F.col("n"))), F.lit(0)).alias("sampled_total"),
+        F.coalesce(F.sum(F.when(F.col("pointer").isNull(), F.col("n"))), F.lit(0)).alias("n_unparsed"),
     )
+    totals = counts.join(whole, F.col("dataset").eqNullSafe(F.col("__dataset")))
     return totals.filter(F.col("pointer") != "").select(
         "dataset",
         pointer_text().alias("path"),

@@ -187,15 +187,9 @@ def shred_aac(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] =
     return extract(rows, METADATA, _nested_under(fields, METADATA), [*keep, *AAC_KEYS])
 
 
-# One row per input file; a listing this long may be broadcast.
-BROADCAST_FILES = 100_000
-
-
 def bad_files(records: DataFrame, file: str = "file_path") -> DataFrame:
-    """Files holding a bad line. There are at most as many as input files, so a checked number of those bounds
-    the broadcast; beyond it the join shuffles."""
-    bad = records.filter(F.col(CORRUPT).isNotNull()).select(file).distinct()
-    return F.broadcast(bad) if 0 < len(records.inputFiles()) <= BROADCAST_FILES else bad
+    """Files holding a bad line. Spark measures them while it runs and broadcasts them only if they are few."""
+    return records.filter(F.col(CORRUPT).isNotNull()).select(file).distinct()
 
 
 def quarantined(records: DataFrame, mode: str = "row", file: str = "file_path") -> DataFrame:

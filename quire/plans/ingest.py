@@ -7,6 +7,7 @@ collected, because it becomes the projection. Everything else is one plan from s
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -14,8 +15,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.columns import AAC_KEYS, ENVELOPE_KEYS, METADATA, SOURCE
 from quire.operators import fields as fl
 from quire.operators import shred as sh
+from quire.operators.layout import TARGET_FILE_BYTES
 from quire.operators.paths import count_paths, profile, record_totals, sample_files, sample_rows
 from quire.sources.landing import landing_files
 from quire.sources.readers import read_lines, spread, spread_for
@@ -27,19 +30,19 @@ SAMPLE_RATE = 0.20
 
 @dataclass
 class IngestOptions:
-    """Everything a run can vary. ``sample_unit`` is ``"auto"``, ``"row"`` or ``"file"``; ``quarantine`` is
-    ``"row"`` or ``"file"``."""
+    """Everything a run can vary. ``sample_unit`` is ``"row"`` or ``"file"``; ``quarantine`` is ``"row"`` or ``"file"``.
+    Output files are merged to about ``target_file_bytes`` of compressed input each; 0 leaves one for each task."""
 
     min_file_bytes: int = 2 * 1024 * 1024
     sample_rate: float = SAMPLE_RATE
-    sample_unit: str = "auto"
-    min_sampled_files: int = 10
+    sample_unit: str = "row"
     seed: int = 0
     threshold: float = fl.PRESENCE_THRESHOLD
     aac_threshold: float = fl.AAC_PRESENCE_THRESHOLD
     quarantine: str = "row"
     keep_corrupt: bool = False
     partition_target_bytes: int = 128 * 1024 * 1024
+    target_file_bytes: int = TARGET_FILE_BYTES
     max_records_per_file: int | None = None
     concurrent_jobs: int = 4
 
@@ -85,16 +88,14 @@ def _lines(spark: SparkSession, files: dict[str, int], o: IngestOptions, rate: f
 def _sampled(spark: SparkSession, files: DataFrame, datasets: dict[str, dict[str, int]], o: IngestOptions):
     """Sampled lines of all datasets, and for each dataset the share of its input they stand for.
 
-    Sampling files leaves the others unread, sampling rows has to decompress everything. ``auto`` samples files
-    where a dataset has enough of them for the sample to mix many, and rows elsewhere.
+    Sampling files leaves the others unread, sampling rows has to decompress everything.
     """
-    enough = o.min_sampled_files / o.sample_rate
-    by_file = {d for d, own in datasets.items()
-               if o.sample_unit == "file" or (o.sample_unit == "auto" and len(own) >= enough)}
-    chosen = _files_by_dataset(sample_files(files, o.sample_rate, o.seed)) if by_file else {}
+    if o.sample_unit not in ("row", "file"):
+        raise ValueError(f"sample_unit is row or file, not {o.sample_unit}")
+    chosen = _files_by_dataset(sample_files(files, o.sample_rate, o.seed)) if o.sample_unit == "file" else {}
     parts, rates = [], {}
     for dataset, own in datasets.items():
-        if dataset in by_file:
+        if o.sample_unit == "file":
             rates[dataset] = sum(chosen[dataset].values()) / max(1, sum(own.values()))
             lines = _lines(spark, chosen[dataset], o)
         else:
@@ -119,9 +120,17 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     if not datasets:
         return result
 
+    if not 0 < min(o.threshold, o.aac_threshold):
+        raise ValueError("thresholds must be above zero: they bound the number of columns")
     sampled, rates = _sampled(spark, files, datasets, o)
     write_report(profile(sampled, rates), result.profile_path)
     stored = spark.read.parquet(result.profile_path)
+    # a sample may hold no good record of a small dataset: such a dataset is profiled whole
+    seen = {r["dataset"] for r in stored.select("dataset").distinct().collect()}  # at most one a dataset
+    if missing := [d for d in datasets if d not in seen]:
+        whole = reduce(DataFrame.unionByName, [_lines(spark, datasets[d], o).withColumn("dataset", F.lit(d)) for d in missing])
+        write_report(profile(whole, {d: 1.0 for d in missing}), result.profile_path, mode="append")
+        stored = spark.read.parquet(result.profile_path)
     write_report(fl.select_fields(stored, o.threshold, o.aac_threshold), f"{reports}/selected")
     selected = spark.read.parquet(f"{reports}/selected")
     chosen = fields_for(selected, group)
@@ -130,15 +139,22 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     def report() -> None:
         write_text_report(fl.report_text(stored, selected), f"{reports}/text")
         write_report(fl.combined_report(fl.combined_fields(selected, group)), f"{reports}/combined")
+        write_report(fl.shared_fields(selected, stored, group), f"{reports}/shared")
+        aac = F.col("dataset").startswith(fl.AAC_PREFIX)
+        dropped = [fl.dropped_keys(stored.filter(~aac), [SOURCE], [*ENVELOPE_KEYS, SOURCE]),
+                   fl.dropped_keys(stored.filter(aac), [METADATA], [*AAC_KEYS])]
+        write_report(dropped[0].unionByName(dropped[1]), f"{reports}/dropped")
         document = fl.selection_document(stored, selected, group, method, o.threshold, o.aac_threshold)
         write_document(document, result.selection_path)
 
     def write(dataset: str) -> None:
         lines = _lines(spark, datasets[dataset], o).drop("dataset")
         path = f"{target}/{dataset}"
-        result.counts[dataset] = _write_dataset(
-            lines, is_aac(dataset), chosen.get(dataset, []), path, f"{target}/_quarantine/{dataset}", o
+        merged = _merged_files(list(datasets[dataset].values()), o)
+        counts = _write_dataset(
+            lines, is_aac(dataset), chosen.get(dataset, []), path, f"{target}/_quarantine/{dataset}", o, merged
         )
+        result.counts[dataset] = {**counts, "fields": len(chosen.get(dataset, []))}
         result.tables[dataset] = path
 
     # Independent jobs, submitted side by side so that the tail of one does not leave the cluster idle.
@@ -148,15 +164,27 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     return result
 
 
+def _merged_files(sizes: list[int], o: IngestOptions) -> int | None:
+    """How many files to merge a dataset's output into; None where one for each input file is no more than that."""
+    if not o.target_file_bytes:
+        return None
+    wanted = max(1, math.ceil(sum(sizes) / o.target_file_bytes))
+    return wanted if wanted < len(sizes) else None
+
+
 def _write_dataset(lines: DataFrame, aac: bool, chosen: list[sh.Field], path: str, quarantine_path: str,
-                   o: IngestOptions) -> dict[str, int]:
-    """Shred and write; bad lines are counted on the way, and the dump is read again only if there are any."""
+                   o: IngestOptions, merged: int | None = None) -> dict[str, int]:
+    """Shred and write; bad lines are counted on the way, and the dump is read again only if there are any.
+
+    ``merged`` output files instead of one a task: the shredded rows are spread over as many, in the same write.
+    """
+    gather = (lambda df: df) if merged is None else (lambda df: spread(df, merged))
     shred = sh.shred_aac if aac else sh.shred_search
     parsed = sh.parse_aac_lines(lines) if aac else sh.parse_search_lines(lines, fields=chosen)
     lookup = ("aacid",) if aac else ("_id",)
     if o.keep_corrupt:
         table = shred(parsed, chosen, keep_corrupt=True)
-        counts = write_shredded(table, path, lookup, max_records_per_file=o.max_records_per_file)
+        counts = write_shredded(gather(table), path, lookup, max_records_per_file=o.max_records_per_file)
         return {**counts, "quarantined": 0}
     seen = Observation()
     if o.quarantine == "row":
@@ -164,7 +192,7 @@ def _write_dataset(lines: DataFrame, aac: bool, chosen: list[sh.Field], path: st
         good = sh.accepted(parsed.observe(seen, bad.alias("bad")), "row")
     else:
         good = sh.accepted(parsed, o.quarantine)
-    counts = write_shredded(shred(good, chosen), path, lookup, max_records_per_file=o.max_records_per_file)
+    counts = write_shredded(gather(shred(good, chosen)), path, lookup, max_records_per_file=o.max_records_per_file)
     counts["quarantined"] = 0
     if o.quarantine != "row" or seen.get["bad"]:
         if o.quarantine == "row":

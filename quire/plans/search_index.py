@@ -16,8 +16,6 @@ from quire.functions import values as V
 from quire.functions.columns import UNIFIED, search, unified
 from quire.operators.summaries import compute_once, count_by, number_summary, ranked, with_share
 
-# A top-k list this short may be broadcast when it is joined back to its detail rows.
-BROADCAST_ROWS = 10_000
 
 _BOOK = {
     "filename": "original_filename_best",
@@ -95,16 +93,18 @@ def classifications(df: DataFrame, min_count: int = 100) -> DataFrame:
 
 
 def access_types(df: DataFrame) -> DataFrame:
-    """Q06. Access types with their share of all listed access types."""
+    """Q06. Access types with their share of all listed access types; a text that is no list is an error."""
     entries = df.select(F.explode(V.json_strings(search("search_access_types"))).alias("access_type"))
     return ranked(with_share(count_by(entries, "access_type")), "count", ["access_type"])
 
 
 def rank_scores(df: DataFrame, min_count: int = 100) -> DataFrame:
-    """Q07. Base rank by content type; a score that is no number is an error (ANSI cast)."""
+    """Q07. Base rank by content type; a score that is no number is an error. The cast alone would read ``5f`` as 5."""
     rank = F.col(search("search_score_base_rank"))
+    wrong = F.raise_error(F.concat(F.lit("not a number: "), rank)).cast("float")
+    number = F.when(rank.rlike(r"[0-9.][fFdD]\s*$"), wrong).otherwise(rank.cast("float"))
     scored = df.filter(rank.isNotNull()).select(
-        F.col(unified("content_type_best")).alias("content_type"), rank.cast("float").alias("rank")
+        F.col(unified("content_type_best")).alias("content_type"), number.alias("rank")
     )
     stats = scored.groupBy("content_type").agg(
         F.count(F.lit(1)).alias("count"), *number_summary("rank", "avg_rank", "min_rank", "max_rank")
@@ -167,13 +167,13 @@ def books_by_decade(df: DataFrame, exact_reference: bool = False) -> DataFrame:
 
 
 def edition_variations(
-    df: DataFrame, min_variations: int = 1, limit: int = 10, as_rows: bool = False
+    df: DataFrame, min_variations: int = 1, limit: int = 10, as_rows: bool = True
 ) -> DataFrame:
     """Q13. Main editions with the most distinct further edition statements.
 
     Distinct (main, variation) pairs are shuffled on both columns, so one frequent main edition spreads
-    over all tasks. Only the pairs of the ``limit`` winners are gathered into lists; ``as_rows`` returns
-    them one per row instead.
+    over all tasks. The pairs of the ``limit`` winners are returned one per row; ``as_rows=False`` gathers them into
+    lists, for lists that fit a row. A text that is no list is an error.
     """
     main = F.col(unified("edition_varia_best"))
     listed = df.filter(main.isNotNull()).select(
@@ -183,8 +183,6 @@ def edition_variations(
     pairs = listed.filter(F.col("variation").isNotNull()).distinct()
     counts = count_by(pairs, "main_edition", min_count=min_variations, count="edition_variations")
     winners = ranked(counts, "edition_variations", ["main_edition"], limit)
-    if limit <= BROADCAST_ROWS:
-        winners = F.broadcast(winners)
     detail = pairs.join(winners, "main_edition")
     order = [F.col("edition_variations").desc(), F.col("main_edition")]
     if as_rows:

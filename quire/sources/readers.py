@@ -64,13 +64,15 @@ def read_inferred(spark: SparkSession, paths: str | Sequence[str], sampling_rati
     return spark.read.option("samplingRatio", sampling_ratio).json(paths)
 
 
-def read_shredded(spark: SparkSession, *paths: str, name_glob: str | None = None) -> DataFrame:
+def read_shredded(spark: SparkSession, *paths: str, name_glob: str | None = None,
+                  merge_schema: bool = False) -> DataFrame:
     """S10-S12. One table from a directory, a glob, a list of files or one file.
 
-    Columns are matched by name and missing ones are NULL; shredded columns are all text, so files written with
-    different field lists combine. ``name_glob`` narrows a directory to matching file names.
+    The files of one dataset have one schema. With ``merge_schema`` files written with different field lists combine:
+    columns are matched by name and missing ones are NULL; it reads the footer of every file. ``name_glob`` narrows a
+    directory to matching file names.
     """
-    reader = spark.read.option("mergeSchema", True)
+    reader = spark.read.option("mergeSchema", merge_schema)
     if name_glob is not None:
         reader = reader.option("pathGlobFilter", name_glob)
     return reader.parquet(*paths)

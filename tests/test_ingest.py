@@ -41,7 +41,7 @@ def area(tmp_path):
 def test_rows_columns_and_reports(spark, area):
     got = ingest(spark, str(area / "torrent"), str(area / "out"), IngestOptions(min_file_bytes=1, sample_rate=1.0))
     main = got["elasticsearch"]
-    assert main.counts == {"records": {"rows": 30, "quarantined": 1}}
+    assert main.counts == {"records": {"rows": 30, "quarantined": 1, "fields": 10}}
     table = read_shredded(spark, main.tables["records"])
     assert table.count() == 30 and "_source_file_unified_data_seldom" not in table.columns
     assert {r["rarity"]: r["count"] for r in rare_books(table).collect()} == {"Not Rare": 15, "Rare": 15}
@@ -66,7 +66,8 @@ def test_rows_columns_and_reports(spark, area):
 def test_file_quarantine_and_file_sample(spark, area):
     o = IngestOptions(min_file_bytes=1, sample_unit="file", quarantine="file")
     got = ingest(spark, str(area / "torrent"), str(area / "out"), o)
-    assert got["elasticsearch"].counts == {"records": {"rows": 10, "quarantined": 21}}
+    counts = got["elasticsearch"].counts["records"]
+    assert (counts["rows"], counts["quarantined"]) == (10, 21) and counts["fields"] > 5
     bad = spark.read.parquet(str(area / "out/elasticsearch/_quarantine/records"))
     assert sorted(r["line"] for r in bad.collect()) == sorted([*[_record(i, "records") for i in range(20)], "broken"])
 
@@ -74,7 +75,8 @@ def test_file_quarantine_and_file_sample(spark, area):
 def test_bad_lines_as_null_rows(spark, area):
     o = IngestOptions(min_file_bytes=1, sample_rate=1.0, keep_corrupt=True)
     got = ingest(spark, str(area / "torrent"), str(area / "out"), o)
-    assert got["elasticsearch"].counts == {"records": {"rows": 31, "quarantined": 0}}
+    counts = got["elasticsearch"].counts["records"]
+    assert (counts["rows"], counts["quarantined"]) == (31, 0)
 
 
 def test_a_written_table_is_never_overwritten(spark, area):
@@ -84,7 +86,7 @@ def test_a_written_table_is_never_overwritten(spark, area):
         ingest(spark, str(area / "torrent"), str(area / "out"), o)
 
 
-def test_many_files_are_sampled_as_files(spark, tmp_path):
+def test_files_are_sampled_when_asked(spark, tmp_path):
     folder = tmp_path / "torrent/aa1/elasticsearch"
     folder.mkdir(parents=True)
     for n in range(20):
@@ -92,9 +94,23 @@ def test_many_files_are_sampled_as_files(spark, tmp_path):
     (folder.parent / "elasticsearchaux").mkdir()
     lines = "\n".join(_record(n, "metadata") for n in range(5)).encode()
     (folder.parent / "elasticsearchaux/aarecords_metadata__0.json.gz").write_bytes(gzip.compress(lines))
-    o = IngestOptions(min_file_bytes=1, sample_rate=0.5, min_sampled_files=10)
+    o = IngestOptions(min_file_bytes=1, sample_rate=0.5, sample_unit="file")
     got = ingest(spark, str(tmp_path / "torrent"), str(tmp_path / "out"), o)
     row = spark.read.parquet(got["elasticsearch"].profile_path).filter("path = '_id'").first()
     assert row["sampled_n"] == 10 and abs(row["n_records"] - 20) <= 1
     assert got["elasticsearch"].counts["records"]["rows"] == 20
     assert got["elasticsearchaux"].counts["metadata"]["rows"] == 5
+    assert len(list((tmp_path / "out/elasticsearch/records").glob("*.parquet"))) == 1  # merged
+
+
+def test_a_small_dataset_keeps_its_fields_whatever_the_sample(spark, tmp_path):
+    for seed in range(4):
+        folder = tmp_path / f"torrent{seed}/aa1/elasticsearchaux"
+        folder.mkdir(parents=True)
+        for name in ("metadata", "journals"):
+            lines = "\n".join(_record(n, name) for n in range(3)).encode()
+            (folder / f"aarecords_{name}__0.json.gz").write_bytes(gzip.compress(lines))
+        o = IngestOptions(min_file_bytes=1, seed=seed)
+        got = ingest(spark, str(tmp_path / f"torrent{seed}"), str(tmp_path / f"out{seed}"), o)["elasticsearchaux"]
+        for name in ("metadata", "journals"):
+            assert got.counts[name]["rows"] == 3 and got.counts[name]["fields"] > 5

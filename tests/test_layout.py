@@ -43,17 +43,33 @@ def _table(spark, path):
     return landing.list_files(spark, path, "*.parquet")
 
 
-@pytest.mark.parametrize("by_base", [True, False])
-def test_compaction_keeps_every_row(spark, tmp_path, by_base):
+@pytest.mark.parametrize("by", ["directory", "base", "none"])
+def test_compaction_keeps_every_row(spark, tmp_path, by):
     files = _table(spark, str(tmp_path / "in"))
     before = files.count()
     out = str(tmp_path / "out")
-    report = layout.compact(spark, files, out, by_base=by_base)
+    report = layout.compact(spark, files, out, by=by)
+    assert report.pop("files_out") <= before
     assert report == {"files_in": before, "rows_in": 320, "rows_out": 320}
-    df = readers.read_shredded(spark, out)
+    df = readers.read_shredded(spark, out, merge_schema=True)
     ids = [r["_id"] for r in df.collect()]
     assert sorted(ids, key=int) == [str(i) for i in range(320)]
     assert df.filter("c = 'a'").count() == 300 and df.filter("d = 'b'").count() == 20
     assert files.count() == before  # inputs stay
-    if not by_base:
+    if by == "none":
         assert landing.list_files(spark, out, "*.parquet").count() == 1
+
+
+def test_compaction_keeps_partition_columns_and_merges_own_files(spark, tmp_path):
+    rows = spark.range(0, 6000, 1, 6).select(
+        F.col("id").cast("string").alias("_id"),
+        F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("dataset"))
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows.write.partitionBy("dataset").parquet(path)
+    files = landing.list_files(spark, path, "*.parquet")
+    hot = files.filter(F.col("path").contains("dataset=hot")).agg(F.sum("length")).first()[0]
+    report = layout.compact(spark, files, out, target_bytes=hot // 2 + 1)
+    assert report["files_in"] == 12 and report["files_out"] <= 3
+    df = readers.read_shredded(spark, out)
+    assert df.columns == ["_id", "dataset"]
+    assert {r["dataset"]: r["count"] for r in df.groupBy("dataset").count().collect()} == {"small": 600, "hot": 5400}

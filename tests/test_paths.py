@@ -144,9 +144,11 @@ def test_groups(spark):
 
 
 def test_samples_are_repeatable(spark):
-    df = spark.range(2000).select(F.lit("d").alias("dataset"), F.lit("same line").alias("value"))
-    n = pt.sample_rows(df, 0.2, seed=3).count()
-    assert n == pt.sample_rows(df, 0.2, seed=3).count() and 300 < n < 500
+    df = spark.range(2000).select(F.lit("d").alias("dataset"), F.concat(F.lit("line "), "id").alias("value"))
+    kept = sorted(r["value"] for r in pt.sample_rows(df, 0.2, seed=3).collect())
+    # the same rows however they lie in partitions
+    assert kept == sorted(r["value"] for r in pt.sample_rows(df.repartition(5), 0.2, seed=3).collect())
+    assert 300 < len(kept) < 500 and pt.sample_rows(df, 0.2, seed=4).count() != 0
     files = spark.range(23).select(F.concat(F.lit("f"), "id").alias("path"),
                                    F.when(F.col("id") < 3, "few").otherwise("many").alias("dataset"))
     kept = pt.sample_files(files, 0.2).groupBy("dataset").count().collect()
@@ -169,3 +171,17 @@ def test_thresholds_are_exact(spark):
         lines = ['{"k":1}'] * n + ["{}"] * (total - n)
         assert fl.select_fields(_profile(spark, lines)).count() == 1
         assert fl.select_fields(_profile(spark, [*lines, "{}"])).count() == 0
+
+
+def test_wide_and_deep_records_are_profiled_in_seconds(spark):
+    """Work follows the size of a record, and a dataset may have as many paths as records."""
+    import time
+
+    deep = "1"
+    for level in range(20):
+        deep = '{"l%d":%s%s}' % (level, deep, "".join(f',"k{i}":{{"x":"a{{"}}' for i in range(500)) if level == 10 else "")
+    start = time.time()
+    assert pt.count_paths(spark.createDataFrame([("d", deep)], "dataset string, value string")).count() == 1 + 20 + 1000
+    ids = spark.range(100_000).select(F.lit("d").alias("dataset"), F.concat(F.lit('{"k'), "id", F.lit('":1}')).alias("value"))
+    assert pt.profile(ids).agg(F.count("*"), F.min("sampled_total"), F.max("sampled_total")).first()[:] == (100_000,) * 3
+    assert time.time() - start < 90

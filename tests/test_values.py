@@ -82,5 +82,10 @@ def test_cover_source_takes_the_first_host(spark):
 def test_json_strings(spark):
     rows = ['["a","b"]', "[]", "[null]", '[1,{"k":2}]', "plain", None]
     df = spark.createDataFrame([(s,) for s in rows], "s string")
-    got = [r[0] for r in df.select(V.json_strings("s")).collect()]
+    got = [r[0] for r in df.select(V.json_strings("s", strict=False)).collect()]
     assert got == [["a", "b"], [], [None], ["1", '{"k":2}'], None, None]
+    bad = ["[a, b]", '["a"', '"x"', '{"a":1}', '["a"] junk', "plain"]
+    wrong = spark.createDataFrame([(s,) for s in [*bad, "[]", None]], "s string")
+    assert [r[0] for r in wrong.select(V.unreadable_list("s")).collect()] == [True] * 6 + [False] * 2
+    with pytest.raises(Exception, match="not a JSON array"):
+        wrong.select(V.json_strings("s")).collect()
