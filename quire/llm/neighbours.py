@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from quire.llm.common import table, written
 
 M = 8  # projected dimensions; even, so that the chi-square distribution has a closed form
-CONFIDENCE = 0.98
+CONFIDENCE = 0.95
 SAMPLE = 20_000
 CELL_ROWS = 4000
-LEAF = 64
+LEAF = 512
 K = 5
 SEED = 5
 
@@ -112,14 +112,13 @@ class Tree:
             self.right[node] = self._build(points, mid, hi, leaf)
         return node
 
-    def nearest_first(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """Leaves as rows of points by growing squared distance of their boxes."""
+    def nearest_first(self, point: np.ndarray) -> Iterator[tuple[float, int, int]]:
+        """Leaves by growing squared distance of their boxes, each as a range of ``order``."""
         heap = [(0.0, 0)]
         while heap:
             distance, node = heapq.heappop(heap)
             if self.left[node] < 0:
-                lo, hi = self.span[node]
-                yield distance, self.order[lo:hi]
+                yield distance, *self.span[node]
                 continue
             for child in (self.left[node], self.right[node]):
                 gap = np.maximum(0.0, np.maximum(self.low[child] - point, point - self.high[child]))
@@ -190,35 +189,53 @@ class Cells:
         return out
 
 
-def search(tree: Tree, projected: np.ndarray, vectors: np.ndarray, ids: list[list[int]], query: np.ndarray,
-           point: np.ndarray, own: int, k: int, limit: float, best: list[float]) -> list[tuple[float, int]]:
-    """Hits of one query in one cell.
-
-    Leaves come by growing projected distance; what is left is not looked at once the test holds for the ``k``-th best
-    distance so far (``best`` are cosines known from elsewhere).
-    """
-    hits: list[tuple[float, int]] = []
-    top = sorted(best, reverse=True)[:k]
-
-    def radius() -> float:  # squared
-        return limit * max(0.0, 2 - 2 * top[-1]) + 1e-9 if len(top) == k else math.inf
-
-    for distance, rows in tree.nearest_first(point):
-        reach = radius()
-        if distance > reach:
-            break
-        gaps = projected[rows] - point
-        gaps = (gaps * gaps).sum(axis=1)
-        rows = rows[gaps <= reach]
-        if not len(rows):
-            continue
-        for row, s in zip(rows.tolist(), cosine(query, vectors[rows]).tolist()):
-            for i in ids[row]:
-                if i != own:
-                    hits.append((s, i))
-                    top.append(s)
-        top = sorted(top, reverse=True)[:k]
-    return sorted(hits, key=lambda h: (-h[0], h[1]))[:k]
+class Cell:
+    """The vectors of one cell under their kd-tree, in its order."""
+
+    def __init__(self, vectors: np.ndarray, ids: list[list[int]]):
+        unit = _unit(vectors)
+        projected = unit @ projection(vectors.shape[1])
+        self.tree = Tree(projected, LEAF)
+        order = self.tree.order
+        self.vectors, self.unit, self.projected = vectors[order], unit[order], projected[order]
+        self.ids = [ids[i] for i in order]
+        self.copies = np.array([len(i) for i in self.ids])
+
+    def search(self, query: np.ndarray, own: int, k: int, limit: float, best: list[float]) -> list[tuple[float, int]]:
+        """Hits of one query.
+
+        Leaves come by growing projected distance; what is left is not looked at once the test holds for the ``k``-th
+        best distance so far (``best`` are cosines known from elsewhere). Vectors are verified on the unit vectors;
+        those that may be among the best are scored exactly, on the original ones.
+        """
+        unit = _unit(query[None])[0]
+        point = unit @ projection(len(query))
+        top = sorted(best, reverse=True)[:k]
+        rows: list[int] = []
+        scores: list[float] = []
+        for distance, lo, hi in self.tree.nearest_first(point):
+            reach = limit * max(0.0, 2 - 2 * top[-1]) + 1e-9 if len(top) == k else math.inf  # squared
+            if distance > reach:
+                break
+            gaps = self.projected[lo:hi] - point
+            near = np.einsum("ij,ij->i", gaps, gaps) <= reach
+            found = self.unit[lo:hi] @ unit
+            if len(top) == k:
+                near &= found >= top[-1] - 1e-9
+            at = np.flatnonzero(near)
+            if not len(at):
+                continue
+            rows += (at + lo).tolist()
+            scores += found[at].tolist()
+            # the query itself is among them perhaps: one of its copies does not count
+            counted = [s for r, s in zip((at + lo).tolist(), found[at].tolist())
+                       for _ in range(self.copies[r] - (own in self.ids[r]))]
+            top = sorted(top + counted, reverse=True)[:k]
+        floor = top[-1] - 1e-9 if len(top) == k else -math.inf
+        rows = [r for r, s in zip(rows, scores) if s >= floor]
+        exact = cosine(query, self.vectors[rows]).tolist() if rows else []
+        hits = [(s, i) for r, s in zip(rows, exact) for i in self.ids[r] if i != own]
+        return sorted(hits, key=lambda h: (-h[0], h[1]))[:k]
 
 
 # ---------------------------------------------------------------- Spark
@@ -274,15 +291,11 @@ def _search_cell(k: int, limit: float, wider: bool):
         """Queries of a cell (left) against its vectors (right)."""
         out: list[tuple[int, int, float]] = []
         if left.num_rows and right.num_rows:
-            vectors = _matrix(right.column("vector").combine_chunks())
-            weights = projection(vectors.shape[1])
-            projected = _unit(vectors) @ weights
-            tree, ids = Tree(projected, LEAF), right.column("ids").to_pylist()
+            cell = Cell(_matrix(right.column("vector").combine_chunks()), right.column("ids").to_pylist())
             queries = _matrix(left.column("vector").combine_chunks())
-            points = _unit(queries) @ weights
             known = left.column("best").to_pylist() if wider else [[]] * len(queries)
-            for own, q, p, best in zip(left.column("vec_id").to_pylist(), queries, points, known):
-                out += [(own, i, s) for s, i in search(tree, projected, vectors, ids, q, p, own, k, limit, best)]
+            for own, query, best in zip(left.column("vec_id").to_pylist(), queries, known):
+                out += [(own, i, s) for s, i in cell.search(query, own, k, limit, best)]
         columns = list(zip(*out)) or [()] * 3
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()),
                          "score": pa.array(columns[2], pa.float64())})
