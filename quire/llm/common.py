@@ -34,6 +34,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of an Arrow text column; a null is the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -39,15 +39,17 @@ from quire.llm.common import bytes_of, table, written
 
 HIDDEN = 16
 CLASS = 32
-ENTRIES = 1024  # vocabulary of the network: frequent words, the end sign and the groups
+ENTRIES = 512  # vocabulary of the network: frequent words, the end sign and the groups
 GROUPS = 96
 COMMON = 50_000  # words whose counts every worker holds; rarer ones are joined
-LANES = 128
+LANES = 256
 STEPS = 20
+PIECE = 400  # tokens; training cuts longer documents, so that lanes stay full. Scoring cuts none
 ROUNDS = 3
-RATE = 0.12
-INIT = 1e-4  # start of the sums of squared gradients
+RATE = 0.1
+INIT = 1e-5  # start of the sums of squared gradients
 SHARD_TOKENS = 1_000_000  # tokens of a shard in one round
+SCORED_TOKENS = 3_000_000  # in lanes side by side; a limit on memory only
 END = b""  # no word is empty
 ALPHA = 0.1
 
@@ -158,7 +160,8 @@ class Network:
         by_class = mass.reshape(classes, CLASS)
         start = np.log(by_class / by_class.sum(axis=1, keepdims=True))
         self.p = {
-            "x": draw(ENTRIES + 1, 2 * HIDDEN),  # input of each entry to gate and content; the last is a document's start
+            # input of each entry to gate and content; the last two are a document's start and the start of a later piece
+            "x": draw(ENTRIES + 2, 2 * HIDDEN),
             "f": draw(HIDDEN, HIDDEN) * 2, "n": draw(HIDDEN, HIDDEN) * 2,
             "c": draw(HIDDEN, classes), "cb": np.log(by_class.sum(axis=1) / mass.sum()).astype(np.float32),
             "w": draw(classes, HIDDEN, CLASS), "wb": start.astype(np.float32),
@@ -331,8 +334,13 @@ def _inputs(targets: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def train(net: Network, docs: list[np.ndarray]) -> int:
     """One pass over documents by truncated backpropagation with adaptive steps; tokens seen."""
-    targets, starts, sizes, _ = lanes_of(docs, LANES)
-    inputs = _inputs(targets, starts) if len(docs) else targets
+    pieces = [d[i:i + PIECE] for d in docs for i in range(0, len(d), PIECE)]
+    later = [i > 0 for d in docs for i in range(0, len(d), PIECE)]
+    targets, starts, sizes, begin = lanes_of(pieces, LANES)
+    inputs = _inputs(targets, starts) if len(pieces) else targets
+    for (lane, at), middle in zip(begin, later):
+        if middle:
+            inputs[at, lane] = ENTRIES + 1
     state = np.zeros((targets.shape[1], HIDDEN), np.float32)
     squares = {k: np.full_like(v, INIT) for k, v in net.p.items()}
     for at in range(0, len(targets), STEPS):
@@ -357,12 +365,16 @@ def train(net: Network, docs: list[np.ndarray]) -> int:
 
 def score(p: dict, docs: list[np.ndarray], lanes: int = 512) -> np.ndarray:
     """Natural log-probability of each document's entries."""
-    targets, starts, sizes, begin = lanes_of(docs, lanes)
     if not len(docs):
         return np.zeros(0)
+    targets, starts, sizes, begin = lanes_of(docs, lanes)
     inputs = _inputs(targets, starts)
+    lane, first = np.array(begin).T
+    ends = first + np.array([len(d) for d in docs])
+    by_end = np.argsort(ends, kind="stable")
     state = np.zeros((targets.shape[1], HIDDEN), np.float32)
-    sums = np.zeros((len(targets) + 1, targets.shape[1]))
+    lane_sums = np.zeros(targets.shape[1])
+    sums = np.zeros(len(docs))  # of a document's lane when it ends
     for at in range(0, len(targets), 64):
         end = min(at + 64, len(targets))
         live = np.searchsorted(-sizes, -np.arange(at, end), side="left")
@@ -372,9 +384,18 @@ def score(p: dict, docs: list[np.ndarray], lanes: int = 512) -> np.ndarray:
         mask = np.arange(at, end)[:, None] < sizes[:n]
         own = np.zeros(mask.shape)
         own[mask] = log_probabilities(p, out[mask], targets[at:end, :n][mask].astype(np.int64))
-        sums[at + 1:end + 1, :n] = own
-    sums = np.cumsum(sums, axis=0)
-    return np.array([sums[at + len(d), lane] - sums[at, lane] for d, (lane, at) in zip(docs, begin)])
+        own = lane_sums[:n] + np.cumsum(own, axis=0)
+        lane_sums[:n] = own[-1]
+        over = by_end[np.searchsorted(ends[by_end], at, "right"):np.searchsorted(ends[by_end], end, "right")]
+        sums[over] = own[ends[over] - 1 - at, lane[over]]
+    # a lane's documents follow each other: each one's share is the rise since the one before it
+    order = np.lexsort((first, lane))
+    rise = np.diff(sums[order], prepend=0.0)
+    fresh = first[order] == 0
+    rise[fresh] = sums[order][fresh]
+    found = np.empty(len(docs))
+    found[order] = rise
+    return found
 
 
 # ---------------------------------------------------------------- Spark
@@ -487,10 +508,13 @@ def scores(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2500):
-                part = batch.slice(lo, 2500)
-                own = score(params.value, [np.frombuffer(x, np.int16) for x in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own / np.log(10))], ["uid", "net"])
+            entries = [np.frombuffer(x, np.int16) for x in batch.column(1).to_pylist()]
+            blocks = np.cumsum([len(x) for x in entries]) // SCORED_TOKENS  # rows that are scored together
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(entries)]
+            for lo, hi in zip(edges, edges[1:]):
+                own = score(params.value, entries[lo:hi])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(own / np.log(10))],
+                                                 ["uid", "net"])
 
     scored = rows.select("uid", "entries").mapInArrow(run, "uid long, net double")
     # words that are not everywhere known, by their counts

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import bytes_of, table, written
+from quire.llm.common import bytes_of, fresh, table, written
 
 SHINGLE = 4
 PERCENT = 85
@@ -435,8 +435,9 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, i
     """
     found = written(join(docs, percent, width, id_column=id_column, text_column=text_column), "components")
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0)
-    firsts = found.filter(first).select(F.col("doc_id").alias("_j_id")).distinct()
-    kept = docs.join(firsts, F.col(id_column).cast("long").eqNullSafe(F.col("_j_id")), "left_semi")
+    name = fresh(docs, "first_id")
+    firsts = found.filter(first).select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(firsts, F.col(id_column).cast("long").eqNullSafe(F.col(name)), "left_semi")
     if found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").limit(1).count():
         kept = kept.dropDuplicates([id_column, text_column])  # rows that repeat an id and its text
     return kept

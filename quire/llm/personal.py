@@ -19,7 +19,7 @@ other modulo its own range. It is a bijection on the values of a format, so equa
 different ones stay different, and nothing has to be stored or joined.
 
 Defined cases: a null text stays null; an empty text stays empty; repeated rows give repeated results; an empty table
-gives an empty result; other columns are as they were (names that begin with ``_p_`` are the operator's own).
+gives an empty result; other columns, of any name, are as they were.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import table
+from quire.llm.common import fresh, table
 
 KEY = "pseudonyms"  # a deployment passes its own
 ROUNDS = 8
@@ -210,17 +210,18 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_column: str = "text", kin
     """
     text = F.col(text_column)
     finds = F.when(text.rlike(PATTERN), F.regexp_extract_all(text, F.lit(PATTERN), 0))
-    found = docs.withColumn("_p_found", finds)
+    old, new_ones = fresh(docs, "found"), fresh(docs, "pseudonyms")
+    found = docs.withColumn(old, finds)
     secret = F.lit(key)
-    new = found.withColumn("_p_new", F.transform("_p_found", lambda m: pseudonym(m, secret)))
+    new = found.withColumn(new_ones, F.transform(old, lambda m: pseudonym(m, secret)))
     between = F.split(text, PATTERN, -1)
-    pairs = F.zip_with(between, F.concat("_p_new", F.array(F.lit(""))), lambda t, p: F.concat(t, p))
+    pairs = F.zip_with(between, F.concat(F.col(new_ones), F.array(F.lit(""))), lambda t, p: F.concat(t, p))
     joined = F.array_join(pairs, "")
-    out = new.withColumn(text_column, F.when(F.col("_p_found").isNull(), text).otherwise(joined))
+    out = new.withColumn(text_column, F.when(F.col(old).isNull(), text).otherwise(joined))
     if kinds_column:
-        kinds = F.zip_with("_p_found", "_p_new", lambda m, p: F.when(m != p, kind_of(m)))  # nulls are not joined
+        kinds = F.zip_with(old, new_ones, lambda m, p: F.when(m != p, kind_of(m)))  # nulls are not joined
         out = out.withColumn(kinds_column, F.coalesce(F.array_join(kinds, ","), F.lit("")))
-    return out.drop("_p_found", "_p_new")
+    return out.drop(old, new_ones)
 
 
 def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,7 @@ The 8-word windows of a document are compared by a 64-bit hash of their words' 6
 20,000 words two different windows share one with a chance of about 1e-11.
 
 Defined cases: a null text has no words and is rejected, as is an empty one; repeated rows get equal verdicts; an
-empty table gives an empty result; other columns pass through ``keep`` and are not looked at (names that begin with
-``_q_`` are the operator's own).
+empty table gives an empty result; other columns, of any name, pass through ``keep`` and are not looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import table, written
+from quire.llm.common import fresh, table, written
 
 SAMPLE_ROWS = 2000  # rows on which cost and selectivity are estimated; results do not depend on it
 WINDOW = 8
@@ -152,9 +151,10 @@ def keep(docs: DataFrame, rules: Mapping[str, Callable[[Measures], Column]] = RU
          text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns as they were."""
     order = ordered(estimate(docs, rules, text_column))
-    split = docs.withColumn("_q_words", words_of(F.col(text_column)))
-    names = measures(F.col(text_column), F.col("_q_words"))
-    return split.withColumn("_q_kept", passes(names, order, rules)).filter("_q_kept").drop("_q_words", "_q_kept")
+    words, kept = fresh(docs, "words"), fresh(docs, "kept")
+    split = docs.withColumn(words, words_of(F.col(text_column)))
+    names = measures(F.col(text_column), F.col(words))
+    return split.withColumn(kept, passes(names, order, rules)).filter(F.col(kept)).select(*docs.columns)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

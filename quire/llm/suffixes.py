@@ -18,8 +18,8 @@ step is keyed by hashes, counts are combined before shuffles, and lists are gath
 passage that a third of all documents hold is not gathered anywhere.
 
 Defined cases: a null text is empty; texts under ``WIDTH`` bytes have nothing to remove; rows repeated in full are
-places of their own, so they lose all their windows; an empty table gives an empty result; other columns pass
-through (names that begin with ``_s_`` are the operator's own).
+places of their own, so they lose all their windows; an empty table gives an empty result; other columns, of
+any name, pass through.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import bytes_of, table, written
+from quire.llm.common import bytes_of, fresh, table, written
 
 WIDTH = 400
 SEGMENT = 1 << 23  # window starts of a long text that are looked at together; a limit on memory only
@@ -204,8 +204,8 @@ def _windows(width: int, part: int):
 def named(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Documents with the 96-bit name of their id and text, by which spans find them again."""
     return docs.withColumns({
-        "_s_1": F.xxhash64(F.col(id_column), F.col(text_column)),
-        "_s_2": F.hash(F.lit(7), F.col(text_column), F.col(id_column)),
+        fresh(docs, "name1"): F.xxhash64(F.col(id_column), F.col(text_column)),
+        fresh(docs, "name2"): F.hash(F.lit(7), F.col(text_column), F.col(id_column)),
     })
 
 
@@ -213,7 +213,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id
                    part: int = PART) -> DataFrame:
     """``u1, u2, spans``: for each named document with repeats, the byte spans covered by them (not yet merged)."""
     texts = named(docs.select(id_column, F.col(text_column).cast("string").alias(text_column)), id_column, text_column)
-    texts = texts.select(F.col("_s_1").alias("u1"), F.col("_s_2").alias("u2"), F.col(text_column).alias("text"))
+    texts = texts.toDF("id", "text", "u1", "u2").select("u1", "u2", "text")
     rows = written(texts.mapInArrow(_runs(width), _RUNS), "runs")
     within = rows.filter("k IS NULL").select("u1", "u2", "lo", F.col("hi").alias("end"))
     # pass 1: groups of one run are done
@@ -257,10 +257,12 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id
 
 
 def with_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` and ``_s_spans``, their repeated byte spans (null: none)."""
+    """All rows and columns of ``docs`` and, last, their repeated byte spans (null: none)."""
     spans = repeated_spans(docs, width, id_column, text_column)
-    spans = spans.select(F.col("u1").alias("_s_1"), F.col("u2").alias("_s_2"), F.col("spans").alias("_s_spans"))
-    return named(docs, id_column, text_column).join(spans, ["_s_1", "_s_2"], "left").drop("_s_1", "_s_2")
+    keyed = named(docs, id_column, text_column)
+    name1, name2 = keyed.columns[-2:]
+    spans = spans.toDF(name1, name2, fresh(docs, "spans"))
+    return keyed.join(spans, [name1, name2], "left").drop(name1, name2)
 
 
 def _kept(text: bytes, spans: np.ndarray) -> tuple[bytes, list[tuple[int, int]]]:
@@ -285,7 +287,7 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                                              [f.split()[0] for f in REMOVED.split(", ")])
 
     found = with_spans(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), width)
-    return found.select("doc_id", "text", "_s_spans").mapInArrow(run, REMOVED)
+    return found.mapInArrow(run, REMOVED)
 
 
 @F.pandas_udf(T.StringType())
@@ -301,8 +303,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id
     text stays null. Other columns are as they were."""
 
     found = with_spans(docs, width, id_column, text_column)
-    edges = F.flatten(F.transform("_s_spans", lambda x: F.array(x["lo"], x["end"])))
-    left = F.when(F.col("_s_spans").isNull(), F.col(text_column)).otherwise(_cut(F.col(text_column), edges))
+    spans = F.col(found.columns[-1])
+    edges = F.flatten(F.transform(spans, lambda x: F.array(x["lo"], x["end"])))
+    left = F.when(spans.isNull(), F.col(text_column)).otherwise(_cut(F.col(text_column), edges))
     return found.withColumn(text_column, left).select(*docs.columns)
 
 
