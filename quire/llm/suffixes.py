@@ -201,6 +201,23 @@ def _windows(width: int, part: int):
     return run
 
 
+def _covered(width: int, part: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Merged byte spans of the windows and parts of each run that repeat."""
+        for batch in batches:
+            out: list[list] = [[] for _ in range(4)]
+            columns = [batch.column(c).to_pylist() for c in ("u1", "u2", "lo", "hi", "at", "os", "js")]
+            for u1, u2, lo, hi, at, windows, parts in zip(*columns):
+                spans = [(at - o, at - o + width) for o in windows or []]
+                spans += [(max(lo, at - j * part - part + 1), min(hi, at - j * part) + width) for j in parts or []]
+                for start, end in _merged(np.array(spans, np.int64)):
+                    for column, value in zip(out, (u1, u2, start, end)):
+                        column.append(value)
+            yield _batch(out, "u1 long, u2 int, lo int, end int")
+
+    return run
+
+
 def named(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Documents with the 96-bit name of their id and text, by which spans find them again."""
     return docs.withColumns({
@@ -245,15 +262,15 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id
     windows = contexts.drop("u1", "u2").join(open_parts, "rid")
     windows = written(windows.mapInArrow(_windows(width, part), "k long, w long, rid long, o int"), "windows")
     again = windows.groupBy("k", "w").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("k", "w")
-    single = windows.join(again, ["k", "w"]).select("rid", F.col("o").alias("near"), F.col("o").alias("far"))
-    near = F.col("j") * part
-    found = single.unionByName(done.select("rid", near.alias("near"), (near + part - 1).alias("far")))
-    first = F.greatest("lo", F.col("at") - F.col("far"))
-    last = F.least("hi", F.col("at") - F.col("near"))
-    edges = contexts.select("rid", "u1", "u2", "lo", "hi", "at").join(found, "rid")
-    edges = edges.select("u1", "u2", first.alias("lo"), (last + width).alias("end"))
+    # what repeats of each run: at most as many entries as the run has windows and parts
+    single = windows.join(again, ["k", "w"]).groupBy("rid").agg(F.collect_list("o").alias("os"))
+    single = written(single, "single")
+    done = done.groupBy("rid").agg(F.collect_list("j").alias("js"))
+    runs_left = contexts.select("rid", "u1", "u2", "lo", "hi", "at").join(single, "rid", "left").join(done, "rid", "left")
+    edges = runs_left.filter("os IS NOT NULL OR js IS NOT NULL").mapInArrow(
+        _covered(width, part), "u1 long, u2 int, lo int, end int")
     spans = whole.unionByName(within).unionByName(edges)
-    return written(spans.groupBy("u1", "u2").agg(F.collect_set(F.struct("lo", "end")).alias("spans")), "spans")
+    return written(spans.groupBy("u1", "u2").agg(F.collect_list(F.struct("lo", "end")).alias("spans")), "spans")
 
 
 def with_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
