@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import scratch_path
+
 from quire.functions.values import round2
 
 
@@ -82,7 +84,11 @@ def quantiles(df: DataFrame, value: str, shares: Sequence[float], blocks: int =
     hold a wanted rank are then ordered, each on its own; the other blocks contribute their row count.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    blocked = counts.withColumn("__block", block_of(F.col(value), block_bounds(df, value, blocks)))
+    # written once: bounds, block sizes and the ordering read the counts, not the rows
+    stored = scratch_path(df.sparkSession, "counts")
+    counts.write.parquet(stored)
+    counts = df.sparkSession.read.schema(counts.schema).parquet(stored)
+    blocked = counts.withColumn("__block", block_of(F.col(value), block_bounds(counts, value, blocks)))
     sizes = sorted(tuple(r) for r in blocked.groupBy("__block").agg(F.sum("__n")).collect())  # <= blocks rows
     total = sum(n for _, n in sizes)
     wanted, before = [], 0
