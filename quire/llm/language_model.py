@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -414,48 +415,51 @@ def coded(docs: DataFrame, known) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = known.value
         floor = np.log10(v.floor)
-        cache: dict[bytes, tuple[int, float, float]] = {}
+        number: dict[bytes, int] = {}  # of a word in the three tables
+        entry, base, share = np.empty(0, np.int16), np.empty(0), np.empty(0)
 
         def of(word: bytes) -> tuple[int, float, float]:
             """Entry; base score (nan: to be joined); share of the group (0 for a listed word)."""
-            entry, c = v.entry(word), v.count.get(word)
-            base = np.nan if c is None else np.log10(c + ALPHA) - floor
-            share = 0.0 if word in v.listed else np.nan if c is None else np.log10(c + ALPHA) - v.group_floor[group_of(word)]
-            return entry, base, share
+            c = v.count.get(word)
+            own = np.nan if c is None else np.log10(c + ALPHA)
+            return v.entry(word), own - floor, 0.0 if word in v.listed else own - v.group_floor[group_of(word)]
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                rows = []
-                for uid, key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), bytes_of(part.column(2))):
-                    words = words_of(text)
-                    words.append(END)
-                    if len(cache) > 200_000:
-                        cache.clear()
-                    for w in set(words).difference(cache):
-                        cache[w] = of(w)
-                    found = [cache[w] for w in words]
-                    entries = np.array([f[0] for f in found], np.int16)
-                    base, known_words, shares = 0.0, 0, 0.0
-                    rare: list[bytes] = []
-                    for w, (_, b, s) in zip(words, found):
-                        if b == b:
-                            base += b
-                            shares += s
-                            known_words += 1
-                        else:
-                            rare.append(w)
-                    rows.append((uid, key, held_out(key), len(words), known_words, base, entries.tobytes(),
-                                 [(w, n, w not in v.listed) for w, n in Counter(rare).items()], shares))
-                yield pa.RecordBatch.from_pylist(
-                    [dict(zip(names, r)) | {"rare": [dict(zip(("word", "n", "grouped"), x)) for x in r[7]]} for r in rows],
-                    schema=schema)
+                texts = [[*words_of(t), END] for t in bytes_of(part.column(2))]
+                if len(number) > 200_000:
+                    number.clear()
+                    entry, base, share = entry[:0], base[:0], share[:0]
+                if new := list(set().union(*texts).difference(number)):
+                    number.update(zip(new, range(len(number), len(number) + len(new))))
+                    e, b, s = zip(*map(of, new))
+                    entry, base, share = np.append(entry, np.array(e, np.int16)), np.append(base, b), np.append(share, s)
+                words = list(chain.from_iterable(texts))
+                flat = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                sizes = np.array([len(t) for t in texts])
+                starts = np.cumsum(sizes) - sizes  # no text is empty: all have the end
+                rare = np.isnan(base[flat])
+                sums = [np.add.reduceat(np.where(rare, 0.0, x[flat]), starts) for x in (base, share)]
+                known_words = sizes - np.add.reduceat(rare.astype(np.int64), starts)
+                entries, joined = entry[flat], [Counter() for _ in texts]
+                at = np.flatnonzero(rare)
+                for i, d in zip(at.tolist(), (np.searchsorted(starts, at, side="right") - 1).tolist()):
+                    joined[d][words[i]] += 1
+                keys = part.column(1).to_pylist()
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0), part.column(1), pa.array([held_out(k) for k in keys]), pa.array(sizes, pa.int64()),
+                    pa.array(known_words, pa.int64()), pa.array(sums[0]),
+                    pa.array([entries[a:a + n].tobytes() for a, n in zip(starts, sizes)], pa.binary()),
+                    pa.array([[{"word": w, "n": n, "grouped": w not in v.listed} for w, n in c.items()] for c in joined],
+                             schema.field("rare").type),
+                    pa.array(sums[1])], schema=schema)
 
     fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
               ("n_known", pa.int64()), ("base", pa.float64()), ("entries", pa.binary()),
               ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32()), ("grouped", pa.bool_())]))),
               ("shares", pa.float64())]
-    schema, names = pa.schema(fields), [f[0] for f in fields]
+    schema = pa.schema(fields)
     numbered = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
     return numbered.mapInArrow(run, _CODED + ", shares double")
 
