@@ -6,6 +6,8 @@ back, so their work grows with the tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks.raw import raw_lines, raw_sql
@@ -92,6 +94,7 @@ def write_zstd_lines(lines, path):
     uri = path if "://" in path else f"file://{path}"
 
     def write(batches):
+        import pyarrow.compute as pc
         from pyarrow import RecordBatch, fs
         from pyspark import TaskContext
 
@@ -99,12 +102,13 @@ def write_zstd_lines(lines, path):
         files.create_dir(root, recursive=True)
         part, n, streams = TaskContext.get().partitionId(), 0, {}
         for batch in batches:
-            for row in batch.to_pylist():
-                name = f"public_meta__aacid__{row['dataset']}__{part:05d}.jsonl.seekable.zst"
+            for dataset in pc.unique(batch.column("dataset")).to_pylist():
+                name = f"public_meta__aacid__{dataset}__{part:05d}.jsonl.seekable.zst"
                 if name not in streams:
                     streams[name] = files.open_output_stream(f"{root}/{name}", compression="zstd")
-                streams[name].write(row["value"].encode() + b"\n")
-                n += 1
+                own = batch.filter(pc.equal(batch.column("dataset"), dataset)).column("value").to_pylist()
+                streams[name].write(("\n".join(own) + "\n").encode())
+                n += len(own)
         for stream in streams.values():
             stream.close()
         yield RecordBatch.from_pydict({"n": [n]})
@@ -131,14 +135,20 @@ def _landing(spark, sf_dir):
     """Lines written as ``aa<n>/<group>/`` files; the selection must keep exactly the right ones."""
     base = scratch_path(spark, "torrent")
     lines = raw_lines(spark, sf_dir)
-    for folder, aac in (("aa2024/elasticsearch", False), ("bb2024/elasticsearch", False), ("aa2024/other", False)):
-        lines.filter(F.col("dataset").startswith("aac_") == F.lit(aac)).select("value").write.option(
-            "compression", "gzip"
-        ).text(f"{base}/{folder}")
-    kept = landing.landing_files(spark, base, min_bytes=1)
-    rows = readers.read_lines(spark, [r["path"] for r in kept.select("path").collect()])
-    groups = kept.select("dataset_group").distinct()
-    return groups.select("dataset_group", rows.agg(F.count(F.lit(1))).scalar().alias("n_lines"))
+    aac, aux = F.col("dataset").startswith("aac_"), F.col("dataset").isin("metadata", "journals", "digital_lending")
+    folders = {"aa2024/elasticsearch": ~aac & ~aux, "aa2024/elasticsearchaux": aux, "bb2024/elasticsearch": ~aac,
+               "aa2024/other": ~aac}
+    for folder, chosen in folders.items():
+        lines.filter(chosen).select("value").write.option("compression", "gzip").text(f"{base}/{folder}")
+    write_zstd_lines(lines.filter(aac), f"{base}/aa2024/aac")
+    (spark.range(1).select(F.lit("{}").alias("value")).write.option("compression", "gzip")
+     .mode("append").text(f"{base}/aa2024/elasticsearch"))  # below the smallest size
+    kept = landing.landing_files(spark, base, min_bytes=100)
+    paths = kept.select(F.col("path").alias("kept"), "dataset_group").collect()  # one row a file
+    group = {r["kept"]: r["dataset_group"] for r in paths}
+    parts = [readers.read_lines(spark, [p for p, g in group.items() if g == name]).select(F.lit(name).alias("dataset_group"))
+             for name in sorted(set(group.values()))]
+    return reduce(lambda a, b: a.unionByName(b), parts).groupBy("dataset_group").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def _inferred(spark, sf_dir):
@@ -198,9 +208,10 @@ def _rows_per_file(spark, sf_dir):
 
 
 def _row_counts_on_write(spark, sf_dir):
-    _, counts = _written_records(spark, sf_dir)
-    one = spark.range(1)
-    return one.select(F.lit(counts["rows"]).cast("bigint").alias("n_rows"))
+    """What lies in the files, beside the number that the write itself reported."""
+    path, counts = _written_records(spark, sf_dir)
+    found = _summary(readers.read_shredded(spark, path))
+    return found.withColumn("rows_written", F.lit(counts["rows"]).cast("bigint"))
 
 
 def _compacted(by):
@@ -346,7 +357,8 @@ _BAD_FILES = "(SELECT DISTINCT file_path FROM raw WHERE NOT json_valid(value))"
 SQL = {
     "S01_gzip_lines": f"{raw_sql()}\nSELECT dataset AS \"set\", {_LINE_STATS} FROM raw GROUP BY 1",
     "S03_landing_files": f"""{raw_sql()}
-SELECT 'elasticsearch' AS dataset_group, count(*) AS n_lines FROM raw WHERE NOT ({_IS_AAC})""",
+SELECT CASE WHEN {_IS_AAC} THEN 'aac' WHEN dataset = 'records' THEN 'elasticsearch' ELSE 'elasticsearchaux' END
+  AS dataset_group, count(*) AS n_lines FROM raw GROUP BY 1""",
     "S04_dataset_of_file": f"{raw_sql()}\nSELECT doc_id, dataset FROM raw",
     "S05_group_of_directory": """SELECT doc_id, CASE WHEN substr(lang, 1, 1) = 'a' THEN 'elasticsearchaux'
   ELSE 'elasticsearch' END AS dataset_group FROM documents""",
@@ -365,7 +377,8 @@ FROM (SELECT dataset, whole::JSON AS j FROM built) WHERE NOT ({_IS_AAC}) GROUP B
     "S09_variant_read": "SELECT count(*) AS n, sum(strlen(text))::BIGINT AS title_bytes FROM documents",
     "S10_parquet_directory": f'{records_sql()}SELECT dataset AS "set", {_SUMMARY} FROM records GROUP BY 1',
     "S12_rows_per_file": f'{records_sql()}SELECT dataset AS "set", count(*) AS n_rows FROM records GROUP BY 1',
-    "S13_zstd_parquet_write": "SELECT count(*) AS n_rows FROM documents",
+    "S13_zstd_parquet_write": f"""{records_sql()}SELECT dataset AS "set", {_SUMMARY},
+  (SELECT count(*) FROM documents) AS rows_written FROM records GROUP BY 1""",
     "S16_quarantine_rows": f"""{raw_sql()}
 SELECT doc_id, value AS _corrupt_record FROM raw WHERE NOT json_valid(value) AND NOT ({_IS_AAC})""",
     "S16_quarantine_files": f"""{raw_sql()}
