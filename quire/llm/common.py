@@ -28,7 +28,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     disk to about what one step needs.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
