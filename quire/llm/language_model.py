@@ -27,14 +27,12 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.llm.common import bytes_of, table, written
 
@@ -42,7 +40,7 @@ HIDDEN = 16
 CLASS = 32
 ENTRIES = 512  # vocabulary of the network: frequent words, the end sign and the groups
 GROUPS = 96
-COMMON = 50_000  # words whose counts every worker holds; rarer ones are joined
+COMMON = 100_000  # words whose counts every worker holds; rarer ones are joined
 LANES = 256
 STEPS = 20
 PIECE = 400  # tokens; training cuts longer documents, so that lanes stay full. Scoring cuts none
@@ -50,7 +48,7 @@ ROUNDS = 3
 RATE = 0.1
 INIT = 1e-5  # start of the sums of squared gradients
 SHARD_TOKENS = 1_000_000  # tokens of a shard in one round
-SCORED_TOKENS = 3_000_000  # in lanes side by side; a limit on memory only
+SCORED_TOKENS = 6_000_000  # in lanes side by side; a limit on memory only
 END = b""  # no word is empty
 ALPHA = 0.1
 
@@ -87,7 +85,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not held_out(key):
                 seen.update(words_of(text))
                 seen[END] += 1
-            if len(seen) > 200_000:
+            if len(seen) > 500_000:
                 yield rows()
                 seen.clear()
     yield rows()
@@ -121,6 +119,23 @@ class Vocabulary:
         rank = np.empty(ENTRIES, np.int64)
         rank[np.argsort(-mass, kind="stable")] = np.arange(ENTRIES)
         self.rank, self.mass = rank, np.sort(mass)[::-1].copy()
+        self.forget()
+
+    def forget(self) -> None:
+        """Tables of the words met so far: number, entry, base score, share of the group, group."""
+        self.number: dict[bytes, int] = {}
+        self.tables = [np.empty(0, np.int16), np.empty(0), np.empty(0), np.empty(0, np.int32)]
+
+    def learn(self, words: list[bytes]) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        floor = np.log10(self.floor)
+        rows = []
+        for word in words:
+            c = self.count.get(word)
+            own = np.nan if c is None else np.log10(c + ALPHA)
+            g = -1 if word in self.listed else group_of(word)
+            rows.append((self.entry(word), own - floor, 0.0 if g < 0 else own - self.group_floor[g], g))
+        self.tables = [np.append(t, np.array(c, t.dtype)) for t, c in zip(self.tables, zip(*rows))]
 
     def entry(self, word: bytes) -> int:
         at = self.listed.get(word)
@@ -403,7 +418,7 @@ def score(p: dict, docs: list[np.ndarray], lanes: int = 512) -> np.ndarray:
 
 
 _CODED = ("uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, entries binary, "
-          "rare array<struct<word: binary, n: int, grouped: boolean>>")
+          "rare array<struct<word: binary, g: int>>")
 
 
 def coded(docs: DataFrame, known) -> DataFrame:
@@ -414,52 +429,42 @@ def coded(docs: DataFrame, known) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = known.value
-        floor = np.log10(v.floor)
-        number: dict[bytes, int] = {}  # of a word in the three tables
-        entry, base, share = np.empty(0, np.int16), np.empty(0), np.empty(0)
-
-        def of(word: bytes) -> tuple[int, float, float]:
-            """Entry; base score (nan: to be joined); share of the group (0 for a listed word)."""
-            c = v.count.get(word)
-            own = np.nan if c is None else np.log10(c + ALPHA)
-            return v.entry(word), own - floor, 0.0 if word in v.listed else own - v.group_floor[group_of(word)]
-
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 texts = [[*words_of(t), END] for t in bytes_of(part.column(2))]
-                if len(number) > 200_000:
-                    number.clear()
-                    entry, base, share = entry[:0], base[:0], share[:0]
-                if new := list(set().union(*texts).difference(number)):
-                    number.update(zip(new, range(len(number), len(number) + len(new))))
-                    e, b, s = zip(*map(of, new))
-                    entry, base, share = np.append(entry, np.array(e, np.int16)), np.append(base, b), np.append(share, s)
+                if len(v.number) > 300_000:  # a limit on memory only
+                    v.forget()
                 words = list(chain.from_iterable(texts))
-                flat = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                flat = np.fromiter(map(v.number.get, words, repeat(-1)), np.int64, len(words))
+                new = np.flatnonzero(flat < 0).tolist()
+                if new:
+                    v.learn(list(dict.fromkeys([words[i] for i in new])))
+                    flat[new] = [v.number[words[i]] for i in new]
+                entry, base, share, group = [t[flat] for t in v.tables]
                 sizes = np.array([len(t) for t in texts])
                 starts = np.cumsum(sizes) - sizes  # no text is empty: all have the end
-                rare = np.isnan(base[flat])
-                sums = [np.add.reduceat(np.where(rare, 0.0, x[flat]), starts) for x in (base, share)]
-                known_words = sizes - np.add.reduceat(rare.astype(np.int64), starts)
-                entries, joined = entry[flat], [Counter() for _ in texts]
+                rare = np.isnan(base)  # to be joined
                 at = np.flatnonzero(rare)
-                for i, d in zip(at.tolist(), (np.searchsorted(starts, at, side="right") - 1).tolist()):
-                    joined[d][words[i]] += 1
-                keys = part.column(1).to_pylist()
+                base[at] = 0.0
+                share[np.isnan(share)] = 0.0
+                n_rare = np.add.reduceat(rare.astype(np.int64), starts)
+                found = pa.StructArray.from_arrays([pa.array([words[i] for i in at.tolist()], pa.binary()), pa.array(group[at])],
+                                                   fields=list(kind.value_type))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), pa.array([held_out(k) for k in keys]), pa.array(sizes, pa.int64()),
-                    pa.array(known_words, pa.int64()), pa.array(sums[0]),
-                    pa.array([entries[a:a + n].tobytes() for a, n in zip(starts, sizes)], pa.binary()),
-                    pa.array([[{"word": w, "n": n, "grouped": w not in v.listed} for w, n in c.items()] for c in joined],
-                             schema.field("rare").type),
-                    pa.array(sums[1])], schema=schema)
+                    part.column(0), part.column(1), pa.array([held_out(k) for k in part.column(1).to_pylist()]),
+                    pa.array(sizes, pa.int64()), pa.array(sizes - n_rare, pa.int64()), pa.array(np.add.reduceat(base, starts)),
+                    pa.array([entry[a:a + n].tobytes() for a, n in zip(starts, sizes)], pa.binary()),
+                    pa.ListArray.from_arrays(offsets, found, type=kind), pa.array(np.add.reduceat(share, starts))],
+                    schema=schema)
 
     fields = [("uid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
               ("n_known", pa.int64()), ("base", pa.float64()), ("entries", pa.binary()),
-              ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32()), ("grouped", pa.bool_())]))),
+              ("rare", pa.list_(pa.struct([("word", pa.binary()), ("g", pa.int32())]))),
               ("shares", pa.float64())]
     schema = pa.schema(fields)
+    kind = schema.field("rare").type
     numbered = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
     return numbered.mapInArrow(run, _CODED + ", shares double")
 
@@ -494,11 +499,6 @@ def fit(entries: DataFrame, mass: np.ndarray, tokens: int, shard_tokens: int = S
     return net
 
 
-@F.pandas_udf(T.IntegerType())
-def _groups(words: pd.Series) -> pd.Series:
-    return pd.Series([group_of(bytes(w)) for w in words], dtype="int32")
-
-
 def scores(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Base and model score of every document."""
     spark = docs.sparkSession
@@ -523,14 +523,13 @@ def scores(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     scored = rows.select("uid", "entries").mapInArrow(run, "uid long, net double")
     # words that are not everywhere known, by their counts
     group_floor = F.array(*[F.lit(float(x)) for x in vocab.group_floor])
-    rare = rows.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n", "r.grouped")
+    rare = rows.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.g")
 
     logs = F.log10(F.coalesce("c", F.lit(0)) + F.lit(ALPHA))
     joined = rare.join(counts, "word", "left").select(
-        "uid", "n", "c", (F.col("n") * (logs - F.lit(float(np.log10(vocab.floor or 1))))).alias("b"),
-        F.when(F.col("grouped"), F.col("n") * (logs - F.get(group_floor, _groups("word")))).otherwise(0.0).alias("s"))
-    sums = joined.groupBy("uid").agg(F.sum("b").alias("b"), F.sum("s").alias("s"),
-                                     F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("k"))
+        "uid", "c", (logs - F.lit(float(np.log10(vocab.floor or 1)))).alias("b"),
+        F.when(F.col("g") >= 0, logs - F.get(group_floor, "g")).otherwise(0.0).alias("s"))
+    sums = joined.groupBy("uid").agg(F.sum("b").alias("b"), F.sum("s").alias("s"), F.count_if(F.col("c") > 0).alias("k"))
     zero = F.lit(0.0)
     return rows.drop("entries", "rare").join(scored, "uid").join(sums, "uid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
