@@ -227,8 +227,9 @@ def named(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text_column: str = "text",
-                   part: int = PART) -> DataFrame:
+                   part: int | None = None) -> DataFrame:
     """``u1, u2, spans``: for each named document with repeats, the byte spans covered by them (not yet merged)."""
+    part = part or PART
     texts = named(docs.select(id_column, F.col(text_column).cast("string").alias(text_column)), id_column, text_column)
     texts = texts.toDF("id", "text", "u1", "u2").select("u1", "u2", "text")
     rows = written(texts.mapInArrow(_runs(width), _RUNS), "runs")
