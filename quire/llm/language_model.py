@@ -5,7 +5,7 @@ most frequent words, one end sign, and ``GROUPS`` groups of the rarer words by a
 A rarer word is its group (from the network) times its share of the group (from the counts, with the same smoothing
 as the base), so every text has a probability and probabilities sum to one.
 
-*Network.* One gated recurrent layer. Its softmax is factored: first a class of ``CLASS`` entries of neighbouring
+*Network.* One gated recurrent layer with a reset and an update gate. Its softmax is factored: first a class of ``CLASS`` entries of neighbouring
 frequency, then the entry within the class. Training is truncated backpropagation through ``STEPS`` tokens in numpy;
 documents follow each other in ``LANES`` lanes, and a lane's state is carried from window to window and cleared where
 a document begins. Scoring carries the state through the whole document.
@@ -36,18 +36,18 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import bytes_of, table, written
 
-HIDDEN = 16
+HIDDEN = 24
 CLASS = 32
-ENTRIES = 512  # vocabulary of the network: frequent words, the end sign and the groups
+ENTRIES = 1024  # vocabulary of the network: frequent words, the end sign and the groups
 GROUPS = 96
 COMMON = 100_000  # words whose counts every worker holds; rarer ones are joined
-LANES = 256
+LANES = 128
 STEPS = 20
 PIECE = 400  # tokens; training cuts longer documents, so that lanes stay full. Scoring cuts none
 ROUNDS = 3
 RATE = 0.1
 INIT = 1e-5  # start of the sums of squared gradients
-SHARD_TOKENS = 1_000_000  # tokens of a shard in one round
+SHARD_TOKENS = 4_000_000  # tokens of a shard in one round
 SCORED_TOKENS = 6_000_000  # in lanes side by side; a limit on memory only
 END = b""  # no word is empty
 ALPHA = 0.1
@@ -176,9 +176,9 @@ class Network:
         by_class = mass.reshape(classes, CLASS)
         start = np.log(by_class / by_class.sum(axis=1, keepdims=True))
         self.p = {
-            # input of each entry to gate and content; the last two are a document's start and the start of a later piece
-            "x": draw(ENTRIES + 2, 2 * HIDDEN),
-            "f": draw(HIDDEN, HIDDEN) * 2, "n": draw(HIDDEN, HIDDEN) * 2,
+            # input of each entry to gates and content; the last two are a document's start and the start of a later piece
+            "x": draw(ENTRIES + 2, 3 * HIDDEN),
+            "f": draw(HIDDEN, 2 * HIDDEN) * 2, "n": draw(HIDDEN, HIDDEN) * 2, "nb": np.zeros(HIDDEN, np.float32),
             "c": draw(HIDDEN, classes), "cb": np.log(by_class.sum(axis=1) / mass.sum()).astype(np.float32),
             "w": draw(classes, HIDDEN, CLASS), "wb": start.astype(np.float32),
         }
@@ -203,10 +203,10 @@ def forward(p: dict, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray,
     """Hidden states before each target. ``inputs``: steps by lanes; ``starts``: lanes whose document begins there.
     ``live``: lanes still running at each step (lanes are sorted so that the first run longest).
 
-    The unit: gate ``f = sigmoid(x_f + h F)``, content ``n = tanh(x_n + (f h) N)``, state ``h + f (n - h)``.
+    The unit: gates ``r, z = sigmoid(x_f + h F)``, content ``n = tanh(x_n + r (h N + b))``, state ``n + z (h - n)``.
     """
     steps, lanes = inputs.shape
-    xs, gate, content = p["x"], p["f"], p["n"]
+    xs, gate, content, bias = p["x"], p["f"], p["n"], p["nb"]
     out = np.zeros((steps, lanes, HIDDEN), np.float32)
     kept = []
     fresh = starts.any(axis=1)
@@ -216,13 +216,13 @@ def forward(p: dict, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray,
         if fresh[t]:
             h = h * ~starts[t, :n, None]
         x = xs[inputs[t, :n]]
-        f = _sigmoid(x[:, :HIDDEN] + h @ gate)
-        q = f * h
-        new = 2 * _sigmoid(2 * (x[:, HIDDEN:] + q @ content)) - 1  # tanh
+        rz = _sigmoid(x[:, :2 * HIDDEN] + h @ gate)
+        inner = h @ content + bias
+        new = 2 * _sigmoid(2 * (x[:, 2 * HIDDEN:] + rz[:, :HIDDEN] * inner)) - 1  # tanh
         state = out[t, :n]
-        np.add(h, f * (new - h), out=state)
+        np.add(new, rz[:, HIDDEN:] * (h - new), out=state)
         if live is None:
-            kept.append((h, f, q, new))
+            kept.append((h, rz, inner, new))
     return out, kept
 
 
@@ -281,24 +281,27 @@ def _gradients(p: dict, inputs, targets, starts, mask, state):
     d_out = np.zeros((steps * lanes, HIDDEN), np.float32)
     d_out[place] = back
     d_out = d_out.reshape(steps, lanes, HIDDEN)
-    d_x = np.zeros((steps, lanes, 2 * HIDDEN), np.float32)
+    d_x = np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
+    d_inner = np.zeros((steps, lanes, HIDDEN), np.float32)
     d_h = np.zeros((lanes, HIDDEN), np.float32)
     gate, content = p["f"].T.copy(), p["n"].T.copy()
     for t in range(steps - 1, -1, -1):
-        h, f, q, new = kept[t]
+        h, rz, inner, new = kept[t]
+        r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
         d = d_out[t] + d_h
-        d_n = d_x[t, :, HIDDEN:]
-        np.multiply(d * f, 1 - new * new, out=d_n)
-        d_q = d_n @ content
-        d_f = d_x[t, :, :HIDDEN]
-        np.multiply(d * (new - h) + d_q * h, f * (1 - f), out=d_f)
-        d_h = d * (1 - f) + d_q * f + d_f @ gate
+        d_n = d_x[t, :, 2 * HIDDEN:]
+        np.multiply(d * (1 - z), 1 - new * new, out=d_n)
+        d_gates = d_x[t, :, :2 * HIDDEN]
+        np.multiply(d_n * inner, r * (1 - r), out=d_gates[:, :HIDDEN])
+        np.multiply(d * (h - new), z * (1 - z), out=d_gates[:, HIDDEN:])
+        np.multiply(d_n, r, out=d_inner[t])
+        d_h = d * z + d_gates @ gate + d_inner[t] @ content
         if starts[t].any():
             d_h *= ~starts[t][:, None]
     held = np.concatenate([k[0] for k in kept])
-    gated = np.concatenate([k[2] for k in kept])
-    flat = d_x.reshape(-1, 2 * HIDDEN)
-    grads["f"], grads["n"] = held.T @ flat[:, :HIDDEN], gated.T @ flat[:, HIDDEN:]
+    flat = d_x.reshape(-1, 3 * HIDDEN)
+    d_inner = d_inner.reshape(-1, HIDDEN)
+    grads["f"], grads["n"], grads["nb"] = held.T @ flat[:, :2 * HIDDEN], held.T @ d_inner, d_inner.sum(axis=0)
     ids = inputs.ravel()
     by_id = np.argsort(ids, kind="stable")
     ids = ids[by_id]

@@ -101,6 +101,20 @@ def test_gradients_are_slopes():
             assert slope == pytest.approx((up - down) / 2e-2, abs=2e-4)
 
 
+def test_the_whole_unit_and_its_sizes():
+    """A reset and an update gate over 24 states, 1024 entries, four million tokens a shard."""
+    assert (lm.HIDDEN, lm.ENTRIES, lm.LANES, lm.SHARD_TOKENS) == (24, 1024, 128, 4_000_000)
+    p, size = _net().p, lm.HIDDEN
+    p["nb"] = np.linspace(-1, 1, size).astype(np.float32)
+    inputs, h = np.array([[3, lm.ENTRIES]]), np.random.default_rng(5).standard_normal((2, size)).astype(np.float32)
+    x, gates = p["x"][inputs[0]], h @ p["f"]
+    r = 1 / (1 + np.exp(-x[:, :size] - gates[:, :size]))
+    z = 1 / (1 + np.exp(-x[:, size:2 * size] - gates[:, size:]))
+    n = np.tanh(x[:, 2 * size:] + r * (h @ p["n"] + p["nb"]))
+    out, _ = lm.forward(p, inputs, np.zeros((1, 2), bool), h)
+    assert np.allclose(out[0], (1 - z) * n + z * h, atol=1e-5)
+
+
 def test_the_state_is_carried_through_a_document():
     net, rng = _net(), np.random.default_rng(2)
     docs = [rng.integers(0, lm.ENTRIES, n).astype(np.int16) for n in (1, 300, 63, 64, 65, 1, 128)]
