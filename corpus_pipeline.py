@@ -26,8 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    return ngram_join.one_of_each(docs).select(*COLUMNS)
+    """One document of each group of near copies (five words, 0.8), the one with the smallest id."""
+    return ngram_join.one_of_each(docs, percent=80, width=5).select(*COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

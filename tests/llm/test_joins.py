@@ -183,3 +183,15 @@ def test_the_pipeline_stage_by_stage(spark, docs, tmp_path):
     assert sorted((r["doc_id"], r["ids_crc32"]) for r in ran) == sorted(
         (r["doc_id"], r["ids_crc32"]) for r in seen["best_fit_packing"].values())
     assert quality.keep(docs([])).count() == 0
+
+
+def test_the_pipeline_joins_at_five_words_and_four_fifths(spark, docs):
+    """One word of ``n`` changed: similarity (n - 9) / (n + 1) of five words, (n - 7) / (n + 1) of four."""
+    import corpus_pipeline
+
+    texts = []
+    for n in (48, 49, 50, 52, 53):
+        words = [f"n{n}w{i}" for i in range(n)]
+        texts += [" ".join(words), " ".join([*words[:20], "other", *words[21:]])]
+    kept = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs(texts), "").collect()}
+    assert kept == {0, 1, 2, 4, 6, 8}  # 39/49 stays; 40/50, 41/51, 43/53 and 44/54 do not
