@@ -31,8 +31,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their texts without the passages of 400 bytes or more that occur elsewhere."""
-    return _measured(suffixes.remove_repeats(docs))
+    """All documents, their texts without the passages of 400 bytes or more, or of over 50 words, that occur elsewhere."""
+    return _measured(suffixes.remove_repeats(docs, words=51))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

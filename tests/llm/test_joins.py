@@ -195,3 +195,43 @@ def test_the_pipeline_joins_at_five_words_and_four_fifths(spark, docs):
         texts += [" ".join(words), " ".join([*words[:20], "other", *words[21:]])]
     kept = {r["doc_id"] for r in corpus_pipeline.ngram_jaccard_join(spark, docs(texts), "").collect()}
     assert kept == {0, 1, 2, 4, 6, 8}  # 39/49 stays; 40/50, 41/51, 43/53 and 44/54 do not
+
+
+def brute_words_removed(texts, words, width):
+    """Texts without strings of ``width`` bytes and passages of ``words`` words that start twice or more (ASCII texts)."""
+    import re
+
+    seen, places = Counter(), []
+    for d, t in enumerate(texts):
+        found = list(re.finditer(r"[^\x20\x09-\x0D]+", t))
+        windows = [(tuple(m[0] for m in found[i:i + words]), found[i].start(), found[i + words - 1].end())
+                   for i in range(len(found) - words + 1)]
+        windows += [(t[i:i + width], i, i + width) for i in range(len(t) - width + 1)]
+        seen.update(w for w, _, _ in windows)
+        places += [(d, *w) for w in windows]
+    gone = [bytearray(len(t)) for t in texts]
+    for d, w, a, b in places:
+        if seen[w] > 1:
+            gone[d][a:b] = b"\x01" * (b - a)
+    return ["".join(c for c, g in zip(t, x) if not g) for t, x in zip(texts, gone)]
+
+
+def test_the_pipeline_removes_passages_of_over_fifty_words(spark, docs):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6)))
+    prose = lambda n: [word() for _ in range(n)]
+    passages = [prose(n) for n in (30, 50, 51, 52, 59, 65, 65, 130)]
+    texts = ["", "short"]
+    for p in passages:
+        for glue in (" ", " ", "  ", "\n"):
+            texts.append(" ".join(prose(rng.randint(0, 40))) + " " + glue.join(p) + glue + " ".join(prose(rng.randint(0, 40))))
+    texts.append(" ".join([*prose(9), *passages[2][:40], *prose(3), *passages[3][5:], *passages[4], *prose(4), *passages[4]]))
+    texts.append("x" * 450 + " one"), texts.append("y " + "x" * 450)  # one word of 400 bytes
+    df = docs([*texts, None], ids=[*range(len(texts)), 999])
+    got = {r["doc_id"]: r for r in corpus_pipeline.suffix_array_dedup(spark, df, "").collect()}
+    wanted = brute_words_removed(texts, 51, 400)
+    assert [got[i]["text"] for i in range(len(texts))] == wanted and got[999]["text"] is None
+    assert any(len(" ".join(p)) < 400 for p in passages if len(p) > 50)
+    assert all(got[i]["n_chars"] == len(w) for i, w in enumerate(wanted))
