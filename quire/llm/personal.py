@@ -1,6 +1,8 @@
 """Personal data replaced by format-preserving pseudonyms, in DataFrame functions only.
 
-One pattern finds all kinds; each find is validated and replaced, and the text between stays:
+One pattern finds all kinds; each find is validated and replaced, and the text between stays. Numbers of cards and IBANs
+may stand beside other groups, so all strings of whole groups are tried first, and the row's pattern has the valid ones
+(the longest at a place) as they are written; what is not valid hides nothing:
 
 * ``card``: 13 to 19 digits that pass the Luhn test, single blanks or hyphens between. All but the last are permuted and
   the last is set so that they pass again. Other numbers of this length are no cards and stay.
@@ -45,6 +47,11 @@ CARD = r"[0-9](?:[ \-]?[0-9]){12,18}"
 KINDS = {"email": EMAIL, "iban": IBAN, "phone": PHONE, "ip": IP, "date": DATE, "ssn": SSN, "card": CARD}
 PATTERN = (EMAIL + "|" + _START + r"(?:" + IBAN + ")" + _STOP + r"|(?<![\p{L}\p{N}_+])(?:" + PHONE + ")" + _STOP + "|" + _START + "(?:"
            + "|".join([SSN, IP, DATE, CARD]) + ")" + _STOP)
+# Strings of whole groups that may be a card or an IBAN, from every place: one pattern for each length.
+_CARDS = [_START + r"(?=([0-9](?:[ \-]?[0-9]){%d})" % (n - 1) + _STOP + ")" for n in range(13, 20)]
+_IBANS = [_START + r"(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){%d}%s)" % (n, end) + _STOP + ")"
+          for n in range(2, 8) for end in ("", " ?[A-Z0-9]{1,3}")]
+_USUAL = r"^(?:[0-9]{13,19}|[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{3})?|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4,5})$"
 
 
 def _let(value: Column, use) -> Column:
@@ -160,20 +167,24 @@ def _date(key: Column, found: Column) -> Column:
         .when(day_first.isNotNull(), new(day_first, shown(("dd", "MM")))).otherwise(new(month_first, shown(("MM", "dd"))))
 
 
-def _iban(key: Column, found: Column) -> Column:
-    plain = F.regexp_replace(found, " ", "")
+def _rest(text: Column) -> Column:
+    """Letters and digits as a number, modulo 97."""
     letter = lambda c: F.when(c.between("0", "9"), c).otherwise((F.ascii(c) - 55).cast("string"))
     number = lambda t: F.array_join(F.transform(F.filter(F.split(t, ""), lambda c: c != ""), letter), "")
-    rest = lambda t: F.aggregate(
-        F.filter(F.split(number(t), ""), lambda c: c != ""), F.lit(0), lambda acc, c: (acc * 10 + c.cast("int")) % 97)
+    return F.aggregate(
+        F.filter(F.split(number(text), ""), lambda c: c != ""), F.lit(0), lambda acc, c: (acc * 10 + c.cast("int")) % 97)
+
+
+def _iban(key: Column, found: Column) -> Column:
+    plain = F.regexp_replace(found, " ", "")
     country, check, account = F.substring(plain, 1, 2), F.substring(plain, 3, 2), F.substring(plain, 5, 40)
-    valid = rest(F.concat(account, country, check)) == 1
+    valid = _rest(F.concat(account, country, check)) == 1
     digits = only_digits(account)
     # up to 30 digits: halves of at most fifteen
     moved = F.when(F.length(digits) < 2, account).otherwise(filled(account, permuted_digits(key, "iban", digits)))
 
     def whole(new: Column) -> Column:
-        new_check = F.lpad((98 - rest(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+        new_check = F.lpad((98 - _rest(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
         return F.concat(new_check, only_digits(new))
 
     return F.when(valid, filled(found, _let(moved, whole))).otherwise(found)
@@ -203,25 +214,61 @@ def pseudonym(found: Column, key: Column) -> Column:
     return out
 
 
+def valid_cards(text: Column) -> Column:
+    """Cards in a text, the longest first. A string in no usual form that ends inside a card in a usual form is none."""
+
+    def good(cards: Column) -> Column:
+        usual = F.filter(cards, lambda c: c.rlike(_USUAL))
+
+        def cut(c: Column) -> Column:
+            inside = lambda i: lambda u: (
+                u.startswith(F.substring(c, i, F.length(c))) & (F.length(u) > F.length(c) - i + 1)
+                & F.contains(text, F.concat(F.substring(c, F.lit(1), i - 1), u)))
+            starts = F.filter(F.sequence(F.lit(2), F.length(c)), lambda i: F.substring(c, i - 1, F.lit(1)).isin(" ", "-"))
+            return F.exists(starts, lambda i: F.exists(usual, inside(i)))
+
+        return F.filter(cards, lambda c: c.rlike(_USUAL) | ~cut(c))
+
+    every = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(p), 1) for p in reversed(_CARDS)])))
+    found = F.filter(every, lambda c: luhn_sum(only_digits(c)) % 10 == 0)
+    return F.when(text.rlike(_START + CARD), _let(found, good)).otherwise(F.array().cast("array<string>"))
+
+
+def valid_ibans(text: Column) -> Column:
+    """IBANs in a text, the longest first."""
+    every = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(p), 1) for p in reversed(_IBANS)])))
+    turned = lambda x: F.concat(F.substring(x, F.lit(5), F.length(x)), F.substring(x, 1, 4))
+    found = F.filter(every, lambda x: _rest(turned(F.regexp_replace(x, " ", ""))) == 1)
+    return F.when(text.rlike(_START + IBAN), found).otherwise(F.array().cast("array<string>"))
+
+
+def pattern_of(text: Column) -> Column:
+    """The pattern of a text's finds: its valid cards and IBANs as written, the other kinds by their form."""
+    listed = lambda x: F.when(F.size(x) > 0, F.array_join(x, "|")).otherwise("(?!)")
+    return F.concat(F.lit(EMAIL + "|" + _START + "(?:"), _let(valid_ibans(text), listed),
+                    F.lit(")" + _STOP + r"|(?<![\p{L}\p{N}_+])(?:" + PHONE + ")" + _STOP + "|" + _START + "(?:"
+                          + "|".join([SSN, IP, DATE]) + "|"), _let(valid_cards(text), listed), F.lit(")" + _STOP))
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY, text_column: str = "text", kinds_column: str | None = None) -> DataFrame:
     """``docs`` with personal data in the text replaced; ``kinds_column`` names a column for the kinds found, in order.
 
     Texts without a find are not taken apart.
     """
     text = F.col(text_column)
-    finds = F.when(text.rlike(PATTERN), F.regexp_extract_all(text, F.lit(PATTERN), 0))
-    old, new_ones = fresh(docs, "found"), fresh(docs, "pseudonyms")
-    found = docs.withColumn(old, finds)
+    old, new_ones, pattern = fresh(docs, "found"), fresh(docs, "pseudonyms"), fresh(docs, "pattern")
+    some = docs.withColumn(pattern, F.when(text.rlike(PATTERN), pattern_of(text)))
+    found = some.withColumn(old, F.when(F.col(pattern).isNotNull(), F.regexp_extract_all(text, F.col(pattern), F.lit(0))))
     secret = F.lit(key)
     new = found.withColumn(new_ones, F.transform(old, lambda m: pseudonym(m, secret)))
-    between = F.split(text, PATTERN, -1)
+    between = F.split(text, F.col(pattern), -1)
     pairs = F.zip_with(between, F.concat(F.col(new_ones), F.array(F.lit(""))), lambda t, p: F.concat(t, p))
     joined = F.array_join(pairs, "")
     out = new.withColumn(text_column, F.when(F.col(old).isNull(), text).otherwise(joined))
     if kinds_column:
         kinds = F.zip_with(old, new_ones, lambda m, p: F.when(m != p, kind_of(m)))  # nulls are not joined
         out = out.withColumn(kinds_column, F.coalesce(F.array_join(kinds, ","), F.lit("")))
-    return out.drop(old, new_ones)
+    return out.drop(old, new_ones, pattern)
 
 
 def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,3 +128,20 @@ def test_the_permutation_is_one(spark):
     df = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
     new = [r[0] for r in df.select(personal.permuted_digits(F.lit("k"), "t", F.col("d"))).collect()]
     assert sorted(new) == [f"{i:04d}" for i in range(10_000)] and sum(int(x) == i for i, x in enumerate(new)) < 10
+
+
+def test_cards_and_ibans_beside_other_groups(spark, docs):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    cases = {
+        f"{card} 12/27": [card], "4111111111111111 123": ["4111111111111111"], "12 4111111111111111": ["4111111111111111"],
+        "3782 822463 10005 1234": ["3782 822463 10005"], f"12 34 56 {card} 99 {card.replace(' ', '-')}": [card, card.replace(" ", "-")],
+        f"{iban} BIC": [iban], f"AB13 {iban} DE89 3704 0044 0532 0130 00 EUR": [iban, "DE89 3704 0044 0532 0130 00"],
+        f"XX12 {card}": [card], f"{card} 555-123-4567": [card, "555-123-4567"], f"{card} 05/12/2027": [card, "05/12/2027"],
+    }
+    got = personal.pseudonymise(docs([*cases, "4111 1111 1111 1112 13", "BE68 5390 0754 7035 BIC"]), kinds_column="kinds")
+    rows = {r["doc_id"]: r for r in got.collect()}
+    for i, (text, gone) in enumerate(cases.items()):
+        assert not any(g in rows[i]["text"] for g in gone), (text, rows[i]["text"])
+        assert len(rows[i]["kinds"].split(",")) == len(gone) and len(rows[i]["text"]) == len(text)
+    assert rows[0]["text"].endswith(" 12/27") and rows[5]["text"].endswith(" BIC") and rows[6]["text"].startswith("AB13 ")
+    assert rows[len(cases)]["kinds"] == "" and rows[len(cases) + 1]["text"] == "BE68 5390 0754 7035 BIC"
