@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import table, written
 
 M = 8  # projected dimensions; even, so that the chi-square distribution has a closed form
-CONFIDENCE = 0.95
+CONFIDENCE = 0.98
 SAMPLE = 20_000
 CELL_ROWS = 4000
 LEAF = 512

@@ -183,3 +183,7 @@ def test_the_stopping_test_is_the_distribution():
     sample = (rng.standard_normal((200_000, nn.M)) ** 2).sum(axis=1)
     for p in (0.5, 0.9, 0.98):
         assert (sample <= nn.quantile(p)).mean() == pytest.approx(p, abs=0.01)
+
+
+def test_a_search_stops_at_98_percent():
+    assert nn.CONFIDENCE == 0.98
