@@ -62,8 +62,13 @@ def _shared(spark, sf_dir, group):
 
 
 def _report_text(spark, sf_dir):
-    profile = _stored(spark, sf_dir)
-    return fl.report_text(profile, fl.select_fields(profile))
+    """The report's lines as they lie in its files."""
+    profile, path = _stored(spark, sf_dir), scratch_path(spark, "report")
+    sinks.write_text_report(fl.field_report(profile, fl.select_fields(profile)), path)
+    parts = F.split("value", "\t")
+    names = ["section", "position", "presence_pct", "n_records", "total_records", "path", "column"]
+    lines = spark.read.text(path).select("dataset", *[parts[i].alias(n) for i, n in enumerate(names)])
+    return lines.withColumn("position", F.col("position").cast("int"))
 
 
 def _document_round_trip(spark, sf_dir):
@@ -175,11 +180,12 @@ SELECT len(datasets)::INTEGER AS n_datasets, path, "column", datasets FROM combi
     )
     + "\nSELECT dataset, path FROM selected",
     "S14_report_text": f"""{_selected_sql()}
-SELECT dataset, '1 selected' AS section, row_number() OVER (PARTITION BY dataset ORDER BY path)::INTEGER AS position,
-  '- ' || path || ' -> ' || "column" || ': ' || format('{{:.2f}}%', {_PCT}) AS line FROM selected
+SELECT dataset, 'selected' AS section, row_number() OVER (PARTITION BY dataset ORDER BY path)::INTEGER AS position,
+  format('{{:.2f}}', {_PCT}) AS presence_pct, n_records::VARCHAR AS n_records, total_records::VARCHAR AS total_records,
+  path, "column" FROM selected
 UNION ALL
-SELECT dataset, '2 all', row_number() OVER (PARTITION BY dataset ORDER BY n_records DESC, path)::INTEGER,
-  '- ' || path || ': ' || format('{{:.2f}}%', {_PCT}) || ' (' || n_records || '/' || total_records || ' records)' FROM profile""",
+SELECT dataset, 'all', row_number() OVER (PARTITION BY dataset ORDER BY n_records DESC, path)::INTEGER,
+  format('{{:.2f}}', {_PCT}), n_records::VARCHAR, total_records::VARCHAR, path, '' FROM profile""",
     "S15_selection_document": f"""{_combined_sql(_AUX)}
 {_OWN} UNION ALL SELECT 'combined', path, "column" FROM combined""",
     "X03_fields_per_dataset": f"""{_combined_sql(_AUX)}

@@ -284,7 +284,7 @@ def profile_shred_query(spark, sf_dir):
 
 def _parts(spark, sf_dir):
     docs = documents(spark, sf_dir).select("source", "doc_id", "text")
-    parts = layout.assign_parts(docs, "source", "doc_id", layout.line_bytes("text"), target_bytes=16_384, blocks=16)
+    parts = layout.assign_parts(docs, "source", "doc_id", layout.line_bytes("text"), target_bytes=16_384)
     return parts.select("source", "doc_id", "part")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.values import round2
+from quire.operators.ordered import BLOCK_ROWS, numbered
 
 # Share of records that must hold a path for it to become a column, and the datasets that
 # share one schema.
@@ -135,13 +136,12 @@ def selected_report(selected: DataFrame) -> DataFrame:
 
 def presence_report(profile: DataFrame) -> DataFrame:
     """Every field by descending presence, with the count behind the percentage."""
-    return profile.select(
-        "dataset",
-        "path",
-        round2(F.col("sampled_n") / F.col("sampled_total") * 100).alias("presence_pct"),
-        "n_records",
-        "total_records",
-    ).orderBy("dataset", F.col("n_records").desc(), "path")
+    return _presence(profile).orderBy("dataset", F.col("n_records").desc(), "path")
+
+
+def _presence(profile: DataFrame) -> DataFrame:
+    share = round2(F.col("sampled_n") / F.col("sampled_total") * 100)
+    return profile.select("dataset", "path", share.alias("presence_pct"), "n_records", "total_records")
 
 
 def combined_report(combined: DataFrame) -> DataFrame:
@@ -161,31 +161,31 @@ def dropped_keys(profile: DataFrame, roots: Sequence[str], fixed: Sequence[str])
     )
 
 
-def report_text(profile: DataFrame, selected: DataFrame) -> DataFrame:
-    """Readable report lines: ``dataset, section, position, line``.
+def field_report(profile: DataFrame, selected: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """S14. The two lists of a dataset's report, numbered: ``dataset, section, position, path, column, presence_pct,
+    n_records, total_records``.
 
-    Position orders lines within one dataset's section; sections hold one line per path, so the ranking
-    window sees paths, never records.
+    Section ``selected`` holds the promoted fields by path, section ``all`` every path by falling count. Records that
+    use ids as keys have as many paths as records, so the numbers come from blocks of rows, not from a window over a
+    dataset.
     """
-    pct = F.format_string("%.2f%%", F.col("presence_pct"))
-    chosen = selected_report(selected).select(
-        "dataset",
-        F.lit("1 selected").alias("section"),
-        F.row_number().over(Window.partitionBy("dataset").orderBy("path")).alias("position"),
-        F.concat_ws("", F.lit("- "), "path", F.lit(" -> "), "column", F.lit(": "), pct).alias("line"),
-    )
-    every = presence_report(profile).select(
-        "dataset",
-        F.lit("2 all").alias("section"),
-        F.row_number()
-        .over(Window.partitionBy("dataset").orderBy(F.col("n_records").desc(), "path"))
-        .alias("position"),
-        F.concat_ws(
-            "", F.lit("- "), "path", F.lit(": "), pct, F.lit(" ("), F.col("n_records").cast("string"), F.lit("/"),
-            F.col("total_records").cast("string"), F.lit(" records)"),
-        ).alias("line"),
-    )
-    return chosen.unionByName(every)
+    columns = ["path", "column", "presence_pct", "n_records", "total_records"]
+    chosen = selected.select("dataset", F.lit("selected").alias("section"), "path", "column",
+                             round2(F.col("presence") * 100).alias("presence_pct"), "n_records", "total_records")
+    every = _presence(profile).select("dataset", F.lit("all").alias("section"), "path",
+                                            F.lit(None).cast("string").alias("column"), *columns[2:])
+    falling = F.when(F.col("section") == "all", -F.col("n_records")).otherwise(F.lit(0))
+    ordered = numbered(chosen.unionByName(every), ["dataset", "section"], [falling.asc(), F.col("path").asc()],
+                       block_rows=block_rows)
+    return ordered.select("dataset", "section", "position", *columns)
+
+
+def report_line() -> Column:
+    """A row of :func:`field_report` as one line of tab-separated text; paths hold no line breaks or tabs unescaped."""
+    plain = F.translate(F.col("path"), "\t\n\r", "   ")
+    return F.concat_ws("\t", "section", F.col("position").cast("string"), F.format_string("%.2f", "presence_pct"),
+                       F.col("n_records").cast("string"), F.col("total_records").cast("string"), plain,
+                       F.coalesce(F.translate("column", "\t\n\r", "   "), F.lit("")))
 
 
 def selection_document(profile: DataFrame, selected: DataFrame, group: str, method: str,

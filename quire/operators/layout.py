@@ -6,10 +6,10 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.summaries import block_bounds, block_of
+from quire.operators.ordered import BLOCK_ROWS, running_totals
 from quire.sources.landing import base_name
 
 TARGET_PART_BYTES = 10 * 1024 * 1024
@@ -38,26 +38,18 @@ def resize(df: DataFrame, target_bytes: int = TARGET_PART_BYTES, value: str = "v
 
 
 def assign_parts(df: DataFrame, group: str, order: str, size: Column, target_bytes: int = TARGET_PART_BYTES,
-                 blocks: int = 64) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """S06. Number the parts a group would be split into when cut in order at every ``target_bytes``.
 
-    Adds ``part`` (from 1): the bytes before and including the row, minus one, over the target. The running
-    total is built in two steps, so that no group has to fit in one task: rows are cut into blocks of the
-    (numeric, unique) order column, each block runs its own total, and the totals of earlier blocks are added.
-    Block bounds are literals found once, so a retried task makes the same blocks.
+    Adds ``part`` (from 1): the bytes before and including the row, minus one, over the target. The running total is
+    made of narrow rows (group, order, size) in blocks (:func:`quire.operators.ordered.running_totals`), so neither a
+    group nor a text has to fit anywhere; then the part joins the rows by group and order, which must be unique together.
     """
-    bounds = block_bounds(df, order, blocks)
-    sized = df.withColumn("__block", block_of(F.col(order), bounds)).withColumn("__size", size)
-    sums = sized.groupBy(group, "__block").agg(F.sum("__size").alias("__sum"))
-    earlier = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    # at most (groups x blocks) rows: the shuffle side of this join is small, and AQE broadcasts it when it is
-    offsets = sums.select(group, "__block", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__before"))
-    keyed = sized.join(offsets.withColumnRenamed(group, "__g").withColumnRenamed("__block", "__b"),
-                       F.col(group).eqNullSafe(F.col("__g")) & (F.col("__block") == F.col("__b")))
-    within = Window.partitionBy(group, "__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.col("__before") + F.sum("__size").over(within)
-    part = (F.floor((total - 1) / F.lit(target_bytes)) + 1).cast("bigint")
-    return keyed.withColumn("part", part).select(*df.columns, "part")
+    narrow = df.select(F.col(group).alias("__g"), F.col(order).alias("__o"), size.cast("bigint").alias("__size"))
+    summed = running_totals(narrow, ["__g"], [F.col("__o").asc_nulls_first()], F.col("__size"), "__total", block_rows)
+    part = (F.floor((F.col("__total") - 1) / F.lit(target_bytes)) + 1).cast("bigint")
+    parts = summed.select("__g", "__o", part.alias("part"))
+    return df.join(parts, F.col(order).eqNullSafe(F.col("__o")) & F.col(group).eqNullSafe(F.col("__g"))).select(*df.columns, "part")
 
 
 def plain_path(path: str) -> str:

@@ -137,7 +137,7 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     method = f"{o.sample_unit} sample of {o.sample_rate:.0%} per dataset, counts scaled up"
 
     def report() -> None:
-        write_text_report(fl.report_text(stored, selected), f"{reports}/text")
+        write_text_report(fl.field_report(stored, selected), f"{reports}/text")
         write_report(fl.combined_report(fl.combined_fields(selected, group)), f"{reports}/combined")
         write_report(fl.shared_fields(selected, stored, group), f"{reports}/shared")
         aac = F.col("dataset").startswith(fl.AAC_PREFIX)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quire.operators.fields import report_line
+
 
 def write_shredded(df: DataFrame, path: str, lookup: Sequence[str] = ("_id",), partition_by: Sequence[str] = (),
                    max_records_per_file: int | None = None, mode: str = "errorifexists",
@@ -36,12 +38,14 @@ def write_report(report: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 
 def write_text_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """S14. Report lines (``dataset, section, position, line``) as one text file per dataset.
+    """S14. The rows of :func:`quire.operators.fields.field_report` as text, one folder per dataset.
 
-    A report has a line or two per path, so a dataset's report is small whatever the size of its data.
+    Rows are dealt by ranges of (dataset, section, position), so a report with very many paths is several files, in
+    the order of their names; Spark joins small ranges, and a report of ordinary size is one file.
     """
-    ordered = report.repartition("dataset").sortWithinPartitions("dataset", "section", "position")
-    ordered.select("dataset", "line").write.mode(mode).partitionBy("dataset").text(path)
+    place = [F.col("dataset"), F.col("section").desc(), F.col("position")]  # selected fields first
+    dealt = report.repartitionByRange(*place).sortWithinPartitions(*place)
+    dealt.select("dataset", report_line().alias("line")).write.mode(mode).partitionBy("dataset").text(path)
 
 
 def write_document(document: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -57,8 +57,8 @@ def test_rows_columns_and_reports(spark, area):
     assert aac.columns == ["aacid", "metadata", "metadata_a", "metadata_a_0__b", "metadata_t"]
     assert spark.read.parquet(f"{area}/out/elasticsearch/_reports/profile").filter("path = '_id'").first()["n_records"] == 30
     text = spark.read.text(f"{area}/out/elasticsearch/_reports/text/dataset=records").collect()
-    assert text[0]["value"] == "- _id -> _id: 100.00%" and len(text) == 2 * 10 + 1
-    assert text[-1]["value"] == "- _source.file_unified_data.seldom: 3.33% (1/30 records)"
+    assert text[0]["value"] == "selected\t1\t100.00\t30\t30\t_id\t_id" and len(text) == 2 * 10 + 1
+    assert text[-1]["value"] == "all\t11\t3.33\t1\t30\t_source.file_unified_data.seldom\t"
     listing = column_listing(aac).collect()
     assert [r["column"] for r in listing] == aac.columns and {r["type"] for r in listing} == {"string"}
 

@@ -4,17 +4,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import layout
+from quire.operators.ordered import numbered, running_totals
 from quire.sources import landing, readers
+from tests.conftest import plan_of
 
 
-@pytest.mark.parametrize("blocks", [1, 4, 37])
-def test_parts_against_brute_force(spark, blocks):
+@pytest.mark.parametrize("block_rows", [1000, 150, 17, 1])
+def test_parts_against_brute_force(spark, block_rows):
     random.seed(5)
     # one group holds most rows, one row is larger than the target, and one group is NULL
     rows = [(random.choice(["hot"] * 6 + ["b", None]), i * 3, "x" * random.choice([1, 5, 30, 400])) for i in range(600)]
     df = spark.createDataFrame(rows, "g string, i bigint, t string")
     got = {(r["g"], r["i"]): r["part"]
-           for r in layout.assign_parts(df, "g", "i", layout.line_bytes("t"), 100, blocks).collect()}
+           for r in layout.assign_parts(df, "g", "i", layout.line_bytes("t"), 100, block_rows).collect()}
     want, run = {}, {}
     for g, i, t in rows:
         run[g] = run.get(g, 0) + len(t) + 1
@@ -22,6 +24,30 @@ def test_parts_against_brute_force(spark, blocks):
     assert got == want
 
 
+def test_parts_of_one_large_group(spark):
+    rows = spark.range(100_000).select(F.lit("hot").alias("g"), "id", F.repeat(F.lit("x"), 500).alias("text"))
+    parts = layout.assign_parts(rows, "g", "id", layout.line_bytes("text"), 5010, block_rows=9000)
+    # the window sees the three narrow columns, never the text
+    windows = [line for line in plan_of(parts, "extended").splitlines() if "Window [" in line]
+    assert windows and not any("text" in line for line in windows)
+    sizes = parts.groupBy("part").count().collect()
+    assert len(sizes) == 10_000 and {r["count"] for r in sizes} == {10}
+
+
+def test_running_totals_deal_one_group_over_blocks(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 9 > 0, "hot").alias("g"), F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
+    got = running_totals(rows, ["g"], [F.col("o").desc()], F.col("v"), "t", block_rows=400).collect()
+    want, run = {}, {}
+    for i in range(4999, -1, -1):
+        g = "hot" if i % 9 else None
+        run[g] = run.get(g, 0) + i % 7
+        want[(g, i)] = run[g]
+    assert {(r["g"], r["o"]): r["t"] for r in got} == want and len(got) == 5000
+    place = {(r["g"], r["o"]): r["position"] for r in numbered(rows, ["g"], [F.col("o").asc()], block_rows=333).collect()}
+    assert place[(None, 0)] == 1 and place[(None, 4995)] == 556 and place[("hot", 4999)] == 5000 - 556
+    assert running_totals(rows.limit(0), ["g"], [F.col("o")], 1).count() == 0
+
+
 def test_line_stats_count_bytes(spark):
     df = spark.createDataFrame([("a", "é"), ("a", "xy"), ("b", "")], "file_path string, value string")
     got = {r["file_path"]: tuple(r)[1:] for r in layout.line_stats(df).collect()}

@@ -6,9 +6,12 @@ import random
 from pyspark.sql import functions as F
 
 from quire.functions.columns import unified
+from quire.operators import fields as fl
 from quire.operators import summaries as sm
 from quire.plans import collection as c
 from quire.plans import search_index as q
+from quire.sources import sinks
+from tests.conftest import plan_of
 
 
 def test_quantiles_against_sorting(spark):
@@ -99,3 +102,30 @@ def test_a_combined_field_is_read_by_each_datasets_own_pointer(spark):
     selected = spark.createDataFrame(rows, "dataset string, path string, column string, pointer string")
     got = {r["dataset"]: r["pointer"] for r in fl.fields_per_dataset(selected, "elasticsearchaux").collect()}
     assert got == {"metadata": "/_source/a.b", "journals": "/_source/a/b", "digital_lending": "/_source/a/b"}
+
+
+def test_a_report_of_very_many_paths_is_numbered_in_blocks(spark, tmp_path):
+    n = 1_000_000  # one dataset whose records use ids as keys
+    profile = spark.range(n).select(
+        F.lit("d").alias("dataset"), F.concat(F.lit("k."), F.lpad(F.col("id").cast("string"), 7, "0")).alias("path"),
+        F.lit("/k/x").alias("pointer"), (F.col("id") % 100 + 1).alias("n_records"), F.lit(100).cast("long").alias("total_records"),
+        (F.col("id") % 100 + 1).alias("sampled_n"), F.lit(100).cast("long").alias("sampled_total"))
+    selected = fl.select_fields(profile.filter("n_records > 99"), threshold=0.99)
+    report = fl.field_report(profile, selected, block_rows=100_000)
+    assert "__block" in plan_of(report) and "hashpartitioning(dataset#" in plan_of(report)
+    got = report.filter("section = 'all'").agg(F.count_distinct("position").alias("n"), F.max("position").alias("last")).first()
+    assert tuple(got) == (n, n)
+    # place: all paths of higher counts, then those of the same count with smaller ids
+    wrong = report.filter("section = 'all'").withColumn("id", F.substring("path", 3, 7).cast("long")).filter(
+        F.col("position") != (100 - F.col("n_records")) * (n // 100) + F.expr("id div 100") + 1)
+    assert wrong.count() == 0
+    assert report.filter("section = 'selected'").count() == n // 100
+
+
+def test_report_files_read_in_order(spark, tmp_path):
+    rows = [("b", "all", i, f"p{i}", None, 1.5, 1, 2) for i in range(1, 300)] + [("a", "selected", 1, "q\tr", "c", 50.0, 1, 2)]
+    schema = "dataset string, section string, position int, path string, column string, presence_pct double, n_records long, total_records long"
+    sinks.write_text_report(spark.createDataFrame(rows, schema).orderBy(F.rand(1)), str(tmp_path / "t"))
+    lines = "".join(f.read_text() for f in sorted((tmp_path / "t/dataset=b").glob("part-*"))).splitlines()
+    assert [line.split("\t")[1] for line in lines] == [str(i) for i in range(1, 300)]
+    assert spark.read.text(str(tmp_path / "t/dataset=a")).first()[0] == "selected\t1\t50.00\t1\t2\tq r\tc"
