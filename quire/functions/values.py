@@ -50,6 +50,12 @@ def try_float(c: Column | str) -> Column:
     )
 
 
+def try_double(c: Column | str) -> Column:
+    """Text to DOUBLE or NULL, as JSON writes numbers and by their names; suffixes such as ``5f`` are NULL."""
+    c = _col(c)
+    return F.when(c.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$") | c.rlike(_SPECIAL), c.try_cast("double"))
+
+
 def round2(c: Column | str) -> Column:
     """Two decimals, rounding the scaled binary value (so 1.005 gives 1.0, not 1.01)."""
     return F.round(_col(c).cast("double") * 100, 0) / 100

@@ -20,6 +20,7 @@ PRESENCE_THRESHOLD = 0.20
 AAC_PRESENCE_THRESHOLD = 0.20
 AAC_PREFIX = "aac_"
 AUXILIARY_DATASETS = ("metadata", "journals", "digital_lending")
+COMBINED = "*"  # the dataset under which a registry holds the names of combined fields
 
 
 def threshold_for(dataset: Column | str = "dataset", threshold: float = PRESENCE_THRESHOLD,
@@ -35,19 +36,38 @@ def column_name(path: Column | str = "path") -> Column:
     return F.translate(F.col(path) if isinstance(path, str) else path, ".[]", "___")
 
 
-def with_column_names(fields: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+def with_column_names(fields: DataFrame, within: Sequence[str] = (), known: DataFrame | None = None) -> DataFrame:
     """Add ``column``; names that differ at most in case get ``__2``, ``__3`` in path order.
 
     A name that already ends like that is numbered always (``x__2`` becomes ``x__2__1``), so that no numbered name
     meets a natural one: without its last number every name tells the name it came from.
+
+    ``known`` (``within`` columns, ``path``, ``column``) are names dealt earlier, which hold: a path has the name it had,
+    whatever else is found now, and new paths are numbered on from the largest number dealt, also of paths gone since.
     """
     named = fields.withColumn("__name", column_name())
-    same = Window.partitionBy(*within, F.lower("__name")).orderBy("path")
-    rank = F.row_number().over(same)
-    plain = (rank == 1) & ~F.col("__name").rlike("__[0-9]+$")
-    return named.withColumn(
-        "column", F.when(plain, F.col("__name")).otherwise(F.concat("__name", F.lit("__"), rank.cast("string")))
-    ).drop("__name")
+    ends = F.col("__name").rlike("__[0-9]+$")
+    if known is None:
+        same = Window.partitionBy(*within, F.lower("__name")).orderBy("path")
+        number = F.row_number().over(same)
+    else:
+        dealt = known.select(*[F.col(w).alias(f"__w{i}") for i, w in enumerate(within)], F.col("path").alias("__path"),
+                             F.col("column").alias("__column"), F.lower(column_name("path")).alias("__base")).distinct()
+        keys = [f"__w{i}" for i in range(len(within))]
+        last = F.when(F.lower("__column") == F.col("__base"), F.lit(1)).otherwise(
+            F.regexp_extract("__column", "__([0-9]+)$", 1).cast("int"))
+        most = dealt.groupBy(*keys, "__base").agg(F.max(last).alias("__most"))
+        alike = lambda df, on: [F.col(w).eqNullSafe(df[k]) for w, k in zip(within, keys)] + on
+        paths = dealt.select(*keys, "__path", "__column")
+        named = named.join(paths, alike(paths, [F.col("path") == paths["__path"]]), "left").drop(*keys, "__path")
+        named = named.join(most, alike(most, [F.lower("__name") == most["__base"]]), "left").drop(*keys, "__base")
+        new = F.col("__column").isNull()
+        same = Window.partitionBy(*within, F.lower("__name"), new).orderBy("path")
+        number = F.coalesce(F.col("__most"), F.lit(0)) + F.row_number().over(same)
+    fresh = F.when((number == 1) & ~ends, F.col("__name")).otherwise(F.concat("__name", F.lit("__"), number.cast("string")))
+    if known is None:
+        return named.withColumn("column", fresh).drop("__name")
+    return named.withColumn("column", F.coalesce("__column", fresh)).drop("__name", "__column", "__most")
 
 
 def _depth() -> Column:
@@ -56,11 +76,12 @@ def _depth() -> Column:
 
 
 def select_fields(profile: DataFrame, threshold: float = PRESENCE_THRESHOLD,
-                  aac_threshold: float = AAC_PRESENCE_THRESHOLD) -> DataFrame:
+                  aac_threshold: float = AAC_PRESENCE_THRESHOLD, known: DataFrame | None = None) -> DataFrame:
     """Paths held by at least the threshold share of a dataset's records, with their column names.
 
     The comparison includes equality and uses the counts as sampled, free of scaling and rounding. When two
-    pointers share one path text (a key holding a dot), the more deeply nested one stands for it.
+    pointers share one path text (a key holding a dot), the more deeply nested one stands for it. ``known`` are names
+    of earlier runs (:func:`column_registry`).
     """
     common = profile.filter(
         (F.col("sampled_total") > 0)
@@ -68,7 +89,7 @@ def select_fields(profile: DataFrame, threshold: float = PRESENCE_THRESHOLD,
     )
     first = Window.partitionBy("dataset", "path").orderBy(_depth().desc(), F.col("pointer"))
     unique = common.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") == 1).drop("__k")
-    named = with_column_names(unique, within=("dataset",))
+    named = with_column_names(unique, ("dataset",), None if known is None else known.filter(F.col("dataset") != COMBINED))
     return named.select(
         "dataset", "path", "column", "pointer", "n_records", "total_records",
         (F.col("sampled_n") / F.col("sampled_total")).alias("presence"),
@@ -85,7 +106,7 @@ def in_group(group: str, dataset: Column | str = "dataset") -> Column:
     return F.lit(False)
 
 
-def combined_fields(selected: DataFrame, group: str) -> DataFrame:
+def combined_fields(selected: DataFrame, group: str, known: DataFrame | None = None) -> DataFrame:
     """Union of the selected fields over a group: ``path, pointer, datasets, column``.
 
     Where datasets reach one path text by different pointers, the deepest stands for the group, as in
@@ -96,10 +117,21 @@ def combined_fields(selected: DataFrame, group: str) -> DataFrame:
         F.min_by("pointer", F.struct(-_depth(), "pointer")).alias("pointer"),
         F.array_sort(F.collect_set("dataset")).alias("datasets"),
     )
-    return with_column_names(union)
+    return with_column_names(union, (), None if known is None else known.filter(F.col("dataset") == COMBINED))
+
+
+def column_registry(selected: DataFrame, group: str, known: DataFrame | None = None) -> DataFrame:
+    """Every name dealt so far: ``dataset, path, column``; those of a group's combined fields stand under ``*``.
+
+    Its rows are the paths that some run selected, so it grows with the columns, never with the records.
+    """
+    own = selected.select("dataset", "path", "column")
+    shared = combined_fields(selected, group, known).select(F.lit(COMBINED).alias("dataset"), "path", "column")
+    now = own.unionByName(shared)
+    return now if known is None else now.unionByName(known.select("dataset", "path", "column")).distinct()
 
 
-def fields_per_dataset(selected: DataFrame, group: str) -> DataFrame:
+def fields_per_dataset(selected: DataFrame, group: str, known: DataFrame | None = None) -> DataFrame:
     """X03. The columns each dataset is shredded into: ``dataset, path, column, pointer``.
 
     The auxiliary datasets all get the union of their fields, so that they share one schema (a path a dataset
@@ -109,7 +141,7 @@ def fields_per_dataset(selected: DataFrame, group: str) -> DataFrame:
     if group != "elasticsearchaux":
         return own
     members = F.array(*[F.lit(d) for d in AUXILIARY_DATASETS])
-    union = combined_fields(selected, group).select(
+    union = combined_fields(selected, group, known).select(
         F.explode(members).alias("dataset"), "path", "column", F.col("pointer").alias("shared")
     )
     theirs = own.filter(in_group(group)).select("dataset", "path", "pointer")
@@ -190,10 +222,10 @@ def report_line() -> Column:
 
 def selection_document(profile: DataFrame, selected: DataFrame, group: str, method: str,
                        threshold: float = PRESENCE_THRESHOLD,
-                       aac_threshold: float = AAC_PRESENCE_THRESHOLD) -> DataFrame:
+                       aac_threshold: float = AAC_PRESENCE_THRESHOLD, known: DataFrame | None = None) -> DataFrame:
     """The selection as one JSON document (column ``value``), readable without profiling again.
 
-    It holds selected paths only. Since a selected path is in at least the threshold share of records, their
+    It holds selected paths only, and the names of all earlier runs, which ``known`` hands on. Since a selected path is in at least the threshold share of records, their
     number is at most (mean paths per record) / threshold per dataset.
     """
     field = F.struct(F.col("path").alias("field"), "column", "pointer")
@@ -203,13 +235,15 @@ def selection_document(profile: DataFrame, selected: DataFrame, group: str, meth
     totals = profile.groupBy("dataset").agg(F.max("total_records").alias("n"))
     counts = totals.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("dataset", "n"))))
                         .alias("record_counts"))
-    combined = combined_fields(selected, group).agg(
+    combined = combined_fields(selected, group, known).agg(
         F.array_sort(F.collect_list(F.struct(F.col("path").alias("field"), "column", "pointer", "datasets")))
         .alias("combined")
     )
     shared = shared_fields(selected, profile, group).agg(
         F.transform(F.array_sort(F.collect_list("path")), lambda p: F.struct(p.alias("field"))).alias("shared")
     )
+    names = column_registry(selected, group, known).agg(
+        F.array_sort(F.collect_list(F.struct("dataset", F.col("path").alias("field"), "column"))).alias("names"))
     parts = [
         chosen.select("common_fields").scalar().alias("common_fields"),
         counts.select("record_counts").scalar().alias("record_counts"),
@@ -218,6 +252,7 @@ def selection_document(profile: DataFrame, selected: DataFrame, group: str, meth
         .alias("field_presence_threshold"),
         combined.scalar().alias(f"combined_{group}_fields"),
         shared.scalar().alias(f"{group}_common_fields"),
+        names.scalar().alias("column_names"),
     ]
     one = profile.sparkSession.range(1)
     return one.select(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).alias("value"))

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.ordered import BLOCK_ROWS, running_totals
+from quire.sources.files import listed_path, plain_path
 from quire.sources.landing import base_name
 
 TARGET_PART_BYTES = 10 * 1024 * 1024
@@ -52,11 +52,6 @@ def assign_parts(df: DataFrame, group: str, order: str, size: Column, target_byt
     return df.join(parts, F.col(order).eqNullSafe(F.col("__o")) & F.col(group).eqNullSafe(F.col("__g"))).select(*df.columns, "part")
 
 
-def plain_path(path: str) -> str:
-    """A path with one slash after its scheme, as listings and file metadata write it differently."""
-    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", path)
-
-
 def table_root(paths: Sequence[str]) -> str:
     """The deepest directory above all files and above any ``key=value`` directory."""
     parts = [p.split("/")[:-1] for p in paths]

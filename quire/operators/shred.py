@@ -15,9 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.columns import AAC_KEYS, ENVELOPE_KEYS, METADATA, SOURCE
+from quire.functions.values import try_double
 from quire.operators.paths import INDEX_STEP
 
 CORRUPT = "_corrupt_record"
+DEFECTS = "_defects"
+# What a good record may lose, one bit each: a score that is no number, an envelope whose body is no object, and all but
+# the last value of a key that the record repeats.
+DEFECT_BITS = {"lost_score": 1, "body_no_object": 2, "repeated_key": 4}
 _STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
@@ -117,20 +122,27 @@ def extract(df: DataFrame, text: str, fields: Sequence[Field], keep: Sequence[st
     return df.select(*keep, *[F.col(out[f.column]).alias(f.column) for f in fields])
 
 
-def parse_search_lines(lines: DataFrame, value: str = "value", fields: Sequence[Field] | None = None) -> DataFrame:
+def has_defect(name: str) -> Column:
+    """Does a record show a defect of :data:`DEFECT_BITS`?"""
+    return F.col(DEFECTS).bitwiseAND(F.lit(DEFECT_BITS[name])) > 0
+
+
+def parse_search_lines(lines: DataFrame, value: str = "value", fields: Sequence[Field] | None = None,
+                       ledger: bool = False) -> DataFrame:
     """Raw search-index lines to ``_index, _id, _score, _source`` plus the bad lines in ``_corrupt_record``.
 
     ``_source`` stays JSON text; of a repeated key the last value counts. Blank lines vanish. With ``fields``,
     which must then be the ones handed to :func:`shred_search`, the same parse also opens ``_source``, and its
-    text is never built.
+    text is never built. A score is read from a JSON number or a text that is one. ``ledger`` adds ``_defects``, what
+    each good record lost (:data:`DEFECT_BITS`; zero for bad lines); repeated keys are looked for at the top level.
     """
     types = {"_index": "string", "_id": "string", "_score": "double"}
-    return _parse_envelope(lines, value, types, SOURCE, fields)
+    return _parse_envelope(lines, value, types, SOURCE, fields, ledger)
 
 
-def parse_aac_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Raw container lines to ``aacid, metadata`` (JSON text) plus ``_corrupt_record``."""
-    return _parse_envelope(lines, value, {"aacid": "string"}, METADATA, None)
+def parse_aac_lines(lines: DataFrame, value: str = "value", ledger: bool = False) -> DataFrame:
+    """Raw container lines to ``aacid, metadata`` (JSON text) plus ``_corrupt_record`` and, with ``ledger``, ``_defects``."""
+    return _parse_envelope(lines, value, {"aacid": "string"}, METADATA, None, ledger)
 
 
 def not_blank(value: str = "value") -> Column:
@@ -139,12 +151,12 @@ def not_blank(value: str = "value") -> Column:
 
 
 def _parse_envelope(lines: DataFrame, value: str, types: dict[str, str], root: str,
-                    fields: Sequence[Field] | None) -> DataFrame:
-    tree = _tree(_nested_under(fields or [], root))
+                    fields: Sequence[Field] | None, ledger: bool) -> DataFrame:
+    tree = _tree(nested_under(fields or [], root))
     keys = [] if INDEX_STEP in tree.children else _keys(tree)
     kind = T.StructType([T.StructField(k, T.StringType()) for k in keys]) if keys else T.StringType()
     record_type = T.StructType(
-        [T.StructField(n, T._parse_datatype_string(t)) for n, t in types.items()] + [T.StructField(root, kind)]
+        [T.StructField(n, T.StringType()) for n in types] + [T.StructField(root, kind)]
     )
     # Inside brackets, text after the object or a second object is an error instead of being ignored.
     wrapped = F.concat(F.lit("["), F.col(value), F.lit("]"))
@@ -155,17 +167,25 @@ def _parse_envelope(lines: DataFrame, value: str, types: dict[str, str], root: s
     record = F.get("__r", F.lit(0))
     good = F.coalesce((F.size("__r") == 1) & record.isNotNull(), F.lit(False))
     body = record[root].cast(_by_position(keys)) if keys else record[root]
-    row = F.struct(
-        *[F.when(good, record[n]).alias(n) for n in types],
-        F.when(good, body).alias(root),
-        F.when(~good, F.col(value)).alias(CORRUPT),
-    )
+    values = {n: record[n] if t == "string" else try_double(record[n]) for n, t in types.items()}
+    columns = [*[F.when(good, v).alias(n) for n, v in values.items()], F.when(good, body).alias(root),
+               F.when(~good, F.col(value)).alias(CORRUPT)]
+    if ledger:
+        # a body that was opened is NULL where it is missing, null or no object; only those few lines are looked at again
+        wrong = body.isNull() & F.get_json_object(value, f"$.{root}").isNotNull() if keys else ~body.startswith("{")
+        keys_held = F.json_object_keys(value)
+        found = {"lost_score": F.greatest(*[record[n].isNotNull() & values[n].isNull() for n, t in types.items()
+                                            if t != "string"], F.lit(False), F.lit(False)),
+                 "body_no_object": wrong, "repeated_key": F.size(keys_held) > F.size(F.array_distinct(keys_held))}
+        bits = [F.when(found[name], F.lit(bit)).otherwise(F.lit(0)) for name, bit in DEFECT_BITS.items()]
+        columns.append(F.when(good, sum(bits[1:], bits[0])).otherwise(F.lit(0)).alias(DEFECTS))
+    row = F.struct(*columns)
     # A generator instead of plain columns: filters on its output cannot slide below it, where Spark would
     # have to parse every line once more to evaluate them.
     return parsed.select(*rest, F.inline(F.array(row)))
 
 
-def _nested_under(fields: Iterable[Field], root: str) -> list[Field]:
+def nested_under(fields: Iterable[Field], root: str) -> list[Field]:
     """Fields strictly below ``root``; other top-level keys and other roots are not shredded."""
     return [f for f in fields if len(f.steps) > 1 and f.steps[0] == root]
 
@@ -177,14 +197,14 @@ def shred_search(records: DataFrame, fields: Sequence[Field], keep: Sequence[str
     ``keep_corrupt`` keeps bad lines as rows of NULLs instead of leaving them out.
     """
     rows = records if keep_corrupt else records.filter(F.col(CORRUPT).isNull())
-    return extract(rows, SOURCE, _nested_under(fields, SOURCE), [*keep, *ENVELOPE_KEYS])
+    return extract(rows, SOURCE, nested_under(fields, SOURCE), [*keep, *ENVELOPE_KEYS])
 
 
 def shred_aac(records: DataFrame, fields: Sequence[Field], keep: Sequence[str] = (),
               keep_corrupt: bool = False) -> DataFrame:
     """X02. ``aacid``, the whole ``metadata`` as JSON text and one string column per selected path."""
     rows = records if keep_corrupt else records.filter(F.col(CORRUPT).isNull())
-    return extract(rows, METADATA, _nested_under(fields, METADATA), [*keep, *AAC_KEYS])
+    return extract(rows, METADATA, nested_under(fields, METADATA), [*keep, *AAC_KEYS])
 
 
 def bad_files(records: DataFrame, file: str = "file_path") -> DataFrame:

@@ -53,20 +53,34 @@ def write_document(document: DataFrame, path: str, mode: str = "errorifexists")
     document.write.mode(mode).text(path)
 
 
+_FIELD = "field: string, column: string, pointer: string"
+
+
+def _section(spark: SparkSession, path: str, name: str, kind: str) -> DataFrame:
+    """One part of a stored selection, as column ``part`` of its one row."""
+    stored = spark.read.text(path, wholetext=True)
+    return stored.select(F.from_json("value", f"struct<{name}: {kind}>")[name].alias("part"))
+
+
+def read_selection(spark: SparkSession, path: str) -> DataFrame:
+    """Fields of every dataset from a stored selection: ``dataset, path, column, pointer``."""
+    stored = _section(spark, path, "common_fields", f"map<string, array<struct<{_FIELD}>>>")
+    own = stored.select(F.explode("part").alias("dataset", "fields")).select("dataset", F.inline("fields"))
+    return own.withColumnRenamed("field", "path")
+
+
 def read_document(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Fields of one dataset from a stored selection: ``path, column, pointer``."""
-    field = "array<struct<field: string, column: string, pointer: string>>"
-    stored = spark.read.text(path, wholetext=True).select(
-        F.from_json("value", f"struct<common_fields: map<string, {field}>>").alias("d")
-    )
-    return stored.select(F.inline(F.try_element_at("d.common_fields", F.lit(dataset)))).withColumnRenamed(
-        "field", "path"
-    )
+    return read_selection(spark, path).filter(F.col("dataset") == dataset).drop("dataset")
 
 
 def read_combined(spark: SparkSession, path: str, group: str) -> DataFrame:
     """Combined fields of a group from a stored selection: ``path, column, pointer, datasets``."""
-    name = f"combined_{group}_fields"
-    field = "array<struct<field: string, column: string, pointer: string, datasets: array<string>>>"
-    stored = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<{name}: {field}>").alias("d"))
-    return stored.select(F.inline(f"d.{name}")).withColumnRenamed("field", "path")
+    stored = _section(spark, path, f"combined_{group}_fields", f"array<struct<{_FIELD}, datasets: array<string>>>")
+    return stored.select(F.inline("part")).withColumnRenamed("field", "path")
+
+
+def read_column_names(spark: SparkSession, path: str) -> DataFrame:
+    """The names that a stored selection's run and all before it dealt: ``dataset, path, column``."""
+    stored = _section(spark, path, "column_names", "array<struct<dataset: string, field: string, column: string>>")
+    return stored.select(F.inline("part")).withColumnRenamed("field", "path")
