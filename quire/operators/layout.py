@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,47 @@ def partition_keys(paths: Sequence[str], root: str) -> list[str]:
     return list(below.pop())
 
 
+@dataclass(frozen=True)
+class Placed:
+    """An input file's share of its group's output files."""
+
+    path: str  # as _metadata.file_path writes it
+    group: str
+    first: int  # the group's first output file
+    count: int  # how many it has
+    before: int  # bytes of the group ahead of the file
+    length: int
+    rows: int
+    total: int  # bytes of the group
+
+
+def place_files(files: Sequence[tuple[str, str, int, int]], target_bytes: int) -> tuple[list[Placed], int]:
+    """Which output file each part of each input file goes to; and how many output files there are.
+
+    ``files`` are (path, group, bytes, rows). The files of a group are laid end to end and cut into equal stretches of at
+    most ``target_bytes``; a file across a cut gives its first rows to the one, its last to the next. So all output files
+    of a group are of one size, but for what rows of uneven size and compression change, and few files meet in each.
+    """
+    groups: dict[str, list[tuple[str, int, int]]] = {}
+    for path, group, length, rows in sorted(files):
+        groups.setdefault(group, []).append((path, length, rows))
+    out, first = [], 0
+    for group, own in sorted(groups.items()):
+        total = sum(n for _, n, _ in own)
+        count, before = max(1, math.ceil(total / target_bytes)), 0
+        for path, length, rows in own:
+            out.append(Placed(path, group, first, count, before, length, rows, total))
+            before += length
+        first += count
+    return out, first
+
+
+def _slot() -> Column:
+    """Output file of a row, from its place in its file and the file's in its group."""
+    at = F.col("__before") + F.col("__length") * (F.col("__index") + 0.5) / F.col("__rows")
+    return F.col("__first") + F.least(F.col("__count") - 1, F.floor(at * F.col("__count") / F.col("__total"))).cast("int")
+
+
 def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: int = TARGET_FILE_BYTES,
             by: str = "directory", mode: str = "errorifexists") -> dict[str, int]:
     """S18. Merge small Parquet files into zstd files of about ``target_bytes`` and check rows and columns.
@@ -78,9 +120,9 @@ def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: in
     ``files`` is a listing (``path``, ``length``). What may be merged: with ``by="directory"`` the files of one
     directory, which is how this library writes datasets; with ``by="base"`` files of one base name, as other tools
     number theirs (column ``base``); with ``by="none"`` any files, by tasks that read several of them, without a
-    shuffle. Partition columns (``key=value`` directories) stay. Each group gets its bytes over ``target_bytes`` output
-    files and its rows are dealt over them by row number, so a group that holds most rows is many tasks. Inputs are
-    never deleted.
+    shuffle. Partition columns (``key=value`` directories) stay. :func:`place_files` tells which output file a row goes
+    to, and rows are sent to the task of that number, one task a file, so a group that holds most rows is many tasks.
+    Inputs are never deleted.
     """
     listed = files.select("path", "length", base_name(F.element_at(F.split("path", "/"), -1)).alias("base")).collect()
     paths = [r["path"] for r in listed]  # one row a file
@@ -92,27 +134,21 @@ def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: in
         merged = rows.coalesce(max(1, math.ceil(sum(r["length"] for r in listed) / target_bytes)))
         folders = keys
     else:
-        group_of = {r["path"]: r["base"] if by == "base" else plain_path(r["path"]).rpartition("/")[0] for r in listed}
-        sizes: dict[str, int] = {}
-        for r in listed:
-            sizes[group_of[r["path"]]] = sizes.get(group_of[r["path"]], 0) + r["length"]
-        first, slots = {}, 0
-        for group, size in sorted(sizes.items()):
-            first[group] = slots
-            slots += max(1, math.ceil(size / target_bytes))
-        ends = [*list(first.values())[1:], slots]
+        lengths = {plain_path(r["path"]): (r["base"] if by == "base" else plain_path(r["path"]).rpartition("/")[0], r["length"])
+                   for r in listed}
+        counted = spark.read.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("path")).count().collect()
+        held = [(r["path"], *lengths[listed_path(r["path"])], r["count"]) for r in counted]  # one row a file
+        placed, slots = place_files(held, target_bytes)
         places = spark.createDataFrame(
-            [(g, a, z - a) for (g, a), z in zip(first.items(), ends)], "__group string, __first int, __count int")
-        name = base_name(F.col("_metadata.file_name")) if by == "base" else F.regexp_replace(
-            F.regexp_replace("_metadata.file_path", "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/"), "/[^/]*$", "")
-        numbered = rows.withColumn("__group", name).withColumn("__row", F.monotonically_increasing_id())
-        slot = F.col("__first") + F.pmod("__row", F.col("__count")).cast("int")
-        dealt = numbered.join(places, "__group").withColumn("__slot", slot)
-        merged = dealt.repartition(slots, "__slot")
+            [(p.path, p.group, p.first, p.count, p.before, p.length, p.rows, p.total) for p in placed],
+            "__path string, __group string, __first int, __count int, __before long, __length long, __rows long, __total long")
+        numbered = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
+        dealt = numbered.join(places, F.col("__file") == F.col("__path")).withColumn("__slot", _slot())
+        merged = dealt.repartitionById(max(1, slots), "__slot")
         folders = [*keys, "base"] if by == "base" else keys
         if by == "base":
             merged = merged.withColumn("base", F.col("__group"))
-        merged = merged.drop("__group", "__row", "__first", "__count", "__slot")
+        merged = merged.select(*rows.columns, *(["base"] if by == "base" else []))
     seen = Observation()
     writer = merged.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(*folders) if folders else writer).parquet(target)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quire.operators import layout
 from quire.operators.ordered import numbered, running_totals
 from quire.sources import landing, readers
+from quire.sources.files import move
 from tests.conftest import plan_of
 
 
@@ -99,3 +100,57 @@ def test_compaction_keeps_partition_columns_and_merges_own_files(spark, tmp_path
     df = readers.read_shredded(spark, out)
     assert df.columns == ["_id", "dataset"]
     assert {r["dataset"]: r["count"] for r in df.groupBy("dataset").count().collect()} == {"small": 600, "hot": 5400}
+
+
+def test_every_file_is_placed_whole_and_evenly():
+    random.seed(3)
+    files = [(f"p{i:03d}", random.choice(["a", "a", "a", "b", "c"]), random.choice([1, 10, 90, 5000]), random.randint(1, 40))
+             for i in range(200)] + [("only", "d", 7, 3)]
+    placed, slots = layout.place_files(files, 2000)
+    assert sorted(p.path for p in placed) == sorted(f[0] for f in files)
+    fill = {}
+    for p in placed:
+        assert p.total == sum(f[2] for f in files if f[1] == p.group) and p.count == -(-p.total // 2000)
+        for row in range(p.rows):
+            at = p.before + p.length * (row + 0.5) / p.rows
+            slot = p.first + min(p.count - 1, int(at * p.count / p.total))
+            assert p.first <= slot < p.first + p.count
+            fill[(p.group, slot)] = fill.get((p.group, slot), 0) + p.length / p.rows
+    groups = {slot: group for group, slot in fill}
+    assert len(groups) == len(fill) and slots == max(groups) + 1
+    for (group, _), size in fill.items():
+        whole = next(p for p in placed if p.group == group)
+        assert abs(size - whole.total / whole.count) <= 2 * 5000  # a row at each end
+
+
+@pytest.mark.parametrize("by", ["directory", "base"])
+def test_output_files_are_of_one_size(spark, tmp_path, by):
+    rng = random.Random(8)
+    for n, rows in enumerate([40_000, 300, 9_000, 1, 2_500, 15_000, 700, 60]):  # files as uneven as they come
+        text = [("%032x" % rng.getrandbits(128),) for _ in range(rows)]
+        folder = f"{tmp_path}/made{n}"
+        spark.createDataFrame(text, "_id string").coalesce(1).write.parquet(folder)
+        part = landing.list_files(spark, folder, "*.parquet").first()["path"]
+        move(spark, part, f"{tmp_path}/in/journals_x_{n}.parquet")
+    small = spark.range(50).select(F.col("id").cast("string").alias("_id")).coalesce(1)
+    small.write.parquet(f"{tmp_path}/last")
+    part = landing.list_files(spark, f"{tmp_path}/last", "*.parquet").first()["path"]
+    move(spark, part, f"{tmp_path}/in/metadata_x_0.parquet")
+    listing = landing.list_files(spark, f"{tmp_path}/in", "*.parquet")
+    target = listing.agg(F.sum("length")).first()[0] // 6
+    report = layout.compact(spark, listing, str(tmp_path / "out"), target_bytes=target, by=by)
+    assert report["rows_in"] == 67_611 and report["files_in"] == 9
+    sizes = [(r["path"], r["length"]) for r in landing.list_files(spark, str(tmp_path / "out"), "*.parquet").collect()]
+    large = [n for p, n in sizes if "base=metadata_x" not in p]
+    assert len(large) >= 6 and all(abs(n - sum(large) / len(large)) < 0.25 * sum(large) / len(large) for n in large)
+    assert len(sizes) == report["files_out"] and (by == "directory" or len(sizes) == len(large) + 1)
+    if by == "base":
+        got = {r["base"]: r["count"] for r in readers.read_shredded(spark, str(tmp_path / "out")).groupBy("base").count().collect()}
+        assert got == {"journals_x": 67_561, "metadata_x": 50}
+
+
+def test_paths_with_odd_characters_are_compacted(spark, tmp_path):
+    folder = str(tmp_path / "in" / "a b+c%20")
+    spark.range(0, 90, 1, 3).write.parquet(folder)
+    report = layout.compact(spark, landing.list_files(spark, folder, "*.parquet"), str(tmp_path / "out"))
+    assert report == {"files_in": 3, "files_out": 1, "rows_in": 90, "rows_out": 90}
