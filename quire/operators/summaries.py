@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.values import round2
-from quire.session import scratch_path
 
 
 def compute_once(df: DataFrame, *columns: Column) -> DataFrame:
@@ -57,53 +57,62 @@ def number_summary(value: Column | str, mean: str, low: str, high: str, rounded:
     return [round2(F.avg(value)).alias(mean), lo.alias(low), hi.alias(high)]
 
 
-def block_bounds(df: DataFrame, value: str, blocks: int) -> list:
-    """Sorted literals that cut a numeric column into about ``blocks`` parts of similar row count."""
-    shares = [i / blocks for i in range(1, blocks)]
-    if not shares:
-        return []
-    found = df.agg(F.percentile_approx(value, shares, 10 * blocks).alias("b")).first()["b"]
-    return sorted(set(found or []))
-
-
-def block_of(value: Column, bounds: Sequence, first: int = 0) -> Column:
-    """How many of the sorted bounds are <= value, as a balanced tree of comparisons."""
-    if not bounds:
-        return F.lit(first)
-    mid = len(bounds) // 2
-    return F.when(value < F.lit(bounds[mid]), block_of(value, bounds[:mid], first)).otherwise(
-        block_of(value, bounds[mid + 1 :], first + mid + 1)
-    )
-
-
-def quantiles(df: DataFrame, value: str, shares: Sequence[float], blocks: int = 64) -> DataFrame:
+def quantiles(df: DataFrame, value: str, shares: Sequence[float], exact_rows: int = 1_000_000) -> DataFrame:
     """Exact quantiles (``share``, ``value``): the smallest value that at least that share of rows does not exceed.
 
-    Rows are first counted per distinct value, so a value that fills the column is one row. Only the blocks that
-    hold a wanted rank are then ordered, each on its own; the other blocks contribute their row count.
+    Each pass over the rows counts, for every share, those below and inside the bracket in which its rank must lie, and
+    sketches the values inside (KLL); the sketch gives the next, far narrower bracket. A bracket that turns out not to
+    hold its rank, which a sketch's error allows now and then, is taken back. Once a bracket has at most ``exact_rows``
+    rows or a single value, its values are counted and put in order. Only counts and bounds reach the driver; the number
+    of passes grows with the logarithm of the number of rows.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    # written once: bounds, block sizes and the ordering read the counts, not the rows
-    stored = scratch_path(df.sparkSession, "counts")
-    counts.write.parquet(stored)
-    counts = df.sparkSession.read.schema(counts.schema).parquet(stored)
-    blocked = counts.withColumn("__block", block_of(F.col(value), block_bounds(counts, value, blocks)))
-    sizes = sorted(tuple(r) for r in blocked.groupBy("__block").agg(F.sum("__n")).collect())  # <= blocks rows
-    total = sum(n for _, n in sizes)
-    wanted, before = [], 0
-    for block, n in sizes:
-        for share in shares:
-            rank = max(1, math.ceil(share * total))
-            if before < rank <= before + n:
-                wanted.append((float(share), block, rank - before))
-        before += n
-    if not wanted:
-        return counts.select(F.lit(0.0).alias("share"), value).limit(0)
-    inside = Window.partitionBy("__block").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    run = blocked.filter(F.col("__block").isin([b for _, b, _ in wanted])).withColumn("__run", F.sum("__n").over(inside))
-    hits = [
-        F.struct(F.lit(s).alias("share"), F.min(F.when((F.col("__block") == b) & (F.col("__run") >= r), F.col(value)))
-                 .alias(value))
-        for s, b, r in wanted
-    ]
-    return run.agg(F.array(*hits).alias("q")).select(F.inline("q"))
+    v = F.col(value)
+    rows = df.filter(v.isNotNull())
+    number = v.cast("double")
+    n = rows.count()
+    if not n:
+        return rows.select(F.lit(0.0).alias("share"), value).limit(0)
+    ranks = [max(1, math.ceil(s * n)) for s in shares]  # within the bracket, once it has been counted
+    whole = (None, None)
+    brackets: list[tuple[float | None, float | None]] = [whole] * len(shares)
+    done = n <= exact_rows
+    wider, slack = list(brackets), [_SLACK] * len(shares)
+    while not done:
+        passes = []
+        for i, (lo, hi) in enumerate(brackets):
+            inside = _within(number, lo, hi)
+            passes += [F.count_if(number < F.lit(lo) if lo is not None else F.lit(False)).alias(f"below{i}"),
+                       F.count_if(inside).alias(f"inside{i}"),
+                       F.kll_sketch_agg_double(F.when(inside, number), F.lit(_SKETCH)).alias(f"sketch{i}")]
+        found = rows.agg(*passes).first()
+        done = True
+        for i, s in enumerate(shares):
+            (lo, hi), size = brackets[i], found[f"inside{i}"]
+            ranks[i] = max(1, math.ceil(s * n)) - found[f"below{i}"]
+            if not 1 <= ranks[i] <= size:  # not in there after all
+                brackets[i], wider[i], slack[i], done = wider[i], whole, 4 * slack[i], False
+            elif size > exact_rows and (lo is None or lo != hi):
+                places = [min(1.0, max(0.0, ranks[i] / size + off)) for off in (-slack[i], slack[i])]
+                sketch = F.lit(bytes(found[f"sketch{i}"]))  # about 20 kB
+                low, high = df.sparkSession.range(1).select(
+                    *[F.kll_sketch_get_quantile_double(sketch, F.lit(p)).alias(str(k)) for k, p in enumerate(places)]).first()
+                new = (low if lo is None else max(lo, low), high if hi is None else min(hi, high))
+                if new != (lo, hi):
+                    wider[i], brackets[i], done = (lo, hi), new, False
+    held = [_within(number, lo, hi) for lo, hi in brackets]
+    counts = rows.filter(reduce(Column.__or__, held)).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    which = F.filter(F.array(*[F.when(h, F.lit(i)) for i, h in enumerate(held)]), lambda i: i.isNotNull())
+    run = F.sum("__n").over(Window.partitionBy("__i").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ordered = counts.select("*", F.explode(which).alias("__i")).withColumn("__run", run)
+    met = ordered.filter(F.col("__run") >= F.array(*[F.lit(r) for r in ranks])[F.col("__i")])
+    share = F.array(*[F.lit(float(s)) for s in shares])[F.col("__i")]
+    return met.groupBy("__i").agg(F.min(value).alias(value)).select(share.alias("share"), value)
+
+
+_SKETCH = 2048  # size of a sketch: ranks are off by 0.25 % of its rows, seldom more
+_SLACK = 0.01
+
+
+def _within(number: Column, lo: float | None, hi: float | None) -> Column:
+    above = F.lit(True) if lo is None else number >= F.lit(lo)
+    return above if hi is None else above & (number <= F.lit(hi))

@@ -22,11 +22,27 @@ def test_quantiles_against_sorting(spark):
     known = sorted(x for x in xs if x is not None)
     shares = [0.0, 0.01, 0.25, 1 / 3, 0.5, 0.75, 0.99, 1.0]
     want = {s: known[max(1, math.ceil(s * len(known))) - 1] for s in shares}
-    for blocks in (1, 2, 64):
-        assert {r["share"]: r["v"] for r in sm.quantiles(df, "v", shares, blocks).collect()} == want
+    for exact_rows in (1, 2, 64, 10_000):
+        assert {r["share"]: r["v"] for r in sm.quantiles(df, "v", shares, exact_rows).collect()} == want
     assert sm.quantiles(df.limit(0), "v", shares).count() == 0
 
 
+def test_quantiles_of_many_rows_narrow_by_passes(spark):
+    df = spark.range(400_000).select((F.col("id") * 7919 % 400_009).cast("float").alias("v"))
+    known = sorted(i * 7919 % 400_009 for i in range(400_000))
+    shares = [0.001, 0.5, 0.9999]
+    got = {r["share"]: r["v"] for r in sm.quantiles(df, "v", shares, exact_rows=500).collect()}
+    assert got == {s: known[math.ceil(s * len(known)) - 1] for s in shares}
+
+
+def test_a_bracket_without_its_rank_is_taken_back(spark, monkeypatch):
+    monkeypatch.setattr(sm, "_SLACK", 1e-4)  # next to nothing, and a sketch of a few values
+    monkeypatch.setattr(sm, "_SKETCH", 8)
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    got = {r["share"]: r["v"] for r in sm.quantiles(df, "v", [0.1, 0.5], exact_rows=100).collect()}
+    assert got == {0.1: 99.0, 0.5: 499.0}
+
+
 def test_approximate_quantiles_are_close(spark):
     df = spark.range(1, 2001).select((F.col("id") * 1048576).cast("string").alias(unified("filesize_best")))
     got = {r["share"]: r["size_mb"] for r in c.size_quantiles(df, exact=False).collect()}
