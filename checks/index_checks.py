@@ -18,6 +18,11 @@ def _length_sql(column: str, count: str, mean: str, where: str) -> str:
 FROM records WHERE {where} GROUP BY 1 HAVING count(*) > 5"""
 
 
+# list columns of the queries, and one of another kind
+_LISTS = [f"{S}_search_access_types", f"{U}_edition_varia_additional", f"{U}_identifiers_unified_aacid",
+          f"{U}_most_likely_language_codes"]
+
+
 def _over_records(fn, **params):
     return lambda spark, sf_dir: fn(records(spark, sf_dir), **params)
 
@@ -44,6 +49,8 @@ QUERIES = {
     "Q16_search_text_lengths": _over_records(q.search_text_lengths, min_count=5),
     "Q17_download_availability": _over_records(q.download_availability, min_count=5),
     "Q18_one_record": _over_records(q.one_record),
+    "Q18_column_listing": _over_records(q.column_listing),
+    "Q18_unreadable_lists": _over_records(q.unreadable_lists, columns=_LISTS),
 }
 
 _PAIRS = f"""pairs AS (SELECT DISTINCT {U}_edition_varia_best AS main_edition, variation FROM (
@@ -114,6 +121,12 @@ GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
   count(*) FILTER ({U}_has_scidb::INTEGER = 1) AS scidb_available
 FROM records GROUP BY 1 HAVING count(*) > 5""",
     "Q18_one_record": "SELECT * FROM records ORDER BY _id LIMIT 1",
+    "Q18_column_listing": """SELECT column_name AS "column", CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END
+  AS type, row_number() OVER ()::INTEGER AS position FROM (DESCRIBE SELECT * FROM records)""",
+    "Q18_unreadable_lists": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) FILTER ("{c}" IS NOT NULL) AS n_texts,
+  count(*) FILTER ("{c}" IS NOT NULL AND (NOT json_valid("{c}") OR json_type(CASE WHEN json_valid("{c}") THEN "{c}" END) <> 'ARRAY')) AS n_unreadable
+FROM records""" for c in _LISTS),
 }
 _TAIL["Q11_rare_books_whole_object"] = _TAIL["Q11_rare_books"]
 

@@ -77,14 +77,22 @@ def _document_round_trip(spark, sf_dir):
     profile = _stored(spark, sf_dir)
     document = fl.selection_document(profile, fl.select_fields(profile), "elasticsearchaux", "whole input")
     sinks.write_document(document, f"{base}/document")
-    own = [
-        sinks.read_document(spark, f"{base}/document", d).select(F.lit(d).alias("dataset"), "path", "column")
-        for d in ("records", "journals", "aac_zlib3_records")
-    ]
+    own = sinks.read_selection(spark, f"{base}/document").select("dataset", "path", "column")
     union = sinks.read_combined(spark, f"{base}/document", "elasticsearchaux").select(
         F.lit("combined").alias("dataset"), "path", "column"
     )
-    return own[0].unionByName(own[1]).unionByName(own[2]).unionByName(union)
+    return own.unionByName(union)
+
+
+def _names_kept(spark, sf_dir):
+    """Names of all selected fields after a run that knew only those of odd documents, which lack some paths."""
+    lines = raw_lines(spark, sf_dir)
+    early = pt.profile(lines.filter(F.col("doc_id") % 2 == 1).select("dataset", "value"))
+    known = fl.column_registry(fl.select_fields(early), "elasticsearch")
+    path = scratch_path(spark, "names")
+    sinks.write_report(known, path)
+    now = fl.select_fields(_profile(spark, sf_dir), known=spark.read.schema(known.schema).parquet(path))
+    return now.select("dataset", "path", "column")
 
 
 QUERIES = {
@@ -111,6 +119,7 @@ QUERIES = {
     "S14_report_text": _report_text,
     "S15_selection_document": _document_round_trip,
     "X03_fields_per_dataset": lambda s, d: fl.fields_per_dataset(_selected(s, d), "elasticsearchaux").drop("pointer"),
+    "X03_names_kept": _names_kept,
     "K1_dropped_keys": lambda s, d: fl.dropped_keys(
         _profile(s, d), ["_source", "metadata"], ["_index", "_id", "_score", "aacid", "metadata"]
     ),
@@ -149,7 +158,7 @@ combined AS (SELECT path, datasets, plain || CASE WHEN k > 1 THEN '__' || k ELSE
 _SHARED = """SELECT path FROM selected WHERE {g} GROUP BY path
 HAVING count(DISTINCT dataset) = (SELECT count(*) FROM totals WHERE {g}) AND count(DISTINCT dataset) > 1"""
 _PCT = "round(n_records / total_records * 100, 2)"
-_OWN = "SELECT dataset, path, \"column\" FROM selected WHERE dataset IN ('records', 'journals', 'aac_zlib3_records')"
+_OWN = "SELECT dataset, path, \"column\" FROM selected"
 
 SQL = {
     "P01_sample_rows": f"{raw_sql()}\nSELECT dataset, doc_id FROM raw WHERE {_KEY_HASH_SQL} % 1000000 < 200000",
@@ -196,3 +205,13 @@ SELECT dataset, path, n_records FROM profile WHERE (NOT contains(path, '.')
     AND path NOT IN ('_index', '_id', '_score', 'aacid', 'metadata'))
   OR (contains(path, '.') AND split_part(path, '.', 1) NOT IN ('_source', 'metadata'))""",
 }
+SQL["X03_names_kept"] = f"""{_profile_sql()},
+odd AS (SELECT dataset, path, count(*) AS n FROM (SELECT dataset, replace(regexp_replace(t.fullkey, '^\\$\\.', ''), '"', '') AS path
+  FROM valid, json_tree(valid.j) t WHERE doc_id % 2 = 1 AND t.key IS NOT NULL
+    AND NOT regexp_matches(t.fullkey, '\\[[1-9][0-9]*\\]') AND NOT regexp_matches(t.fullkey, '\\]$')) GROUP BY 1, 2),
+odd_totals AS (SELECT dataset, count(*) AS total FROM valid WHERE doc_id % 2 = 1 GROUP BY 1),
+early AS (SELECT dataset, path FROM odd JOIN odd_totals USING (dataset) WHERE n >= total * 0.2),
+every AS (SELECT dataset, path, plain, n_records >= total_records * 0.2 AS chosen, (dataset, path) IN (SELECT (dataset, path) FROM early) AS known
+  FROM named),
+dealt AS (SELECT *, row_number() OVER (PARTITION BY dataset, lower(plain) ORDER BY NOT known, path) AS k FROM every WHERE chosen OR known)
+SELECT dataset, path, plain || CASE WHEN k > 1 THEN '__' || k ELSE '' END AS "column" FROM dealt WHERE chosen"""

@@ -21,6 +21,7 @@ from quire.plans.ingest import IngestOptions, fields_for, ingest_group
 from quire.plans.search_index import file_sizes
 from quire.session import scratch_path
 from quire.sources import landing, readers, sinks
+from quire.sources.files import move
 
 _FUD, _SOF = "_source.file_unified_data", "_source.search_only_fields"
 SEARCH_FIELDS = [
@@ -214,20 +215,56 @@ def _row_counts_on_write(spark, sf_dir):
     return found.withColumn("rows_written", F.lit(counts["rows"]).cast("bigint"))
 
 
-def _compacted(by):
-    """What each dataset holds after its files were merged."""
+def _compacted(by, target_bytes):
+    """What each dataset holds after its files were merged (each is about a megabyte, mostly bloom filter)."""
 
     def run(spark, sf_dir):
         path, _ = _written_records(spark, sf_dir)
         out = scratch_path(spark, "compact")
         files = landing.list_files(spark, path, "*.parquet")
-        report = layout.compact(spark, files, out, target_bytes=1024 * 1024, by=by)
+        report = layout.compact(spark, files, out, target_bytes=target_bytes, by=by)
         fewer = F.lit(report["files_out"] < report["files_in"])
         return _summary(readers.read_shredded(spark, out)).withColumn("fewer_files", fewer)
 
     return run
 
 
+def _foreign_files(spark, sf_dir):
+    """Shredded files in one folder, named as other tools number them: ``<dataset>_<source>_<n>.parquet``.
+
+    Returns the folder and the rows' dataset by the base of their file."""
+    made, path = scratch_path(spark, "made"), scratch_path(spark, "foreign")
+    kind = {"set0": "metadata", "set1": "records", "set2": "aac_duxiu"}
+    name = F.concat(F.element_at(F.create_map(*[F.lit(x) for kv in kind.items() for x in kv]), F.col("dataset")), F.lit("_x"))
+    rows = readers.spread(records(spark, sf_dir).withColumn("base", name), 6)
+    sinks.write_shredded(rows, made, partition_by=["base"])
+    numbers: dict[str, int] = {}
+    for r in landing.list_files(spark, made, "*.parquet").orderBy("path").collect():  # one row a file
+        base = r["directory"].removeprefix("base=")
+        numbers[base] = numbers.get(base, -1) + 1
+        move(spark, r["path"], f"{path}/{base}_{numbers[base]}.parquet")
+    return path
+
+
+def _compacted_by_base(spark, sf_dir):
+    """What each base holds after the numbered files of all bases, in one folder, were merged."""
+    path, out = _foreign_files(spark, sf_dir), scratch_path(spark, "compact")
+    report = layout.compact(spark, landing.list_files(spark, path, "*.parquet"), out, target_bytes=4 * 1024 * 1024, by="base")
+    fewer = F.lit(report["files_out"] < report["files_in"])
+    return _summary(readers.read_shredded(spark, out), "base").withColumn("fewer_files", fewer)
+
+
+def _merge_patterns(spark, sf_dir):
+    """Each group's name pattern picks its own files out of a folder that holds those of all."""
+    path, parts = _foreign_files(spark, sf_dir), []
+    for group in landing.GROUPS:
+        files = [r["path"] for r in readers.merge_candidates(spark, path, group).select("path").collect()]
+        rows = readers.read_shredded(spark, *files)
+        parts.append(rows.agg(F.lit(group).alias("dataset_group"), F.count(F.lit(1)).alias("n_rows"),
+                              F.count_distinct("dataset").alias("n_datasets")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _compacted_hot(spark, sf_dir):
     """Line items by ship mode and with one mode that holds most of them, in several files each, merged."""
     path, out = scratch_path(spark, "lineitem"), scratch_path(spark, "compact")
@@ -247,18 +284,15 @@ def _merge_candidates(spark, sf_dir):
     return readers.read_shredded(spark, *[r["path"] for r in files]).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _ingested(spark, sf_dir):
-    """Compressed lines to shredded tables, the whole way, for the group whose fields are combined."""
-    base = scratch_path(spark, "ingest")
-    listing = _listing(spark, _written_lines(spark, sf_dir, "gzip"))
-    result = ingest_group(spark, listing, base, "elasticsearchaux", IngestOptions(sample_rate=1.0))
-    out = None
+def _table_summary(spark, result):
+    """What lies in each dataset's table, beside what the run reported."""
+    out = []
     for dataset, path in result.tables.items():
         df = readers.read_shredded(spark, path)
         key = "aacid" if dataset.startswith("aac_") else "_id"
         title = "metadata_title" if dataset.startswith("aac_") else f"{U}_title_best"
         counts = result.counts[dataset]
-        part = df.agg(
+        out.append(df.agg(
             F.lit(dataset).alias("dataset"),
             F.count(F.lit(1)).alias("n_rows"),
             F.count_distinct(key).alias("n_ids"),
@@ -266,9 +300,104 @@ def _ingested(spark, sf_dir):
             F.lit(counts["rows"]).cast("bigint").alias("rows_written"),
             F.lit(counts["quarantined"]).cast("bigint").alias("quarantined"),
             F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+        ))
+    return reduce(lambda x, y: x.unionByName(y), out)
+
+
+def _ingested(spark, sf_dir):
+    """Compressed lines to shredded tables, the whole way, for the group whose fields are combined."""
+    listing = _listing(spark, _written_lines(spark, sf_dir, "gzip"))
+    result = ingest_group(spark, listing, scratch_path(spark, "ingest"), "elasticsearchaux", IngestOptions(sample_rate=1.0))
+    return _table_summary(spark, result)
+
+
+def _ingested_from_a_sample(spark, sf_dir):
+    """The same from a profile of a fifth of the rows: fewer columns may be found, no row is lost."""
+    listing = _listing(spark, _written_lines(spark, sf_dir, "gzip"))
+    result = ingest_group(spark, listing, scratch_path(spark, "ingest"), "elasticsearchaux", IngestOptions(sample_rate=0.2))
+    return _table_summary(spark, result).drop("n_columns")
+
+
+def _ingested_again(spark, sf_dir):
+    """A second run over whole lines, from the selection that a first run over damaged ones stored."""
+    o = IngestOptions(sample_rate=1.0)
+    listing = _listing(spark, _written_lines(spark, sf_dir, "gzip"))
+    first = ingest_group(spark, listing, scratch_path(spark, "ingest"), "elasticsearchaux", o)
+    whole = scratch_path(spark, "whole")
+    raw_lines(spark, sf_dir, damage=False).select("dataset", "value").write.option("compression", "gzip").partitionBy(
+        "dataset").text(whole)
+    again = ingest_group(spark, _listing(spark, whole), scratch_path(spark, "ingest"), "elasticsearchaux", o,
+                         selection=first.selection_path)
+    return _table_summary(spark, again)
+
+
+def _quarantined_lines(spark, sf_dir):
+    """The lines of all six datasets that an ingest set aside."""
+    listing = _listing(spark, _written_lines(spark, sf_dir, "gzip"))
+    target = scratch_path(spark, "ingest")
+    result = ingest_group(spark, listing, target, "elasticsearch", IngestOptions(sample_rate=1.0))
+    parts = [spark.read.parquet(f"{target}/_quarantine/{d}").select(F.lit(d).alias("dataset"), "line")
+             for d, counts in result.counts.items() if counts["quarantined"]]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def _quarantined_files(spark, sf_dir):
+    """All or nothing by file, for all six datasets: rows kept and lines set aside, as they lie there."""
+    path, target = scratch_path(spark, "files"), scratch_path(spark, "ingest")
+    # one file of lines for each file name, so that what is set aside is what the names say
+    lines = raw_lines(spark, sf_dir).select("dataset", "file_name", "value").repartition("dataset", "file_name")
+    lines.write.option("compression", "gzip").partitionBy("dataset", "file_name").text(path)
+    files = landing.list_files(spark, path).filter(~F.col("file_name").startswith("_")).withColumn(
+        "dataset", F.regexp_extract("path", "dataset=([^/]+)/", 1))
+    result = ingest_group(spark, files, target, "elasticsearch", IngestOptions(sample_rate=1.0, quarantine="file"))
+    parts = []
+    for dataset, counts in result.counts.items():
+        kept = readers.read_shredded(spark, result.tables[dataset]).select(F.lit(1).alias("kept"))
+        if counts["quarantined"]:
+            aside = spark.read.parquet(f"{target}/_quarantine/{dataset}").select(F.lit(0).alias("kept"))
+            kept = kept.unionByName(aside)
+        parts.append(kept.groupBy(F.lit(dataset).alias("dataset")).agg(
+            F.count_if(F.col("kept") == 1).alias("n_rows"), F.count_if(F.col("kept") == 0).alias("n_set_aside")))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+# What makes some lines lose something although they parse; both engines replace the same texts.
+_SPOILED = (
+    "case when doc_id % 7 = 1 then replace({0}, '\"_score\":', '\"_score\":\"abc\",\"was\":')"
+    " when doc_id % 7 = 2 then replace({0}, '\"_source\":{{', '\"_source\":\"text\",\"rest\":{{')"
+    " when doc_id % 7 = 3 then replace(replace({0}, '{{\"_index\":', '{{\"_id\":\"first\",\"_index\":'), '{{\"aacid\":',"
+    " '{{\"aacid\":\"first\",\"aacid\":')"
+    " when doc_id % 7 = 4 then replace({0}, '\"metadata\":{{', '\"metadata\":[1],\"rest\":{{') else {0} end"
+)
+
+
+def _defects(spark, sf_dir):
+    """What good records lose, as counted by the parse itself."""
+    lines = raw_lines(spark, sf_dir).withColumn("value", F.expr(_SPOILED.format("value")))
+    aac = F.col("dataset").startswith("aac_")
+    keep = ["dataset", sh.DEFECTS, sh.CORRUPT]
+    parsed = sh.parse_search_lines(lines.filter(~aac), ledger=True).select(*keep).unionByName(
+        sh.parse_aac_lines(lines.filter(aac), ledger=True).select(*keep))
+    return parsed.groupBy("dataset").agg(F.count_if(F.col(sh.CORRUPT).isNotNull()).alias("corrupt"),
+                                         *[F.count_if(sh.has_defect(n)).alias(n) for n in sh.DEFECT_BITS])
+
+
+_UNKNOWN = ("concat('{{\"id\":', cast(doc_id as string), ',\"lang\":\"', lang, '\",\"size\":{{\"chars\":',"
+            " cast(n_chars as string), '}},\"tags\":[\"', source, '\"]', case when doc_id % 5 = 0 then '' else '}}' end)").replace(
+                "{{", "{").replace("}}", "}")
+
+
+def _fallback(spark, sf_dir):
+    """Records of a dataset that no selected field fits: typed by what they hold, in a folder of their own."""
+    path = scratch_path(spark, "unknown")
+    documents(spark, sf_dir).select(F.expr(_UNKNOWN).alias("value")).write.option("compression", "gzip").text(
+        f"{path}/dataset=other")
+    result = ingest_group(spark, _listing(spark, path), scratch_path(spark, "ingest"), "elasticsearch",
+                          IngestOptions(sample_rate=1.0))
+    df = readers.read_shredded(spark, result.inferred["other"])
+    return df.groupBy("lang", F.col("tags")[0].alias("tag")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size.chars").alias("chars"), F.sum("id").alias("ids"),
+        F.first(F.lit(result.counts["other"]["quarantined"]).cast("bigint")).alias("quarantined"))
 
 
 def profile_shred_query(spark, sf_dir):
@@ -323,10 +452,16 @@ QUERIES = {
         landing.base_name(F.concat("dataset", F.lit("_"), F.regexp_replace("file_name", r"\..*$", ""), F.lit("_"),
                                    F.col("doc_id").cast("string"), F.lit(".parquet"))).alias("base")
     ).groupBy("base").agg(F.count(F.lit(1)).alias("n_files")),
-    "S18_compaction_by_base": _compacted("directory"),
-    "S18_compaction_no_shuffle": _compacted("none"),
+    "S09_ingest_fallback": _fallback,
+    "S16_ingest_quarantine": _quarantined_lines,
+    "S16_ingest_quarantine_files": _quarantined_files,
+    "S18_compaction_by_base": _compacted_by_base,
+    "S18_compaction_by_directory": _compacted("directory", 4 * 1024 * 1024),
+    "S18_compaction_no_shuffle": _compacted("none", 1024 * 1024),
     "S18_compaction_hot_base": _compacted_hot,
     "S19_merge_candidates": _merge_candidates,
+    "S19_merge_patterns": _merge_patterns,
+    "X01_defects": _defects,
     "X01_shred_search": lambda s, d: sh.shred_search(_search_records(s, d), SEARCH_FIELDS),
     "X01_shred_search_one_pass": lambda s, d: sh.shred_search(
         sh.parse_search_lines(_lines(s, d, aac=False), fields=SEARCH_FIELDS), SEARCH_FIELDS
@@ -336,6 +471,8 @@ QUERIES = {
     ),
     "X02_shred_aac": lambda s, d: sh.shred_aac(_aac_records(s, d), AAC_FIELDS),
     "X04_ingest": _ingested,
+    "X04_ingest_sampled": _ingested_from_a_sample,
+    "X04_ingest_from_selection": _ingested_again,
     "X04_profile_shred_query": profile_shred_query,
 }
 
@@ -387,7 +524,7 @@ SELECT doc_id, file_path FROM raw WHERE {_IS_AAC} AND file_path IN {_BAD_FILES}"
 SELECT doc_id, file_path FROM raw WHERE {_IS_AAC} AND file_path NOT IN {_BAD_FILES}""",
     "S17_base_names": f"""{raw_sql()}
 SELECT dataset || '_' || regexp_replace(file_name, '\\..*$', '') AS base, count(*) AS n_files FROM raw GROUP BY 1""",
-    "S18_compaction_by_base": f'{records_sql()}SELECT dataset AS "set", {_SUMMARY}, true AS fewer_files FROM records GROUP BY 1',
+    "S18_compaction_by_directory": f'{records_sql()}SELECT dataset AS "set", {_SUMMARY}, true AS fewer_files FROM records GROUP BY 1',
     "S18_compaction_hot_base": """SELECT CASE WHEN l_orderkey % 10 < 8 THEN 'MOST' ELSE l_returnflag END AS mode,
   count(*) AS n_rows, sum(l_orderkey)::BIGINT AS keys FROM lineitem GROUP BY 1""",
     "S19_merge_candidates": "SELECT count(*) AS n_rows FROM documents",
@@ -427,4 +564,26 @@ FROM (SELECT raw.dataset, raw.doc_id, text, json_valid(value) AS ok FROM raw JOI
 JOIN widths USING (dataset) GROUP BY 1"""
 SQL["S02_zstd_lines"] = f"{raw_sql()}\nSELECT 'aac_' || dataset AS dataset, {_LINE_STATS} FROM raw GROUP BY 1"
 SQL["S11_parquet_file_list"] = SQL["S10_parquet_directory"]
-SQL["S18_compaction_no_shuffle"] = SQL["S18_compaction_by_base"]
+SQL["S18_compaction_no_shuffle"] = SQL["S18_compaction_by_directory"]
+_BASE = "CASE dataset WHEN 'set0' THEN 'metadata_x' WHEN 'set1' THEN 'records_x' ELSE 'aac_duxiu_x' END"
+SQL["S18_compaction_by_base"] = f'{records_sql()}SELECT {_BASE} AS "set", {_SUMMARY}, true AS fewer_files FROM records GROUP BY 1'
+SQL["S19_merge_patterns"] = f"""{records_sql()}SELECT CASE dataset WHEN 'set0' THEN 'elasticsearchaux' WHEN 'set1' THEN 'elasticsearch'
+  ELSE 'aac' END AS dataset_group, count(*) AS n_rows, count(DISTINCT dataset) AS n_datasets FROM records GROUP BY 1"""
+SQL["S16_ingest_quarantine"] = f"{raw_sql()}\nSELECT dataset, value AS line FROM raw WHERE NOT json_valid(value)"
+SQL["S16_ingest_quarantine_files"] = f"""{raw_sql()},
+bad AS (SELECT DISTINCT dataset, file_path FROM raw WHERE NOT json_valid(value))
+SELECT dataset, count(*) FILTER ((dataset, file_path) NOT IN (SELECT (dataset, file_path) FROM bad)) AS n_rows,
+  count(*) FILTER ((dataset, file_path) IN (SELECT (dataset, file_path) FROM bad)) AS n_set_aside FROM raw GROUP BY 1"""
+_ROOT = f"CASE WHEN {_IS_AAC} THEN '$.metadata' ELSE '$._source' END"
+SQL["X01_defects"] = f"""{raw_sql()},
+spoiled AS (SELECT dataset, {_SPOILED.format('value')} AS value FROM raw),
+good AS (SELECT dataset, value::JSON AS j FROM spoiled WHERE json_valid(value))
+SELECT dataset, (SELECT count(*) FROM spoiled s WHERE s.dataset = good.dataset AND NOT json_valid(s.value)) AS corrupt,
+  count(*) FILTER (NOT {_IS_AAC} AND json_type(j, '$._score') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'NULL')) AS lost_score,
+  count(*) FILTER (json_type(j, {_ROOT}) NOT IN ('OBJECT', 'NULL')) AS body_no_object,
+  count(*) FILTER (len(json_keys(j)) > len(list_distinct(json_keys(j)))) AS repeated_key FROM good GROUP BY 1"""
+SQL["S09_ingest_fallback"] = """SELECT lang, source AS tag, count(*) AS n, sum(n_chars)::BIGINT AS chars, sum(doc_id)::BIGINT AS ids,
+  (SELECT count(*) FROM documents WHERE doc_id % 5 = 0) AS quarantined FROM documents WHERE doc_id % 5 <> 0 GROUP BY 1, 2"""
+SQL["X04_ingest_sampled"] = SQL["X04_ingest"].replace(", any_value(n_columns) AS n_columns", "")
+SQL["X04_ingest_from_selection"] = SQL["X04_ingest"].replace(
+    "FROM (SELECT raw.dataset, raw.doc_id, text, json_valid(value) AS ok FROM raw", "FROM (SELECT raw.dataset, raw.doc_id, text, true AS ok FROM raw")

@@ -7,7 +7,7 @@ names, and filters sit directly on the scan so that Parquet can skip row groups.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -271,3 +271,10 @@ def column_listing(df: DataFrame) -> DataFrame:
     """Q18. Name, type and position of every column of a table."""
     rows = [(f.name, f.dataType.simpleString(), i + 1) for i, f in enumerate(df.schema.fields)]
     return df.sparkSession.createDataFrame(rows, "column string, type string, position int")
+
+
+def unreadable_lists(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Q18. Texts per list column, and how many of them are no JSON list; the list queries raise an error at those."""
+    counts = [F.struct(F.lit(c).alias("column"), F.count(F.col(c)).alias("n_texts"),
+                       F.count_if(V.unreadable_list(c)).alias("n_unreadable")) for c in columns]
+    return df.agg(F.array(*counts).alias("__all")).select(F.inline("__all"))
