@@ -9,7 +9,7 @@ _BOOK_SQL = f"""{U}_original_filename_best AS filename, {U}_title_best AS title,
   {U}_publisher_best AS publisher, {U}_year_best AS year, {U}_filesize_best AS filesize,
   {U}_extension_best AS extension, {U}_cover_url_best AS cover_url"""
 
-_ID = "md5:c4ca4238a0b923820dcc509a6f75849b"  # md5 of '1'
+ID = "md5:c4ca4238a0b923820dcc509a6f75849b"  # md5 of '1'
 
 
 def _length_sql(column: str, count: str, mean: str, where: str) -> str:
@@ -30,7 +30,7 @@ def _over_records(fn, **params):
 QUERIES = {
     "Q01_cover_sources": _over_records(q.cover_sources),
     "Q02_filename_search": _over_records(q.filename_search, text="src1_%pdf", limit=10),
-    "Q03_id_lookup": _over_records(q.id_lookup, record_id=_ID),
+    "Q03_id_lookup": _over_records(q.id_lookup, record_id=ID),
     "Q04_file_sizes": _over_records(q.file_sizes, min_count=5),
     "Q05_classifications": _over_records(q.classifications, min_count=1),
     "Q06_access_types": _over_records(q.access_types),
@@ -67,7 +67,7 @@ _TAIL = {
 FROM records WHERE {U}_cover_url_best IS NOT NULL GROUP BY 1""",
     "Q02_filename_search": f"""SELECT {_BOOK_SQL} FROM records
 WHERE {U}_original_filename_best LIKE '%src1_%pdf%' ORDER BY {U}_original_filename_best, _id LIMIT 10""",
-    "Q03_id_lookup": f"""SELECT _id AS id, {_BOOK_SQL} FROM records WHERE _id = '{_ID}' ORDER BY 2, 3 LIMIT 10""",
+    "Q03_id_lookup": f"""SELECT _id AS id, {_BOOK_SQL} FROM records WHERE _id = '{ID}' ORDER BY 2, 3 LIMIT 10""",
     "Q04_file_sizes": f"""SELECT {U}_content_type_best AS content_type, count(*) AS count,
   round(avg(mb), 2) AS avg_size_mb, round(min(mb)::DOUBLE, 2) AS min_size_mb, round(max(mb)::DOUBLE, 2) AS max_size_mb
 FROM (SELECT *, try_cast({U}_filesize_best AS FLOAT) / 1048576 AS mb FROM records) WHERE {U}_filesize_best IS NOT NULL

@@ -36,6 +36,13 @@ def _sample_files(spark, sf_dir):
     return pt.sample_files(files, RATE, on=F.md5("path"))
 
 
+def _sample_files_by_size(spark, sf_dir):
+    files = raw_lines(spark, sf_dir).groupBy("dataset", F.col("file_name").alias("path")).agg(
+        F.sum(F.octet_length("value").cast("bigint") + 1).alias("length"))
+    drawn = pt.sample_files_by_size(files, 0.5, on=F.md5("path"), start=0.37)
+    return drawn.withColumn("weight", F.round("weight", 6))
+
+
 def _paths_per_record(spark, sf_dir):
     found = pt.key_pointers(raw_lines(spark, sf_dir), keep=("record_key",))
     return found.filter(F.col("pointer") != "").groupBy("record_key").agg(F.count(F.lit(1)).alias("n_paths"))
@@ -98,6 +105,7 @@ def _names_kept(spark, sf_dir):
 QUERIES = {
     "P01_sample_rows": _sample_rows,
     "P01_sample_files": _sample_files,
+    "P01_sample_files_by_size": _sample_files_by_size,
     "P02_key_paths_per_record": _paths_per_record,
     "P03_path_counts": lambda s, d: _profile(s, d).select("dataset", "path", "n_records", "total_records", "n_unparsed"),
     "P03_record_totals": _totals,
@@ -215,3 +223,9 @@ every AS (SELECT dataset, path, plain, n_records >= total_records * 0.2 AS chose
   FROM named),
 dealt AS (SELECT *, row_number() OVER (PARTITION BY dataset, lower(plain) ORDER BY NOT known, path) AS k FROM every WHERE chosen OR known)
 SELECT dataset, path, plain || CASE WHEN k > 1 THEN '__' || k ELSE '' END AS "column" FROM dealt WHERE chosen"""
+SQL["P01_sample_files_by_size"] = f"""{raw_sql()},
+files AS (SELECT dataset, file_name AS path, sum(strlen(value) + 1)::BIGINT AS length FROM raw GROUP BY 1, 2),
+laid AS (SELECT *, least(1.0::DOUBLE, greatest(1, floor(count(*) OVER (PARTITION BY dataset) * 0.5)) * length::DOUBLE
+  / sum(length::DOUBLE) OVER (PARTITION BY dataset)) AS chance FROM files),
+ended AS (SELECT *, sum(chance) OVER (PARTITION BY dataset ORDER BY md5(path), path) - 0.37 AS last FROM laid)
+SELECT dataset, path, length, round(1 / chance, 6) AS weight FROM ended WHERE floor(last) > floor(last - chance)"""

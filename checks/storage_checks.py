@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from checks.index_checks import ID as LOOKED_UP
+from checks.index_checks import SQL as INDEX_SQL
 from checks.raw import raw_lines, raw_sql
 from checks.records import S, U, documents, records, records_sql
 from quire.operators import layout
@@ -18,9 +20,9 @@ from quire.operators.fields import select_fields
 from quire.operators.paths import profile
 from quire.operators.shred import Field
 from quire.plans.ingest import IngestOptions, fields_for, ingest_group
-from quire.plans.search_index import file_sizes
+from quire.plans.search_index import file_sizes, id_lookup
 from quire.session import scratch_path
-from quire.sources import landing, readers, sinks
+from quire.sources import landing, readers, seekable, sinks, zones
 from quire.sources.files import move
 
 _FUD, _SOF = "_source.file_unified_data", "_source.search_only_fields"
@@ -132,6 +134,56 @@ def _listing(spark, path):
     )
 
 
+def write_seekable_lines(lines, path, frame_lines=200):
+    """Lines as zstd files of many frames with a seek table at the end, one per dataset and task."""
+    uri = path if "://" in path else f"file://{path}"
+
+    def write(batches):
+        import struct
+
+        import zstandard
+        from pyarrow import RecordBatch, fs
+        from pyspark import TaskContext
+
+        files, root = fs.FileSystem.from_uri(uri)
+        files.create_dir(root, recursive=True)
+        part, n, held = TaskContext.get().partitionId(), 0, {}
+        for batch in batches:
+            for dataset, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(dataset, []).append(line)
+        for dataset, own in sorted(held.items()):
+            entries = b""
+            with files.open_output_stream(f"{root}/public_meta__aacid__{dataset}__{part:05d}.jsonl.seekable.zst", compression=None) as f:
+                for lo in range(0, len(own), frame_lines):
+                    text = "".join(line + "\n" for line in own[lo:lo + frame_lines]).encode()
+                    frame = zstandard.ZstdCompressor().compress(text)
+                    f.write(frame)
+                    entries += struct.pack("<II", len(frame), len(text))
+                footer = struct.pack("<IBI", len(entries) // 8, 0, 0x8F92EAB1)
+                f.write(struct.pack("<II", 0x184D2A5E, len(entries) + len(footer)) + entries + footer)
+            n += len(own)
+        yield RecordBatch.from_pydict({"n": [n]})
+
+    return lines.select("dataset", "value").mapInArrow(write, "n bigint").agg(F.sum("n")).first()[0]
+
+
+def _read_seekable(spark, sf_dir):
+    """Files of many frames, each read by several tasks."""
+    path = scratch_path(spark, "seekable")
+    write_seekable_lines(readers.spread(raw_lines(spark, sf_dir), 4), path, frame_lines=50)
+    paths = [r["path"].replace("file:/", "/", 1) if r["path"].startswith("file:/") else r["path"]
+             for r in landing.list_files(spark, path, "*.zst").select("path").collect()]
+    lines = seekable.read_seekable_lines(spark, paths, target_bytes=100_000)
+    return layout.line_stats(lines, by="dataset").drop("avg_bytes_per_line")
+
+
+def _zone_lookup(spark, sf_dir):
+    """Q03 over a clustered table, by way of its zone map."""
+    path = scratch_path(spark, "clustered")
+    zones.write_clustered(records(spark, sf_dir), path, "_id", 16)
+    return id_lookup(zones.lookup(spark, path, "_id", [LOOKED_UP]), LOOKED_UP)
+
+
 def _landing(spark, sf_dir):
     """Lines written as ``aa<n>/<group>/`` files; the selection must keep exactly the right ones."""
     base = scratch_path(spark, "torrent")
@@ -427,6 +479,7 @@ def _resized(spark, sf_dir):
 QUERIES = {
     "S01_gzip_lines": _read_back("gzip"),
     "S02_zstd_lines": _read_zstd,
+    "S02_seekable_lines": _read_seekable,
     "S03_landing_files": _landing,
     "S04_dataset_of_file": lambda s, d: raw_lines(s, d).select("doc_id", landing.dataset_of("file_name").alias("dataset")),
     "S05_group_of_directory": lambda s, d: documents(s, d).select(
@@ -445,6 +498,7 @@ QUERIES = {
     "S11_parquet_file_list": _scan_file_list,
     "S12_rows_per_file": _rows_per_file,
     "S13_zstd_parquet_write": _row_counts_on_write,
+    "S13_zone_lookup": _zone_lookup,
     "S16_quarantine_rows": lambda s, d: sh.quarantined(_search_records(s, d)).select("doc_id", sh.CORRUPT),
     "S16_quarantine_files": lambda s, d: sh.quarantined(_aac_records(s, d), "file").select("doc_id", "file_path"),
     "S16_accepted_files": lambda s, d: sh.accepted(_aac_records(s, d), "file").select("doc_id", "file_path"),
@@ -587,3 +641,5 @@ SQL["S09_ingest_fallback"] = """SELECT lang, source AS tag, count(*) AS n, sum(n
 SQL["X04_ingest_sampled"] = SQL["X04_ingest"].replace(", any_value(n_columns) AS n_columns", "")
 SQL["X04_ingest_from_selection"] = SQL["X04_ingest"].replace(
     "FROM (SELECT raw.dataset, raw.doc_id, text, json_valid(value) AS ok FROM raw", "FROM (SELECT raw.dataset, raw.doc_id, text, true AS ok FROM raw")
+SQL["S02_seekable_lines"] = SQL["S02_zstd_lines"]
+SQL["S13_zone_lookup"] = INDEX_SQL["Q03_id_lookup"]

@@ -83,16 +83,17 @@ def select_fields(profile: DataFrame, threshold: float = PRESENCE_THRESHOLD,
     pointers share one path text (a key holding a dot), the more deeply nested one stands for it. ``known`` are names
     of earlier runs (:func:`column_registry`).
     """
-    common = profile.filter(
-        (F.col("sampled_total") > 0)
-        & (F.col("sampled_n") >= F.col("sampled_total") * threshold_for("dataset", threshold, aac_threshold))
-    )
+    least = threshold_for("dataset", threshold, aac_threshold)
+    enough = F.col("sampled_n") >= F.col("sampled_total") * least
+    if "share" in profile.columns:  # weighted: sums of doubles, so a share right at the threshold may be a hair below it
+        enough = F.col("share") >= least.cast("double") - 1e-12
+    common = profile.filter((F.col("sampled_total") > 0) & enough)
     first = Window.partitionBy("dataset", "path").orderBy(_depth().desc(), F.col("pointer"))
     unique = common.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") == 1).drop("__k")
     named = with_column_names(unique, ("dataset",), None if known is None else known.filter(F.col("dataset") != COMBINED))
     return named.select(
         "dataset", "path", "column", "pointer", "n_records", "total_records",
-        (F.col("sampled_n") / F.col("sampled_total")).alias("presence"),
+        _share(profile).alias("presence"),
     )
 
 
@@ -171,9 +172,13 @@ def presence_report(profile: DataFrame) -> DataFrame:
     return _presence(profile).orderBy("dataset", F.col("n_records").desc(), "path")
 
 
+def _share(profile: DataFrame) -> Column:
+    """Share of records that hold a path."""
+    return F.col("share") if "share" in profile.columns else F.col("sampled_n") / F.col("sampled_total")
+
+
 def _presence(profile: DataFrame) -> DataFrame:
-    share = round2(F.col("sampled_n") / F.col("sampled_total") * 100)
-    return profile.select("dataset", "path", share.alias("presence_pct"), "n_records", "total_records")
+    return profile.select("dataset", "path", round2(_share(profile) * 100).alias("presence_pct"), "n_records", "total_records")
 
 
 def combined_report(combined: DataFrame) -> DataFrame:

@@ -50,6 +50,27 @@ def sample_files(files: DataFrame, rate: float, seed: int = 0, on: Column | None
     ).drop("__n", "__size")
 
 
+def sample_files_by_size(files: DataFrame, rate: float, seed: int = 0, on: Column | None = None,
+                         start: float | None = None) -> DataFrame:
+    """Files drawn with a chance in proportion to their bytes, and the ``weight`` that each stands for.
+
+    About ``rate`` of a dataset's files, at least one: they are laid out by a hash of the path, each as long as its chance
+    (its bytes over the mean of one draw, one at most), and those that hold the points ``start``, ``start + 1`` and so on
+    are taken; ``start`` hangs on the seed. A file's weight is one over its chance, so sums of weights estimate the whole
+    dataset without bias, whether its files are of one size or a few hold nearly all (Horvitz and Thompson).
+    """
+    order = F.xxhash64("path", F.lit(seed)) if on is None else on
+    own = Window.partitionBy("dataset")
+    size = F.greatest(F.col("length"), F.lit(1)).cast("double")
+    draws = F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(own) * F.lit(rate)))
+    first = F.pmod(F.xxhash64("dataset", F.lit(seed)), F.lit(1_000_000)) / 1_000_000 if start is None else F.lit(start)
+    laid = files.withColumn("__chance", F.least(F.lit(1.0), draws * size / F.sum(size).over(own)))
+    ends = F.sum("__chance").over(own.orderBy(order, "path").rowsBetween(Window.unboundedPreceding, 0))
+    laid = laid.withColumn("__end", ends - first)
+    taken = F.floor("__end") > F.floor(F.col("__end") - F.col("__chance"))
+    return laid.filter(taken).withColumn("weight", 1 / F.col("__chance")).drop("__chance", "__end")
+
+
 _STEP = "concat(pointer, '/', replace(replace({key}, '~', '~0'), '/', '~1'))"
 _FIRST = f"concat(pointer, '/{INDEX_STEP}')"
 
@@ -129,11 +150,13 @@ def pointer_text(pointer: str = "pointer") -> Column:
     )
 
 
-def count_paths(lines: DataFrame, value: str = "value", levels: int = UNROLLED_LEVELS) -> DataFrame:
-    """Records per (dataset, pointer), including the total and unparsed rows described above."""
-    return key_pointers(lines, value, ("dataset",), levels).groupBy("dataset", "pointer").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def count_paths(lines: DataFrame, value: str = "value", levels: int = UNROLLED_LEVELS,
+                weight: str | None = None) -> DataFrame:
+    """Records per (dataset, pointer), including the total and unparsed rows described above; ``weight`` names a column
+    of which the sum is wanted too (``w``)."""
+    found = key_pointers(lines, value, ("dataset", *([weight] if weight else [])), levels)
+    sums = [F.sum(weight).alias("w")] if weight else []
+    return found.groupBy("dataset", "pointer").agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
 def _rate(rate: float | Mapping[str, float]) -> Column:
@@ -150,29 +173,35 @@ def scale_up(count: Column | str, rate: float | Mapping[str, float]) -> Column:
 
 
 def profile(lines: DataFrame, rate: float | Mapping[str, float] = 1.0, value: str = "value",
-            levels: int = UNROLLED_LEVELS) -> DataFrame:
+            levels: int = UNROLLED_LEVELS, weight: str | None = None) -> DataFrame:
     """Field profile of (already sampled) lines.
 
     ``dataset, path, pointer, n_records, total_records`` as estimates for the whole, ``sampled_n`` and
-    ``sampled_total`` as counted, and ``n_unparsed``: sampled lines that are no JSON value.
+    ``sampled_total`` as counted, and ``n_unparsed``: sampled lines that are no JSON value. Estimates are counts over the
+    ``rate``; where lines were drawn with different chances, the column ``weight`` tells how many each stands for, and
+    ``share`` is the weighted share of records that hold the path.
     """
-    counts = count_paths(lines, value, levels)
+    counts = count_paths(lines, value, levels, weight)
     # Two numbers a dataset, joined to the paths: records with ids for keys have as many paths as records, so paths of a
     # dataset never meet in one task. Both sides read the one shuffle of the counts, hence no filter before the sums.
+    root = F.col("pointer") == ""
     whole = counts.groupBy(F.col("dataset").alias("__dataset")).agg(
-        F.coalesce(F.sum(F.when(F.col("pointer") == "", F.col("n"))), F.lit(0)).alias("sampled_total"),
+        F.coalesce(F.sum(F.when(root, F.col("n"))), F.lit(0)).alias("sampled_total"),
         F.coalesce(F.sum(F.when(F.col("pointer").isNull(), F.col("n"))), F.lit(0)).alias("n_unparsed"),
+        *([F.sum(F.when(root, F.col("w"))).alias("__whole")] if weight else []),
     )
-    totals = counts.join(whole, F.col("dataset").eqNullSafe(F.col("__dataset")))
-    return totals.filter(F.col("pointer") != "").select(
+    totals = counts.join(whole, F.col("dataset").eqNullSafe(F.col("__dataset"))).filter(F.col("pointer") != "")
+    estimate = (lambda c: F.round(c, 0).cast("bigint")) if weight else (lambda c: scale_up(c, rate))
+    return totals.select(
         "dataset",
         pointer_text().alias("path"),
         "pointer",
-        scale_up("n", rate).alias("n_records"),
-        scale_up("sampled_total", rate).alias("total_records"),
+        estimate("w" if weight else "n").alias("n_records"),
+        estimate("__whole" if weight else "sampled_total").alias("total_records"),
         F.col("n").alias("sampled_n"),
         "sampled_total",
         "n_unparsed",
+        *([(F.col("w") / F.col("__whole")).alias("share")] if weight else []),
     )
 
 

@@ -22,8 +22,8 @@ from quire.operators import fields as fl
 from quire.operators import shred as sh
 from quire.operators.inferred import RECORD, parsed_records, record_type, typed
 from quire.operators.layout import TARGET_FILE_BYTES
-from quire.operators.paths import count_paths, profile, record_totals, sample_files, sample_rows
-from quire.sources.files import exists, listed_path, move, plain_path, remove
+from quire.operators.paths import count_paths, profile, record_totals, sample_files_by_size, sample_rows
+from quire.sources.files import exists, listed_path, move, plain_file, plain_path, remove
 from quire.sources.landing import landing_files
 from quire.sources.readers import read_lines, spread, spread_for
 from quire.sources.sinks import (
@@ -95,37 +95,38 @@ def _lines(spark: SparkSession, files: dict[str, int], o: IngestOptions, rate: f
     return lines if n is None else spread(lines, n)
 
 
-def _sampled(spark: SparkSession, files: DataFrame, datasets: dict[str, dict[str, int]], o: IngestOptions):
-    """Sampled lines of all datasets, and for each dataset the share of its input they stand for.
+def _sampled(spark: SparkSession, files: DataFrame, datasets: dict[str, dict[str, int]], o: IngestOptions) -> DataFrame:
+    """The profile of a sample of every dataset.
 
-    Sampling files leaves the others unread, sampling rows has to decompress everything.
+    Sampling files leaves the others unread, and each line stands for the weight of its file; sampling rows has to
+    decompress everything, and each stands for one over the rate.
     """
     if o.sample_unit not in ("row", "file"):
         raise ValueError(f"sample_unit is row or file, not {o.sample_unit}")
-    chosen = _files_by_dataset(sample_files(files, o.sample_rate, o.seed)) if o.sample_unit == "file" else {}
-    parts, rates = [], {}
-    for dataset, own in datasets.items():
-        if o.sample_unit == "file":
-            rates[dataset] = sum(chosen[dataset].values()) / max(1, sum(own.values()))
-            lines = _lines(spark, chosen[dataset], o)
-        else:
-            rates[dataset] = o.sample_rate
-            lines = _lines(spark, own, o, o.sample_rate)
-        parts.append(lines.withColumn("dataset", F.lit(dataset)))
-    return reduce(DataFrame.unionByName, parts), rates
+    if o.sample_unit == "row":
+        parts = [_lines(spark, own, o, o.sample_rate).withColumn("dataset", F.lit(d)) for d, own in datasets.items()]
+        return profile(reduce(DataFrame.unionByName, parts), {d: o.sample_rate for d in datasets})
+    drawn = sample_files_by_size(files, o.sample_rate, o.seed).select("dataset", "path", "length", "weight").collect()
+    weights = spark.createDataFrame([(plain_path(r["path"]), r["weight"]) for r in drawn], "__file string, weight double")
+    chosen: dict[str, dict[str, int]] = {}
+    for r in drawn:  # a row a file
+        chosen.setdefault(r["dataset"], {})[r["path"]] = r["length"]
+    parts = [_lines(spark, own, o).withColumn("dataset", F.lit(d)) for d, own in chosen.items()]
+    lines = reduce(DataFrame.unionByName, parts)
+    return profile(lines.join(weights, plain_file("file_path") == F.col("__file")), weight="weight")
 
 
 def _profiled(spark: SparkSession, files: DataFrame, datasets: dict[str, dict[str, int]], o: IngestOptions,
               path: str) -> DataFrame:
     """The profile of all datasets, written to ``path`` and read back."""
-    sampled, rates = _sampled(spark, files, datasets, o)
-    write_report(profile(sampled, rates), path)
+    write_report(_sampled(spark, files, datasets, o), path)
     stored = spark.read.parquet(path)
     # a sample may hold no good record of a small dataset: such a dataset is profiled whole
     seen = {r["dataset"] for r in stored.select("dataset").distinct().collect()}  # at most one a dataset
     if missing := [d for d in datasets if d not in seen]:
         whole = reduce(DataFrame.unionByName, [_lines(spark, datasets[d], o).withColumn("dataset", F.lit(d)) for d in missing])
-        write_report(profile(whole, {d: 1.0 for d in missing}), path, mode="append")
+        weighed = {"weight": "weight"} if o.sample_unit == "file" else {}
+        write_report(profile(whole.withColumn("weight", F.lit(1.0)), **weighed), path, mode="append")
         stored = spark.read.parquet(path)
     return stored
 

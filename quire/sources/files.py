@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def _at(spark: SparkSession, path: str):
@@ -43,3 +44,9 @@ def plain_path(path: str) -> str:
 def listed_path(metadata_path: str) -> str:
     """The path of a listing that ``_metadata.file_path`` writes as a URI."""
     return plain_path(unquote(metadata_path))
+
+
+def plain_file(metadata_path: str) -> Column:
+    """:func:`listed_path` of a column."""
+    scheme = F.regexp_replace(metadata_path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+    return F.url_decode(F.replace(scheme, F.lit("+"), F.lit("%2B")))

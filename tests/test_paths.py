@@ -185,3 +185,37 @@ def test_wide_and_deep_records_are_profiled_in_seconds(spark):
     ids = spark.range(100_000).select(F.lit("d").alias("dataset"), F.concat(F.lit('{"k'), "id", F.lit('":1}')).alias("value"))
     assert pt.profile(ids).agg(F.count("*"), F.min("sampled_total"), F.max("sampled_total")).first()[:] == (100_000,) * 3
     assert time.time() - start < 90
+
+
+def test_files_drawn_by_size_estimate_without_bias(spark):
+    """One file holds most of a dataset, in records of another kind than those of the many small ones."""
+    sizes = [5000] + [10] * 40 + [200] * 5
+    held = [(f"f{i}", n, "rare" if n == 200 else "large" if n > 1000 else "small") for i, n in enumerate(sizes)]
+    files = spark.createDataFrame([("d", p, n) for p, n, _ in held] + [("one", "x", 7)], "dataset string, path string, length long")
+    truth = {k: sum(n for _, n, kind in held if kind == k) for k in ("large", "small", "rare")}
+    kind = {p: k for p, _, k in held}
+    sums, draws = {k: [] for k in truth}, 200
+    from functools import reduce
+    all_seeds = reduce(lambda a, b: a.unionByName(b), [
+        pt.sample_files_by_size(files, 0.2, seed).withColumn("seed", F.lit(seed)) for seed in range(draws)])
+    rows = all_seeds.collect()
+    for seed in range(draws):
+        own = [r for r in rows if r["seed"] == seed]
+        assert sum(r["dataset"] == "one" for r in own) == 1 and any(r["dataset"] == "d" for r in own)
+        for k in truth:  # records: as many as bytes
+            sums[k].append(sum(r["weight"] * r["length"] for r in own if kind.get(r["path"]) == k))
+    for k, found in sums.items():
+        mean = sum(found) / draws
+        spread = (sum((x - mean) ** 2 for x in found) / draws) ** 0.5
+        assert abs(mean - truth[k]) <= 4 * spread / draws ** 0.5 + 1e-6 * truth[k], (k, mean, truth[k])
+
+
+def test_weights_make_shares(spark):
+    lines = spark.createDataFrame([("d", '{"a":1}', 4.0), ("d", '{"a":1,"b":1}', 1.0), ("d", "bad", 9.0)],
+                                  "dataset string, value string, weight double")
+    got = {r["path"]: r for r in pt.profile(lines, weight="weight").collect()}
+    assert (got["b"]["n_records"], got["b"]["total_records"], got["b"]["sampled_n"], got["b"]["share"]) == (1, 5, 1, 0.2)
+    from quire.operators.fields import presence_report, select_fields
+    assert {r["path"] for r in select_fields(pt.profile(lines, weight="weight"), 0.2).collect()} == {"a", "b"}
+    assert {r["path"] for r in select_fields(pt.profile(lines, weight="weight"), 0.21).collect()} == {"a"}
+    assert {r["path"]: r["presence_pct"] for r in presence_report(pt.profile(lines, weight="weight")).collect()} == {"a": 100.0, "b": 20.0}
