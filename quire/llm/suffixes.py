@@ -48,7 +48,7 @@ WORD_PART = 5  # the same for windows of words
 
 _RUNS = "u1 long, u2 int, k long, h long, lo int, hi int, at int, n int"
 _CONTEXT = "u1 long, u2 int, k long, lo int, hi int, at int, bytes binary"
-REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
 
 
 def gram(width: int, unit: int = 1) -> int:
@@ -322,7 +322,7 @@ def _kept(text: bytes, spans: np.ndarray) -> tuple[bytes, list[tuple[int, int]]]
 
 
 def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """What is removed and a digest of what is left, for every row."""
+    """What is removed, a digest of what is left, and what is left as text (without bytes of characters cut apart)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,9 +330,10 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             for key, text, spans in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), batch.column(2).to_pylist()):
                 pairs = np.array([(s["lo"], s["end"]) for s in spans or []], np.int64).reshape(-1, 2)
                 left, merged = _kept(text, pairs)
-                rows.append((key, len(text), len(text) - len(left), len(merged), hashlib.sha256(left).hexdigest()))
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            columns = list(zip(*rows)) or [()] * 5
+                rows.append((key, len(text), len(text) - len(left), len(merged), hashlib.sha256(left).hexdigest(),
+                             left.decode(errors="ignore")))
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2
+            columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)],
                                              [f.split()[0] for f in REMOVED.split(", ")])
 
