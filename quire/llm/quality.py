@@ -25,6 +25,8 @@ SAMPLE_ROWS = 2000  # rows on which cost and selectivity are estimated; results
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
 SPACES = r"[\x20\x09-\x0D]+"
+LETTERS = r"[\p{L}\p{M}]"  # many scripts write vowels as marks
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"  # no blanks between words
 
 Measures = Mapping[str, Callable[[], Column]]
 
@@ -88,7 +90,8 @@ def measures(text: Column, words: Column) -> dict[str, Callable[[], Column]]:
         "n_lines": lambda: F.size(lines_of(text)).cast("long"),
         "n_dup_lines": lambda: _let(lines_of(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": lambda: repeated_words(words),
-        "n_letters": lambda: removed(text, r"\p{L}"),
+        "n_letters": lambda: removed(text, LETTERS),
+        "n_unspaced": lambda: removed(text, UNSPACED),
         "n_capitals": lambda: removed(text, r"\p{Lu}"),
         "n_exclamations": lambda: removed(text, "!"),
     }
@@ -101,7 +104,7 @@ BASE_RULES: dict[str, Callable[[Measures], Column]] = {
 }
 RULES: dict[str, Callable[[Measures], Column]] = BASE_RULES | {
     "short_words": lambda m: m["word_chars"]() < 2 * m["n_words"](),
-    "long_words": lambda m: m["word_chars"]() > 12 * m["n_words"](),
+    "long_words": lambda m: (m["word_chars"]() > 12 * m["n_words"]()) & (m["word_chars"]() - m["n_unspaced"]() > 12 * m["n_words"]()),
     "symbols": lambda m: 10 * m["n_symbols"]() > m["n_words"](),
     "duplicate_lines": lambda m: 2 * m["n_dup_lines"]() > m["n_lines"](),
     "few_letters": lambda m: 10 * m["n_letters"]() < 7 * m["word_chars"](),
@@ -117,7 +120,7 @@ def estimate(docs: DataFrame, rules: Mapping[str, Callable[[Measures], Column]]
     if not rows:
         return {name: (1.0, 0.0) for name in rules}
     text = docs.select(F.col(text_column).cast("string").alias("_q_text"))
-    sample = written(text.sample(min(1.0, sample_rows / rows), seed=17).coalesce(2), "sample")
+    sample = written(text.sample(min(1.0, sample_rows / rows), seed=17).repartition(2), "sample")
     prepared = sample.withColumn("_q_words", words_of(F.col("_q_text")))
     names = measures(F.col("_q_text"), F.col("_q_words"))
 
@@ -152,7 +155,8 @@ def keep(docs: DataFrame, rules: Mapping[str, Callable[[Measures], Column]] = RU
     """The rows of ``docs`` that no rule rejects, with their columns as they were."""
     order = ordered(estimate(docs, rules, text_column))
     words, kept = fresh(docs, "words"), fresh(docs, "kept")
-    split = docs.withColumn(words, words_of(F.col(text_column)))
+    # a generator: below it the filter cannot slide, where every rule would split the text again
+    split = docs.select("*", F.explode(F.array(words_of(F.col(text_column)))).alias(words))
     names = measures(F.col(text_column), F.col(words))
     return split.withColumn(kept, passes(names, order, rules)).filter(F.col(kept)).select(*docs.columns)
 
@@ -193,7 +197,9 @@ WITH d AS (
     SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
            (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
            (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-           len(l) AS n_lines, length(t) - length(regexp_replace(t, '\p{L}', '', 'g')) AS n_letters,
+           len(l) AS n_lines, length(t) - length(regexp_replace(t, '[\p{L}\p{M}]', '', 'g')) AS n_letters,
+           length(t) - length(regexp_replace(t, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]', '', 'g'))
+             AS n_unspaced,
            length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_capitals,
            length(t) - length(replace(t, '!', '')) AS n_exclamations
     FROM s LEFT JOIN rep USING (r)
@@ -201,7 +207,8 @@ WITH d AS (
     SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 10 * n_symbols > n_words
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 12 * n_words AND word_chars - n_unspaced > 12 * n_words
+            OR 10 * n_symbols > n_words
             OR 2 * n_dup_lines > n_lines OR 10 * n_letters < 7 * word_chars OR 2 * n_capitals > n_letters
             OR 10 * n_exclamations > 3 * n_words) AS kept
 FROM b

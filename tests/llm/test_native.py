@@ -1,6 +1,7 @@
 """Quality rules and pseudonyms against plain Python."""
 
 import re
+import unicodedata
 from datetime import date
 
 import pytest
@@ -9,10 +10,14 @@ from quire.llm import personal, quality
 from tests.conftest import plan_of
 
 LONG = " ".join(f"w{i % 997}" for i in range(30_000))
+HINDI = "यह एक साफ हिन्दी पाठ है जिसमें मात्राएँ बहुत"
+JAPANESE = "これは日本語の文章でありカタカナも漢字も含まれています"
 TEXTS = [
     None, "", " \n\t ", "few words", " ".join(f"word{i}" for i in range(40)), "a b c d e f g h " * 5, LONG,
     "x\ny z\nx\n \nx\ny z\n" + " ".join(f"q{i}" for i in range(30)), "# $ % " * 30, "é ü x " * 12, "one\x0btwo\x0cthree " * 9,
     "same same same same same same same same same", " ".join(f"v{i}!!" for i in range(30)), "HELLO THERE " + " ".join(f"WORD{i}" for i in range(30)),
+    " ".join(HINDI.split()[i % 9] + "।" * (i % 5 == 0) + HINDI.split()[i * 7 % 9] for i in range(40)),
+    " ".join(f"{JAPANESE[i % 20:]}。{JAPANESE[:20 + i]}" for i in range(25)), " ".join("supercalifragilistic" + "abcdefgh"[i % 8] * i for i in range(25)),
 ]
 
 
@@ -27,9 +32,10 @@ def expected(text):
             covered.update(j for i in places for j in range(i, i + 8))
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     n, chars, symbols = len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text))
-    dup, letters = len(lines) - len(set(lines)), sum(c.isalpha() for c in text)
+    dup, letters = len(lines) - len(set(lines)), sum(unicodedata.category(c)[0] in "LM" for c in text)
+    unspaced = sum(unicodedata.name(c, "").startswith(("CJK UNIFIED", "HIRAGANA", "KATAKANA L", "THAI")) for c in text)
     failed = n < 20 or 100 * len(covered) > 30 * n
-    bad = (chars < 2 * n or chars > 12 * n or 10 * symbols > n or 2 * dup > len(lines) or 10 * letters < 7 * chars
+    bad = (chars < 2 * n or chars > 12 * n and chars - unspaced > 12 * n or 10 * symbols > n or 2 * dup > len(lines) or 10 * letters < 7 * chars
            or 2 * sum(c.isupper() for c in text) > letters or 10 * text.count("!") > 3 * n)
     return n, chars, symbols, dup, len(covered), failed, not (failed or bad)
 
@@ -49,6 +55,16 @@ def test_measures_and_verdicts(spark, folder):
     assert [tuple(r)[1:] for r in got] == [expected(t) for t in texts]
 
 
+def test_clean_prose_of_other_scripts_is_kept(spark, folder):
+    got = quality.op4_quality_rules(spark, folder(TEXTS[-3:])).orderBy("doc_id").collect()
+    assert [r["kept"] for r in got] == [True, True, False]
+
+
+def test_the_stage_splits_a_text_once(docs):
+    plan = plan_of(quality.keep(docs(TEXTS)))
+    assert plan.count(quality.SPACES) == 1
+
+
 def test_quality_of_an_empty_table(spark, folder):
     df = quality.op4_quality_rules(spark, folder([]))
     assert df.count() == 0 and df.columns[:2] == ["doc_id", "n_words"]
