@@ -142,10 +142,34 @@ class Vocabulary:
         return int(self.rank[self.first_group + group_of(word) if at is None else at])
 
 
+def least_common(counts: DataFrame, most: int) -> int:
+    """The smallest count such that at most ``most`` words have it or more.
+
+    Two small tables reach the driver: words by the logarithm of their count (64 steps a factor of two), and words by
+    count within the step in which the number is reached. Words that tie are all in or all out.
+    """
+    step = F.floor(F.log2(F.col("c").cast("double")) * 64)
+    held, least = 0, None
+    for r in counts.groupBy(step.alias("k")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("k")).collect():
+        if held + r["n"] > most:
+            least = r["k"]
+            break
+        held += r["n"]
+    if least is None:
+        return 0
+    above = None
+    for r in counts.filter(step == least).groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect():
+        if held + r["n"] > most:
+            return r["c"] + 1 if above is None else above
+        held, above = held + r["n"], r["c"]
+    return above
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the stored counts. The driver gets at most ``COMMON`` words and one row a group."""
+    """From the stored counts. The driver gets at most ``COMMON`` words, a short histogram and one row a group."""
     total = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    common = counts.orderBy(F.desc("c"), "word").limit(COMMON).collect()
+    common = counts.filter(F.col("c") >= least_common(counts, COMMON)).collect()
+    common.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     listed = {END} | {w for w in [bytes(r["word"]) for r in common if bytes(r["word"]) != END][:ENTRIES - GROUPS - 1]}
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -59,6 +59,17 @@ def test_rare_words_and_no_training_document(spark, docs, monkeypatch):
     assert lm.scores(docs([])).count() == 0
 
 
+def test_common_words_by_a_threshold(spark):
+    rng = random.Random(6)
+    for most in (0, 1, 5, 40, 1000):
+        held = [max(1, int(rng.paretovariate(0.6))) for _ in range(300)]
+        counts = spark.createDataFrame([(str(i).encode(), c) for i, c in enumerate(held)], "word binary, c long")
+        least = lm.least_common(counts, most)
+        assert sum(c >= least for c in held) <= most or least <= 0
+        assert least <= 0 or sum(c >= max(x for x in [0, *held] if x < least) for c in held) > most
+    assert lm.least_common(counts.limit(0), 5) == 0
+
+
 def _net():
     return lm.Network(np.sort(np.random.default_rng(0).random(lm.ENTRIES))[::-1] + 0.01)
 
