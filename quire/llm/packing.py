@@ -8,12 +8,17 @@ the pieces are packed into as few sequences as possible:
    pieces needs fewer sequences.
 3. Slots with a gap give up the pieces of their unfilled sequences, certified slots those of their emptiest
    one (the rounding of the bound). These are dealt anew, so slots exchange pieces, and are packed again. A
-   round that does not save a sequence is not taken, and rounds end there.
+   round that does not save a sequence is not taken, and rounds end there and nowhere before.
 
 Rows are few bytes, one for each piece; no slot, and nothing on the driver, grows with the corpus.
 
-Defined cases: a null or empty text is its closing id alone; repeated rows and repeated ids are packed row by
-row; an empty table gives an empty result; other columns of the input are not looked at.
+Ids are those of the tokenizer file as it stands: an added token written out in a text (``<|endoftext|>``) is its
+one id.
+
+Defined cases: a null or empty text is its closing id alone, a null id stays null; a text of any length is cut into
+full pieces and a rest; pieces of equal length are taken in the order in which they are stored; repeated rows and
+repeated ids are packed row by row; an empty table gives an empty result; other columns of the input are not looked
+at.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,6 @@ from quire.llm.common import slots, table, texts_of, written
 CAPACITY = 4096
 CLOSING_ID = 1
 SLOT_ROWS = 100_000  # pieces in a slot: what one task packs
-ROUNDS = 4
 CACHED_WORDS = 350_000  # parts whose ids a worker remembers at once; a limit on memory only
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -62,7 +67,11 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Added tokens stand for themselves, looked for in the text as it is and before anything else.
+        self.added = {token.content: struct.pack("<I", number)
+                      for number, token in self.tokenizer.get_added_tokens_decoder().items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.between = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -72,7 +81,9 @@ class WordIds:
         return None if _LATIN.search(lower) else _PARTS.findall(lower)
 
     def _ids(self, part: str) -> bytes:
-        """Ids of one match: the merges alone, on the characters that stand for its bytes."""
+        """Ids of one match: the merges alone, on the characters that stand for its bytes. An added token is its id."""
+        if part in self.added:
+            return self.added[part]
         if not (part.isascii() and part.isprintable()):
             part = part.encode().decode("latin-1").translate(_BYTE_NAMES)
         ids = [token.id for token in self.tokenizer.model.tokenize(part)]
@@ -80,15 +91,23 @@ class WordIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without a closing id."""
-        split = [self.parts(t) for t in texts]
-        others = [i for i, parts in enumerate(split) if parts is None]
-        for i in others:
-            split[i] = texts[i].replace("\n", " ").split(" ")
+        split: list[list[str]] = []
+        others = set()  # words that the tokenizer itself has to part
+        for text in texts:
+            marked = any(token in text for token in self.added)
+            own: list[str] = []
+            for piece in self.between.split(text) if marked else [text]:
+                parts = [piece] if piece in self.added else self.parts(piece)
+                if parts is None:
+                    parts = piece.replace("\n", " ").split(" ")
+                    others.update(parts)
+                own += parts
+            split.append(own)
         if len(self.known) > CACHED_WORDS:  # short parts are those that come again
             self.known = {word: ids for word, ids in self.known.items() if len(word) <= 6}
         known = self.known
         if others:
-            words = list(set().union(*[split[i] for i in others]).difference(known))
+            words = list(others.difference(known))
             for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
                 known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
         for part in set().union(*split).difference(known):
@@ -216,13 +235,13 @@ def _pack_slot(round_: int, capacity: int):
     return pack
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, slot_rows: int = SLOT_ROWS, rounds: int = ROUNDS) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Pack stored pieces. Adds ``sequence_id``, ``offset`` and the certificate: ``bound`` and ``bins`` of the slot
     that placed the piece, and ``certified`` where they agree."""
     kept: list[DataFrame] = []
     pool = cut.select(*[c.split()[0] for c in PIECES.split(", ")])
     before = None  # the last round's rows, and the sequences it has for the pieces now pooled
-    for round_ in range(rounds):
+    for round_ in count():  # ends: every round but the last saves a sequence
         rows = pool.count()
         dealt = slots(pool, max(1, -(-rows // slot_rows)))
         packed = written(dealt.groupBy("slot").applyInArrow(_pack_slot(round_, capacity), PACKED), "packed")
@@ -240,7 +259,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, slot_rows: int = SLOT_ROWS, r
     out = kept[0]
     for more in kept[1:]:
         out = out.unionByName(more)
-    number = F.shiftleft(F.col("round").cast("long"), 56) + F.shiftleft(F.col("slot").cast("long"), 24) + F.col("bin")
+    number = F.shiftleft(F.col("round").cast("long"), 48) + F.shiftleft(F.col("slot").cast("long"), 24) + F.col("bin")
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset",
                       "round", "bound", "bins", (F.col("bound") == F.col("bins")).alias("certified"))
 
