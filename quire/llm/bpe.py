@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import table, texts_of
 
-LEAF = 4096  # characters that are encoded in one piece
+LEAF = 64  # characters that are encoded in one piece
 FIRST_WINDOW = 32  # characters or ids on either side of a cut that a join looks at first
-DECODE_LEAF = 4096  # ids
+DECODE_LEAF = 64  # ids
 
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -90,7 +90,10 @@ class Codec:
 
     @staticmethod
     def _edge_before(text: str, lo: int, cut: int, width: int) -> int | None:
-        """The last sure boundary within ``width`` before the cut; ``lo`` when the window reaches it."""
+        """A sure boundary within ``width`` before the cut; ``lo`` when the window reaches it."""
+        at = text.rfind(" ", max(lo, cut - width) + 1, cut)
+        if at > 0 and not text[at - 1].isspace():  # nearly always
+            return at
         for at in range(cut - 1, max(lo, cut - width), -1):
             if text[at] in _WHITE and not text[at - 1].isspace():
                 return at
@@ -98,6 +101,9 @@ class Codec:
 
     @staticmethod
     def _edge_after(text: str, cut: int, hi: int, width: int) -> int | None:
+        at = text.find(" ", cut + 1, min(hi, cut + width))
+        if at > 0 and not text[at - 1].isspace():
+            return at
         for at in range(cut + 1, min(hi, cut + width)):
             if text[at] in _WHITE and not text[at - 1].isspace():
                 return at
