@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -27,12 +28,15 @@ def folder(docs, tmp_path):
 # ---------------------------------------------------------------- packing
 
 
-def plain_ids(text):
+@lru_cache
+def untouched():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))  # as it is, nothing set
+
+
+def plain_ids(text):
+    return [*untouched().encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def test_pieces_and_places(spark, folder):
@@ -55,13 +59,46 @@ def test_pieces_and_places(spark, folder):
     assert len(filled) == -(-sum(len(i) for _, i in wanted.values()) // 4096)
 
 
+def test_ids_are_those_of_the_untouched_tokenizer():
+    encode = packing._word_ids(packing._path(None))
+    tokens = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext|", "<|", "|>", "<", "endoftext", "日本", "e\u0301",
+              " ", "\n", "'s", "Don't", "12", "İ", "\x85", "word"]
+    rng = random.Random(9)
+    texts = ["<|endoftext|>", "a<|endoftext|>b", "<|endoftext|><|startoftext|>", "日本<|endoftext|>x",
+             *["".join(rng.choice(tokens) for _ in range(rng.randint(0, 30))) for _ in range(2000)]]
+    for text, ids in zip(texts, encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain_ids(text)[:-1], repr(text)
+    assert 49407 in np.frombuffer(encode(["a <|endoftext|> b"])[0], "<u4")
+
+
 def test_packing_repeated_rows_and_an_empty_table(spark, docs):
     df = docs(["same text", "same text", None], ids=[7, 7, None])
-    got = packing.pack_documents(df.withColumnRenamed("lang", "slot").withColumnRenamed("source", "piece"))
-    assert sorted(r["offset"] for r in got.collect()) == [0, 1, 4] or got.count() == 3
+    got = packing.pack_documents(df.withColumnRenamed("lang", "slot").withColumnRenamed("source", "piece")).collect()
+    own = len(plain_ids("same text"))
+    assert sorted((r["doc_id"] or 0, r["piece"], r["length"]) for r in got) == [(0, 0, 1), (7, 0, own), (7, 0, own)]
+    at = 0
+    for r in sorted(got, key=lambda r: r["offset"]):
+        assert r["offset"] == at
+        at += r["length"]
+    assert len({r["sequence_id"] for r in got}) == 1
     assert packing.pack_documents(docs([])).count() == 0
 
 
+def test_rounds_end_only_when_none_is_saved(spark):
+    rng = random.Random(2)
+    sizes = [rng.randint(900, 2100) for _ in range(400)]
+    cut = packing.written(spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], packing.PIECES), "test")
+    got = packing.pack(cut, slot_rows=10).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in got) == list(enumerate(sizes))
+    fills = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == fills.get(r["sequence_id"], 0)
+        fills[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(fills.values()) <= 4096
+    apart = sum(len(packing.best_fit_decreasing(np.array(sizes[i:i + 10]), 4096)[2]) for i in range(0, 400, 10))
+    assert packing.lower_bound(np.array(sizes), 4096) <= len(fills) < apart
+
+
 def test_slots_exchange_what_does_not_fit(spark):
     sizes = [2049, 2047, 1366, 1365, 3000, 1096] * 20
     cut = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], packing.PIECES)
@@ -107,6 +144,16 @@ def test_encoding_and_decoding(spark, folder):
         assert rows[i]["decoded_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_texts_longer_than_a_leaf_are_joined(monkeypatch):
+    codec, joins = bpe._codec(None, None), []
+    whole = bpe.Codec.join
+    monkeypatch.setattr(bpe.Codec, "join", lambda self, *a: joins.append(1) or whole(self, *a))
+    text = "Some text of more than a leaf, which is a few dozen characters and no more."
+    assert len(text) > bpe.LEAF and codec.encode(text) == codec.plain(text) and joins
+    ids = codec.plain(LONG)
+    assert len(ids) > bpe.DECODE_LEAF and codec.decode(ids) == LONG.encode()
+
+
 def test_joins_give_the_ids_of_the_whole():
     codec, rng = bpe._codec(None, None), random.Random(1)
     letters = ["a", "the", "'", "'re", "'s", " ", "  ", "\n", "\t", "\x85", "\xa0", "\x1c", "é", "日本", "😀", "1", "!", "́", "'ll", "\x00"]
