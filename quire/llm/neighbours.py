@@ -16,7 +16,7 @@ Equal vectors are indexed once, with their ``k + 1`` smallest ids, so a vector t
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component take no part, neither as
 queries nor as candidates; vectors of different lengths are not compared; equal scores go by the smaller id; a query
 with fewer candidates gets them all; ids that are null take no part, and rows that repeat an id count once for each
-different vector; an empty table gives an empty result; other columns are not looked at.
+different vector as candidates, while the query of that id is the smallest of its vectors; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -330,7 +330,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = K, confidence: float =
     element = points.schema["vector"].dataType.simpleString()
     put = lambda df, more: df.mapInArrow(_placed(cells, "vector", "cell"), f"{more}, d int, cell int")
     indexed = written(put(points.select("vector", "ids"), f"vector {element}, ids array<long>"), "index")
-    asked = written(put(rows.filter(queries).dropDuplicates(["vec_id"]).select("vec_id", "vector"),
+    asked = written(put(rows.filter(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")),
                         f"vec_id long, vector {element}"), "queries")
     limit = quantile(confidence)
     home = asked.groupBy("d", "cell").cogroup(indexed.groupBy("d", "cell")).applyInArrow(_search_cell(k, limit, False), _HITS)

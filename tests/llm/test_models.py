@@ -189,6 +189,14 @@ def test_odd_vectors_ties_and_copies(spark):
     assert nn.nearest(table(spark, []), F.col("vec_id") == 0).count() == 0
 
 
+def test_the_query_of_a_repeated_id_is_its_smallest_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.1, 1.0]), (2, [1.0, 0.1])]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "vec_id long, embedding array<float>").repartition(3)
+        got = nn.nearest(df, F.col("vec_id") == 0, k=1).collect()
+        assert [(r["query_id"], r["vec_id"]) for r in got] == [(0, 1)]
+
+
 def test_the_stopping_test_is_the_distribution():
     rng = np.random.default_rng(4)
     sample = (rng.standard_normal((200_000, nn.M)) ** 2).sum(axis=1)
