@@ -2,6 +2,19 @@
 
 Every stage works on all that the one before it kept. ``run`` writes each stage's rows to the shared scratch folder and
 reads them again, so a lost executor never sends the work back over a finished stage.
+
+Defined cases, by stage:
+
+* quality rules: a null or empty text has no words and is rejected, a text of any length is judged whole, repeated rows
+  get equal verdicts
+* n-gram join: of copies and near copies the smallest id stays, of rows that repeat id and text one; different texts
+  under one id, null included, stay where one of them stands for its component
+* suffix dedup: a null text stays null; passages are told on the texts as given, so every place of a repeat loses it
+* pseudonyms: null and empty texts stay; equal values get equal pseudonyms in every document
+* packing: a text without words is its closing id alone; texts over a sequence are cut into pieces; ties go by place
+
+An empty table gives an empty result at every stage. Columns beyond ``COLUMNS`` are dropped by the first stage, whatever
+their names; null languages and sources pass through.
 """
 
 from __future__ import annotations
