@@ -8,6 +8,12 @@ The field is trained on the spans of the base patterns, in windows of at most ``
 sample of documents (``SAMPLE_ROWS`` rows are looked at; at most ``TRAIN_WINDOWS`` windows with and as many without
 a secret are used). Scanning covers every token of every text.
 
+A field that saw all cues of the base patterns would only learn these again. So each text with a secret
+is also learnt with another random string in the secret's place, of another alphabet, length and form (``ALPHABETS``),
+each one without with such a string between two of its words, and at every step each window hides a share ``HIDDEN`` of its cues (a feature of tokens in one role, or of the file),
+drawn anew: weight goes to whatever marks a secret, its length, its mixed letters and digits, what stands beside it.
+Windows without a secret are cut, by turns, around the token that looks most like one and around any.
+
 Base patterns (fixed values). Spans are whole matches in code points, end exclusive:
 
 * ``assign``: a keyword, ``=`` or ``:`` and a value (group 2) of six characters or more
@@ -17,8 +23,8 @@ Base patterns (fixed values). Spans are whole matches in code points, end exclus
 Spans that the field adds have the kind ``crf`` and never touch a base span; base spans always stay.
 
 Defined cases: a null text is the empty text, which has no spans; repeated rows give repeated results; an empty
-table gives an empty result; a sample without any secret trains a field that tags nothing, so only base spans are
-returned; other columns are not looked at.
+table gives an empty result; an empty sample trains a field that tags nothing, so only base spans are returned;
+a text of any length is tagged whole; of base spans that begin at one place the kind listed first comes first; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ TRAIN_WINDOWS = 300
 WINDOW = 100
 STEPS = 60
 RATE = 0.3
+HIDDEN = 0.5
+MASKS = 16
 TOKENS_AT_ONCE = 300_000
 
 # The base patterns. Letters of the keyword may be of either case, ASCII only.
@@ -50,6 +58,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # the runs of AKIA[A-Z0-9]+ with 20 c
 HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ with 24 characters or more
 KINDS = ("assign", "access", "hex", "crf")
 
+# What other secrets are written with.
+ALPHABETS = {
+    "lower hex": "0123456789abcdef", "upper hex": "0123456789ABCDEF",
+    "capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "small letters": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+FORMS = ("plain", "prefix", "parts", "padded")
+
 TOKEN = re.compile(r"[\w+/.=-]+|[^\w\s+/.=-]+")
 _TRIGGER = re.compile(r"passw|pwd|secret|token|api_?key|credential|auth|private|akia")
 O, B, I = 0, 1, 2  # noqa: E741
@@ -126,6 +143,12 @@ def _columns(codes: np.ndarray) -> np.ndarray:
     return np.stack(out[::-1], axis=1)
 
 
+def likeness(codes: np.ndarray) -> np.ndarray:
+    """How much shapes look like a secret, for the choice of windows without one: turns of letter and digit, and length."""
+    values = _columns(codes) - _OFFSETS[:-1]
+    return 16 * values[:, 4] + values[:, 0]
+
+
 EDGE = -1  # what stands before the first and after the last token
 
 
@@ -176,6 +199,7 @@ class Field:
 
 _ALLOWED = np.zeros((3, 3))
 _ALLOWED[O, I] = -1e9  # inside follows begin or inside only
+_FIRST = np.array([1.0, 1.0, 0.0])  # no text begins inside
 
 
 def viterbi(field: Field, codes: np.ndarray, bits: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -222,8 +246,11 @@ def viterbi(field: Field, codes: np.ndarray, bits: np.ndarray, lengths: np.ndarr
     return tags
 
 
-def train(windows: list[tuple[list[int], list[int], int]]) -> Field:
-    """Fit the field to ``(shapes, tags, file bits)`` by gradient steps on the mean log-likelihood."""
+def train(windows: list[tuple[list[int], list[int], int]], hidden: float = HIDDEN) -> Field:
+    """Fit the field to ``(shapes, tags, file bits)`` by gradient steps on the mean log-likelihood.
+
+    ``hidden`` is the share of cues that a window hides at a step; those it shows count the more.
+    """
     field = Field()
     windows = [w for w in windows if w[0]]
     if not any(B in tags for _, tags, _ in windows):
@@ -248,34 +275,43 @@ def train(windows: list[tuple[list[int], list[int], int]]) -> Field:
     mean = 1.0 / n
     squares = [np.full_like(x, 1e-2) for x in (field.w, field.f, field.t, field.bias)]
     pairs = inside[:, 1:]
+    seen = np.einsum("ntk,ntl->kl", one[gold[:, :-1]] * pairs[..., None], one[gold[:, 1:]])
+    rng = np.random.default_rng(9)
     for _ in range(STEPS):
-        scores = field.file_scores(bits)[:, None, :].repeat(width, axis=1)
-        tables = np.concatenate([field.tables(unique), field.w[:, N_SHAPE:]], axis=1)
+        shown = (rng.random((MASKS, len(ROLES), len(FEATURES))) >= hidden) / (1 - hidden)
+        mask = rng.integers(0, MASKS, n)[:, None]
+        shown_file = has * (rng.random(has.shape) >= hidden) / (1 - hidden)
+        scores = (shown_file @ field.f + field.bias)[:, None, :].repeat(width, axis=1)
         for role in range(len(ROLES)):
-            scores = scores + tables[role][by_role[role]]
-        transition = field.t + _ALLOWED
-        forward, backward = np.zeros((n, width, 3)), np.zeros((n, width, 3))
-        forward[:, 0] = scores[:, 0] + np.array([0, 0, -1e9])
+            table_ = np.einsum("mc,uck->muk", shown[:, role], field.w[role][columns])
+            edge = np.broadcast_to(field.w[role, N_SHAPE], (MASKS, 1, 3))  # is never hidden
+            scores = scores + np.concatenate([table_, edge], axis=1)[mask, by_role[role]]
+        # Forward and backward sums in units of their own, so that none runs out of range.
+        step = np.exp(field.t + _ALLOWED - field.t.max())
+        weight = np.exp(scores - scores.max(axis=2, keepdims=True))
+        forward, backward = np.zeros((n, width, 3)), np.ones((n, width, 3))
+        forward[:, 0] = weight[:, 0] * _FIRST
         for t in range(1, width):
-            step = np.logaddexp.reduce(forward[:, t - 1, :, None] + transition, axis=1) + scores[:, t]
-            forward[:, t] = np.where(inside[:, t, None], step, forward[:, t - 1])
+            to = (forward[:, t - 1] @ step) * weight[:, t]
+            forward[:, t] = to / to.sum(axis=1, keepdims=True)
         for t in range(width - 2, -1, -1):
-            step = np.logaddexp.reduce(transition + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
-            backward[:, t] = np.where(inside[:, t + 1, None], step, 0.0)
-        total = np.logaddexp.reduce(forward[np.arange(n), lengths - 1], axis=1)
-        node = np.exp(forward + backward - total[:, None, None]) * inside[..., None]
-        joint = np.exp(forward[:, :-1, :, None] + transition + (scores + backward)[:, 1:, None, :]
-                       - total[:, None, None, None]) * pairs[..., None, None]
+            to = (backward[:, t + 1] * weight[:, t + 1]) @ step.T
+            backward[:, t] = np.where(inside[:, t + 1, None], to / to.sum(axis=1, keepdims=True), 1.0)
+        node = forward * backward
+        node /= np.where(inside, node.sum(axis=2), 1.0)[..., None]
+        ahead = (weight * backward)[:, 1:]
+        both = ((forward[:, :-1] @ step) * ahead).sum(axis=2, keepdims=True)
+        joint = np.einsum("ntk,ntl->kl", forward[:, :-1] * pairs[..., None] / both, ahead) * step
         rest = (one[gold] - node) * inside[..., None]
         grad_w = np.zeros_like(field.w)
         for role in range(len(ROLES)):
-            flat = by_role[role][inside]
-            sums = np.stack([np.bincount(flat, rest[inside][:, k], len(unique) + 1) for k in range(3)], axis=1)
+            flat = (mask * (len(unique) + 1) + by_role[role])[inside]
+            sums = np.stack([np.bincount(flat, rest[inside][:, k], MASKS * (len(unique) + 1)) for k in range(3)], axis=1)
+            sums = sums.reshape(MASKS, len(unique) + 1, 3)
             for c in range(columns.shape[1]):
-                np.add.at(grad_w[role], columns[:, c], sums[:-1])
-            grad_w[role, N_SHAPE] = sums[-1]
-        seen = (one[gold[:, :-1]][..., :, None] * one[gold[:, 1:]][..., None, :]) * pairs[..., None, None]
-        grads = [grad_w, has.T @ rest.sum(axis=1), (seen - joint).sum(axis=(0, 1)), rest.sum(axis=(0, 1))]
+                np.add.at(grad_w[role], columns[:, c], np.einsum("m,muk->uk", shown[:, role, c], sums[:, :-1]))
+            grad_w[role, N_SHAPE] = sums[:, -1].sum(axis=0)
+        grads = [grad_w, shown_file.T @ rest.sum(axis=1), seen - joint, rest.sum(axis=(0, 1))]
         for x, g, q in zip((field.w, field.f, field.t, field.bias), grads, squares):
             g = g * mean - 1e-4 * x
             q += g * g
@@ -283,46 +319,101 @@ def train(windows: list[tuple[list[int], list[int], int]]) -> Field:
     return field
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training windows of a sample: around each document's first secret, or from a place the text's digest names."""
+def another_secret(rng: np.random.Generator, alphabets: dict[str, str] = ALPHABETS) -> str:
+    """A random string such as keys and access tokens are: 12 to 64 characters, digits and letters, in one of FORMS."""
+    letters = list(alphabets[str(rng.choice(sorted(alphabets)))])
+    while True:
+        body = "".join(rng.choice(letters, int(rng.integers(12, 65))))
+        if any(c.isdigit() for c in body) and any(c.isalpha() for c in body):
+            break
+    form = str(rng.choice(FORMS))
+    if form == "prefix":
+        return "".join(rng.choice(list("abcdefghikmnoprstx"), int(rng.integers(2, 5)))) + str(rng.choice(["_", "-"])) + body
+    if form == "parts":
+        cut = sorted(rng.choice(np.arange(4, len(body) - 3), 2).tolist())
+        return str(rng.choice(["-", ".", "_"])).join([body[:cut[0]], body[cut[0]:cut[1]], body[cut[1]:]])
+    return body + "=" * int(rng.integers(1, 3)) if form == "padded" else body
+
+
+def _window(text: str, secrets: list[tuple[int, int]], digest: bytes) -> dict | None:
+    """Shapes, tags and file features around a text's first secret, or around a place that ``digest`` names."""
+    spans = [m.span() for m in TOKEN.finditer(text)]
+    if not spans:
+        return None
+    codes, bits = tokens_of(text)
+    tags, k = np.zeros(len(spans), np.int64), 0
+    for i, (start, end) in enumerate(spans):
+        while k < len(secrets) and secrets[k][1] <= start:
+            k += 1
+        if k < len(secrets) and secrets[k][0] < end:
+            tags[i] = I if i and tags[i - 1] and spans[i - 1][1] > secrets[k][0] else B
+    hits = np.flatnonzero(tags == B)
+    if len(hits):
+        middle = int(hits[0])
+    elif digest[-2] % 2:
+        middle = int(likeness(codes).argmax())
+    else:
+        middle = int.from_bytes(digest[:4], "big") % len(spans)
+    lo = max(0, min(middle - WINDOW // 2, len(spans) - WINDOW))
+    own = tags[lo:lo + WINDOW].tolist()
+    if own[0] == I:
+        own[0] = B
+    return {"secret": bool(len(hits)), "rank": digest.hex(), "shapes": codes[lo:lo + WINDOW].tolist(), "tags": own,
+            "bits": bits}
+
+
+def with_others(text: str, secrets: list[tuple[int, int]], rng: np.random.Generator,
+              alphabets: dict[str, str] = ALPHABETS) -> tuple[str, list[tuple[int, int]]]:
+    """The text with another secret in each one's place, and where these are."""
+    out, places, at, size = [], [], 0, 0
+    for start, end in secrets:
+        if start < at:  # inside the one before
+            continue
+        new = another_secret(rng, alphabets)
+        out += [text[at:start], new]
+        size += start - at
+        places.append((size, size + len(new)))
+        size += len(new)
+        at = end
+    return "".join([*out, text[at:]]), places
+
+
+def with_one(text: str, rng: np.random.Generator,
+              alphabets: dict[str, str] = ALPHABETS) -> tuple[str, list[tuple[int, int]]]:
+    """The text with a secret put between two of its words, bare or in quotes, and where it is."""
+    gaps = [m.end() for m in re.finditer(r"\s", text)] or [len(text)]
+    at, quote, new = int(rng.choice(gaps)), str(rng.choice(["", "", '"', "'"])), another_secret(rng, alphabets)
+    start = at + len(quote)
+    return f"{text[:at]}{quote}{new}{quote} {text[at:]}", [(start, start + len(new))]
+
+
+def _windows(batches: Iterator[pa.RecordBatch], alphabets: dict[str, str] = ALPHABETS) -> Iterator[pa.RecordBatch]:
+    """Training windows of a sample; each document gives one as it is and one with another secret."""
     for batch in batches:
         out: list[dict] = []
         for text in texts_of(batch.column(0)):
             secrets = secret_parts(text)
             digest = hashlib.md5(text.encode(), usedforsecurity=False).digest()
-            if not secrets and digest[-1] >= 16:  # one in sixteen of those without a secret will do
-                continue
-            spans = [m.span() for m in TOKEN.finditer(text)]
-            if not spans:
+            if not secrets and digest[-1] >= 32:  # one in eight of those without a secret will do
                 continue
-            codes, bits = tokens_of(text)
-            tags, k = np.zeros(len(spans), np.int64), 0
-            for i, (start, end) in enumerate(spans):
-                while k < len(secrets) and secrets[k][1] <= start:
-                    k += 1
-                if k < len(secrets) and secrets[k][0] < end:
-                    tags[i] = I if i and tags[i - 1] and spans[i - 1][1] > secrets[k][0] else B
-            hits = np.flatnonzero(tags == B)
-            middle = int(hits[0]) if len(hits) else int.from_bytes(digest[:4], "big") % len(spans)
-            lo = max(0, min(middle - WINDOW // 2, len(spans) - WINDOW))
-            own = tags[lo:lo + WINDOW].tolist()
-            if own[0] == I:
-                own[0] = B
-            out.append({"secret": bool(len(hits)), "rank": digest.hex(), "shapes": codes[lo:lo + WINDOW].tolist(),
-                        "tags": own, "bits": bits})
+            rng = np.random.default_rng(list(digest))
+            other = with_others(text, secrets, rng, alphabets) if secrets else with_one(text, rng, alphabets)
+            ways = [(text, secrets, digest), (*other, hashlib.md5(digest, usedforsecurity=False).digest())]
+            out += [w for way in ways if (w := _window(*way))]
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
             [("secret", pa.bool_()), ("rank", pa.string()), ("shapes", pa.list_(pa.int64())),
              ("tags", pa.list_(pa.int64())), ("bits", pa.int64())]))
 
 
-def fit(docs: DataFrame, text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> Field:
-    """Train on a bounded sample of the documents."""
+def fit(docs: DataFrame, text_column: str = "text", sample_rows: int = SAMPLE_ROWS,
+        alphabets: dict[str, str] = ALPHABETS) -> Field:
+    """Train on a bounded sample of the documents; ``alphabets`` are those of the secrets put into them."""
     rows = docs.count()
     sample = docs.select(F.col(text_column).cast("string").alias("text"))
     if rows > sample_rows:
         sample = sample.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * sample_rows / rows))
     windows = sample.dropDuplicates(["text"]).mapInArrow(
-        _windows, "secret boolean, rank string, shapes array<long>, tags array<long>, bits long")
+        partial(_windows, alphabets=alphabets), "secret boolean, rank string, shapes array<long>, tags array<long>, bits long")
     some = [windows.filter(F.col("secret") == flag).orderBy("rank").limit(TRAIN_WINDOWS) for flag in (True, False)]
     rows = [r for part in some for r in part.collect()]  # at most 2 * TRAIN_WINDOWS windows
     return train([(r["shapes"], r["tags"], r["bits"]) for r in rows])

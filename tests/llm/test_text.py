@@ -291,3 +291,41 @@ def test_the_field_learns_secrets_it_can_be_shown():
         codes, tags, bits = window(i)
         hits += secrets.viterbi(field, np.array(codes), np.array([bits]), np.array([len(codes)])).tolist() == tags
     assert hits >= 95
+
+
+@pytest.mark.parametrize("left", ["small letters", "upper hex"])
+def test_secrets_of_an_alphabet_never_shown_are_found(spark, left):
+    """Outside the base patterns: nine in ten of another alphabet, and no span in a thousand clean documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    shown = {k: v for k, v in secrets.ALPHABETS.items() if k != left}
+    field = secrets.fit(docs, alphabets=shown)
+    rng = np.random.default_rng(5)
+    clean = [r["text"] for r in docs.select("text").collect() if r["text"] and not secrets.base_spans(r["text"])]
+    prose = [t.split(" ") for t in clean if 20 < len(t.split(" ")) < 200][:200]
+    rows, places = [], {}
+    for i, words in enumerate(prose):
+        new = secrets.another_secret(rng, {left: secrets.ALPHABETS[left]})
+        at = len(words) // 2
+        text = " ".join([*words[:at], new, *words[at:]])
+        start = len(" ".join(words[:at])) + 1
+        rows.append((i, text))
+        places[i] = (start, start + len(new))
+    rows += [(10_000 + i, t) for i, t in enumerate(clean)]
+    found = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), field).collect()}
+    spans = lambda r: [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s]
+    hits = sum(any(s < e and a < z for a, z in spans(found[i])) for i, (s, e) in places.items())
+    assert hits >= 0.9 * len(places)
+    assert sum(found[10_000 + i]["n_added"] for i in range(len(clean))) <= len(clean) // 1000
+
+
+def test_known_forms_outside_the_base_patterns_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    forms = ["ghp_16C7e42F292c6912E7710c838347Ae178B4a", "xoxb-2384729384-9283749283-AbCdEfGhIjKlMnOpQrStUvWx",
+             "AccountKey=Zm9vYmFyYmF6cXV4Zm9vYmFyYmF6cXV4MTIzNDU2Nzg5MA==",
+             "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.abcDEF123456", "q8Zt2LmX9vB4nR7k"]
+    texts = [(i, f"the river runs by the old mill and people come there. {x} was seen and nothing else happened that year.")
+             for i, x in enumerate(forms)]
+    rows = secrets.scan(spark.createDataFrame(texts, "doc_id long, text string"), secrets.fit(docs)).collect()
+    for r in rows:
+        start = texts[r["doc_id"]][1].index(forms[r["doc_id"]])
+        assert r["spans"] == f"crf:{start}:{start + len(forms[r['doc_id']])}", r
