@@ -213,6 +213,37 @@ FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
     assert licences.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_named_owners_heads_and_expressions():
+    bsd = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+* Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+* Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+  disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+    names = ("* Neither the name of {} nor the names of its contributors may be used to endorse or promote products\n"
+             "  derived from this software without specific prior written permission.\n")
+    cases = {
+        bsd: "BSD-2-Clause",
+        bsd + names.format("Google Inc."): "BSD-3-Clause",
+        bsd + names.format("the University of California, Berkeley"): "BSD-3-Clause",
+        bsd + names.format("the copyright holder"): "BSD-3-Clause",
+        bsd + names.format(" ".join(["word"] * 40)): "BSD-2-Clause",
+        "Apache License\nVersion 2.0, January 2004\n": "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+        "the License.": "Apache-2.0",
+        "This code is released under the MIT license.": "MIT",
+        "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n": "LGPL-3.0-only",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+        "// SPDX-License-Identifier: MIT OR Apache-2.0\nint main() {}": "MIT OR Apache-2.0",
+        "/* SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0) AND MIT */": "(GPL-2.0-only WITH Classpath-exception-2.0) AND MIT",
+        "SPDX-License-Identifier: MIT AND\n": "MIT",
+        "SPDX-License-Identifier: see below": "",
+        "They say this code is released under the MIT license of old": "",
+    }
+    for text, expected in cases.items():
+        assert ",".join(n for _, _, n in licences.licences(licences.sentences(text))) == expected, text
+
+
 def test_rules_need_their_order_and_fuller_ones_win():
     found = lambda *names: [(10 * i, 10 * i + 5, n) for i, n in enumerate(names)]
     names = lambda *x: [n for _, _, n in licences.licences(found(*x))]
