@@ -4,8 +4,9 @@ One pattern finds all kinds; each find is validated and replaced, and the text b
 may stand beside other groups, so all strings of whole groups are tried first, and the row's pattern has the valid ones
 (the longest at a place) as they are written; what is not valid hides nothing:
 
-* ``card``: 13 to 19 digits that pass the Luhn test, single blanks or hyphens between. All but the last are permuted and
-  the last is set so that they pass again. Other numbers of this length are no cards and stay.
+* ``card``: 13 to 19 digits that pass the Luhn test and begin as an issuer's do (``ISSUER``), single blanks or hyphens
+  between, never both. The issuer's digits stay, those after it are permuted, and the last is set so that all pass again.
+  Other numbers of this length are no cards and stay.
 * ``phone``: a country code and ten digits, or ten digits in the usual groups. The ten digits are permuted.
 * ``ssn``: three, two and four digits with hyphens, none of the groups that are never issued; permuted. Others stay.
 * ``iban``: two letters, two right check digits and 11 to 30 letters or digits. Digits of the account are permuted and
@@ -21,7 +22,8 @@ other modulo its own range. It is a bijection on the values of a format, so equa
 different ones stay different, and nothing has to be stored or joined.
 
 Defined cases: a null text stays null; an empty text stays empty; repeated rows give repeated results; an empty table
-gives an empty result; other columns, of any name, are as they were.
+gives an empty result; other columns, of any name, are as they were; a text of any length is searched whole, and of
+finds that overlap the first in the order above at the first place wins.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 CARD = r"[0-9](?:[ \-]?[0-9]){12,18}"
+ISSUER = r"^(?:4|5[0-9]|22(?:2[1-9]|[3-9][0-9])|2[3-6][0-9]{2}|27(?:[01][0-9]|20)|3[4-9]|6[0-9])"
 KINDS = {"email": EMAIL, "iban": IBAN, "phone": PHONE, "ip": IP, "date": DATE, "ssn": SSN, "card": CARD}
 PATTERN = (EMAIL + "|" + _START + r"(?:" + IBAN + ")" + _STOP + r"|(?<![\p{L}\p{N}_+])(?:" + PHONE + ")" + _STOP + "|" + _START + "(?:"
            + "|".join([SSN, IP, DATE, CARD]) + ")" + _STOP)
@@ -116,10 +119,12 @@ def _card(key: Column, found: Column) -> Column:
     digits = only_digits(found)
 
     def valid(d: Column) -> Column:
-        body = permuted_digits(key, "card", F.substring(d, F.lit(1), F.length(d) - 1))
+        issuer = F.regexp_extract(d, ISSUER, 0)
+        inner = permuted_digits(key, "card", F.substring(d, F.length(issuer) + 1, F.length(d) - F.length(issuer) - 1))
+        body = F.concat(issuer, inner)
         return _let(body, lambda x: F.concat(x, ((10 - luhn_sum(F.concat(x, F.lit("0"))) % 10) % 10).cast("string")))
 
-    return _let(digits, lambda d: F.when(luhn_sum(d) % 10 == 0, filled(found, valid(d))).otherwise(found))
+    return _let(digits, lambda d: F.when(d.rlike(ISSUER) & (luhn_sum(d) % 10 == 0), filled(found, valid(d))).otherwise(found))
 
 
 def _ssn(key: Column, found: Column) -> Column:
@@ -230,7 +235,9 @@ def valid_cards(text: Column) -> Column:
         return F.filter(cards, lambda c: c.rlike(_USUAL) | ~cut(c))
 
     every = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(p), 1) for p in reversed(_CARDS)])))
-    found = F.filter(every, lambda c: luhn_sum(only_digits(c)) % 10 == 0)
+    # a blank and a hyphen in one number part two numbers
+    found = F.filter(every, lambda c: ~(c.contains(" ") & c.contains("-")) & _let(
+        only_digits(c), lambda d: d.rlike(ISSUER) & (luhn_sum(d) % 10 == 0)))
     return F.when(text.rlike(_START + CARD), _let(found, good)).otherwise(F.array().cast("array<string>"))
 
 

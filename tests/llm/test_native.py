@@ -1,5 +1,7 @@
 """Quality rules and pseudonyms against plain Python."""
 
+import hashlib
+import random
 import re
 import unicodedata
 from datetime import date
@@ -161,3 +163,38 @@ def test_cards_and_ibans_beside_other_groups(spark, docs):
         assert len(rows[i]["kinds"].split(",")) == len(gone) and len(rows[i]["text"]) == len(text)
     assert rows[0]["text"].endswith(" 12/27") and rows[5]["text"].endswith(" BIC") and rows[6]["text"].startswith("AB13 ")
     assert rows[len(cases)]["kinds"] == "" and rows[len(cases) + 1]["text"] == "BE68 5390 0754 7035 BIC"
+
+
+def twin_card(digits, key=personal.KEY):
+    """The pseudonym of a card, in plain Python."""
+    issuer = re.match(personal.ISSUER, digits)[0]
+    inner = digits[len(issuer):-1]
+    n, left = len(inner), len(inner) // 2
+    a, b, mod_a, mod_b = int(inner[:left]), int(inner[left:]), 10 ** left, 10 ** (n - left)
+    for i in range(personal.ROUNDS):
+        half, mod = (b, mod_a) if i % 2 == 0 else (a, mod_b)
+        digest = int(hashlib.sha256(f"{key}|card{n}|{i}|{half}".encode()).hexdigest()[:15], 16) % mod
+        a, b = ((a + digest) % mod_a, b) if i % 2 == 0 else (a, (b + digest) % mod_b)
+    body = issuer + str(a).zfill(left) + str(b).zfill(n - left)
+    return next(body + last for last in "0123456789" if luhn(body + last))
+
+
+def test_cards_are_those_of_the_plain_twin(spark, docs):
+    """Random digit strings alone in a text: those that a card may be are replaced as the twin does, others stay."""
+    rng = random.Random(3)
+    numbers = ["".join(rng.choice("0123456789") for _ in range(rng.randint(12, 20))) for _ in range(300)]
+    numbers += ["4" + n[1:] for n in numbers]
+    rows = personal.pseudonymise(docs([f"no. {n}, paid" for n in numbers])).orderBy("doc_id").collect()
+    changed = 0
+    for n, r in zip(numbers, rows):
+        valid = 13 <= len(n) <= 19 and luhn(n) and re.match(personal.ISSUER, n)
+        assert r["text"] == f"no. {twin_card(n) if valid else n}, paid", n
+        changed += bool(valid)
+    assert changed > 20
+
+
+def test_lists_of_numbers_are_no_cards(spark, docs):
+    texts = ["Sales 1998 2001 2004 2007 2010 2013", " ".join(map(str, range(1900, 2030))), "9999 9999 9999 9995",
+             "4111-1111 1111-1111", "0000 0000 0000 0000"]
+    rows = personal.pseudonymise(docs(texts), kinds_column="kinds").orderBy("doc_id").collect()
+    assert [r["text"] for r in rows] == texts and all(r["kinds"] == "" for r in rows)
