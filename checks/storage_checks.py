@@ -6,6 +6,7 @@ back, so their work grows with the tables.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -71,6 +72,13 @@ def _aac_records(spark, sf_dir):
     return sh.parse_aac_lines(_lines(spark, sf_dir, aac=True))
 
 
+def parts_for(spark, sf_dir, least, text_bytes=32 * 1024 * 1024):
+    """Tasks to deal what is made of ``documents`` to: at least ``least``, and more as their texts grow, so that neither a
+    task nor a file that it writes does."""
+    total = documents(spark, sf_dir).agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    return max(least, math.ceil(total / text_bytes))
+
+
 def _written_lines(spark, sf_dir, codec):
     path = scratch_path(spark, "lines")
     raw_lines(spark, sf_dir).select("dataset", "value").write.option("compression", codec).partitionBy(
@@ -82,7 +90,7 @@ def _written_lines(spark, sf_dir, codec):
 def _read_back(codec):
     def run(spark, sf_dir):
         path = _written_lines(spark, sf_dir, codec)
-        lines = readers.read_lines(spark, f"{path}/*/*", partitions=8)
+        lines = readers.read_lines(spark, f"{path}/*/*", partitions=parts_for(spark, sf_dir, 8))
         stats = lines.withColumn("set", F.regexp_extract("file_path", "dataset=([^/]+)/", 1))
         return layout.line_stats(stats, by="set").drop("avg_bytes_per_line")
 
@@ -180,7 +188,7 @@ def _read_seekable(spark, sf_dir):
 def _zone_lookup(spark, sf_dir):
     """Q03 over a clustered table, by way of its zone map."""
     path = scratch_path(spark, "clustered")
-    zones.write_clustered(records(spark, sf_dir), path, "_id", 16)
+    zones.write_clustered(records(spark, sf_dir), path, "_id", parts_for(spark, sf_dir, 16))
     return id_lookup(zones.lookup(spark, path, "_id", [LOOKED_UP]), LOOKED_UP)
 
 
@@ -225,10 +233,14 @@ def _variant(spark, sf_dir):
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(title).cast("bigint")).alias("title_bytes"))
 
 
+# Texts in a task that writes the files of three datasets or bases, of about a third of its bytes each: small files.
+SMALL_TEXTS = 6 * 1024 * 1024
+
+
 def _written_records(spark, sf_dir, n=12):
     """The shredded table as several small Parquet files, one directory per dataset."""
     path = scratch_path(spark, "shredded")
-    rows = readers.spread(records(spark, sf_dir), n)
+    rows = readers.spread(records(spark, sf_dir), parts_for(spark, sf_dir, n, SMALL_TEXTS))
     counts = sinks.write_shredded(rows, path, partition_by=["dataset"])
     return path, counts
 
@@ -288,7 +300,7 @@ def _foreign_files(spark, sf_dir):
     made, path = scratch_path(spark, "made"), scratch_path(spark, "foreign")
     kind = {"set0": "metadata", "set1": "records", "set2": "aac_duxiu"}
     name = F.concat(F.element_at(F.create_map(*[F.lit(x) for kv in kind.items() for x in kv]), F.col("dataset")), F.lit("_x"))
-    rows = readers.spread(records(spark, sf_dir).withColumn("base", name), 6)
+    rows = readers.spread(records(spark, sf_dir).withColumn("base", name), parts_for(spark, sf_dir, 6, SMALL_TEXTS))
     sinks.write_shredded(rows, made, partition_by=["base"])
     numbers: dict[str, int] = {}
     for r in landing.list_files(spark, made, "*.parquet").orderBy("path").collect():  # one row a file
