@@ -129,7 +129,7 @@ def write_zstd_lines(lines, path):
 
 def _read_zstd(spark, sf_dir):
     path = scratch_path(spark, "zstd")
-    write_zstd_lines(readers.spread(raw_lines(spark, sf_dir), 4), path)
+    write_zstd_lines(readers.spread(raw_lines(spark, sf_dir), parts_for(spark, sf_dir, 4)), path)
     lines = readers.read_lines(spark, f"{path}/*.zst")
     return layout.line_stats(lines, by="dataset").drop("avg_bytes_per_line")
 
@@ -178,7 +178,7 @@ def write_seekable_lines(lines, path, frame_lines=200):
 def _read_seekable(spark, sf_dir):
     """Files of many frames, each read by several tasks."""
     path = scratch_path(spark, "seekable")
-    write_seekable_lines(readers.spread(raw_lines(spark, sf_dir), 4), path, frame_lines=50)
+    write_seekable_lines(readers.spread(raw_lines(spark, sf_dir), parts_for(spark, sf_dir, 4)), path, frame_lines=50)
     paths = [r["path"].replace("file:/", "/", 1) if r["path"].startswith("file:/") else r["path"]
              for r in landing.list_files(spark, path, "*.zst").select("path").collect()]
     lines = seekable.read_seekable_lines(spark, paths, target_bytes=100_000)
