@@ -15,6 +15,10 @@ from quire.sources.landing import base_name
 
 TARGET_PART_BYTES = 10 * 1024 * 1024
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+MOST_PARTS = 10_000
+# Of one task that reads files to be merged: their rows wait in its memory for the shuffle.
+MERGED_ROWS = 1_000_000
+MERGED_BYTES = 32 * 1024 * 1024
 
 
 def line_bytes(value: str = "value") -> Column:
@@ -34,8 +38,26 @@ def resize(df: DataFrame, target_bytes: int = TARGET_PART_BYTES, value: str = "v
     """S06. Lines in evenly filled partitions of about ``target_bytes``; writing them gives one file each."""
     from quire.sources.readers import spread
 
-    total = df.agg(F.sum(line_bytes(value))).first()[0] or 0
-    return spread(df, max(1, math.ceil(total / target_bytes)))
+    total, rows = df.agg(F.sum(line_bytes(value)), F.count(F.lit(1))).first()
+    wanted = max(1, math.ceil((total or 0) / target_bytes))
+    tasks = min(wanted, max(most, math.ceil((total or 0) / TARGET_PART_BYTES)))
+    return spread(df, tasks), max(1, math.ceil(rows / wanted))
+
+
+def resize(df: DataFrame, target_bytes: int = TARGET_PART_BYTES, value: str = "value", most: int = MOST_PARTS) -> DataFrame:
+    """S06. Lines in evenly filled partitions of about ``target_bytes``; writing them gives one file each.
+
+    Every task reports to the driver, so parts under ``TARGET_PART_BYTES`` share tasks where there would be over ``most``
+    of them; :func:`write_resized` makes each a file all the same.
+    """
+    return _resized(df, target_bytes, value, most)[0]
+
+
+def write_resized(df: DataFrame, path: str, target_bytes: int = TARGET_PART_BYTES, value: str = "value",
+                  most: int = MOST_PARTS) -> None:
+    """S06. Lines as text files of about ``target_bytes`` each, however many a task has to write."""
+    dealt, rows = _resized(df, target_bytes, value, most)
+    dealt.select(value).write.option("maxRecordsPerFile", rows).text(path)
 
 
 def assign_parts(df: DataFrame, group: str, order: str, size: Column, target_bytes: int = TARGET_PART_BYTES,
