@@ -34,8 +34,8 @@ def line_stats(lines: DataFrame, by: str = "file_path", value: str = "value") ->
     )
 
 
-def resize(df: DataFrame, target_bytes: int = TARGET_PART_BYTES, value: str = "value") -> DataFrame:
-    """S06. Lines in evenly filled partitions of about ``target_bytes``; writing them gives one file each."""
+def _resized(df: DataFrame, target_bytes: int, value: str, most: int) -> tuple[DataFrame, int]:
+    """Lines in evenly filled partitions, and the rows that make ``target_bytes``."""
     from quire.sources.readers import spread
 
     total, rows = df.agg(F.sum(line_bytes(value)), F.count(F.lit(1))).first()
@@ -135,6 +135,15 @@ def _slot() -> Column:
     return F.col("__first") + F.least(F.col("__count") - 1, F.floor(at * F.col("__count") / F.col("__total"))).cast("int")
 
 
+def _dealt(rows: DataFrame, placed: Sequence[Placed]) -> DataFrame:
+    """Rows of files with the number of their output file. The places are a row a file; the rows stay where they are."""
+    places = rows.sparkSession.createDataFrame(
+        [(p.path, p.group, p.first, p.count, p.before, p.length, p.rows, p.total) for p in placed],
+        "__path string, __group string, __first int, __count int, __before long, __length long, __rows long, __total long")
+    numbered = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
+    return numbered.join(F.broadcast(places), F.col("__file") == F.col("__path")).withColumn("__slot", _slot())
+
+
 def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: int = TARGET_FILE_BYTES,
             by: str = "directory", mode: str = "errorifexists") -> dict[str, int]:
     """S18. Merge small Parquet files into zstd files of about ``target_bytes`` and check rows and columns.
@@ -151,7 +160,7 @@ def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: in
     root = table_root(paths)
     keys = partition_keys(paths, root)
     rows = spark.read.option("mergeSchema", True).option("basePath", root).parquet(*paths)
-    columns = set(rows.columns)
+    columns, split = set(rows.columns), None
     if by == "none":
         merged = rows.coalesce(max(1, math.ceil(sum(r["length"] for r in listed) / target_bytes)))
         folders = keys
@@ -161,11 +170,10 @@ def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: in
         counted = spark.read.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("path")).count().collect()
         held = [(r["path"], *lengths[listed_path(r["path"])], r["count"]) for r in counted]  # one row a file
         placed, slots = place_files(held, target_bytes)
-        places = spark.createDataFrame(
-            [(p.path, p.group, p.first, p.count, p.before, p.length, p.rows, p.total) for p in placed],
-            "__path string, __group string, __first int, __count int, __before long, __length long, __rows long, __total long")
-        numbered = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
-        dealt = numbered.join(places, F.col("__file") == F.col("__path")).withColumn("__slot", _slot())
+        dealt = _dealt(rows, placed)
+        # a split counts a file's bytes and the cost of opening it
+        n_rows, n_bytes = sum(h[3] for h in held), sum(h[2] for h in held)
+        split = max(1 << 20, min(MERGED_BYTES, n_bytes * MERGED_ROWS // max(1, n_rows)))
         merged = dealt.repartitionById(max(1, slots), "__slot")
         folders = [*keys, "base"] if by == "base" else keys
         if by == "base":
@@ -173,7 +181,14 @@ def compact(spark: SparkSession, files: DataFrame, target: str, target_bytes: in
         merged = merged.select(*rows.columns, *(["base"] if by == "base" else []))
     seen = Observation()
     writer = merged.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "zstd")
-    (writer.partitionBy(*folders) if folders else writer).parquet(target)
+    splits = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(splits)
+    if split is not None:
+        spark.conf.set(splits, str(split))
+    try:
+        (writer.partitionBy(*folders) if folders else writer).parquet(target)
+    finally:
+        spark.conf.set(splits, before)
     found = spark.read.option("mergeSchema", True).parquet(target)
     if set(found.columns) - {"base"} != columns - {"base"}:
         raise RuntimeError(f"compaction read columns {sorted(columns)}, found {sorted(found.columns)}")

@@ -154,3 +154,35 @@ def test_paths_with_odd_characters_are_compacted(spark, tmp_path):
     spark.range(0, 90, 1, 3).write.parquet(folder)
     report = layout.compact(spark, landing.list_files(spark, folder, "*.parquet"), str(tmp_path / "out"))
     assert report == {"files_in": 3, "files_out": 1, "rows_in": 90, "rows_out": 90}
+
+
+def test_small_parts_share_tasks_and_are_files_all_the_same(spark, tmp_path):
+    df = spark.range(1000).select(F.concat(F.lpad(F.col("id").cast("string"), 4, "0"), F.lit("x" * 95)).alias("value"))
+    assert layout.resize(df, 1000, most=7).rdd.getNumPartitions() == 7
+    out = str(tmp_path / "out")
+    layout.write_resized(df, out, 1000, most=7)
+    files = [r["length"] for r in landing.list_files(spark, out, "part-*").collect()]
+    assert 100 <= len(files) <= 107 and max(files) == 1000
+    assert sorted(r["value"] for r in spark.read.text(out).collect()) == sorted(r["value"] for r in df.collect())
+
+
+def test_rows_to_be_merged_travel_once(spark, tmp_path):
+    files = _table(spark, str(tmp_path / "in"))
+    rows = spark.read.parquet(*[r["path"] for r in files.collect()])
+    counted = rows.groupBy(F.col("_metadata.file_path").alias("path")).count().collect()
+    placed, _ = layout.place_files([(r["path"], "g", 100, r["count"]) for r in counted], 300)
+    plan = plan_of(layout._dealt(rows, placed), "simple")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_compaction_reads_few_rows_a_task_and_restores_the_setting(spark, tmp_path, monkeypatch):
+    spark.range(0, 400_000, 1, 4).select(F.sha2(F.col("id").cast("string"), 256).alias("_id")).write.parquet(str(tmp_path / "in"))
+    files, asked = landing.list_files(spark, str(tmp_path / "in"), "*.parquet"), []
+    real = type(spark.conf).set
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, k, v: (asked.append((k, v)), real(self, k, v))[1])
+    monkeypatch.setattr(layout, "MERGED_ROWS", 50_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    layout.compact(spark, files, str(tmp_path / "out"))
+    total = files.agg(F.sum("length")).first()[0]
+    assert ("spark.sql.files.maxPartitionBytes", str(total // 8)) in asked
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
