@@ -10,6 +10,7 @@ second look at the dump, and a table is there whole or not at all.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -21,7 +22,7 @@ from quire.functions.columns import AAC_KEYS, ENVELOPE_KEYS, METADATA, SOURCE
 from quire.operators import fields as fl
 from quire.operators import shred as sh
 from quire.operators.inferred import RECORD, parsed_records, record_type, typed
-from quire.operators.layout import TARGET_FILE_BYTES
+from quire.operators.layout import TARGET_FILE_BYTES, line_bytes
 from quire.operators.paths import count_paths, profile, record_totals, sample_files_by_size, sample_rows
 from quire.sources.files import exists, listed_path, move, plain_file, plain_path, remove
 from quire.sources.landing import landing_files
@@ -37,7 +38,8 @@ SAMPLE_RATE = 0.20
 @dataclass
 class IngestOptions:
     """Everything a run can vary. ``sample_unit`` is ``"row"`` or ``"file"``; ``quarantine`` is ``"row"`` or ``"file"``.
-    Output files are merged to about ``target_file_bytes`` of compressed input each; 0 leaves one for each task."""
+    Output files are merged to about ``target_file_bytes`` of compressed input each, or to ``merged_line_bytes`` of lines
+    where that is less, since one task takes in what becomes one file; ``target_file_bytes`` of 0 leaves one for each task."""
 
     min_file_bytes: int = 2 * 1024 * 1024
     sample_rate: float = SAMPLE_RATE
@@ -49,6 +51,7 @@ class IngestOptions:
     keep_corrupt: bool = False
     partition_target_bytes: int = 128 * 1024 * 1024
     target_file_bytes: int = TARGET_FILE_BYTES
+    merged_line_bytes: int = 256 * 1024 * 1024
     max_records_per_file: int | None = None
     concurrent_jobs: int = 4
     ledger: bool = True  # count what good records lose (shred.DEFECT_BITS)
@@ -211,11 +214,15 @@ def ingest_group(spark: SparkSession, files: DataFrame, target: str, group: str,
     return result
 
 
-def _merged_files(sizes: list[int], o: IngestOptions) -> int | None:
-    """How many files to merge a dataset's output into; None where one for each input file is no more than that."""
+def _merged_files(sizes: list[int], o: IngestOptions, plain: Callable[[], int]) -> int | None:
+    """How many files to merge a dataset's output into; None where one for each input file is no more than that.
+
+    ``plain`` counts the bytes of the lines. That takes one more look at the files, so only a dataset to be merged is."""
     if not o.target_file_bytes:
         return None
     wanted = max(1, math.ceil(sum(sizes) / o.target_file_bytes))
+    if wanted < len(sizes):
+        wanted = max(wanted, math.ceil(plain() / o.merged_line_bytes))
     return wanted if wanted < len(sizes) else None
 
 
@@ -246,9 +253,12 @@ class _Write:
 
     def _gathered(self, df: DataFrame) -> DataFrame:
         """Rows over as many partitions as there shall be files."""
-        merged = _merged_files(list(self.files.values()), self.o)
+        merged = _merged_files(list(self.files.values()), self.o, self._line_bytes)
         return df if merged is None else spread(df, merged)
 
+    def _line_bytes(self) -> int:
+        return read_lines(self.spark, list(self.files)).agg(F.sum(line_bytes())).first()[0] or 0
+
     def _put(self, df: DataFrame, path: str, **more) -> dict[str, int]:
         return write_shredded(df, path, self.lookup, max_records_per_file=self.o.max_records_per_file, **more)
 

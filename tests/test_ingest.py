@@ -5,9 +5,11 @@ import json
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
-from quire.plans.ingest import IngestOptions, ingest
+from quire.plans.ingest import IngestOptions, ingest, ingest_group
 from quire.plans.search_index import column_listing, file_sizes, rare_books
+from quire.sources.landing import list_files
 from quire.sources.readers import read_shredded
 
 
@@ -114,3 +116,16 @@ def test_a_small_dataset_keeps_its_fields_whatever_the_sample(spark, tmp_path):
         got = ingest(spark, str(tmp_path / f"torrent{seed}"), str(tmp_path / f"out{seed}"), o)["elasticsearchaux"]
         for name in ("metadata", "journals"):
             assert got.counts[name]["rows"] == 3 and got.counts[name]["fields"] > 5
+
+
+def test_merged_files_hold_bounded_lines(spark, tmp_path):
+    lines = spark.range(0, 400, 1, 8).select(F.concat(
+        F.lit('{"_index":"i","_id":"'), F.col("id").cast("string"), F.lit('","_score":1,"_source":{"a":"'),
+        F.repeat(F.lit("x"), 1000), F.lit('"}}')).alias("value"))  # about 1 KB each, of little size when compressed
+    lines.write.option("compression", "gzip").text(str(tmp_path / "in"))
+    files = list_files(spark, str(tmp_path / "in"), "*.gz").withColumn("dataset", F.lit("records"))
+    for name, bound, wanted in (("one", 1 << 30, 1), ("many", 110_000, 4)):
+        o = IngestOptions(sample_rate=1.0, merged_line_bytes=bound)
+        result = ingest_group(spark, files, str(tmp_path / name), "elasticsearch", o)
+        table = result.tables["records"]
+        assert list_files(spark, table, "*.parquet").count() == wanted and result.counts["records"]["rows"] == 400
