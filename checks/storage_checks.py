@@ -238,7 +238,7 @@ SMALL_TEXTS = 6 * 1024 * 1024
 
 
 def _written_records(spark, sf_dir, n=12):
-    """The shredded table as several small Parquet files, one directory per dataset."""
+    """The shredded table as small Parquet files, at least ``n`` and more as it grows, one directory per dataset."""
     path = scratch_path(spark, "shredded")
     rows = readers.spread(records(spark, sf_dir), parts_for(spark, sf_dir, n, SMALL_TEXTS))
     counts = sinks.write_shredded(rows, path, partition_by=["dataset"])
@@ -410,7 +410,8 @@ def _quarantined_files(spark, sf_dir):
     """All or nothing by file, for all six datasets: rows kept and lines set aside, as they lie there."""
     path, target = scratch_path(spark, "files"), scratch_path(spark, "ingest")
     # one file of lines for each file name, so that what is set aside is what the names say
-    lines = raw_lines(spark, sf_dir).select("dataset", "file_name", "value").repartition("dataset", "file_name")
+    # (by ranges: hashes would send several names to one task)
+    lines = raw_lines(spark, sf_dir).select("dataset", "file_name", "value").repartitionByRange(96, "dataset", "file_name")
     lines.write.option("compression", "gzip").partitionBy("dataset", "file_name").text(path)
     files = landing.list_files(spark, path).filter(~F.col("file_name").startswith("_")).withColumn(
         "dataset", F.regexp_extract("path", "dataset=([^/]+)/", 1))
