@@ -25,16 +25,16 @@ table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import bytes_of, table, written
+from quire.llm.common import table, written
 
 HIDDEN = 24
 CLASS = 32
@@ -49,6 +49,7 @@ RATE = 0.1
 INIT = 1e-5  # start of the sums of squared gradients
 SHARD_TOKENS = 4_000_000  # tokens of a shard in one round
 SCORED_TOKENS = 6_000_000  # in lanes side by side; a limit on memory only
+BLOCK = 8 << 20  # bytes of texts split into words together, or one text; a limit on memory only
 END = b""  # no word is empty
 ALPHA = 0.1
 
@@ -60,35 +61,52 @@ def held_out(doc_id) -> bool:
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % 10 == 0
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """``bytes.lower`` and ``bytes.split`` know ASCII only, as asked."""
-    return text.lower().split()
+def blocks_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about ``BLOCK`` bytes of text."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    blocks = np.cumsum(sizes, dtype=np.int64) // BLOCK
+    edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(lo, hi - lo) for lo, hi in zip(edges, edges[1:]))
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Tokens of a column of texts: their numbers in a list of the different words, that list, the tokens of each text.
+
+    Arrow's ``ascii`` functions lower A-Z alone and split at space and U+0009 to U+000D alone, as asked. A text that ends
+    in a blank gives its words and one empty word, which is the end sign; so does the empty text.
+    """
+    texts = pc.ascii_ltrim_whitespace(pc.ascii_lower(texts.fill_null("")))
+    blank = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", " ")
+    lists = pc.ascii_split_whitespace(pc.binary_join_element_wise(texts, blank, ""))
+    words = lists.flatten().dictionary_encode()
+    return words.indices.to_numpy(), words.dictionary.cast(pa.binary()), np.diff(lists.offsets.to_numpy())
 
 
 def group_of(word: bytes) -> int:
     """Group of a rare word. The last two characters tell much about its language and form."""
-    return zlib.crc32("".join(word.decode(errors="replace")[-2:]).encode()) % GROUPS
+    return zlib.crc32(word[-2:] if word.isascii() else word.decode(errors="replace")[-2:].encode()) % GROUPS
 
 
 # ---------------------------------------------------------------- counts
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    held: list[pa.Table] = []
 
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                          ["word", "c"])
+    def rows() -> list[pa.RecordBatch]:
+        seen = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        held.clear()
+        return seen.select(["word", "c_sum"]).rename_columns(["word", "c"]).to_batches()
 
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1))):
-            if not held_out(key):
-                seen.update(words_of(text))
-                seen[END] += 1
-            if len(seen) > 500_000:
-                yield rows()
-                seen.clear()
-    yield rows()
+        for part in blocks_of(batch, 1):
+            learned = pa.array([not held_out(k) for k in part.column(0).to_pylist()], pa.bool_())
+            numbers, words, _ = tokens_of(part.column(1).filter(learned))
+            held.append(pa.table({"word": words, "c": np.bincount(numbers, minlength=len(words))}))
+            if sum(t.num_rows for t in held) > 500_000:
+                yield from rows()
+    if held:
+        yield from rows()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -102,13 +120,13 @@ class Vocabulary:
     def __init__(self, total: int, distinct: int, common: list[tuple[bytes, int]], groups: dict[int, tuple[int, int]]):
         self.total, self.distinct = total, distinct
         self.floor = total + ALPHA * (distinct + 1)
-        self.count = dict(common)
+        count = dict(common)
         listed = [w for w, _ in common if w != END][:ENTRIES - GROUPS - 1]
         self.listed = {END: 0} | {w: i + 1 for i, w in enumerate(listed)}
         mass = np.full(ENTRIES, 0.5)
-        mass[0] = max(self.count.get(END, 0), 0.5)
+        mass[0] = max(count.get(END, 0), 0.5)
         for w, i in self.listed.items():
-            mass[i] = max(mass[i], self.count.get(w, 0))
+            mass[i] = max(mass[i], count.get(w, 0))
         self.group_floor = np.zeros(GROUPS)
         for g in range(GROUPS):
             c, v = groups.get(g, (0, 0))
@@ -119,27 +137,30 @@ class Vocabulary:
         rank = np.empty(ENTRIES, np.int64)
         rank[np.argsort(-mass, kind="stable")] = np.arange(ENTRIES)
         self.rank, self.mass = rank, np.sort(mass)[::-1].copy()
-        self.forget()
-
-    def forget(self) -> None:
-        """Tables of the words met so far: number, entry, base score, share of the group, group."""
-        self.number: dict[bytes, int] = {}
-        self.tables = [np.empty(0, np.int16), np.empty(0), np.empty(0), np.empty(0, np.int32)]
-
-    def learn(self, words: list[bytes]) -> None:
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
-        floor = np.log10(self.floor)
-        rows = []
-        for word in words:
-            c = self.count.get(word)
-            own = np.nan if c is None else np.log10(c + ALPHA)
-            g = -1 if word in self.listed else group_of(word)
-            rows.append((self.entry(word), own - floor, 0.0 if g < 0 else own - self.group_floor[g], g))
-        self.tables = [np.append(t, np.array(c, t.dtype)) for t, c in zip(self.tables, zip(*rows))]
-
-    def entry(self, word: bytes) -> int:
-        at = self.listed.get(word)
-        return int(self.rank[self.first_group + group_of(word) if at is None else at])
+        # of each common word: its number, and by that its entry, base score and share of its group
+        self.number = {w: i for i, w in enumerate(count)}
+        own = np.log10(np.fromiter(count.values(), np.float64, len(count)) + ALPHA)
+        group = np.array([-1 if w in self.listed else group_of(w) for w in count], np.int64)
+        place = [self.listed.get(w, self.first_group + g) for w, g in zip(count, group.tolist())]
+        self.entries = rank[np.array(place, np.int64)].astype(np.int16)
+        self.base, self.share = own - np.log10(self.floor), np.where(group < 0, 0.0, own - self.group_floor[group])
+
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: entry, base score, share of its group, and the group of one that has to be joined (-2: none; -1:
+        no group, as the network lists it), which has no scores yet."""
+        number = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        rare = np.flatnonzero(number < 0)
+        joined = np.full(len(words), -2, np.int32)
+        if len(self.number):
+            entry, base, share = (t.take(number, mode="clip") for t in (self.entries, self.base, self.share))
+        else:
+            entry, base, share = np.zeros(len(words), np.int16), np.zeros(len(words)), np.zeros(len(words))
+        base[rare] = share[rare] = 0.0
+        for i in rare.tolist():
+            at = self.listed.get(words[i])
+            joined[i] = g = -1 if at is not None else group_of(words[i])
+            entry[i] = self.rank[self.first_group + g if at is None else at]
+        return entry, base, share, joined
 
 
 def least_common(counts: DataFrame, most: int) -> int:
@@ -217,10 +238,10 @@ class Network:
             at += v.size
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x = np.exp(-x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def _recurrent(p: dict) -> np.ndarray:
+    """The state's weights to the two gates and the content, one matrix each, so that each of the three has its own block."""
+    gates = p["f"].reshape(HIDDEN, 2, HIDDEN).transpose(1, 0, 2)
+    return np.concatenate([gates, p["n"][None]]).astype(np.float32)
 
 
 def forward(p: dict, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray, live: np.ndarray | None = None):
@@ -228,31 +249,46 @@ def forward(p: dict, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray,
     ``live``: lanes still running at each step (lanes are sorted so that the first run longest).
 
     The unit: gates ``r, z = sigmoid(x_f + h F)``, content ``n = tanh(x_n + r (h N + b))``, state ``n + z (h - n)``.
+    Without ``live``, what the gradients need is kept: states, gates with ``h N + b``, and contents of all steps.
     """
     steps, lanes = inputs.shape
-    xs, gate, content, bias = p["x"], p["f"], p["n"], p["nb"]
+    xs, bias = p["x"].reshape(-1, HIDDEN), np.tile(p["nb"].astype(np.float32), (lanes, 1))
+    weights = _recurrent(p)
+    weights[:2] *= -1  # a sigmoid needs the exponential of the negative
+    places = inputs[:, None].astype(np.intp) * 3 + np.arange(3)[:, None]  # an entry's input is three rows, as the weights
     out = np.zeros((steps, lanes, HIDDEN), np.float32)
-    kept = []
-    fresh = starts.any(axis=1)
+    kept = [np.empty((steps, *shape, lanes, HIDDEN), np.float32) for shape in ((), (3,), ())] if live is None else None
+    fresh, going = starts.any(axis=1), ~starts[:, :, None]
     for t in range(steps):
         n = lanes if live is None else int(live[t])
         h = state[:n]
         if fresh[t]:
-            h = h * ~starts[t, :n, None]
-        x = xs[inputs[t, :n]]
-        rz = _sigmoid(x[:, :2 * HIDDEN] + h @ gate)
-        inner = h @ content + bias
-        new = 2 * _sigmoid(2 * (x[:, 2 * HIDDEN:] + rz[:, :HIDDEN] * inner)) - 1  # tanh
+            h = h * going[t, :n]
+        if kept:
+            kept[0][t], pre, new = h, kept[1][t], kept[2][t]
+        else:
+            pre, new = np.empty((3, n, HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
+        x = xs.take(places[t, :, :n], axis=0)
+        np.matmul(h, weights, out=pre)
+        gates, inner = pre[:2], pre[2]
+        gates -= x[:2]
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        inner += bias[:n]
+        np.multiply(gates[0], inner, out=new)
+        new += x[2]
+        np.tanh(new, out=new)
         state = out[t, :n]
-        np.add(new, rz[:, HIDDEN:] * (h - new), out=state)
-        if live is None:
-            kept.append((h, rz, inner, new))
+        np.subtract(h, new, out=state)
+        state *= gates[1]
+        state += new
     return out, kept
 
 
 def _sorted_by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """An order of the targets by class, and each class with its first and last place in that order."""
-    classes = targets // CLASS
+    classes = (targets // CLASS).astype(np.int16)
     order = np.argsort(classes, kind="stable")
     edges = np.searchsorted(classes[order], np.arange(ENTRIES // CLASS + 1)).tolist()
     return order, [(c, lo, hi) for c, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo]
@@ -262,76 +298,123 @@ def _normalised(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exponentials of scores and their sums. Scores are small: biases are log-probabilities and states below one."""
     np.minimum(scores, 60, out=scores)
     scores = np.exp(scores, out=scores)
-    return scores, scores.sum(axis=1)
+    return scores, scores @ np.ones(scores.shape[1], scores.dtype)
+
+
+def _and_one(hidden: np.ndarray) -> np.ndarray:
+    """A column of ones at the end, to which biases belong."""
+    out = np.empty((len(hidden), HIDDEN + 1), np.float32)
+    out[:, :HIDDEN], out[:, HIDDEN] = hidden, 1
+    return out
+
+
+def _output(p: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classes and, by class, of its entries, with the biases as their last row."""
+    return (np.concatenate([p["c"], p["cb"][None]]).astype(np.float32),
+            np.concatenate([p["w"], p["wb"][:, None]], axis=1).astype(np.float32))
+
+
+def _within(weights: np.ndarray, hidden: np.ndarray, classes: list) -> tuple[np.ndarray, np.ndarray]:
+    """``_normalised`` scores of the entries of each target's class; rows are sorted by class."""
+    inner = np.empty((len(hidden), CLASS), np.float32)
+    for c, lo, hi in classes:
+        np.matmul(hidden[lo:hi], weights[c], out=inner[lo:hi])
+    return _normalised(inner)
 
 
 def log_probabilities(p: dict, hidden: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target entry."""
     order, classes = _sorted_by_class(targets)
-    hidden, wanted = hidden[order], targets[order]
-    scores, sums = _normalised(hidden @ p["c"] + p["cb"])
-    found = np.empty(len(targets), np.float32)
-    inner_sums = np.empty(len(targets), np.float32)
-    for c, lo, hi in classes:
-        inner, inner_sums[lo:hi] = _normalised(hidden[lo:hi] @ p["w"][c] + p["wb"][c])
-        found[lo:hi] = scores[lo:hi, c] * inner[np.arange(hi - lo), wanted[lo:hi] - c * CLASS]
+    hidden, wanted = _and_one(hidden.take(order, axis=0)), targets.take(order)
+    by_class, by_entry = _output(p)
+    scores, sums = _normalised(hidden @ by_class)
+    inner, inner_sums = _within(by_entry, hidden, classes)
+    rows = np.arange(0, len(targets) * CLASS, CLASS)
+    found = inner.ravel().take(rows + wanted % CLASS)
+    found *= scores.ravel().take(np.arange(len(targets)) * scores.shape[1] + wanted // CLASS)
     out = np.empty(len(targets), np.float32)
     out[order] = np.log(found) - np.log(sums) - np.log(inner_sums)
     return out
 
 
+def _sums_by(ids: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ids, and the sums over the rows of each in every block (blocks by rows by columns)."""
+    by_id = np.argsort(ids, kind="stable")
+    ids = ids[by_id]
+    first = np.flatnonzero(np.diff(ids, prepend=-1))
+    count = np.diff(first, append=len(ids))
+    sums = blocks.take(by_id[first], axis=1)
+    again = np.flatnonzero(count > 1)
+    if len(again):
+        rows, count = by_id[np.repeat(count > 1, count)], count[again]
+        pairs = blocks.take(rows, axis=1).view(np.complex64)  # two columns as one number: numpy adds half as often
+        sums[:, again] = np.add.reduceat(pairs, np.cumsum(count) - count, axis=1).view(np.float32)
+    return ids[first], sums
+
+
 def _gradients(p: dict, inputs, targets, starts, mask, state):
     """Gradients of the mean log-loss over one window, and the state at its end."""
-    out, kept = forward(p, inputs, starts, state)
+    out, (held, pre, new) = forward(p, inputs, starts, state)
+    r, z, inner = pre[:, 0], pre[:, 1], pre[:, 2]
     steps, lanes = inputs.shape
     flat_mask = np.flatnonzero(mask.ravel())
     wanted = targets.ravel()[flat_mask]
     order, classes = _sorted_by_class(wanted)
     place = flat_mask[order]
-    hidden, wanted = out.reshape(-1, HIDDEN)[place], wanted[order]
+    hidden, wanted = _and_one(out.reshape(-1, HIDDEN).take(place, axis=0)), wanted[order]
     n = max(1, len(wanted))
-    grads = {"w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
-    scores, sums = _normalised(hidden @ p["c"] + p["cb"])
-    scores /= sums[:, None]
-    scores[np.arange(len(wanted)), wanted // CLASS] -= 1
-    grads["c"], grads["cb"] = hidden.T @ scores, scores.sum(axis=0)
-    back = scores @ p["c"].T
+    by_class, by_entry = _output(p)
+    rows = np.arange(len(wanted))
+    scores, sums = _normalised(hidden @ by_class)
+    scores *= np.reciprocal(sums)[:, None]
+    scores[rows, wanted // CLASS] -= 1
+    d_class = hidden.T @ scores
+    back = scores @ by_class[:HIDDEN].T
+    scores, sums = _within(by_entry, hidden, classes)
+    scores *= np.reciprocal(sums)[:, None]
+    scores[rows, wanted % CLASS] -= 1
+    d_entry = np.zeros_like(by_entry)
+    within = np.empty_like(back)
     for c, lo, hi in classes:
-        inner, sums = _normalised(hidden[lo:hi] @ p["w"][c] + p["wb"][c])
-        inner /= sums[:, None]
-        inner[np.arange(hi - lo), wanted[lo:hi] - c * CLASS] -= 1
-        grads["w"][c], grads["wb"][c] = hidden[lo:hi].T @ inner, inner.sum(axis=0)
-        back[lo:hi] += inner @ p["w"][c].T
+        own = scores[lo:hi]
+        np.matmul(hidden[lo:hi].T, own, out=d_entry[c])
+        np.matmul(own, by_entry[c, :HIDDEN].T, out=within[lo:hi])
+    back += within
     d_out = np.zeros((steps * lanes, HIDDEN), np.float32)
     d_out[place] = back
     d_out = d_out.reshape(steps, lanes, HIDDEN)
-    d_x = np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
-    d_inner = np.zeros((steps, lanes, HIDDEN), np.float32)
+    # what does not depend on later steps: slopes of the content and the gates
+    both = 1 - pre[:, :2]
+    by_content = new * new
+    np.subtract(1, by_content, out=by_content)
+    by_content *= both[:, 1]
+    both *= pre[:, :2]
+    by_reset, by_update = both[:, 0], both[:, 1]
+    by_reset *= inner
+    by_update *= held - new
+    d_pre = np.empty((4, steps, lanes, HIDDEN), np.float32)  # of the content, the gates, and h N
     d_h = np.zeros((lanes, HIDDEN), np.float32)
-    gate, content = p["f"].T.copy(), p["n"].T.copy()
+    weights = np.ascontiguousarray(_recurrent(p).transpose(0, 2, 1))
+    fresh, going = starts.any(axis=1), ~starts[:, :, None]
     for t in range(steps - 1, -1, -1):
-        h, rz, inner, new = kept[t]
-        r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-        d = d_out[t] + d_h
-        d_n = d_x[t, :, 2 * HIDDEN:]
-        np.multiply(d * (1 - z), 1 - new * new, out=d_n)
-        d_gates = d_x[t, :, :2 * HIDDEN]
-        np.multiply(d_n * inner, r * (1 - r), out=d_gates[:, :HIDDEN])
-        np.multiply(d * (h - new), z * (1 - z), out=d_gates[:, HIDDEN:])
-        np.multiply(d_n, r, out=d_inner[t])
-        d_h = d * z + d_gates @ gate + d_inner[t] @ content
-        if starts[t].any():
-            d_h *= ~starts[t][:, None]
-    held = np.concatenate([k[0] for k in kept])
-    flat = d_x.reshape(-1, 3 * HIDDEN)
-    d_inner = d_inner.reshape(-1, HIDDEN)
-    grads["f"], grads["n"], grads["nb"] = held.T @ flat[:, :2 * HIDDEN], held.T @ d_inner, d_inner.sum(axis=0)
-    ids = inputs.ravel()
-    by_id = np.argsort(ids, kind="stable")
-    ids = ids[by_id]
-    first = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])
-    rows = np.add.reduceat(flat[by_id], first, axis=0)
-    return {k: g / n for k, g in grads.items()}, (ids[first], rows / n), out[-1].copy()
+        d = d_out[t]
+        d += d_h
+        d_n = np.multiply(d, by_content[t], out=d_pre[0, t])
+        np.multiply(d_n, by_reset[t], out=d_pre[1, t])
+        np.multiply(d, by_update[t], out=d_pre[2, t])
+        np.multiply(d_n, r[t], out=d_pre[3, t])
+        parts = np.matmul(d_pre[1:, t], weights)
+        d_h = np.multiply(d, z[t], out=d)
+        for part in parts:
+            d_h += part
+        if fresh[t]:
+            d_h *= going[t]
+    f1, f2, nn = np.matmul(held.transpose(0, 2, 1), d_pre[1:]).sum(axis=1)
+    d_bias = np.ones(steps * lanes, np.float32) @ d_pre[3].reshape(-1, HIDDEN)
+    ids, (d_n, d_r, d_z) = _sums_by(inputs.ravel().astype(np.int16), d_pre[:3].reshape(3, -1, HIDDEN))
+    grads = {"f": np.concatenate([f1, f2], axis=1), "n": nn, "nb": d_bias, "c": d_class[:HIDDEN], "cb": d_class[HIDDEN],
+             "w": d_entry[:, :HIDDEN], "wb": d_entry[:, HIDDEN]}
+    return {k: g / n for k, g in grads.items()}, (ids, np.concatenate([d_r, d_z, d_n], axis=1) / n), out[-1].copy()
 
 
 def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
@@ -385,7 +468,12 @@ def train(net: Network, docs: list[np.ndarray]) -> int:
         if middle:
             inputs[at, lane] = ENTRIES + 1
     state = np.zeros((targets.shape[1], HIDDEN), np.float32)
-    squares = {k: np.full_like(v, INIT) for k, v in net.p.items()}
+    # all parameters but the inputs side by side; ``net.p`` has views of them
+    names = [k for k in net.p if k != "x"]
+    own = np.concatenate([net.p[k].ravel() for k in names])
+    edges = np.cumsum([net.p[k].size for k in names])[:-1]
+    net.p |= {k: v.reshape(net.p[k].shape) for k, v in zip(names, np.split(own, edges))}
+    squares, x_squares = np.full_like(own, INIT), np.full_like(net.p["x"], INIT)
     for at in range(0, len(targets), STEPS):
         end = min(at + STEPS, len(targets))
         live = int((sizes > at).sum())
@@ -393,16 +481,18 @@ def train(net: Network, docs: list[np.ndarray]) -> int:
         grads, (ids, rows), last = _gradients(net.p, inputs[at:end, :live], targets[at:end, :live].astype(np.int64),
                                               starts[at:end, :live], mask, state[:live].copy())
         state[:live] = last
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()) + float((rows * rows).sum()))
+        g = np.concatenate([grads[k].ravel() for k in names])
+        norm = np.sqrt(float(np.dot(g, g)) + float(np.vdot(rows, rows)))
         cut = min(1.0, 1.0 / max(norm, 1e-9))
         rate = RATE * mask.sum() / (LANES * STEPS)  # windows with few lanes left count for what they hold
-        for k, g in grads.items():
-            g *= cut
-            squares[k] += g * g
-            net.p[k] -= rate * g / np.sqrt(squares[k])
-        rows *= cut
-        squares["x"][ids] += rows * rows
-        net.p["x"][ids] -= rate * rows / np.sqrt(squares["x"][ids])
+        for g, total, values, at_ids in ((g, squares, own, slice(None)), (rows, x_squares, net.p["x"], ids)):
+            g *= np.float32(cut)
+            sums = total[at_ids]
+            sums += g * g
+            total[at_ids] = sums
+            g *= np.float32(rate)
+            g /= np.sqrt(sums)
+            values[at_ids] -= g
     return int(sizes.sum())
 
 
@@ -457,26 +547,14 @@ def coded(docs: DataFrame, known) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = known.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                texts = [[*words_of(t), END] for t in bytes_of(part.column(2))]
-                if len(v.number) > 300_000:  # a limit on memory only
-                    v.forget()
-                words = list(chain.from_iterable(texts))
-                flat = np.fromiter(map(v.number.get, words, repeat(-1)), np.int64, len(words))
-                new = np.flatnonzero(flat < 0).tolist()
-                if new:
-                    v.learn(list(dict.fromkeys([words[i] for i in new])))
-                    flat[new] = [v.number[words[i]] for i in new]
-                entry, base, share, group = [t[flat] for t in v.tables]
-                sizes = np.array([len(t) for t in texts])
+            for part in blocks_of(batch, 2):
+                numbers, distinct, sizes = tokens_of(part.column(2))
+                entry, base, share, group = [t.take(numbers) for t in v.look_up(distinct.to_numpy(zero_copy_only=False).tolist())]
                 starts = np.cumsum(sizes) - sizes  # no text is empty: all have the end
-                rare = np.isnan(base)  # to be joined
+                rare = group > -2  # to be joined
                 at = np.flatnonzero(rare)
-                base[at] = 0.0
-                share[np.isnan(share)] = 0.0
                 n_rare = np.add.reduceat(rare.astype(np.int64), starts)
-                found = pa.StructArray.from_arrays([pa.array([words[i] for i in at.tolist()], pa.binary()), pa.array(group[at])],
+                found = pa.StructArray.from_arrays([distinct.take(pa.array(numbers[at])), pa.array(group[at])],
                                                    fields=list(kind.value_type))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,52 @@ def test_the_state_is_carried_through_a_document():
     assert np.allclose(together, [lm.score(net.p, [d])[0] for d in docs], rtol=1e-4)
 
 
+def test_tokens_are_split_once_and_looked_up_by_distinct_word():
+    texts = [None, "", " ", "a", " A\x0b\x0cb ", "Ä ä\u00a0ß\u2028x", *(f"p{chr(i)}Q {chr(i)}" for i in range(128)), *["again And again"] * 500]
+    numbers, words, sizes = lm.tokens_of(pa.array(texts, pa.string()))
+    wanted = [[*(t or "").encode().lower().split(), lm.END] for t in texts]
+    assert sizes.tolist() == [len(w) for w in wanted]
+    assert [words[i].as_py() for i in numbers.tolist()] == [w for ws in wanted for w in ws]
+    assert len(words) == len({w for ws in wanted for w in ws})
+    assert len(lm.tokens_of(pa.array([], pa.string()))[0]) == 0
+
+
+def test_blocks_of_texts_hold_every_row(monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", 10)
+    texts = ["x" * 25, "", None, "abc", "d" * 9, "e" * 40, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts, pa.string())], ["i", "t"])
+    blocks = [b.column(1).to_pylist() for b in lm.blocks_of(batch, 1)]
+    assert [t for b in blocks for t in b] == texts and len(blocks) > 2
+    assert [b.num_rows for b in lm.blocks_of(batch.slice(0, 0), 1)] in ([], [0])
+
+
+def test_sums_by_id():
+    rng = np.random.default_rng(4)
+    ids, blocks = rng.zipf(1.5, 700).clip(max=90).astype(np.int16), rng.standard_normal((3, 700, 8)).astype(np.float32)
+    found, sums = lm._sums_by(ids, blocks)
+    assert found.tolist() == sorted(set(ids.tolist()))
+    assert np.allclose(sums, np.stack([blocks[:, ids == i].sum(axis=1) for i in found], axis=1), atol=1e-4)
+
+
+def test_scores_of_a_trained_net_by_plain_steps():
+    net, rng, size = _net(), np.random.default_rng(7), lm.HIDDEN
+    docs = [rng.zipf(1.3, n).clip(max=lm.ENTRIES - 1).astype(np.int16) for n in (1, 30, 900, 70, 5)]
+    assert lm.train(net, docs) == sum(map(len, docs))
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    plain = []
+    for doc in docs:
+        h, before, total = np.zeros(size), lm.ENTRIES, 0.0
+        for word in doc.tolist():
+            x, gates = p["x"][before], h @ p["f"]
+            r, z = (1 / (1 + np.exp(-x[i:i + size] - gates[i:i + size])) for i in (0, size))
+            n = np.tanh(x[2 * size:] + r * (h @ p["n"] + p["nb"]))
+            h, c, before = n + z * (h - n), word // lm.CLASS, word
+            for scores, at in ((h @ p["c"] + p["cb"], c), (h @ p["w"][c] + p["wb"][c], word % lm.CLASS)):
+                total += scores[at] - np.log(np.exp(scores).sum())
+        plain.append(total)
+    assert np.allclose(lm.score(net.p, docs), plain, rtol=1e-4)
+
+
 # ---------------------------------------------------------------- neighbours
 
 
